@@ -209,3 +209,122 @@ def q_duplicate_grain(spark, sf_dir):
                                 "activity_raw"))
 def q_country_counts(spark, sf_dir):
     return Fa.value_counts(P.canonical_raw(spark, sf_dir), "country_code")
+
+
+# ---------------------------------------------------------------- cadence and completeness
+
+from cellwatch.functions.columns import round6  # noqa: E402
+from cellwatch.operators import alerts as Al  # noqa: E402
+from cellwatch.operators import quality as Q  # noqa: E402
+from cellwatch.operators import windows as Wi  # noqa: E402
+
+
+@register("missing_hours", sql("""
+SELECT CAST(h AS TIMESTAMP) AS missing_timestamp
+FROM (SELECT unnest(generate_series(lo, hi, INTERVAL 1 HOUR)) AS h
+      FROM (SELECT date_trunc('day', min(timestamp)) AS lo,
+                   CAST(date_trunc('day', max(timestamp)) AS TIMESTAMP) + INTERVAL 23 HOUR AS hi FROM activity_raw))
+WHERE CAST(h AS TIMESTAMP) NOT IN (SELECT timestamp FROM activity_raw WHERE timestamp IS NOT NULL)""",
+    "activity_raw"))
+def q_missing_hours(spark, sf_dir):
+    return Q.missing_hours(P.canonical_raw(spark, sf_dir))
+
+
+@register("missing_grid_hours", sql("""
+SELECT s.grid_id, s.timestamp FROM skeleton s
+WHERE NOT EXISTS (SELECT 1 FROM fact f WHERE f.grid_id = s.grid_id AND f.timestamp = s.timestamp)""",
+    "skeleton", "fact"))
+def q_missing_grid_hours(spark, sf_dir):
+    return Q.missing_grid_hours(P.fact(spark, sf_dir))
+
+
+@register("cadence_check", sql("""
+SELECT date, count(*) AS timestamps, max(gap) AS max_gap_seconds,
+       count(*) = 24 AND coalesce(max(gap), 3600) = 3600 AS passed
+FROM (SELECT CAST(timestamp AS DATE) AS date,
+             CAST(epoch(timestamp) - epoch(lag(timestamp) OVER (PARTITION BY CAST(timestamp AS DATE) ORDER BY timestamp))
+                  AS BIGINT) AS gap
+      FROM (SELECT DISTINCT timestamp FROM activity_raw WHERE timestamp IS NOT NULL))
+GROUP BY date""", "activity_raw"))
+def q_cadence_check(spark, sf_dir):
+    return Q.cadence_check(P.canonical_raw(spark, sf_dir))
+
+
+@register("incomplete_grid_days", sql("""
+SELECT grid_id, date, count(DISTINCT hour) AS hours FROM fact GROUP BY grid_id, date
+HAVING count(DISTINCT hour) <> 24""", "fact"))
+def q_incomplete_grid_days(spark, sf_dir):
+    return Al.hours_per_grid_day(P.fact(spark, sf_dir))
+
+
+# ---------------------------------------------------------------- rule alerts
+
+@register("previous_hour", sql("""
+SELECT grid_id, timestamp, total_activity, previous_hour_activity FROM dense_base""", "dense_base"))
+def q_previous_hour(spark, sf_dir):
+    d = P.dense_fact(spark, sf_dir).select("grid_id", "timestamp", "date", "total_activity")
+    return Wi.previous_value(d).drop("date")
+
+
+@register("leave_one_out_baseline", sql("""
+SELECT grid_id, timestamp, round(baseline_activity, 6) AS baseline_activity FROM loo""", "loo"))
+def q_leave_one_out_baseline(spark, sf_dir):
+    d = P.dense_fact(spark, sf_dir).select("grid_id", "timestamp", "date", "total_activity")
+    return (Wi.leave_one_out_median(d)
+            .select("grid_id", "timestamp", round6(F.col("baseline_activity")).alias("baseline_activity")))
+
+
+@register("activity_floor", sql("""
+SELECT date, round(floor, 6) AS activity_floor FROM floors""", "floors"))
+def q_activity_floor(spark, sf_dir):
+    f = Al.activity_floor(P.dense_fact(spark, sf_dir))
+    return f.withColumn("activity_floor", round6(F.col("activity_floor")))
+
+
+def _alerts(spark, sf_dir):
+    return Al.rule_alerts(P.dense_fact(spark, sf_dir))
+
+
+@register("rule_alerts", sql("""
+SELECT grid_id, timestamp, alert_type, current_activity, round(baseline_activity, 6) AS baseline_activity, reason
+FROM alerts""", "alerts"))
+def q_rule_alerts(spark, sf_dir):
+    return _alerts(spark, sf_dir).withColumn("baseline_activity", round6(F.col("baseline_activity")))
+
+
+@register("alert_counts", sql("""
+SELECT grid_id, count(*) AS alerts, count(DISTINCT timestamp) AS alerted_hours,
+       CAST(sum(CASE WHEN alert_type = 'HIGH_ACTIVITY' THEN 1 ELSE 0 END) AS BIGINT) AS high_activity,
+       CAST(sum(CASE WHEN alert_type = 'ACTIVITY_DROP' THEN 1 ELSE 0 END) AS BIGINT) AS activity_drop,
+       CAST(sum(CASE WHEN alert_type = 'ACTIVITY_SPIKE' THEN 1 ELSE 0 END) AS BIGINT) AS activity_spike
+FROM alerts GROUP BY grid_id""", "alerts"))
+def q_alert_counts(spark, sf_dir):
+    return Al.alert_counts(_alerts(spark, sf_dir))
+
+
+@register("top_alerted_grids", sql("""
+SELECT grid_id, count(*) AS alerts FROM alerts GROUP BY grid_id ORDER BY alerts DESC, grid_id LIMIT 10""",
+    "alerts"))
+def q_top_alerted_grids(spark, sf_dir):
+    return Al.top_alerted_grids(_alerts(spark, sf_dir))
+
+
+@register("alert_volume", sql("""
+SELECT a.n AS alerted_grid_hours, d.n AS evaluated_rows, round(a.n / d.n, 6) AS alert_share,
+       CAST(0.25 AS DOUBLE) AS max_share, round(a.n / d.n, 6) < 0.25 AS passed
+FROM (SELECT count(*) AS n FROM (SELECT DISTINCT grid_id, timestamp FROM alerts)) a,
+     (SELECT count(*) AS n FROM dense) d""", "alerts", "dense"))
+def q_alert_volume(spark, sf_dir):
+    dense = P.dense_fact(spark, sf_dir)
+    return Al.alert_volume(Al.rule_alerts(dense), dense)
+
+
+@register("alert_reason_check", sql("""
+SELECT count(*) AS alerts,
+       CAST(sum(CASE WHEN contains(reason, alert_type) AND contains(reason, printf('%.4f', current_activity))
+                 AND contains(reason, printf('%.4f', baseline_activity)) THEN 1 ELSE 0 END) AS BIGINT) AS valid_reasons,
+       count(*) = sum(CASE WHEN contains(reason, alert_type) AND contains(reason, printf('%.4f', current_activity))
+                 AND contains(reason, printf('%.4f', baseline_activity)) THEN 1 ELSE 0 END) AS passed
+FROM alerts""", "alerts"))
+def q_alert_reason_check(spark, sf_dir):
+    return Al.reason_check(_alerts(spark, sf_dir))

@@ -111,3 +111,47 @@ def sql(body: str, *needed: str) -> str:
 
 def add_cte(name: str, deps: list[str], body: str) -> None:
     CTES[name] = (deps, body)
+
+
+# ---------------------------------------------------------------- alert chain CTEs
+add_cte("dense_base", ["dense"], """
+SELECT grid_id, timestamp, date, total_activity,
+       lag(total_activity) OVER (PARTITION BY grid_id, date ORDER BY timestamp) AS previous_hour_activity
+FROM dense""")
+# Brute force on purpose: the median of the other rows of the same grid and day.
+add_cte("loo", ["dense"], """
+SELECT a.grid_id, a.timestamp, median(b.total_activity) AS baseline_activity
+FROM dense a LEFT JOIN dense b
+  ON a.grid_id = b.grid_id AND a.date = b.date AND a.timestamp <> b.timestamp
+GROUP BY a.grid_id, a.timestamp""")
+add_cte("base", ["dense_base", "loo"], """
+SELECT d.*, l.baseline_activity FROM dense_base d JOIN loo l USING (grid_id, timestamp)""")
+add_cte("daily_totals", ["dense"], """
+SELECT date, grid_id, CAST(SUM(CAST(total_activity AS DECIMAL(38,4))) AS DOUBLE) AS daily_total
+FROM dense GROUP BY date, grid_id""")
+add_cte("floors", ["daily_totals"], """
+SELECT date, quantile_cont(daily_total, 0.25) AS floor FROM daily_totals GROUP BY date""")
+add_cte("eligible", ["daily_totals", "floors"], """
+SELECT d.date, d.grid_id FROM daily_totals d JOIN floors f USING (date) WHERE d.daily_total >= f.floor""")
+add_cte("alerts", ["base", "eligible"], """
+SELECT grid_id, timestamp, alert_type, total_activity AS current_activity, baseline_activity,
+       CASE alert_type
+         WHEN 'HIGH_ACTIVITY' THEN 'HIGH_ACTIVITY: current activity ' || printf('%.4f', total_activity)
+              || ' is at least 50% above the within-day baseline ' || printf('%.4f', baseline_activity) || '.'
+         WHEN 'ACTIVITY_DROP' THEN 'ACTIVITY_DROP: current activity ' || printf('%.4f', total_activity)
+              || ' is at or below 50% of the within-day baseline ' || printf('%.4f', baseline_activity) || '.'
+         ELSE 'ACTIVITY_SPIKE: current activity ' || printf('%.4f', total_activity)
+              || ' increased by at least 50% from the preceding hour; within-day baseline is '
+              || printf('%.4f', baseline_activity) || '.' END AS reason
+FROM (
+  SELECT b.*, 'HIGH_ACTIVITY' AS alert_type FROM base b
+   WHERE baseline_activity > 0 AND total_activity >= 1.5 * baseline_activity
+  UNION ALL
+  SELECT b.*, 'ACTIVITY_DROP' FROM base b
+   WHERE baseline_activity > 0 AND total_activity <= 0.5 * baseline_activity
+  UNION ALL
+  SELECT b.*, 'ACTIVITY_SPIKE' FROM base b
+   WHERE baseline_activity IS NOT NULL AND previous_hour_activity > 0
+     AND total_activity >= 1.5 * previous_hour_activity
+) h
+WHERE (date, grid_id) IN (SELECT date, grid_id FROM eligible)""")
