@@ -328,3 +328,95 @@ SELECT count(*) AS alerts,
 FROM alerts""", "alerts"))
 def q_alert_reason_check(spark, sf_dir):
     return Al.reason_check(_alerts(spark, sf_dir))
+
+
+# ---------------------------------------------------------------- geo
+
+from cellwatch.operators import geo as Geo  # noqa: E402
+
+
+@register("geo_lookup", sql("""
+SELECT grid_id, 'Polygon' AS geometry_type, 5 AS ring_points,
+       'milano-grid.geojson#cellId=' || CAST(grid_id AS VARCHAR) AS geometry_reference
+FROM ref""", "ref"))
+def q_geo_lookup(spark, sf_dir):
+    from cellwatch.sources.geojson import parse_features
+    ids = P.fact(spark, sf_dir).select("grid_id")
+    from cellwatch.sources.fixtures import grid_reference_features
+    f = parse_features(grid_reference_features(ids)).where(F.col("grid_id").isNotNull())
+    poly = F.from_json(F.col("geometry"), Geo.POLYGON_DDL)
+    return f.select("grid_id", "geometry_type",
+                    F.size(F.get(poly["coordinates"], 0)).alias("ring_points"),
+                    Geo.geometry_reference(F.col("grid_id")).alias("geometry_reference"))
+
+
+@register("centroid_area", sql("""
+SELECT grid_id, round(centroid_longitude, 6) AS centroid_longitude, round(centroid_latitude, 6) AS centroid_latitude
+FROM ref_centroids""", "ref_centroids"))
+def q_centroid_area(spark, sf_dir):
+    c = Geo.area_centroid(F.col("geometry"))
+    return P.grid_lookup(spark, sf_dir).select(
+        "grid_id", round6(c["lon"]).alias("centroid_longitude"), round6(c["lat"]).alias("centroid_latitude"))
+
+
+@register("centroid_vertex", sql("""
+SELECT grid_id, round(vertex_longitude, 6) AS centroid_longitude, round(vertex_latitude, 6) AS centroid_latitude
+FROM ref_centroids""", "ref_centroids"))
+def q_centroid_vertex(spark, sf_dir):
+    c = Geo.vertex_centroid(F.col("geometry"))
+    return P.grid_lookup(spark, sf_dir).select(
+        "grid_id", round6(c["lon"]).alias("centroid_longitude"), round6(c["lat"]).alias("centroid_latitude"))
+
+
+@register("centroid_distance", sql("""
+SELECT a.grid_id, b.grid_id AS neighbour_id,
+       round(sqrt(pow(a.centroid_longitude - b.centroid_longitude, 2)
+                  + pow(a.centroid_latitude - b.centroid_latitude, 2)), 6) AS distance,
+       round(sqrt(pow(a.centroid_longitude - b.centroid_longitude, 2)
+                  + pow(a.centroid_latitude - b.centroid_latitude, 2)), 6) > 0 AS passed
+FROM ref_centroids a JOIN ref_centroids b ON b.grid_id = a.grid_id + 1""", "ref_centroids"))
+def q_centroid_distance(spark, sf_dir):
+    return Geo.neighbour_distances(P.grid_lookup(spark, sf_dir))
+
+
+@register("geo_enrich", sql("""
+SELECT * REPLACE (round(centroid_longitude, 6) AS centroid_longitude, round(centroid_latitude, 6) AS centroid_latitude)
+FROM enriched""", "enriched"))
+def q_geo_enrich(spark, sf_dir):
+    e = Geo.geo_enrich(P.fact(spark, sf_dir), P.grid_lookup(spark, sf_dir))
+    return e.withColumns({"centroid_longitude": round6(F.col("centroid_longitude")),
+                          "centroid_latitude": round6(F.col("centroid_latitude"))})
+
+
+@register("enrichment_coverage", sql("""
+SELECT count(*) AS enriched_rows, count(DISTINCT grid_id) AS enriched_grids,
+       CAST(sum(CASE WHEN centroid_longitude IS NOT NULL THEN 1 ELSE 0 END) AS BIGINT) AS matched_rows,
+       count(DISTINCT CASE WHEN centroid_longitude IS NOT NULL THEN grid_id END) AS matched_grids,
+       (SELECT count(*) FROM fact) AS fact_rows, (SELECT count(DISTINCT grid_id) FROM fact) AS fact_grids,
+       round(count(DISTINCT CASE WHEN centroid_longitude IS NOT NULL THEN grid_id END) * 100.0
+             / (SELECT count(DISTINCT grid_id) FROM fact), 2) AS coverage_pct,
+       count(*) = (SELECT count(*) FROM fact) AND count(DISTINCT grid_id) = (SELECT count(DISTINCT grid_id) FROM fact)
+         AND count(DISTINCT CASE WHEN centroid_longitude IS NOT NULL THEN grid_id END)
+             = (SELECT count(DISTINCT grid_id) FROM fact) AS passed
+FROM enriched""", "enriched", "fact"))
+def q_enrichment_coverage(spark, sf_dir):
+    fact = P.fact(spark, sf_dir)
+    return Geo.enrichment_coverage(fact, Geo.geo_enrich(fact, P.grid_lookup(spark, sf_dir)))
+
+
+@register("unmatched_grids", sql("""
+SELECT DISTINCT grid_id FROM fact WHERE grid_id NOT IN (SELECT grid_id FROM ref)""", "fact", "ref"))
+def q_unmatched_grids(spark, sf_dir):
+    return Geo.unmatched_grids(P.fact(spark, sf_dir), P.grid_lookup(spark, sf_dir))
+
+
+@register("top_grids_geo", sql("""
+SELECT t.grid_id, t.total_activity, round(r.centroid_longitude, 6) AS centroid_longitude,
+       round(r.centroid_latitude, 6) AS centroid_latitude
+FROM (SELECT grid_id, CAST(SUM(CAST(total_activity AS DECIMAL(38,4))) AS DOUBLE) AS total_activity
+      FROM fact GROUP BY grid_id ORDER BY total_activity DESC, grid_id LIMIT 10) t
+LEFT JOIN ref_centroids r USING (grid_id)""", "fact", "ref_centroids"))
+def q_top_grids_geo(spark, sf_dir):
+    t = Geo.top_grids_with_geometry(P.fact(spark, sf_dir), P.grid_lookup(spark, sf_dir))
+    return t.withColumns({"centroid_longitude": round6(F.col("centroid_longitude")),
+                          "centroid_latitude": round6(F.col("centroid_latitude"))})

@@ -47,3 +47,10 @@ def fact(spark, sf_dir) -> DataFrame:
 
 def dense_fact(spark, sf_dir) -> DataFrame:
     return Fa.densify_hours(fact(spark, sf_dir))
+
+
+def grid_lookup(spark, sf_dir) -> DataFrame:
+    """Grid reference for the grids of the data, as GeoJSON feature lines parsed by Spark."""
+    from cellwatch.sources.geojson import grid_lookup as lookup, parse_features
+    ids = fact(spark, sf_dir).select("grid_id")
+    return lookup(parse_features(X.grid_reference_features(ids)))
