@@ -19,16 +19,32 @@ MULTIPOLYGON_DDL = "type string, coordinates array<array<array<array<double>>>>"
 BROADCAST_MAX_ROWS = 20000
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast hint only when the frame provably has at most ``max_rows`` rows.
+def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, proven_rows: int | None = None) -> DataFrame:
+    """Broadcast hint only for a frame whose row count is provably at most ``max_rows``.
 
-    The check reads at most ``max_rows + 1`` rows; beyond the bound the plain frame is
-    returned and the join stays a shuffle join (AQE may still convert it at run time).
+    ``proven_rows`` is a bound that holds by construction (for example: distinct grid ids of
+    a frame filtered to 1..10000); it costs no job. Without it, the check reads at most
+    ``max_rows + 1`` rows. Beyond the bound the frame is returned unhinted: the join stays a
+    shuffle join, and AQE may still switch it to broadcast from measured runtime sizes.
     """
-    small = df.limit(max_rows + 1).count() <= max_rows
+    if proven_rows is not None:
+        small = proven_rows <= max_rows
+    else:
+        small = df.limit(max_rows + 1).count() <= max_rows
     return F.broadcast(df) if small else df
 
 
+def reference_lookup(lookup: DataFrame, lo: int = S.GRID_ID_MIN, hi: int = S.GRID_ID_MAX) -> DataFrame:
+    """Grid reference restricted to valid ids, one row per id (smallest geometry text on a
+    duplicate, so the enrichment join can never multiply fact rows). At most hi - lo + 1 rows."""
+    return (lookup.where(F.col("grid_id").between(lo, hi))
+            .groupBy("grid_id").agg(F.min("geometry").alias("geometry")))
+
+
+def reference_bound(lo: int = S.GRID_ID_MIN, hi: int = S.GRID_ID_MAX) -> int:
+    return hi - lo + 1
+
+
 def geometry_reference(grid_id: Column) -> Column:
     """Stable text key of a cell's geometry."""
     return F.concat(F.lit(S.GEOMETRY_REFERENCE_PREFIX), grid_id.cast("string"))
@@ -89,8 +105,8 @@ def geo_enrich(fact: DataFrame, lookup: DataFrame, broadcast: bool = True) -> Da
 
     ``broadcast=False`` is the J2 baseline: the same join planned as a shuffle join.
     """
-    ref = with_centroids(lookup).select("grid_id", "centroid_longitude", "centroid_latitude")
-    ref = bounded_broadcast(ref) if broadcast else ref.hint("shuffle_merge")
+    ref = with_centroids(reference_lookup(lookup)).select("grid_id", "centroid_longitude", "centroid_latitude")
+    ref = bounded_broadcast(ref, proven_rows=reference_bound()) if broadcast else ref.hint("shuffle_merge")
     return (fact.join(ref, "grid_id", "left")
             .withColumn("geometry_reference",
                         F.when(F.col("centroid_longitude").isNotNull(), geometry_reference(F.col("grid_id")))))

@@ -420,3 +420,151 @@ def q_top_grids_geo(spark, sf_dir):
     t = Geo.top_grids_with_geometry(P.fact(spark, sf_dir), P.grid_lookup(spark, sf_dir))
     return t.withColumns({"centroid_longitude": round6(F.col("centroid_longitude")),
                           "centroid_latitude": round6(F.col("centroid_latitude"))})
+
+
+# ---------------------------------------------------------------- warehouse
+
+from cellwatch.operators import serving as Sv  # noqa: E402
+from cellwatch.operators import warehouse as Wh  # noqa: E402
+
+
+@register("dim_time", sql("SELECT * FROM dim_time", "dim_time"))
+def q_dim_time(spark, sf_dir):
+    return P.star(spark, sf_dir)[0]
+
+
+@register("dim_grid", sql("""
+SELECT grid_key, grid_id, round(centroid_latitude, 6) AS centroid_latitude,
+       round(centroid_longitude, 6) AS centroid_longitude, geometry_reference FROM dim_grid""", "dim_grid"))
+def q_dim_grid(spark, sf_dir):
+    d = P.star(spark, sf_dir)[1]
+    return d.withColumns({"centroid_latitude": round6(F.col("centroid_latitude")),
+                          "centroid_longitude": round6(F.col("centroid_longitude"))})
+
+
+@register("fact_activity", sql("SELECT * FROM fact_activity", "fact_activity"))
+def q_fact_activity(spark, sf_dir):
+    return P.star(spark, sf_dir)[2]
+
+
+@register("orphan_facts", sql("""
+SELECT f.*, 'time_key' AS missing FROM fact_activity f WHERE time_key NOT IN (SELECT time_key FROM dim_time)
+   OR time_key IS NULL
+UNION ALL
+SELECT f.*, 'grid_key' AS missing FROM fact_activity f WHERE grid_key NOT IN (SELECT grid_key FROM dim_grid)
+   OR grid_key IS NULL""", "fact_activity", "dim_time", "dim_grid"))
+def q_orphan_facts(spark, sf_dir):
+    return Wh.orphan_facts(*P.star(spark, sf_dir))
+
+
+@register("warehouse_integrity", sql("""
+SELECT (SELECT count(*) FROM fact_activity) AS fact_rows, (SELECT count(*) FROM dim_time) AS dim_time_rows,
+       (SELECT count(*) FROM dim_grid) AS dim_grid_rows,
+       (SELECT count(*) FROM fact_activity WHERE time_key IS NULL OR grid_key IS NULL) AS orphan_rows,
+       (SELECT count(*) FROM (SELECT timestamp FROM dim_time GROUP BY 1 HAVING count(*) > 1)) AS duplicate_time_keys,
+       (SELECT count(*) FROM (SELECT grid_id FROM dim_grid GROUP BY 1 HAVING count(*) > 1)) AS duplicate_grid_ids,
+       (SELECT count(*) FROM fact_activity WHERE time_key IS NULL OR grid_key IS NULL) = 0 AS passed""",
+    "fact_activity", "dim_time", "dim_grid"))
+def q_warehouse_integrity(spark, sf_dir):
+    return Wh.integrity(*P.star(spark, sf_dir))
+
+
+_TOP = """(SELECT grid_id FROM (SELECT grid_id, CAST(SUM(CAST(total_activity AS DECIMAL(38,4))) AS DOUBLE) AS v
+                              FROM fact GROUP BY grid_id) ORDER BY v DESC, grid_id LIMIT 1)"""
+
+
+@register("reconciliation", sql(f"""
+SELECT (SELECT count(*) FROM fact) AS source_rows, (SELECT count(*) FROM fact_activity) AS warehouse_rows,
+       (SELECT CAST(SUM(CAST(total_activity AS DECIMAL(38,4))) AS DOUBLE) FROM fact) AS source_total,
+       (SELECT CAST(SUM(CAST(total_activity AS DECIMAL(38,4))) AS DOUBLE) FROM fact_activity) AS warehouse_total,
+       {_TOP} AS source_top_grid, {_TOP} AS warehouse_top_grid,
+       (SELECT count(*) FROM fact) = (SELECT count(*) FROM fact_activity) AS passed""",
+    "fact", "fact_activity"))
+def q_reconciliation(spark, sf_dir):
+    return Wh.reconciliation(P.fact(spark, sf_dir), P.star_rows(spark, sf_dir))
+
+
+@register("star_hourly_trend", sql(f"""
+SELECT timestamp, {_dsum('total_activity')}, count(*) AS active_grids FROM fact GROUP BY timestamp""", "fact"))
+def q_star_hourly_trend(spark, sf_dir):
+    s = P.star_rows(spark, sf_dir)
+    return (s.groupBy("timestamp").agg(F.sum(F.col("total_activity").cast("decimal(38,4)")).cast("double")
+                                       .alias("total_activity"), F.count(F.lit(1)).alias("active_grids")))
+
+
+# ---------------------------------------------------------------- serving
+
+@register("network_summary", sql(f"""
+SELECT (SELECT t FROM as_of_t) AS as_of,
+       CAST(SUM(CAST(total_activity AS DECIMAL(38,4))) AS DOUBLE) AS total_activity,
+       count(DISTINCT grid_id) AS active_grids,
+       (SELECT hour FROM (SELECT hour, {_dsum('total_activity', 'v')} FROM fact
+                          WHERE timestamp <= (SELECT t FROM as_of_t) GROUP BY hour) ORDER BY v DESC, hour LIMIT 1)
+         AS peak_hour,
+       (SELECT grid_id FROM (SELECT grid_id, {_dsum('total_activity', 'v')} FROM fact
+                          WHERE timestamp <= (SELECT t FROM as_of_t) GROUP BY grid_id) ORDER BY v DESC, grid_id LIMIT 1)
+         AS top_grid
+FROM fact WHERE timestamp <= (SELECT t FROM as_of_t)""", "fact", "as_of_t"))
+def q_network_summary(spark, sf_dir):
+    return Sv.network_summary(P.star_rows(spark, sf_dir))
+
+
+@register("grid_drilldown", sql("""
+SELECT grid_id, timestamp, sms_in, sms_out, call_in, call_out, internet_activity, total_sms, total_calls,
+       total_activity, internet_share
+FROM fact WHERE timestamp >= (SELECT t FROM as_of_t) - INTERVAL 23 HOUR AND timestamp <= (SELECT t FROM as_of_t)""",
+    "fact", "as_of_t"))
+def q_grid_drilldown(spark, sf_dir):
+    return Sv.grid_activity(P.star_rows(spark, sf_dir))
+
+
+def _items_sql(reasons: dict, bands=(1000.0, 5000.0, 10000.0), limit: int = 10) -> str:
+    m, h, c = bands
+    sev = (f"CASE WHEN total_activity >= {c} THEN 'critical' WHEN total_activity >= {h} THEN 'high' "
+           f"WHEN total_activity >= {m} THEN 'medium' ELSE 'low' END")
+    reason = "CASE severity " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in reasons.items()) + " END"
+    return sql(f"""
+SELECT grid_id, timestamp, total_activity, sms_in + sms_out AS sms_activity, call_in + call_out AS call_activity,
+       internet_activity, CASE WHEN severity <> 'low' THEN 'hotspot' ELSE 'normal' END AS status, severity,
+       {reason} AS reason
+FROM (SELECT *, {sev} AS severity FROM fact WHERE timestamp <= (SELECT t FROM as_of_t)
+      ORDER BY total_activity DESC, grid_id, timestamp LIMIT {limit})""", "fact", "as_of_t")
+
+
+from cellwatch import schema as _S  # noqa: E402
+
+TEST_BANDS = (125.0, 240.0, 350.0)
+
+
+@register("hotspots", _items_sql(_S.HOTSPOT_REASONS))
+def q_hotspots(spark, sf_dir):
+    return Sv.hotspots(P.star_rows(spark, sf_dir))
+
+
+@register("severity_alerts", _items_sql(_S.ALERT_REASONS, TEST_BANDS, 50))
+def q_severity_alerts(spark, sf_dir):
+    return Sv.severity_alerts(P.star_rows(spark, sf_dir), limit=50, bands=TEST_BANDS)
+
+
+@register("point_features", sql("""
+SELECT grid_id, feature_timestamp, round(s / n, 6) AS avg_activity,
+       round(CASE WHEN n >= 2 AND (s - last) / (n - 1) > 0 THEN (last - (s - last) / (n - 1)) / ((s - last) / (n - 1))
+                  ELSE 0.0 END, 6) AS activity_growth,
+       CAST(active_hours AS INTEGER) AS active_hours,
+       round(CASE WHEN s / n > 0 THEN peak / (s / n) ELSE 0.0 END, 6) AS peak_ratio,
+       round(CASE WHEN n > 1 AND s / n > 0 THEN sd / (s / n) ELSE 0.0 END, 6) AS variability,
+       round(CASE WHEN s > 0 THEN si / s ELSE 0.0 END, 6) AS internet_share,
+       CASE WHEN n < 24 THEN 'incomplete' ELSE 'valid' END AS data_quality,
+       CASE WHEN feature_timestamp >= (SELECT t FROM as_of_t) THEN 'fresh'
+            WHEN (SELECT t FROM as_of_t) - feature_timestamp <= INTERVAL 3 HOUR THEN 'stale'
+            ELSE 'very_stale' END AS feature_freshness
+FROM (SELECT grid_id, count(*) AS n, CAST(SUM(CAST(total_activity AS DECIMAL(38,4))) AS DOUBLE) AS s,
+             max(total_activity) AS peak,
+             sum(CASE WHEN total_activity > 0 THEN 1 ELSE 0 END) AS active_hours,
+             CAST(SUM(CAST(internet_activity AS DECIMAL(38,4))) AS DOUBLE) AS si,
+             stddev_pop(total_activity) AS sd, arg_max(total_activity, timestamp) AS last,
+             max(timestamp) AS feature_timestamp
+      FROM fact WHERE timestamp >= (SELECT t FROM as_of_t) - INTERVAL 23 HOUR AND timestamp <= (SELECT t FROM as_of_t)
+      GROUP BY grid_id)""", "fact", "as_of_t"))
+def q_point_features(spark, sf_dir):
+    return Sv.point_features(P.star_rows(spark, sf_dir))

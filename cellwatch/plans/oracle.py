@@ -173,3 +173,21 @@ SELECT f.*, r.centroid_longitude, r.centroid_latitude,
        CASE WHEN r.grid_id IS NOT NULL THEN 'milano-grid.geojson#cellId=' || CAST(f.grid_id AS VARCHAR) END
          AS geometry_reference
 FROM fact f LEFT JOIN ref_centroids r USING (grid_id)""")
+
+
+# ---------------------------------------------------------------- warehouse CTEs
+add_cte("dim_time", ["fact"], """
+SELECT CAST(row_number() OVER (ORDER BY timestamp) AS INTEGER) AS time_key, timestamp,
+       CAST(timestamp AS DATE) AS date, CAST(hour(timestamp) AS INTEGER) AS hour,
+       CAST(isodow(timestamp) AS INTEGER) AS day_of_week
+FROM (SELECT DISTINCT timestamp FROM fact)""")
+add_cte("dim_grid", ["fact", "ref_centroids"], """
+SELECT CAST(row_number() OVER (ORDER BY g.grid_id) AS INTEGER) AS grid_key, g.grid_id,
+       r.vertex_latitude AS centroid_latitude, r.vertex_longitude AS centroid_longitude,
+       'milano-grid.geojson#cellId=' || CAST(g.grid_id AS VARCHAR) AS geometry_reference
+FROM (SELECT DISTINCT grid_id FROM fact) g LEFT JOIN ref_centroids r USING (grid_id)""")
+add_cte("fact_activity", ["fact", "dim_time", "dim_grid"], """
+SELECT t.time_key, g.grid_key, f.sms_in, f.sms_out, f.call_in, f.call_out, f.internet_activity,
+       f.total_sms, f.total_calls, f.total_activity, f.internet_share
+FROM fact f LEFT JOIN dim_time t USING (timestamp) LEFT JOIN dim_grid g USING (grid_id)""")
+add_cte("as_of_t", ["fact"], "SELECT max(timestamp) AS t FROM fact")

@@ -54,3 +54,15 @@ def grid_lookup(spark, sf_dir) -> DataFrame:
     from cellwatch.sources.geojson import grid_lookup as lookup, parse_features
     ids = fact(spark, sf_dir).select("grid_id")
     return lookup(parse_features(X.grid_reference_features(ids)))
+
+
+def star(spark, sf_dir):
+    """(dim_time, dim_grid, fact_activity) of the fact and the grid reference."""
+    from cellwatch.operators.warehouse import star as build
+    return build(fact(spark, sf_dir), grid_lookup(spark, sf_dir))
+
+
+def star_rows(spark, sf_dir) -> DataFrame:
+    """The warehouse read back through its keys: what the serving queries read."""
+    from cellwatch.operators.warehouse import star_view
+    return star_view(*star(spark, sf_dir))
