@@ -568,3 +568,134 @@ FROM (SELECT grid_id, count(*) AS n, CAST(SUM(CAST(total_activity AS DECIMAL(38,
       GROUP BY grid_id)""", "fact", "as_of_t"))
 def q_point_features(spark, sf_dir):
     return Sv.point_features(P.star_rows(spark, sf_dir))
+
+
+# ---------------------------------------------------------------- ML layer
+
+from cellwatch.operators import anomaly as An  # noqa: E402
+from cellwatch.operators import risk as R  # noqa: E402
+
+_FEAT_ROUND = ["avg_activity", "activity_growth", "peak_ratio", "variability", "internet_share"]
+
+
+def _round_cols(df, cols):
+    return df.withColumns({c: round6(F.col(c)) for c in cols})
+
+
+def _round_sql(cols) -> str:
+    return ", ".join(f"round({c}, 6) AS {c}" for c in cols)
+
+
+@register("rolling_features", sql(f"SELECT * REPLACE ({_round_sql(_FEAT_ROUND)}) FROM features", "features"))
+def q_rolling_features(spark, sf_dir):
+    return _round_cols(P.features(spark, sf_dir), _FEAT_ROUND)
+
+
+@register("future_labels", sql(f"SELECT * REPLACE ({_round_sql(_FEAT_ROUND)}) FROM labelled0", "labelled0"))
+def q_future_labels(spark, sf_dir):
+    return _round_cols(R.future_labels(P.features(spark, sf_dir), P.dense_fact(spark, sf_dir)), _FEAT_ROUND)
+
+
+@register("chrono_split", sql("""
+SELECT split, count(*) AS rows, min(feature_timestamp) AS first_timestamp, max(feature_timestamp) AS last_timestamp,
+       count(DISTINCT feature_timestamp) AS timestamps
+FROM split GROUP BY split""", "split"))
+def q_chrono_split(spark, sf_dir):
+    from cellwatch.session import cut_lineage
+    lab = cut_lineage(R.future_labels(P.features(spark, sf_dir), P.dense_fact(spark, sf_dir)))
+    return (R.chrono_split(lab).groupBy("split")
+            .agg(F.count(F.lit(1)).alias("rows"), F.min("feature_timestamp").alias("first_timestamp"),
+                 F.max("feature_timestamp").alias("last_timestamp"),
+                 F.count_distinct("feature_timestamp").alias("timestamps")))
+
+
+@register("risk_labels", sql("""
+SELECT grid_id, feature_timestamp, future_activity, split, round(_threshold, 6) AS _threshold,
+       CAST(future_activity >= _threshold AS INTEGER) AS risk_label
+FROM labelled""", "labelled"))
+def q_risk_labels(spark, sf_dir):
+    return (P.labelled(spark, sf_dir)
+            .select("grid_id", "feature_timestamp", "future_activity", "split",
+                    round6(F.col("_threshold")).alias("_threshold"), "risk_label"))
+
+
+@register("class_balance", sql("""
+SELECT split, CAST(future_activity >= _threshold AS INTEGER) AS risk_label, count(*) AS rows
+FROM labelled GROUP BY 1, 2""", "labelled"))
+def q_class_balance(spark, sf_dir):
+    return R.class_balance(P.labelled(spark, sf_dir))
+
+
+@register("agreement_matrix", sql("""
+SELECT count(*) AS rows, CAST(sum(CASE WHEN m = a THEN 1 ELSE 0 END) AS BIGINT) AS agreement,
+       round(avg(CASE WHEN m = a THEN 1.0 ELSE 0.0 END), 6) AS agreement_rate,
+       CAST(sum(CASE WHEN m = 1 AND a = 1 THEN 1 ELSE 0 END) AS BIGINT) AS both_alert,
+       CAST(sum(CASE WHEN m = 0 AND a = 0 THEN 1 ELSE 0 END) AS BIGINT) AS both_no_alert,
+       CAST(sum(CASE WHEN m = 1 AND a = 0 THEN 1 ELSE 0 END) AS BIGINT) AS model_only,
+       CAST(sum(CASE WHEN m = 0 AND a = 1 THEN 1 ELSE 0 END) AS BIGINT) AS rules_only
+FROM (SELECT CAST(l.future_activity >= l._threshold AS INTEGER) AS m,
+             CASE WHEN EXISTS (SELECT 1 FROM alerts x WHERE x.grid_id = l.grid_id
+                               AND x.timestamp = l.feature_timestamp) THEN 1 ELSE 0 END AS a
+      FROM labelled l)""", "labelled", "alerts"))
+def q_agreement_matrix(spark, sf_dir):
+    """The label rule stands in for the model flag so that the matrix has an exact oracle."""
+    return R.agreement_matrix(P.labelled(spark, sf_dir), P.alerts(spark, sf_dir), prediction_col="risk_label")
+
+
+_SCORE_ROUND = ["hour_of_day_baseline", "deviation", "anomaly_score"]
+
+
+@register("anomaly_scores", sql(f"""
+SELECT grid_id, timestamp, hour, total_activity, {_round_sql(_SCORE_ROUND)}, direction,
+       CAST(direction <> 'NORMAL' AS INTEGER) AS anomaly_flag,
+       CASE direction
+         WHEN 'HIGH' THEN 'Current activity is ' || printf('%.2f', anomaly_score)
+                          || '% above the historical hour-of-day baseline'
+         WHEN 'LOW' THEN 'Current activity is ' || printf('%.2f', abs(anomaly_score))
+                         || '% below the historical hour-of-day baseline'
+         ELSE 'Activity is within the historical hour-of-day baseline range' END AS reason
+FROM scored""", "scored"))
+def q_anomaly_scores(spark, sf_dir):
+    return _round_cols(P.anomalies(spark, sf_dir), _SCORE_ROUND)
+
+
+@register("hour_bucket_sizes", sql("""
+SELECT min(n) AS min_observations, max(n) AS max_observations,
+       CAST(sum(CASE WHEN n > 1 THEN 1 ELSE 0 END) AS BIGINT) AS multi_day_buckets
+FROM (SELECT grid_id, hour, count(*) AS n FROM hod_src GROUP BY grid_id, hour)""", "hod_src"))
+def q_hour_bucket_sizes(spark, sf_dir):
+    return An.bucket_sizes(P.dense_fact(spark, sf_dir))
+
+
+@register("extreme_cases", sql("""
+(SELECT grid_id, timestamp, total_activity, round(hour_of_day_baseline, 6) AS hour_of_day_baseline,
+        round(anomaly_score, 6) AS anomaly_score, 'HIGH' AS direction
+ FROM scored WHERE direction = 'HIGH' ORDER BY anomaly_score DESC, grid_id, timestamp LIMIT 2)
+UNION ALL
+(SELECT grid_id, timestamp, total_activity, round(hour_of_day_baseline, 6), round(anomaly_score, 6), 'LOW'
+ FROM scored WHERE direction = 'LOW' ORDER BY anomaly_score, grid_id, timestamp LIMIT 2)""", "scored"))
+def q_extreme_cases(spark, sf_dir):
+    e = An.extreme_cases(P.anomalies(spark, sf_dir))
+    return _round_cols(e, ["hour_of_day_baseline", "anomaly_score"]).drop("reason")
+
+
+@register("three_way_comparison", sql("""
+SELECT grid_id, timestamp, anomaly_alert, np3_alert, ml3_flag,
+       anomaly_alert = np3_alert AND anomaly_alert = ml3_flag AS all_agree,
+       CASE WHEN anomaly_alert = 1 AND np3_alert = 0 AND ml3_flag = 0 THEN 'ANOMALY_ONLY'
+            WHEN anomaly_alert = 0 AND np3_alert = 1 AND ml3_flag = 0 THEN 'NP3_ONLY'
+            WHEN anomaly_alert = 0 AND np3_alert = 0 AND ml3_flag = 1 THEN 'ML3_ONLY'
+            WHEN anomaly_alert = 1 AND np3_alert = 1 AND ml3_flag = 0 THEN 'ANOMALY_NP3_ONLY'
+            WHEN anomaly_alert = 1 AND np3_alert = 0 AND ml3_flag = 1 THEN 'ANOMALY_ML3_ONLY'
+            WHEN anomaly_alert = 0 AND np3_alert = 1 AND ml3_flag = 1 THEN 'NP3_ML3_ONLY'
+            ELSE 'ALL_AGREE' END AS disagreement_type
+FROM (SELECT s.grid_id, s.timestamp, CAST(s.direction <> 'NORMAL' AS INTEGER) AS anomaly_alert,
+             CASE WHEN EXISTS (SELECT 1 FROM alerts x WHERE x.grid_id = s.grid_id AND x.timestamp = s.timestamp)
+                  THEN 1 ELSE 0 END AS np3_alert,
+             coalesce((SELECT max(CAST(l.future_activity >= l._threshold AS INTEGER)) FROM labelled l
+                       WHERE l.grid_id = s.grid_id AND l.feature_timestamp = s.timestamp), 0) AS ml3_flag
+      FROM scored s)""", "scored", "alerts", "labelled"))
+def q_three_way_comparison(spark, sf_dir):
+    """The label rule stands in for the model flag so that the comparison has an exact oracle."""
+    return An.three_way(P.anomalies(spark, sf_dir), P.alerts(spark, sf_dir), P.labelled(spark, sf_dir),
+                        prediction_col="risk_label")

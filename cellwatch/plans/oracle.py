@@ -191,3 +191,57 @@ SELECT t.time_key, g.grid_key, f.sms_in, f.sms_out, f.call_in, f.call_out, f.int
        f.total_sms, f.total_calls, f.total_activity, f.internet_share
 FROM fact f LEFT JOIN dim_time t USING (timestamp) LEFT JOIN dim_grid g USING (grid_id)""")
 add_cte("as_of_t", ["fact"], "SELECT max(timestamp) AS t FROM fact")
+
+
+# ---------------------------------------------------------------- ML CTEs
+_W24 = "(PARTITION BY grid_id ORDER BY feature_timestamp RANGE BETWEEN INTERVAL 24 HOUR PRECEDING AND CURRENT ROW)"
+_W48 = "(PARTITION BY grid_id ORDER BY feature_timestamp RANGE BETWEEN INTERVAL 48 HOUR PRECEDING AND CURRENT ROW)"
+add_cte("feat_src", ["dense"], """
+SELECT grid_id, timestamp AS feature_timestamp, total_activity AS a, internet_activity AS i,
+       lag(total_activity, 24) OVER (PARTITION BY grid_id ORDER BY timestamp) AS shift
+FROM dense""")
+add_cte("features", ["feat_src"], f"""
+SELECT grid_id, feature_timestamp, avg_a AS avg_activity,
+       CASE WHEN base = 0 THEN 0.0 ELSE (avg_a - base) / base END AS activity_growth,
+       CAST(active AS BIGINT) AS active_hours,
+       CASE WHEN avg_a <> 0 THEN peak / avg_a ELSE 0.0 END AS peak_ratio,
+       coalesce(sd, 0.0) AS variability,
+       CASE WHEN asum <> 0 THEN isum / asum ELSE 0.0 END AS internet_share
+FROM (SELECT grid_id, feature_timestamp,
+             avg(a) OVER {_W24} AS avg_a, max(a) OVER {_W24} AS peak, stddev_samp(a) OVER {_W24} AS sd,
+             sum(CASE WHEN a > 0 THEN 1 ELSE 0 END) OVER {_W24} AS active,
+             sum(i) OVER {_W24} AS isum, sum(a) OVER {_W24} AS asum,
+             avg(shift) OVER {_W24} AS base, count(a) OVER {_W48} AS hist
+      FROM feat_src)
+WHERE hist >= 48""")
+add_cte("labelled0", ["features", "dense"], """
+SELECT f.*, d.total_activity AS future_activity
+FROM features f JOIN dense d ON d.grid_id = f.grid_id AND d.timestamp - INTERVAL 1 HOUR = f.feature_timestamp""")
+add_cte("split_ts", ["labelled0"], """
+SELECT t FROM (SELECT t, row_number() OVER (ORDER BY t) - 1 AS i, count(*) OVER () AS n
+               FROM (SELECT DISTINCT feature_timestamp AS t FROM labelled0))
+WHERE i = least(greatest(1, CAST(floor(n * 0.8) AS BIGINT)), n - 1) AND n >= 2""")
+add_cte("split", ["labelled0", "split_ts"], """
+SELECT l.*, CASE WHEN feature_timestamp < (SELECT t FROM split_ts) THEN 'train' ELSE 'test' END AS split
+FROM labelled0 l""")
+add_cte("labelled", ["split"], """
+SELECT s.*, coalesce(g.thr, (SELECT quantile_cont(future_activity, 0.9) FROM split WHERE split = 'train'))
+         AS _threshold
+FROM split s LEFT JOIN (SELECT grid_id, quantile_cont(future_activity, 0.9) AS thr FROM split
+                        WHERE split = 'train' GROUP BY grid_id) g USING (grid_id)""")
+add_cte("hod_src", ["dense"], """
+SELECT grid_id, timestamp, CAST(hour(timestamp) AS INTEGER) AS hour, total_activity FROM dense""")
+# Median written out as the mean of the two middle order statistics (Spark's exact form).
+add_cte("hod_median", ["hod_src"], """
+SELECT grid_id, hour, (list_sort(v)[(len(v) + 1) // 2] + list_sort(v)[len(v) // 2 + 1]) / 2 AS hour_of_day_baseline
+FROM (SELECT grid_id, hour, list(total_activity) AS v FROM hod_src GROUP BY grid_id, hour)""")
+add_cte("scores", ["hod_src", "hod_median"], """
+SELECT grid_id, timestamp, hour, total_activity, hour_of_day_baseline,
+       total_activity - hour_of_day_baseline AS deviation,
+       CASE WHEN abs(hour_of_day_baseline) > 0
+            THEN (total_activity - hour_of_day_baseline) / abs(hour_of_day_baseline) * 100.0 END AS anomaly_score
+FROM hod_src JOIN hod_median USING (grid_id, hour)""")
+add_cte("scored", ["scores"], """
+SELECT *, CASE WHEN anomaly_score >= 50 THEN 'HIGH' WHEN anomaly_score <= -50 THEN 'LOW' ELSE 'NORMAL' END
+            AS direction
+FROM scores""")

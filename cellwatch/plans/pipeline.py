@@ -66,3 +66,35 @@ def star_rows(spark, sf_dir) -> DataFrame:
     """The warehouse read back through its keys: what the serving queries read."""
     from cellwatch.operators.warehouse import star_view
     return star_view(*star(spark, sf_dir))
+
+
+def features(spark, sf_dir) -> DataFrame:
+    from cellwatch.operators.features import rolling_features
+    return rolling_features(dense_fact(spark, sf_dir))
+
+
+def labelled(spark, sf_dir) -> DataFrame:
+    """Features + future activity + split + training thresholds + risk label."""
+    from cellwatch.operators import risk as R
+    from cellwatch.session import cut_lineage
+    # The feature table is materialized once (reliable checkpoint in the shared folder):
+    # the split and the thresholds each run small jobs over it.
+    lab = cut_lineage(R.future_labels(features(spark, sf_dir), dense_fact(spark, sf_dir)))
+    return R.risk_labels(R.chrono_split(lab))
+
+
+def alerts(spark, sf_dir) -> DataFrame:
+    from cellwatch.operators.alerts import rule_alerts
+    return rule_alerts(dense_fact(spark, sf_dir))
+
+
+def anomalies(spark, sf_dir) -> DataFrame:
+    from cellwatch.operators.anomaly import anomaly_scores
+    return anomaly_scores(dense_fact(spark, sf_dir))
+
+
+def model(spark, sf_dir):
+    from pyspark.sql import functions as F
+
+    from cellwatch.operators import risk as R
+    return R.train(labelled(spark, sf_dir).where(F.col("split") == "train"))

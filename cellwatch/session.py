@@ -26,6 +26,8 @@ def build_session(master: str | None = None, app: str = "cellwatch",
                .config("spark.ui.showConsoleProgress", "false"))
     if master:
         builder = builder.master(master)
+    if master and master.startswith("local"):
+        builder = builder.config("spark.driver.memory", os.environ.get("CELLWATCH_DRIVER_MEMORY", "8g"))
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for k, v in {**DEFAULTS, **(extra or {})}.items():
