@@ -52,7 +52,7 @@ def q_clean_activity(spark, sf_dir):
 
 
 @register("rejected_activity", sql("""
-SELECT event_id, timestamp, grid_id, country_code, sms_in, sms_out, call_in, call_out,
+SELECT event_id, source_file, timestamp, grid_id, country_code, sms_in, sms_out, call_in, call_out,
        internet_activity, reject_reason
 FROM dirty_tagged WHERE reject_reason IS NOT NULL""", "dirty_tagged"))
 def q_rejected_activity(spark, sf_dir):
@@ -699,3 +699,114 @@ def q_three_way_comparison(spark, sf_dir):
     """The label rule stands in for the model flag so that the comparison has an exact oracle."""
     return An.three_way(P.anomalies(spark, sf_dir), P.alerts(spark, sf_dir), P.labelled(spark, sf_dir),
                         prediction_col="risk_label")
+
+
+# ---------------------------------------------------------------- run health and metrics
+
+from cellwatch.operators import clean as Cl  # noqa: E402
+from cellwatch.operators import health as He  # noqa: E402
+
+add_health = """
+SELECT 'RUN-' || regexp_extract(source_file, '(\\d{4}-\\d{2}-\\d{2})', 1) || '-001' AS run_id,
+       'telecom_network_pipeline' AS pipeline_name, start_time, end_time,
+       CASE WHEN rejected_rows <= input_rows * 0.02 THEN 'SUCCESS' ELSE 'FAILED' END AS status,
+       source_file AS input_file, input_rows, rejected_rows, output_rows,
+       CASE WHEN rejected_rows <= input_rows * 0.02 THEN 'PASS' ELSE 'FAIL' END AS validation_status,
+       CASE WHEN rejected_rows <= input_rows * 0.02 THEN NULL ELSE 'rejected rows above 2% of input' END
+         AS error_message,
+       CAST(NULL AS DOUBLE) AS duration_seconds
+FROM (SELECT source_file, count(*) AS input_rows,
+             CAST(sum(CASE WHEN reject_reason IS NOT NULL THEN 1 ELSE 0 END) AS BIGINT) AS rejected_rows,
+             count(DISTINCT CASE WHEN reject_reason IS NULL THEN (date_trunc('hour', timestamp), grid_id) END)
+               AS output_rows,
+             min(timestamp) AS start_time, max(timestamp) AS end_time
+      FROM dirty_tagged GROUP BY source_file)"""
+from cellwatch.plans.oracle import add_cte as _add_cte  # noqa: E402
+
+_add_cte("health", ["dirty_tagged"], add_health)
+
+
+def _health(spark, sf_dir):
+    return He.file_runs(Cl.tag_rows(P.dirty_activity(spark, sf_dir)))
+
+
+@register("pipeline_health", sql("SELECT * FROM health", "health"))
+def q_pipeline_health(spark, sf_dir):
+    return _health(spark, sf_dir)
+
+
+@register("pipeline_health_latest", sql("""
+SELECT pipeline_name, status, arg_max(run_id, (end_time, run_id)) AS run_id, max(end_time) AS end_time,
+       arg_max(input_file, (end_time, run_id)) AS input_file, arg_max(input_rows, (end_time, run_id)) AS input_rows,
+       arg_max(rejected_rows, (end_time, run_id)) AS rejected_rows,
+       arg_max(output_rows, (end_time, run_id)) AS output_rows,
+       arg_max(validation_status, (end_time, run_id)) AS validation_status
+FROM health GROUP BY pipeline_name, status""", "health"))
+def q_pipeline_health_latest(spark, sf_dir):
+    return He.latest_runs(_health(spark, sf_dir))
+
+
+@register("cleaning_metrics", sql("""
+SELECT 'sf-run' AS run_id, 'clean' AS stage, name, value FROM (
+  SELECT 'input_rows' AS name, CAST(count(*) AS DOUBLE) AS value FROM dirty_tagged
+  UNION ALL SELECT 'clean_rows', CAST(sum(CASE WHEN reject_reason IS NULL THEN 1 ELSE 0 END) AS DOUBLE) FROM dirty_tagged
+  UNION ALL SELECT 'rejected_rows', CAST(sum(CASE WHEN reject_reason IS NOT NULL THEN 1 ELSE 0 END) AS DOUBLE)
+            FROM dirty_tagged)""", "dirty_tagged"))
+def q_cleaning_metrics(spark, sf_dir):
+    counts = P.clean_split(spark, sf_dir)[2].select("input_rows", "clean_rows", "rejected_rows")
+    return He.stage_metrics("sf-run", "clean", counts)
+
+
+@register("file_traceability", sql("""
+SELECT 'file_traceability' AS "check",
+       sum(CASE WHEN source_file IS NULL OR source_file = '' THEN 1 ELSE 0 END) = 0 AS passed,
+       CAST(CAST(sum(CASE WHEN source_file IS NULL OR source_file = '' THEN 1 ELSE 0 END) AS BIGINT) AS VARCHAR)
+         AS observed, '0' AS expected
+FROM activity_dirty""", "activity_dirty"))
+def q_file_traceability(spark, sf_dir):
+    return Q.file_traceability(P.dirty_activity(spark, sf_dir))
+
+
+# ---------------------------------------------------------------- model (M4-M10, K6): rows-only checks
+
+def _scored(spark, sf_dir):
+    lab = P.labelled(spark, sf_dir)
+    model = R.train(lab.where(F.col("split") == "train"))
+    return lab, model
+
+
+@register("risk_scores")
+def q_risk_scores(spark, sf_dir):
+    lab, model = _scored(spark, sf_dir)
+    return R.score(lab.where(F.col("split") == "test").select("grid_id", "feature_timestamp", *_S.FEATURE_COLUMNS),
+                   model)
+
+
+@register("top_risk_report")
+def q_top_risk_report(spark, sf_dir):
+    lab, model = _scored(spark, sf_dir)
+    return R.top_risk(R.score(lab.select("grid_id", "feature_timestamp", *_S.FEATURE_COLUMNS), model))
+
+
+@register("model_coefficients")
+def q_model_coefficients(spark, sf_dir):
+    _, model = _scored(spark, sf_dir)
+    return R.coefficients(spark, model)
+
+
+@register("model_evaluation")
+def q_model_evaluation(spark, sf_dir):
+    lab, model = _scored(spark, sf_dir)
+    return R.evaluate(R.predict(model, lab))
+
+
+@register("model_agreement")
+def q_model_agreement(spark, sf_dir):
+    lab, model = _scored(spark, sf_dir)
+    return R.agreement_matrix(R.predict(model, lab.where(F.col("split") == "test")), P.alerts(spark, sf_dir))
+
+
+@register("latest_risk")
+def q_latest_risk(spark, sf_dir):
+    lab, model = _scored(spark, sf_dir)
+    return R.latest_risk(P.features(spark, sf_dir), model)

@@ -47,7 +47,7 @@ SELECT CAST(date_trunc('hour', ts) AS TIMESTAMP) AS timestamp,
        CAST(SUM(CASE WHEN event_type = 'purchase' THEN CAST(value AS DECIMAL(38,4)) END) AS DOUBLE) AS internet_activity
 FROM events GROUP BY 1, 2, 3"""),
     "activity_dirty": ([], """
-SELECT event_id,
+SELECT event_id, 'sms-call-internet-mi-' || strftime(ts, '%Y-%m-%d') || '.csv' AS source_file,
        CASE WHEN event_id % 103 = 0 THEN 'not-a-time' ELSE strftime(ts, '%Y-%m-%d %H:%M:%S') END AS datetime,
        CASE WHEN event_id % 101 = 0 THEN NULL ELSE CAST(CAST(user_id // 15 + 1 AS INTEGER) AS VARCHAR) END AS CellID,
        CAST(event_id % 7 AS VARCHAR) AS countrycode,
@@ -60,7 +60,7 @@ SELECT event_id,
        CASE WHEN event_type = 'purchase' THEN CAST(value AS VARCHAR) END AS internet
 FROM events"""),
     "dirty_typed": (["activity_dirty"], """
-SELECT event_id,
+SELECT event_id, source_file,
        try_strptime(nullif(trim(datetime), ''), '%Y-%m-%d %H:%M:%S') AS timestamp,
        TRY_CAST(nullif(trim(CellID), '') AS INTEGER) AS grid_id,
        TRY_CAST(nullif(trim(countrycode), '') AS INTEGER) AS country_code,

@@ -50,7 +50,8 @@ def activity_dirty(events: DataFrame) -> DataFrame:
     """Text raw activity, one row per event, with injected junk for the quarantine path.
 
     event_id % 103 = 0: unparseable datetime; % 101 = 0: missing CellID; click rows with
-    % 97 = 0: a negative value, else % 89 = 0: a blank value.
+    % 97 = 0: a negative value, else % 89 = 0: a blank value. ``source_file`` names the daily
+    file the row belongs to (the event's date), as ``_metadata.file_path`` would for real files.
     """
     eid = F.col("event_id")
     is_click = F.col("event_type") == "click"
@@ -60,6 +61,7 @@ def activity_dirty(events: DataFrame) -> DataFrame:
                   .otherwise(value_text))
     cols = [
         F.col("event_id"),
+        F.concat(F.lit("sms-call-internet-mi-"), F.date_format("ts", "yyyy-MM-dd"), F.lit(".csv")).alias("source_file"),
         F.when(eid % 103 == 0, F.lit("not-a-time"))
          .otherwise(F.date_format("ts", "yyyy-MM-dd HH:mm:ss")).alias("datetime"),
         F.when(eid % 101 == 0, F.lit(None).cast("string"))
