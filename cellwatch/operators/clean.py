@@ -36,20 +36,26 @@ def parse_timestamp(col, fmt: str = RAW_TIME_FORMAT):
 
 
 def typed_columns(df: DataFrame) -> DataFrame:
-    """Canonical columns with their types; blank text is NULL, junk is NULL."""
-    def text(c):
-        return F.nullif(F.trim(F.col(c).cast("string")), F.lit(""))
-
-    ts_type = dict(df.dtypes).get("timestamp")
-    ts = (F.col("timestamp").cast("timestamp_ntz") if ts_type in ("timestamp", "timestamp_ntz")
-          else F.try_to_timestamp(text("timestamp"), F.lit(RAW_TIME_FORMAT)).cast("timestamp_ntz"))
-    cols = {
-        "timestamp": ts,
-        "grid_id": text("grid_id").try_cast("int"),
-        "country_code": text("country_code").try_cast("int"),
-    }
+    """Canonical columns with their types; blank text is NULL, junk is NULL.
+
+    Only text columns go through trim / blank / try_cast; columns that already carry a
+    numeric or timestamp type keep a plain (no-op or widening) cast.
+    """
+    types = dict(df.dtypes)
+
+    def parsed(c: str, target: str):
+        if types.get(c) == "string":
+            return F.nullif(F.trim(F.col(c)), F.lit("")).try_cast(target)
+        return F.col(c).try_cast(target)
+
+    if types.get("timestamp") == "string":
+        ts = F.try_to_timestamp(F.nullif(F.trim(F.col("timestamp")), F.lit("")),
+                                F.lit(RAW_TIME_FORMAT)).cast("timestamp_ntz")
+    else:
+        ts = F.col("timestamp").cast("timestamp_ntz")
+    cols = {"timestamp": ts, "grid_id": parsed("grid_id", "int"), "country_code": parsed("country_code", "int")}
     for m in S.MEASURES:
-        cols[m] = text(m).try_cast("double")
+        cols[m] = parsed(m, "double")
     return df.withColumns(cols)
 
 

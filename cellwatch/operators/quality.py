@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cellwatch import schema as S
-from cellwatch.functions.columns import epoch_seconds, exact_sum
+from cellwatch.functions.columns import epoch_seconds, exact_sum, exact_total
 from cellwatch.operators.facts import day_bounds
 
 FINDINGS_DDL = "check string, passed boolean, observed string, expected string"
@@ -122,8 +122,8 @@ def grain_preserved(raw: DataFrame, key=("timestamp", "grid_id", "country_code")
 def sum_preserved(before: DataFrame, after: DataFrame, col: str = "total_activity",
                   rel: float = 1e-9, abs_tol: float = 1e-6) -> DataFrame:
     """G11 / invariant: the total is the same before and after a roll-up (Q22 tolerance)."""
-    b = before.agg(exact_sum(col)).scalar()
-    return after.agg(exact_sum(col).alias("a")).select(
+    b = before.agg(exact_total(col)).scalar()
+    return after.agg(exact_total(col).alias("a")).select(
         *_finding("sum_preserved", F.abs(F.col("a") - b) <= F.greatest(F.abs(b) * rel, F.lit(abs_tol)),
                   F.col("a"), b))
 

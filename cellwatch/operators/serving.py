@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cellwatch import schema as S
-from cellwatch.functions.columns import exact_sum, guarded_ratio, severity_band
+from cellwatch.functions.columns import exact_sum, exact_total, guarded_ratio, severity_band
 from cellwatch.operators.windows import trailing_rows
 
 
@@ -47,7 +47,7 @@ def network_summary(rows: DataFrame, as_of: datetime | None = None) -> DataFrame
     by_grid = cur.groupBy("grid_id").agg(exact_sum("total_activity").alias("v"))
     top = by_grid.agg(F.max(F.struct(F.col("v"), (-F.col("grid_id")).alias("k"))).alias("b")) \
                  .select((-F.col("b.k")).cast("int")).scalar()
-    return cur.agg(exact_sum("total_activity").alias("total_activity"),
+    return cur.agg(exact_total("total_activity").alias("total_activity"),
                    F.count_distinct("grid_id").alias("active_grids")) \
               .select(t.alias("as_of"), "total_activity", "active_grids",
                       peak.alias("peak_hour"), top.alias("top_grid"))

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cellwatch.functions.columns import exact_sum
+from cellwatch.functions.columns import exact_sum, exact_total
 from cellwatch.operators.geo import (bounded_broadcast, geometry_reference, reference_bound, reference_lookup,
                                      vertex_centroid)
 from cellwatch.operators.windows import surrogate_key
@@ -96,9 +96,9 @@ def reconciliation(source: DataFrame, star_rows: DataFrame, rel: float = 1e-9, a
                 .agg(F.max(F.struct(F.col("v"), (-F.col("grid_id")).alias("k"))).alias("b")))
         return best.select((-F.col("b.k")).cast("int")).scalar()
 
-    s_rows, s_total = source.agg(F.count(F.lit(1))).scalar(), source.agg(exact_sum("total_activity")).scalar()
+    s_rows, s_total = source.agg(F.count(F.lit(1))).scalar(), source.agg(exact_total("total_activity")).scalar()
     out = star_rows.agg(F.count(F.lit(1)).alias("warehouse_rows"),
-                        exact_sum("total_activity").alias("warehouse_total"))
+                        exact_total("total_activity").alias("warehouse_total"))
     out = out.select(s_rows.alias("source_rows"), "warehouse_rows", s_total.alias("source_total"),
                      "warehouse_total", top(source).alias("source_top_grid"),
                      top(star_rows).alias("warehouse_top_grid"))
