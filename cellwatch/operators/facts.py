@@ -29,10 +29,11 @@ def finish_fact(summed: DataFrame) -> DataFrame:
 
 
 def day_bounds(fact: DataFrame, ts: str = "timestamp"):
-    """(first day 00:00, last day 23:00) as scalar-subquery columns (evaluated once)."""
-    b = fact.select(F.date_trunc("day", F.min(ts)).cast("timestamp_ntz").alias("lo"),
-                    (F.date_trunc("day", F.max(ts)) + F.expr("INTERVAL 23 HOURS")).cast("timestamp_ntz").alias("hi"))
-    return b.select("lo").scalar(), b.select("hi").scalar()
+    """(first day 00:00, last day 23:00) as fields of ONE scalar subquery (evaluated once)."""
+    b = fact.select(F.struct(
+        F.date_trunc("day", F.min(ts)).cast("timestamp_ntz").alias("lo"),
+        (F.date_trunc("day", F.max(ts)) + F.expr("INTERVAL 23 HOURS")).cast("timestamp_ntz").alias("hi"))).scalar()
+    return b["lo"], b["hi"]
 
 
 def densify_hours(fact: DataFrame) -> DataFrame:

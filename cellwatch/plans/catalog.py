@@ -235,7 +235,7 @@ SELECT s.grid_id, s.timestamp FROM skeleton s
 WHERE NOT EXISTS (SELECT 1 FROM fact f WHERE f.grid_id = s.grid_id AND f.timestamp = s.timestamp)""",
     "skeleton", "fact"))
 def q_missing_grid_hours(spark, sf_dir):
-    return Q.missing_grid_hours(P.fact(spark, sf_dir))
+    return Q.missing_grid_hours(P.fact_table(spark, sf_dir))
 
 
 @register("cadence_check", sql("""
@@ -340,14 +340,11 @@ SELECT grid_id, 'Polygon' AS geometry_type, 5 AS ring_points,
        'milano-grid.geojson#cellId=' || CAST(grid_id AS VARCHAR) AS geometry_reference
 FROM ref""", "ref"))
 def q_geo_lookup(spark, sf_dir):
-    from cellwatch.sources.geojson import parse_features
-    ids = P.fact(spark, sf_dir).select("grid_id")
-    from cellwatch.sources.fixtures import grid_reference_features
-    f = parse_features(grid_reference_features(ids)).where(F.col("grid_id").isNotNull())
     poly = F.from_json(F.col("geometry"), Geo.POLYGON_DDL)
-    return f.select("grid_id", "geometry_type",
-                    F.size(F.get(poly["coordinates"], 0)).alias("ring_points"),
-                    Geo.geometry_reference(F.col("grid_id")).alias("geometry_reference"))
+    return P.grid_lookup(spark, sf_dir).select(
+        "grid_id", F.get_json_object(F.col("geometry"), "$.type").alias("geometry_type"),
+        F.size(F.get(poly["coordinates"], 0)).alias("ring_points"),
+        Geo.geometry_reference(F.col("grid_id")).alias("geometry_reference"))
 
 
 @register("centroid_area", sql("""
@@ -400,7 +397,7 @@ SELECT count(*) AS enriched_rows, count(DISTINCT grid_id) AS enriched_grids,
              = (SELECT count(DISTINCT grid_id) FROM fact) AS passed
 FROM enriched""", "enriched", "fact"))
 def q_enrichment_coverage(spark, sf_dir):
-    fact = P.fact(spark, sf_dir)
+    fact = P.fact_table(spark, sf_dir)
     return Geo.enrichment_coverage(fact, Geo.geo_enrich(fact, P.grid_lookup(spark, sf_dir)))
 
 
@@ -481,7 +478,7 @@ SELECT (SELECT count(*) FROM fact) AS source_rows, (SELECT count(*) FROM fact_ac
        (SELECT count(*) FROM fact) = (SELECT count(*) FROM fact_activity) AS passed""",
     "fact", "fact_activity"))
 def q_reconciliation(spark, sf_dir):
-    return Wh.reconciliation(P.fact(spark, sf_dir), P.star_rows(spark, sf_dir))
+    return Wh.reconciliation(P.fact_table(spark, sf_dir), P.star_rows(spark, sf_dir))
 
 
 @register("star_hourly_trend", sql(f"""

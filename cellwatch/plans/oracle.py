@@ -158,12 +158,11 @@ WHERE (date, grid_id) IN (SELECT date, grid_id FROM eligible)""")
 
 
 # ---------------------------------------------------------------- geo CTEs (lattice rule of the fixture)
-add_cte("ref", ["fact"], """
+add_cte("ref", [], """
 SELECT grid_id, x0, y0, round(x0 + 0.003, 6) AS x1, round(y0 + 0.002, 6) AS y1
 FROM (SELECT grid_id, round(9.01 + 0.003 * ((grid_id - 1) % 100), 6) AS x0,
              round(45.35 + 0.002 * ((grid_id - 1) // 100), 6) AS y0
-      FROM (SELECT DISTINCT grid_id FROM fact)
-      WHERE grid_id < (SELECT max(grid_id) FROM fact))""")
+      FROM (SELECT CAST(unnest(generate_series(1, max(user_id) // 15)) AS INTEGER) AS grid_id FROM events))""")
 add_cte("ref_centroids", ["ref"], """
 SELECT grid_id, (x0 + x1) / 2 AS centroid_longitude, (y0 + y1) / 2 AS centroid_latitude,
        (3 * x0 + 2 * x1) / 5 AS vertex_longitude, (3 * y0 + 2 * y1) / 5 AS vertex_latitude

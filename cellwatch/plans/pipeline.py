@@ -45,21 +45,30 @@ def fact(spark, sf_dir) -> DataFrame:
     return Fa.hourly_grid_summary(clean_activity(spark, sf_dir))
 
 
+def fact_table(spark, sf_dir) -> DataFrame:
+    """The fact materialized once (reliable checkpoint in the shared folder) for plans that
+    read it several times: the production pipeline writes this table and serves from it."""
+    from cellwatch.session import cut_lineage
+    return cut_lineage(fact(spark, sf_dir))
+
+
 def dense_fact(spark, sf_dir) -> DataFrame:
-    return Fa.densify_hours(fact(spark, sf_dir))
+    """The densified fact, materialized once: alerts, features and anomalies all read it."""
+    from cellwatch.session import cut_lineage
+    return cut_lineage(Fa.densify_hours(fact_table(spark, sf_dir)))
 
 
 def grid_lookup(spark, sf_dir) -> DataFrame:
     """Grid reference for the grids of the data, as GeoJSON feature lines parsed by Spark."""
     from cellwatch.sources.geojson import grid_lookup as lookup, parse_features
-    ids = fact(spark, sf_dir).select("grid_id")
+    ids = X.grid_id_range(events(spark, sf_dir))
     return lookup(parse_features(X.grid_reference_features(ids)))
 
 
 def star(spark, sf_dir):
     """(dim_time, dim_grid, fact_activity) of the fact and the grid reference."""
     from cellwatch.operators.warehouse import star as build
-    return build(fact(spark, sf_dir), grid_lookup(spark, sf_dir))
+    return build(fact_table(spark, sf_dir), grid_lookup(spark, sf_dir))
 
 
 def star_rows(spark, sf_dir) -> DataFrame:

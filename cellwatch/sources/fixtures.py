@@ -88,17 +88,24 @@ def activity_from_lineitem(lineitem: DataFrame) -> DataFrame:
     )
 
 
-def grid_reference_features(grid_ids: DataFrame, drop_largest: bool = True) -> DataFrame:
-    """GeoJSON feature lines (one JSON object per grid) for the grids seen in the data.
+def grid_id_range(events: DataFrame, drop_largest: bool = True) -> DataFrame:
+    """Grid ids 1..g_max of the events (one aggregate over one column, then a generator).
+
+    With ``drop_largest`` the last id is left out, so the unmatched-grid path is exercised.
+    Bounded by the id domain (at most 10,000 cells for the city grid).
+    """
+    top = (F.floor(F.max("user_id") / F.lit(USERS_PER_GRID)).cast("int") + F.lit(0 if drop_largest else 1))
+    return events.agg(top.alias("n")).select(F.explode(F.sequence(F.lit(1), F.col("n"))).alias("grid_id"))
+
+
+def grid_reference_features(grid_ids: DataFrame) -> DataFrame:
+    """GeoJSON feature lines (one JSON object per grid) for the given grid ids.
 
     Square cells on a 100 x 100 lattice: corner (9.01 + 0.003*col, 45.35 + 0.002*row) with
-    sides 0.003 x 0.002, closed ring of five points. The largest observed id is left out so
-    that the unmatched-grid path is exercised. Output column ``value`` holds the JSON text,
-    exactly what ``spark.read.text`` gives for a newline-delimited feature file.
+    sides 0.003 x 0.002, closed ring of five points. Output column ``value`` holds the JSON
+    text, exactly what ``spark.read.text`` gives for a newline-delimited feature file.
     """
-    ids = grid_ids.select(F.col("grid_id").cast("int").alias("g")).where(F.col("g").isNotNull()).distinct()
-    if drop_largest:
-        ids = ids.where(F.col("g") < grid_ids.select(F.max("grid_id")).scalar())
+    ids = grid_ids.select(F.col("grid_id").cast("int").alias("g")).where(F.col("g").isNotNull())
     row = F.floor((F.col("g") - 1) / 100)
     col = (F.col("g") - 1) % 100
     x0 = F.round(F.lit(9.01) + F.lit(0.003) * col, 6)
