@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from cellwatch import schema as S
 
 __all__ = [
-    "epoch_seconds", "hour_floor", "exact_sum", "exact_total", "guarded_ratio", "add_totals", "add_time_parts",
+    "epoch_seconds", "hour_floor", "exact_sum", "exact_sum_sql", "exact_total", "guarded_ratio", "add_totals", "add_time_parts",
     "severity_band", "round6", "blank_to_null", "any_negative", "grid_id_invalid",
     "relative_deviation", "fmt4", "fmt2", "col_or_zero",
 ]
@@ -37,9 +37,16 @@ def exact_sum(col: str | Column, scale: int = 4) -> Column:
     roll-ups, whose per-group sums stay far below the BIGINT limit (9.2e14 at scale 4);
     ANSI mode raises on overflow instead of wrapping. Use ``exact_total`` for unbounded totals.
     """
-    c = F.col(col) if isinstance(col, str) else col
+    factor = float(10 ** scale)
+    if isinstance(col, str):
+        return F.expr(exact_sum_sql(f"`{col}`", scale))
+    return (F.sum(F.round(col * F.lit(factor)).cast("long")) / F.lit(factor)).cast("double")
+
+
+def exact_sum_sql(expr: str, scale: int = 4) -> str:
+    """SQL text of ``exact_sum`` over a SQL expression (one parse on the JVM side)."""
     factor = 10 ** scale
-    return (F.sum(F.round(c * F.lit(float(factor))).cast("long")) / F.lit(float(factor))).cast("double")
+    return f"CAST(SUM(CAST(ROUND(({expr}) * {factor}D) AS BIGINT)) / {factor}D AS DOUBLE)"
 
 
 def exact_total(col: str | Column, scale: int = 4) -> Column:
@@ -60,17 +67,18 @@ def col_or_zero(name: str) -> Column:
 def add_totals(df, internet: str = "internet_activity"):
     """total_sms, total_calls, total_activity; summed in the fixed order (sms + calls) + internet."""
     return df.withColumns({
-        "total_sms": F.col("sms_in") + F.col("sms_out"),
-        "total_calls": F.col("call_in") + F.col("call_out"),
-    }).withColumn("total_activity", F.col("total_sms") + F.col("total_calls") + F.col(internet))
+        "total_sms": F.expr("sms_in + sms_out"),
+        "total_calls": F.expr("call_in + call_out"),
+        "total_activity": F.expr(f"(sms_in + sms_out) + (call_in + call_out) + `{internet}`"),
+    })
 
 
 def add_time_parts(df, ts: str = "timestamp"):
     """date, hour and day_of_week (1 = Sunday ... 7 = Saturday)."""
     return df.withColumns({
-        "date": F.to_date(F.col(ts)),
-        "hour": F.hour(F.col(ts)),
-        "day_of_week": F.dayofweek(F.col(ts)),
+        "date": F.expr(f"to_date(`{ts}`)"),
+        "hour": F.expr(f"hour(`{ts}`)"),
+        "day_of_week": F.expr(f"dayofweek(`{ts}`)"),
     })
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cellwatch import schema as S
-from cellwatch.functions.columns import add_time_parts, add_totals, any_negative, grid_id_invalid
+
 
 RAW_TIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
 
@@ -39,24 +39,23 @@ def typed_columns(df: DataFrame) -> DataFrame:
     """Canonical columns with their types; blank text is NULL, junk is NULL.
 
     Only text columns go through trim / blank / try_cast; columns that already carry a
-    numeric or timestamp type keep a plain (no-op or widening) cast.
+    numeric or timestamp type keep a plain (no-op or widening) cast. One projection.
     """
     types = dict(df.dtypes)
 
-    def parsed(c: str, target: str):
+    def parsed(c: str, target: str) -> str:
         if types.get(c) == "string":
-            return F.nullif(F.trim(F.col(c)), F.lit("")).try_cast(target)
-        return F.col(c).try_cast(target)
+            return f"try_cast(nullif(trim(`{c}`), '') AS {target}) AS `{c}`"
+        return f"try_cast(`{c}` AS {target}) AS `{c}`"
 
     if types.get("timestamp") == "string":
-        ts = F.try_to_timestamp(F.nullif(F.trim(F.col("timestamp")), F.lit("")),
-                                F.lit(RAW_TIME_FORMAT)).cast("timestamp_ntz")
+        ts = (f"CAST(try_to_timestamp(nullif(trim(`timestamp`), ''), '{RAW_TIME_FORMAT}') AS TIMESTAMP_NTZ)"
+              " AS `timestamp`")
     else:
-        ts = F.col("timestamp").cast("timestamp_ntz")
-    cols = {"timestamp": ts, "grid_id": parsed("grid_id", "int"), "country_code": parsed("country_code", "int")}
-    for m in S.MEASURES:
-        cols[m] = parsed(m, "double")
-    return df.withColumns(cols)
+        ts = "CAST(`timestamp` AS TIMESTAMP_NTZ) AS `timestamp`"
+    typed = {"timestamp": ts, "grid_id": parsed("grid_id", "INT"), "country_code": parsed("country_code", "INT")}
+    typed.update({m: parsed(m, "DOUBLE") for m in S.MEASURES})
+    return df.selectExpr(*[typed.get(c, f"`{c}`") for c in df.columns])
 
 
 def blank_counts(df: DataFrame, columns) -> list:
@@ -65,31 +64,45 @@ def blank_counts(df: DataFrame, columns) -> list:
             for c in columns]
 
 
-def reject_reason(grid_lo: int = S.GRID_ID_MIN, grid_hi: int = S.GRID_ID_MAX):
+def reject_reason_sql(grid_lo: int = S.GRID_ID_MIN, grid_hi: int = S.GRID_ID_MAX) -> str:
     """First failing rule, or NULL for a valid row. Never NULL because of a NULL measure."""
-    return (F.when(F.col("timestamp").isNull(), F.lit("invalid_timestamp"))
-            .when(grid_id_invalid("grid_id", grid_lo, grid_hi), F.lit("invalid_grid_id"))
-            .when(any_negative(S.MEASURES), F.lit("negative_activity")))
+    negative = " OR ".join(f"coalesce(`{m}` < 0, false)" for m in S.MEASURES)
+    return (f"CASE WHEN `timestamp` IS NULL THEN 'invalid_timestamp' "
+            f"WHEN grid_id IS NULL OR NOT (grid_id BETWEEN {grid_lo} AND {grid_hi}) THEN 'invalid_grid_id' "
+            f"WHEN {negative} THEN 'negative_activity' END")
+
+
+def reject_reason(grid_lo: int = S.GRID_ID_MIN, grid_hi: int = S.GRID_ID_MAX):
+    return F.expr(reject_reason_sql(grid_lo, grid_hi))
 
 
 def tag_rows(raw: DataFrame, grid_lo: int = S.GRID_ID_MIN, grid_hi: int = S.GRID_ID_MAX) -> DataFrame:
     """Rename, type and tag each raw row with its reject reason (NULL = valid)."""
     typed = typed_columns(rename_canonical(raw))
-    return typed.withColumn("reject_reason", reject_reason(grid_lo, grid_hi))
+    return typed.selectExpr("*", f"{reject_reason_sql(grid_lo, grid_hi)} AS reject_reason")
+
+
+_CURATED = (["`timestamp`", "grid_id", "country_code"]
+            + [f"coalesce(`{m}`, 0D) AS `{m}`" for m in S.MEASURES]
+            + ["coalesce(sms_in, 0D) + coalesce(sms_out, 0D) AS total_sms",
+               "coalesce(call_in, 0D) + coalesce(call_out, 0D) AS total_calls",
+               "(coalesce(sms_in, 0D) + coalesce(sms_out, 0D)) + (coalesce(call_in, 0D) + coalesce(call_out, 0D))"
+               " + coalesce(internet_activity, 0D) AS total_activity",
+               "to_date(`timestamp`) AS date", "hour(`timestamp`) AS hour", "dayofweek(`timestamp`) AS day_of_week"])
 
 
 def curate(valid: DataFrame) -> DataFrame:
     """P6-P8 on valid rows: NULL measures -> 0, totals, time parts, canonical column order."""
-    filled = valid.withColumns({m: F.coalesce(F.col(m), F.lit(0.0)) for m in S.MEASURES})
-    return add_time_parts(add_totals(filled)).select(*S.CLEAN_COLUMNS)
+    return valid.selectExpr(*_CURATED)
 
 
-def clean(raw: DataFrame, grid_lo: int = S.GRID_ID_MIN, grid_hi: int = S.GRID_ID_MAX):
-    """(clean, rejected, counts). All three are lazy and share one tagged plan."""
+def clean(raw: DataFrame, grid_lo: int = S.GRID_ID_MIN, grid_hi: int = S.GRID_ID_MAX, with_counts: bool = True):
+    """(clean, rejected, counts). All three are lazy and share one tagged plan; ``counts``
+    is None when ``with_counts`` is False (saves building a plan nobody runs)."""
     tagged = tag_rows(raw, grid_lo, grid_hi)
-    kept = curate(tagged.where(F.col("reject_reason").isNull()))
-    rejected = tagged.where(F.col("reject_reason").isNotNull())
-    return kept, rejected, cleaning_counts(tagged)
+    kept = curate(tagged.where("reject_reason IS NULL"))
+    rejected = tagged.where("reject_reason IS NOT NULL")
+    return kept, rejected, (cleaning_counts(tagged) if with_counts else None)
 
 
 def cleaning_counts(tagged: DataFrame) -> DataFrame:

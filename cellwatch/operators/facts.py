@@ -11,8 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cellwatch import schema as S
-from cellwatch.functions.columns import (add_time_parts, add_totals, exact_sum, guarded_ratio,
-                                         round6)
+from cellwatch.functions.columns import exact_sum, round6
 
 
 def hourly_grid_summary(clean: DataFrame) -> DataFrame:
@@ -21,11 +20,23 @@ def hourly_grid_summary(clean: DataFrame) -> DataFrame:
     return finish_fact(summed)
 
 
+_FACT_EXPRS = {
+    "timestamp": "`timestamp`", "grid_id": "grid_id", "sms_in": "sms_in", "sms_out": "sms_out",
+    "call_in": "call_in", "call_out": "call_out",
+    "total_sms": "sms_in + sms_out AS total_sms", "total_calls": "call_in + call_out AS total_calls",
+    "internet_activity": "internet_activity",
+    "total_activity": "(sms_in + sms_out) + (call_in + call_out) + internet_activity AS total_activity",
+    "internet_share": ("CASE WHEN (sms_in + sms_out) + (call_in + call_out) + internet_activity > 0 "
+                       "THEN internet_activity / ((sms_in + sms_out) + (call_in + call_out) + internet_activity) "
+                       "ELSE 0D END AS internet_share"),
+    "hour": "hour(`timestamp`) AS hour", "day_of_week": "dayofweek(`timestamp`) AS day_of_week",
+    "date": "to_date(`timestamp`) AS date",
+}
+
+
 def finish_fact(summed: DataFrame) -> DataFrame:
     """P7-P10 on a (timestamp, grid_id, 5 measures) frame: totals, share, time parts, order."""
-    out = add_time_parts(add_totals(summed))
-    out = out.withColumn("internet_share", guarded_ratio(F.col("internet_activity"), F.col("total_activity")))
-    return out.select(*S.FACT_COLUMNS)
+    return summed.selectExpr(*[_FACT_EXPRS[c] for c in S.FACT_COLUMNS])
 
 
 def day_bounds(fact: DataFrame, ts: str = "timestamp"):

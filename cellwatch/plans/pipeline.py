@@ -38,7 +38,7 @@ def clean_split(spark, sf_dir):
 
 def clean_activity(spark, sf_dir) -> DataFrame:
     """Clean activity of the typed path: the input of the fact."""
-    return C.clean(raw_activity(spark, sf_dir))[0]
+    return C.clean(raw_activity(spark, sf_dir), with_counts=False)[0]
 
 
 def fact(spark, sf_dir) -> DataFrame:

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cellwatch.functions.columns import exact_sum, hour_floor
+from cellwatch.functions.columns import exact_sum_sql
 from cellwatch.sources.tables import read_table
 
 # Event type that feeds each raw measure column.
@@ -36,12 +36,12 @@ def read_events(spark, sf_dir: str) -> DataFrame:
 
 def activity_raw(events: DataFrame) -> DataFrame:
     """Typed raw activity: one row per (hour, grid, country); unseen measures stay NULL."""
-    keyed = events.select(
-        hour_floor("ts").alias("datetime"),
-        _grid_of(F.col("user_id")).alias("CellID"),
-        (F.col("event_id") % COUNTRY_MODULUS).cast("int").alias("countrycode"),
+    keyed = events.selectExpr(
+        "CAST(date_trunc('hour', ts) AS TIMESTAMP_NTZ) AS datetime",
+        f"CAST(CAST(floor(user_id / {USERS_PER_GRID}D) AS BIGINT) + 1 AS INT) AS CellID",
+        f"CAST(event_id % {COUNTRY_MODULUS} AS INT) AS countrycode",
         "event_type", "value")
-    aggs = [exact_sum(F.when(F.col("event_type") == et, F.col("value"))).alias(name)
+    aggs = [F.expr(exact_sum_sql(f"CASE WHEN event_type = '{et}' THEN value END") + f" AS {name}")
             for et, name in EVENT_MEASURES]
     return keyed.groupBy("datetime", "CellID", "countrycode").agg(*aggs)
 
