@@ -38,19 +38,24 @@ def as_of_rows(rows: DataFrame, t: Column, time: str = "timestamp") -> DataFrame
 
 
 def network_summary(rows: DataFrame, as_of: datetime | None = None) -> DataFrame:
-    """Total activity, active grids, peak hour of day and top grid as of ``as_of``."""
+    """Total activity, active grids, peak hour of day and top grid as of ``as_of``.
+
+    One scan: grouping sets (hour), (grid_id) and () in a single aggregate, then a one-row
+    pick over that small result (at most 24 + grids + 1 rows). Ties: smallest hour / grid.
+    """
     t = effective_as_of(rows, as_of)
     cur = as_of_rows(rows, t)
-    by_hour = cur.groupBy("hour").agg(exact_sum("total_activity").alias("v"))
-    peak = by_hour.agg(F.max(F.struct(F.col("v"), (-F.col("hour")).alias("k"))).alias("b")) \
-                  .select((-F.col("b.k")).cast("int")).scalar()
-    by_grid = cur.groupBy("grid_id").agg(exact_sum("total_activity").alias("v"))
-    top = by_grid.agg(F.max(F.struct(F.col("v"), (-F.col("grid_id")).alias("k"))).alias("b")) \
-                 .select((-F.col("b.k")).cast("int")).scalar()
-    return cur.agg(exact_total("total_activity").alias("total_activity"),
-                   F.count_distinct("grid_id").alias("active_grids")) \
-              .select(t.alias("as_of"), "total_activity", "active_grids",
-                      peak.alias("peak_hour"), top.alias("top_grid"))
+    g = cur.groupingSets([["hour"], ["grid_id"], []], "hour", "grid_id").agg(
+        exact_total("total_activity").alias("v"), F.grouping_id().alias("gid"))
+    # gid: 1 = grouped by hour (grid_id aggregated away), 2 = by grid_id, 3 = grand total
+    by_hour, by_grid = F.col("gid") == 1, F.col("gid") == 2
+    best_hour = F.max(F.when(by_hour, F.struct(F.col("v"), (-F.col("hour")).alias("k"))))
+    best_grid = F.max(F.when(by_grid, F.struct(F.col("v"), (-F.col("grid_id")).alias("k"))))
+    return g.agg(F.max(F.when(F.col("gid") == 3, F.col("v"))).alias("total_activity"),
+                 F.count(F.when(by_grid, F.lit(1))).alias("active_grids"),
+                 best_hour.alias("h"), best_grid.alias("g")) \
+            .select(t.alias("as_of"), "total_activity", "active_grids",
+                    (-F.col("h.k")).cast("int").alias("peak_hour"), (-F.col("g.k")).cast("int").alias("top_grid"))
 
 
 def grid_activity(rows: DataFrame, grid_id: int | None = None, as_of: datetime | None = None,

@@ -636,7 +636,9 @@ FROM (SELECT CAST(l.future_activity >= l._threshold AS INTEGER) AS m,
       FROM labelled l)""", "labelled", "alerts"))
 def q_agreement_matrix(spark, sf_dir):
     """The label rule stands in for the model flag so that the matrix has an exact oracle."""
-    return R.agreement_matrix(P.labelled(spark, sf_dir), P.alerts(spark, sf_dir), prediction_col="risk_label")
+    dense = P.dense_fact(spark, sf_dir)
+    return R.agreement_matrix(P.labelled(spark, sf_dir, dense), P.alerts(spark, sf_dir, dense),
+                              prediction_col="risk_label")
 
 
 _SCORE_ROUND = ["hour_of_day_baseline", "deviation", "anomaly_score"]
@@ -694,8 +696,9 @@ FROM (SELECT s.grid_id, s.timestamp, CAST(s.direction <> 'NORMAL' AS INTEGER) AS
       FROM scored s)""", "scored", "alerts", "labelled"))
 def q_three_way_comparison(spark, sf_dir):
     """The label rule stands in for the model flag so that the comparison has an exact oracle."""
-    return An.three_way(P.anomalies(spark, sf_dir), P.alerts(spark, sf_dir), P.labelled(spark, sf_dir),
-                        prediction_col="risk_label")
+    dense = P.dense_fact(spark, sf_dir)
+    return An.three_way(P.anomalies(spark, sf_dir, dense), P.alerts(spark, sf_dir, dense),
+                        P.labelled(spark, sf_dir, dense), prediction_col="risk_label")
 
 
 # ---------------------------------------------------------------- run health and metrics
@@ -799,11 +802,15 @@ def q_model_evaluation(spark, sf_dir):
 
 @register("model_agreement")
 def q_model_agreement(spark, sf_dir):
-    lab, model = _scored(spark, sf_dir)
-    return R.agreement_matrix(R.predict(model, lab.where(F.col("split") == "test")), P.alerts(spark, sf_dir))
+    dense = P.dense_fact(spark, sf_dir)
+    lab = P.labelled(spark, sf_dir, dense)
+    model = R.train(lab.where(F.col("split") == "train"))
+    return R.agreement_matrix(R.predict(model, lab.where(F.col("split") == "test")), P.alerts(spark, sf_dir, dense))
 
 
 @register("latest_risk")
 def q_latest_risk(spark, sf_dir):
-    lab, model = _scored(spark, sf_dir)
-    return R.latest_risk(P.features(spark, sf_dir), model)
+    dense = P.dense_fact(spark, sf_dir)
+    lab = P.labelled(spark, sf_dir, dense)
+    model = R.train(lab.where(F.col("split") == "train"))
+    return R.latest_risk(P.features(spark, sf_dir, dense), model)

@@ -74,32 +74,35 @@ def star(spark, sf_dir):
 def star_rows(spark, sf_dir) -> DataFrame:
     """The warehouse read back through its keys: what the serving queries read."""
     from cellwatch.operators.warehouse import star_view
-    return star_view(*star(spark, sf_dir))
+    from cellwatch.session import cut_lineage
+    # Serving reads the loaded warehouse; materialize the joined view once per plan.
+    return cut_lineage(star_view(*star(spark, sf_dir)))
 
 
-def features(spark, sf_dir) -> DataFrame:
+def features(spark, sf_dir, dense: DataFrame | None = None) -> DataFrame:
     from cellwatch.operators.features import rolling_features
-    return rolling_features(dense_fact(spark, sf_dir))
+    return rolling_features(dense if dense is not None else dense_fact(spark, sf_dir))
 
 
-def labelled(spark, sf_dir) -> DataFrame:
+def labelled(spark, sf_dir, dense: DataFrame | None = None) -> DataFrame:
     """Features + future activity + split + training thresholds + risk label."""
     from cellwatch.operators import risk as R
     from cellwatch.session import cut_lineage
+    d = dense if dense is not None else dense_fact(spark, sf_dir)
     # The feature table is materialized once (reliable checkpoint in the shared folder):
     # the split and the thresholds each run small jobs over it.
-    lab = cut_lineage(R.future_labels(features(spark, sf_dir), dense_fact(spark, sf_dir)))
+    lab = cut_lineage(R.future_labels(features(spark, sf_dir, d), d))
     return R.risk_labels(R.chrono_split(lab))
 
 
-def alerts(spark, sf_dir) -> DataFrame:
+def alerts(spark, sf_dir, dense: DataFrame | None = None) -> DataFrame:
     from cellwatch.operators.alerts import rule_alerts
-    return rule_alerts(dense_fact(spark, sf_dir))
+    return rule_alerts(dense if dense is not None else dense_fact(spark, sf_dir))
 
 
-def anomalies(spark, sf_dir) -> DataFrame:
+def anomalies(spark, sf_dir, dense: DataFrame | None = None) -> DataFrame:
     from cellwatch.operators.anomaly import anomaly_scores
-    return anomaly_scores(dense_fact(spark, sf_dir))
+    return anomaly_scores(dense if dense is not None else dense_fact(spark, sf_dir))
 
 
 def model(spark, sf_dir):
