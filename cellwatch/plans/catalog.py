@@ -814,3 +814,19 @@ def q_latest_risk(spark, sf_dir):
     lab = P.labelled(spark, sf_dir, dense)
     model = R.train(lab.where(F.col("split") == "train"))
     return R.latest_risk(P.features(spark, sf_dir, dense), model)
+
+
+# ---------------------------------------------------------------- streaming form of the clean path
+
+@register("stream_clean_activity", ORACLES["clean_activity"])
+def q_stream_clean_activity(spark, sf_dir):
+    """The events table read as a file stream, cleaned per micro-batch, appended exactly once
+    to date partitions under the shared checkpoint folder, and read back as a table."""
+    from cellwatch.sources.fixtures import EVENT_COLUMNS, activity_dirty
+    from cellwatch.streaming import daily_files as D
+    schema = spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet").schema
+    ev = (spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet")
+          .parquet(sf_dir).select(*EVENT_COLUMNS))
+    out, ck = D.shared_path(spark, "stream-clean"), D.shared_path(spark, "stream-clean-ckpt")
+    D.run_to_completion(D.write_clean(D.clean_stream(activity_dirty(ev)), out, ck))
+    return spark.read.parquet(out)
