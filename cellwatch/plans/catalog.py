@@ -830,3 +830,56 @@ def q_stream_clean_activity(spark, sf_dir):
     out, ck = D.shared_path(spark, "stream-clean"), D.shared_path(spark, "stream-clean-ckpt")
     D.run_to_completion(D.write_clean(D.clean_stream(activity_dirty(ev)), out, ck))
     return spark.read.parquet(out)
+
+
+# ---------------------------------------------------------------- remaining inventory items
+
+from cellwatch.operators import gates as Ga  # noqa: E402
+
+
+@register("geo_enrich_shuffle", ORACLES["geo_enrich"])
+def q_geo_enrich_shuffle(spark, sf_dir):
+    """The enrichment planned as a shuffle (sort-merge) join, the reference's baseline."""
+    e = Geo.geo_enrich(P.fact(spark, sf_dir), P.grid_lookup(spark, sf_dir), broadcast=False)
+    return e.withColumns({"centroid_longitude": round6(F.col("centroid_longitude")),
+                          "centroid_latitude": round6(F.col("centroid_latitude"))})
+
+
+@register("latest_features", sql(f"""
+SELECT * REPLACE ({_round_sql(_FEAT_ROUND)}) FROM features
+WHERE (grid_id, feature_timestamp) IN (SELECT grid_id, max(feature_timestamp) FROM features GROUP BY grid_id)""",
+    "features"))
+def q_latest_features(spark, sf_dir):
+    return _round_cols(R.latest_features(P.features(spark, sf_dir)), _FEAT_ROUND)
+
+
+@register("drilldown_totals", sql(f"""
+SELECT grid_id, count(*) AS points, {_dsum('total_sms')}, {_dsum('total_calls')}, {_dsum('internet_activity')},
+       {_dsum('total_activity')}
+FROM fact WHERE timestamp >= (SELECT t FROM as_of_t) - INTERVAL 23 HOUR AND timestamp <= (SELECT t FROM as_of_t)
+GROUP BY grid_id""", "fact", "as_of_t"))
+def q_drilldown_totals(spark, sf_dir):
+    """The client-side totals over the 24 returned points, per grid."""
+    from cellwatch.functions.columns import exact_sum
+    d = Sv.grid_activity(P.fact(spark, sf_dir))
+    return d.groupBy("grid_id").agg(F.count(F.lit(1)).alias("points"),
+                                    *[exact_sum(c).alias(c) for c in ["total_sms", "total_calls",
+                                                                      "internet_activity", "total_activity"]])
+
+
+@register("alert_type_counts", sql("SELECT alert_type, count(*) AS rows FROM alerts GROUP BY alert_type", "alerts"))
+def q_alert_type_counts(spark, sf_dir):
+    return Fa.value_counts(P.alerts(spark, sf_dir), "alert_type")
+
+
+@register("processed_gate", sql("""
+SELECT 'processed' AS gate, 'unique_grain' AS "check", d = 0 AS passed, CAST(d AS VARCHAR) AS observed,
+       '0' AS expected
+FROM (SELECT count(*) AS d FROM (SELECT timestamp, grid_id FROM fact GROUP BY 1, 2 HAVING count(*) > 1))
+UNION ALL
+SELECT 'processed', 'expected_timestamps', t = dd * 24, CAST(t AS VARCHAR), CAST(dd * 24 AS VARCHAR)
+FROM (SELECT count(DISTINCT timestamp) AS t, count(DISTINCT CAST(timestamp AS DATE)) AS dd FROM fact)
+UNION ALL SELECT 'processed', 'forbidden_columns', true, '-', '-'
+UNION ALL SELECT 'processed', 'required_columns', true, '-', '-'""", "fact"))
+def q_processed_gate(spark, sf_dir):
+    return Ga.processed_gate(P.fact(spark, sf_dir))

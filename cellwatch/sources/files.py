@@ -52,9 +52,12 @@ def require_files(spark: SparkSession, path: str, pattern: str = S.RAW_FILE_GLOB
 
     Only file metadata is listed (binaryFile with the content column pruned away).
     """
-    files = (spark.read.format("binaryFile").option("pathGlobFilter", pattern)
-             .option("recursiveFileLookup", "true").load(path)
-             .select("path", "length"))
+    try:
+        files = (spark.read.format("binaryFile").option("pathGlobFilter", pattern)
+                 .option("recursiveFileLookup", "true").load(path)
+                 .select("path", "length"))
+    except Exception as exc:  # AnalysisException: the folder itself does not exist
+        raise FileNotFoundError(f"no files matching {pattern} under {path}") from exc
     if files.isEmpty():
         raise FileNotFoundError(f"no files matching {pattern} under {path}")
     return files
