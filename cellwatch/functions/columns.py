@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from cellwatch import schema as S
 
 __all__ = [
-    "epoch_seconds", "hour_floor", "exact_sum", "exact_sum_sql", "exact_total", "guarded_ratio", "add_totals", "add_time_parts",
+    "epoch_seconds", "hour_floor", "exact_sum", "exact_sum_over", "exact_sum_sql", "exact_total", "guarded_ratio", "add_totals", "add_time_parts",
     "severity_band", "round6", "blank_to_null", "any_negative", "grid_id_invalid",
     "relative_deviation", "fmt4", "fmt2", "col_or_zero",
 ]
@@ -43,6 +43,12 @@ def exact_sum(col: str | Column, scale: int = 4) -> Column:
     return (F.sum(F.round(col * F.lit(factor)).cast("long")) / F.lit(factor)).cast("double")
 
 
+def exact_sum_over(col: str, window, scale: int = 4) -> Column:
+    """``exact_sum`` as a window aggregate (the scaled BIGINT sum runs over the window)."""
+    factor = float(10 ** scale)
+    return (F.sum(F.round(F.col(col) * F.lit(factor)).cast("long")).over(window) / F.lit(factor)).cast("double")
+
+
 def exact_sum_sql(expr: str, scale: int = 4) -> str:
     """SQL text of ``exact_sum`` over a SQL expression (one parse on the JVM side)."""
     factor = 10 ** scale

@@ -8,7 +8,7 @@ the rows below the bracket, and resolves the exact order statistics from the dis
 values inside it. Only the bracket's distinct values (about 2*margin*n/accuracy, fewer
 with ties) meet in one task; the interpolation is the one of ``percentile``.
 
-It runs three small aggregate jobs and returns a Python float, so callers should pass a
+It runs four small aggregate jobs and returns a Python float, so callers should pass a
 persisted or checkpointed frame.
 """
 
@@ -25,16 +25,17 @@ def exact_quantile(df: DataFrame, col: str, p: float, accuracy: int = 100_000, m
     if not 0.0 <= p <= 1.0:
         raise ValueError("p must be within [0, 1]")
     x = df.select(F.col(col).cast("double").alias("x")).where(F.col("x").isNotNull())
-    e = margin / accuracy
-    lo_p, hi_p = max(p - e, 0.0), min(p + e, 1.0)
-    st = x.agg(F.count(F.lit(1)).alias("n"),
-               F.percentile_approx("x", F.array(F.lit(lo_p), F.lit(hi_p)), accuracy).alias("b"),
-               F.min("x").alias("mn"), F.max("x").alias("mx")).first()
+    st = x.agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("mn"), F.max("x").alias("mx")).first()
     n = st["n"]
     if n == 0:
         return None
-    lo_b = st["mn"] if lo_p == 0.0 else st["b"][0]
-    hi_b = st["mx"] if hi_p == 1.0 else st["b"][1]
+    # Rank margin: the summary's error (margin * n / accuracy ranks) plus two ranks for the
+    # gap between its rank convention (about p*n, rounded up) and interpolation's (n-1)*p.
+    e = margin / accuracy + 2.0 / n
+    lo_p, hi_p = max(p - e, 0.0), min(p + e, 1.0)
+    b = x.agg(F.percentile_approx("x", F.array(F.lit(lo_p), F.lit(hi_p)), accuracy)).first()[0]
+    lo_b = st["mn"] if lo_p == 0.0 else b[0]
+    hi_b = st["mx"] if hi_p == 1.0 else b[1]
     pos = (n - 1) * p
     r_lo, r_hi = math.floor(pos), math.ceil(pos)      # 0-based ranks of the two order statistics
     below = x.where(F.col("x") < lo_b).agg(F.count(F.lit(1))).first()[0]

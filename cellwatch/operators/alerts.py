@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cellwatch import schema as S
-from cellwatch.functions.columns import exact_sum, fmt4, round6
+from cellwatch.functions.columns import exact_sum, exact_sum_over, fmt4, round6
 from cellwatch.operators.windows import leave_one_out_median, previous_value
 
 DAY = ("grid_id", "date")
@@ -23,9 +23,13 @@ def activity_floor(dense: DataFrame, p: float = S.FLOOR_PERCENTILE) -> DataFrame
 
 
 def baseline(dense: DataFrame) -> DataFrame:
-    """W1 + W2 on the dense fact: previous hour and leave-one-out median within (grid, date)."""
+    """W1 + W2 on the dense fact: previous hour, leave-one-out median and the daily total,
+    all over the same (grid, date) partitioning (one exchange, at most 24 rows per window)."""
+    from pyspark.sql import Window
     cols = dense.select("grid_id", "timestamp", "date", "total_activity")
-    return leave_one_out_median(previous_value(cols, partition=DAY), partition=DAY)
+    staged = leave_one_out_median(previous_value(cols, partition=DAY), partition=DAY)
+    day = Window.partitionBy(*DAY)
+    return staged.withColumn("daily_total", exact_sum_over("total_activity", day))
 
 
 def rule_alerts(dense: DataFrame, high: float = S.HIGH_ACTIVITY_MULTIPLIER, drop: float = S.DROP_MULTIPLIER,
@@ -33,19 +37,19 @@ def rule_alerts(dense: DataFrame, high: float = S.HIGH_ACTIVITY_MULTIPLIER, drop
     """HIGH_ACTIVITY / ACTIVITY_DROP / ACTIVITY_SPIKE rows in one pass (explode of a filtered array).
 
     Grids whose daily total is below that day's floor are skipped, rows without a baseline too.
+    The floor table has one row per date, so its join is a broadcast at run time (AQE).
     """
     base = baseline(dense)
-    daily = (dense.groupBy("date", "grid_id").agg(exact_sum("total_activity").alias("daily_total")))
-    floor = daily.groupBy("date").agg(F.percentile(F.col("daily_total"), F.lit(floor_p)).alias("floor"))
-    eligible = daily.join(floor, "date").where(F.col("daily_total") >= F.col("floor")).select("date", "grid_id")
+    floor = activity_floor(dense, floor_p).withColumnRenamed("activity_floor", "floor")
+    eligible = (base.join(floor, "date")
+                .where((F.col("daily_total") >= F.col("floor")) & F.col("baseline_activity").isNotNull()))
     cur, b, prev = F.col("total_activity"), F.col("baseline_activity"), F.col("previous_hour_activity")
     types = F.array(
         F.when((b > 0) & (cur >= F.lit(high) * b), F.lit("HIGH_ACTIVITY")),
         F.when((b > 0) & (cur <= F.lit(drop) * b), F.lit("ACTIVITY_DROP")),
         F.when(prev.isNotNull() & (prev > 0) & (cur >= F.lit(spike) * prev), F.lit("ACTIVITY_SPIKE")),
     )
-    hits = (base.join(eligible, ["date", "grid_id"], "left_semi")
-            .where(b.isNotNull())
+    hits = (eligible
             .select("grid_id", "timestamp", "total_activity", "baseline_activity",
                     F.explode(F.filter(types, lambda t: t.isNotNull())).alias("alert_type")))
     c4, b4 = fmt4(cur), fmt4(b)

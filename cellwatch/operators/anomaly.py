@@ -11,16 +11,19 @@ from cellwatch.functions.columns import fmt2, relative_deviation
 
 
 def hour_of_day_baseline(fact: DataFrame, value: str = "total_activity") -> DataFrame:
-    """Median per (grid, hour of day) as a grouped aggregate joined back (no window).
+    """Median per (grid, hour of day) attached to every row of the bucket.
 
-    The median covers every day of the bucket, the row's own day included (retrospective,
-    as in the reference). A bucket holds one value per day, so it stays small.
+    A whole-partition window over (grid, hour): one exchange, no join back. A bucket holds
+    one value per day, so the window stays small however large the table is. The median
+    covers every day of the bucket, the row's own day included (retrospective, as in the
+    reference).
     """
+    from pyspark.sql import Window
     src = (fact.where(F.col("grid_id").isNotNull() & F.col("timestamp").isNotNull() & F.col(value).isNotNull())
            .select("grid_id", "timestamp", F.hour("timestamp").alias("hour"), F.col(value).alias("total_activity")))
-    med = src.groupBy("grid_id", "hour").agg(F.median("total_activity").alias("hour_of_day_baseline"),
-                                            F.count(F.lit(1)).alias("bucket_rows"))
-    return src.join(med, ["grid_id", "hour"])
+    bucket = Window.partitionBy("grid_id", "hour")
+    return src.withColumns({"hour_of_day_baseline": F.median("total_activity").over(bucket),
+                            "bucket_rows": F.count(F.lit(1)).over(bucket)})
 
 
 def bucket_sizes(fact: DataFrame) -> DataFrame:

@@ -10,6 +10,14 @@ from cellwatch.plans import pipeline as P
 from .conftest import SF_SMALL
 
 
+@pytest.mark.parametrize("n", [1, 2, 7, 537])
+@pytest.mark.parametrize("p", [0.1, 0.5, 0.9])
+def test_exact_quantile_small_inputs_high_accuracy(spark, n, p):
+    vals = np.random.default_rng(n).normal(size=n)
+    df = spark.createDataFrame([(float(v),) for v in vals], "x double")
+    assert exact_quantile(df, "x", p) == pytest.approx(float(np.quantile(vals, p)), abs=1e-12)
+
+
 @pytest.mark.parametrize("p", [0.0, 0.25, 0.5, 0.9, 1.0])
 def test_exact_quantile_matches_numpy(spark, p):
     rng = np.random.default_rng(3)
