@@ -37,10 +37,14 @@ def rule_alerts(dense: DataFrame, high: float = S.HIGH_ACTIVITY_MULTIPLIER, drop
     """HIGH_ACTIVITY / ACTIVITY_DROP / ACTIVITY_SPIKE rows in one pass (explode of a filtered array).
 
     Grids whose daily total is below that day's floor are skipped, rows without a baseline too.
-    The floor table has one row per date, so its join is a broadcast at run time (AQE).
+    The floor table has one row per date and is broadcast behind a row-count check.
     """
+    from cellwatch.operators.geo import bounded_broadcast
     base = baseline(dense)
-    floor = activity_floor(dense, floor_p).withColumnRenamed("activity_floor", "floor")
+    # One row per date: broadcast after a bounded row-count check, so the dense rows are
+    # never shuffled by date (a date key would leave only as many busy tasks as days).
+    floor = bounded_broadcast(activity_floor(dense, floor_p).withColumnRenamed("activity_floor", "floor"),
+                              max_rows=100_000)
     eligible = (base.join(floor, "date")
                 .where((F.col("daily_total") >= F.col("floor")) & F.col("baseline_activity").isNotNull()))
     cur, b, prev = F.col("total_activity"), F.col("baseline_activity"), F.col("previous_hour_activity")

@@ -49,7 +49,9 @@ def risk_labels(split: DataFrame, p: float = S.POSITIVE_PERCENTILE) -> DataFrame
     """Per-grid p-quantile of train future activity, else the overall train quantile
     (exact and distributed, see functions.quantiles); risk_label = future >= threshold."""
     train = split.where(F.col("split") == "train")
+    from cellwatch.operators.geo import bounded_broadcast, reference_bound
     per_grid = train.groupBy("grid_id").agg(F.percentile("future_activity", F.lit(p)).alias("grid_threshold"))
+    per_grid = bounded_broadcast(per_grid, proven_rows=reference_bound())  # one row per valid grid id
     overall = exact_quantile(train, "future_activity", p)
     out = split.join(per_grid, "grid_id", "left").withColumn(
         "_threshold", F.coalesce(F.col("grid_threshold"), F.lit(overall).cast("double"))).drop("grid_threshold")
