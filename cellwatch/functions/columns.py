@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from cellwatch import schema as S
 
 __all__ = [
-    "epoch_seconds", "hour_floor", "exact_sum", "exact_sum_over", "exact_sum_sql", "exact_total", "guarded_ratio", "add_totals", "add_time_parts",
+    "ntz_literal", "epoch_seconds", "hour_floor", "exact_sum", "exact_sum_over", "exact_sum_sql", "exact_total", "guarded_ratio", "add_totals", "add_time_parts",
     "severity_band", "round6", "blank_to_null", "any_negative", "grid_id_invalid",
     "relative_deviation", "fmt4", "fmt2", "col_or_zero",
 ]
@@ -22,6 +22,13 @@ def epoch_seconds(col: str | Column) -> Column:
     return F.timestamp_diff("SECOND", F.expr(_EPOCH_NTZ), c)
 
 
+def ntz_literal(value) -> Column:
+    """A TIMESTAMP_NTZ literal from a Python datetime (or ISO text), independent of the
+    Python process time zone and of the session time zone."""
+    text = value.isoformat(sep=" ") if hasattr(value, "isoformat") else str(value)
+    return F.to_timestamp_ntz(F.lit(text))
+
+
 def hour_floor(col: str | Column) -> Column:
     c = F.col(col) if isinstance(col, str) else col
     return F.date_trunc("hour", c).cast("timestamp_ntz")

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cellwatch import schema as S
+from cellwatch.functions.columns import ntz_literal
 from cellwatch.functions.quantiles import exact_quantile
 from cellwatch.session import cut_lineage
 
@@ -157,7 +158,7 @@ def top_risk(scores: DataFrame, n: int = 20) -> DataFrame:
 
 def latest_features(features: DataFrame, as_of=None) -> DataFrame:
     """Per grid, the newest feature row at or before as-of (max_by over a struct)."""
-    f = features if as_of is None else features.where(F.col("feature_timestamp") <= F.lit(as_of).cast("timestamp_ntz"))
+    f = features if as_of is None else features.where(F.col("feature_timestamp") <= ntz_literal(as_of))
     cols = [c for c in f.columns if c != "grid_id"]
     latest = f.groupBy("grid_id").agg(F.max_by(F.struct(*cols), F.col("feature_timestamp")).alias("r"))
     return latest.select("grid_id", "r.*")

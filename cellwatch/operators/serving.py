@@ -13,14 +13,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cellwatch import schema as S
-from cellwatch.functions.columns import exact_sum, exact_total, guarded_ratio, severity_band
+from cellwatch.functions.columns import exact_sum, exact_total, guarded_ratio, ntz_literal, severity_band
 from cellwatch.operators.windows import trailing_rows
 
 
 def effective_as_of(rows: DataFrame, as_of: datetime | None = None, date: Date | None = None,
                     hour: int | None = None, time: str = "timestamp") -> Column:
     """The as-of instant: given, else max(timestamp); optionally moved to ``date`` / ``hour`` (Q6)."""
-    t = F.lit(as_of).cast("timestamp_ntz") if as_of is not None else rows.select(F.max(time)).scalar()
+    t = ntz_literal(as_of) if as_of is not None else rows.select(F.max(time)).scalar()
     if date is not None:
         t = F.make_timestamp_ntz(F.lit(date.year), F.lit(date.month), F.lit(date.day),
                                  F.hour(t), F.minute(t), F.second(t))
