@@ -67,3 +67,33 @@ def slices(sizes: np.ndarray, limit: int) -> Iterator[tuple[int, int]]:
         total += size
     if len(sizes) > start:
         yield start, len(sizes)
+
+
+def map_slices(docs: DataFrame, work, schema: str, slice_bytes: int = 2 << 20) -> DataFrame:
+    """Apply ``work(RecordBatch) -> RecordBatch`` to slices of about ``slice_bytes`` of text.
+
+    ``docs`` has the columns doc_id and text (not null) first. Slicing bounds a task's working
+    memory by the slice (or one very long text), whatever Arrow's batch size is.
+    """
+    def run(batches):
+        for batch in batches:
+            column = batch.column(1)
+            sizes = np.diff(np.frombuffer(column.buffers()[1], offset_type(column), len(column) + 1,
+                                          column.offset * offset_type(column)().itemsize)) if len(column) else []
+            for a, b in slices(np.asarray(sizes), slice_bytes):
+                yield work(batch.slice(a, b - a))
+    return docs.mapInArrow(run, schema)
+
+
+def offset_type(column):
+    """numpy type of a (large) string or binary array's offsets."""
+    return np.int64 if str(column.type).startswith("large") else np.int32
+
+
+def text_bytes(column) -> tuple[np.ndarray, np.ndarray]:
+    """UTF-8 bytes of a null-free Arrow string array as one uint8 array, and the n + 1 offsets."""
+    kind = offset_type(column)
+    offsets = np.frombuffer(column.buffers()[1], kind, len(column) + 1, column.offset * kind().itemsize)
+    data = column.buffers()[2]
+    raw = np.frombuffer(data, np.uint8) if data is not None and data.size else np.zeros(0, np.uint8)
+    return raw[offsets[0]:offsets[-1]], (offsets - offsets[0]).astype(np.int64)

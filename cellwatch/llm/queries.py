@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from cellwatch.llm import exact_dedup, quality_rules
+from cellwatch.llm import bpe, exact_dedup, language_id, quality_rules, token_counts
 from cellwatch.sources.tables import read_table
 
 
@@ -13,6 +14,31 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.deduplicate(read_table(spark, sf_dir, "documents"))
 
 
+def _tokenizer(name: str) -> str:
+    """Path of a public tokenizer file on the driver."""
+    import public_tokenizers
+    return public_tokenizers.path(name)
+
+
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every document in the byte-level vocabulary."""
+    return token_counts.token_counts(read_table(spark, sf_dir, "documents"), _tokenizer("byte_bpe_50k.json"))
+
+
+def op5_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document encoded and decoded again, as digests."""
+    path = _tokenizer("byte_bpe_50k.json")
+    coded = bpe.decode(bpe.encode(read_table(spark, sf_dir, "documents"), path), path)
+    return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
+                        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+                        F.sha2("text", 256).alias("decoded_sha256"))
+
+
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from the documents that are not held out."""
+    return language_id.identify(read_table(spark, sf_dir, "documents"))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rule counts and log-ratio verdict of every document; documents labelled good are the target."""
     docs = read_table(spark, sf_dir, "documents")
@@ -22,6 +48,9 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_exact_dedup": op2_exact_dedup,
+    "op3_token_counts": op3_token_counts,
+    "op5_bpe_round_trip": op5_bpe_round_trip,
+    "op6_language_id": op6_language_id,
     "op9_quality_rules": op9_quality_rules,
 }
 
