@@ -97,3 +97,50 @@ def text_bytes(column) -> tuple[np.ndarray, np.ndarray]:
     data = column.buffers()[2]
     raw = np.frombuffer(data, np.uint8) if data is not None and data.size else np.zeros(0, np.uint8)
     return raw[offsets[0]:offsets[-1]], (offsets - offsets[0]).astype(np.int64)
+
+
+# Word hashing: a polynomial over random byte values, mixed at the end. 64 bits; the constants are
+# fixed so that every task and every run agrees.
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
+_IS_SPACE = np.zeros(256, bool)
+_IS_SPACE[[9, 10, 11, 12, 13, 32]] = True
+_BASE = 0x9E3779B97F4A7C15
+
+
+def mix(h: np.ndarray) -> np.ndarray:
+    """Bijective mixing of 64-bit values."""
+    h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return h ^ (h >> np.uint64(31))
+
+
+_BYTE_VALUES = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(_BASE))
+_POWERS = {"p": np.ones(1, np.uint64)}
+
+
+def _powers(n: int) -> np.ndarray:
+    if len(_POWERS["p"]) < n:
+        factors = np.full(max(n, 256), _BASE, np.uint64)
+        factors[0] = 1
+        _POWERS["p"] = np.multiply.accumulate(factors)
+    return _POWERS["p"]
+
+
+def word_hashes(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all words of a slice (A-Z lower-cased) in order, and the text each belongs to."""
+    space = _IS_SPACE[raw]
+    start = ~space
+    start[1:] &= space[:-1]
+    inner = offsets[(offsets > 0) & (offsets < len(raw))]
+    start[inner] = ~space[inner]
+    starts = np.flatnonzero(start)
+    if not len(starts):
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    spans = np.diff(np.append(starts, len(raw)))
+    position = np.arange(starts[0], len(raw)) - np.repeat(starts, spans)
+    values = _BYTE_VALUES[_LOWER[raw[starts[0]:]]]
+    # A span runs to the next word, so its trailing white space counts as nothing.
+    values[space[starts[0]:]] = 0
+    values *= _powers(int(spans.max()))[position]
+    return mix(np.add.reduceat(values, starts - starts[0])), np.searchsorted(offsets, starts, "right") - 1

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellwatch.llm import bpe, exact_dedup, language_id, quality_rules, token_counts
+from cellwatch.llm import bpe, exact_dedup, language_id, pii, quality_rules, token_counts
 from cellwatch.sources.tables import read_table
 
 
@@ -46,12 +46,21 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(docs, docs.select("doc_id", "text").join(good, "doc_id", "left_semi"))
 
 
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data of every document: counts of the fixed patterns, all spans as text."""
+    found = pii.find(read_table(spark, sf_dir, "documents"))
+    line = lambda c: F.array_join(F.transform(c, lambda s: F.concat_ws(":", s["kind"], s["start"], s["stop"])), ",")
+    counts = [F.expr(f"CAST(size(filter(base, s -> s.kind = '{k}')) AS BIGINT)").alias(f"n_{k}") for k in pii.KINDS]
+    return found.select("doc_id", *counts, F.sha2(line("base"), 256).alias("base_sha256"), line("spans").alias("spans"))
+
+
 QUERIES = {
     "op2_exact_dedup": op2_exact_dedup,
     "op3_token_counts": op3_token_counts,
     "op5_bpe_round_trip": op5_bpe_round_trip,
     "op6_language_id": op6_language_id,
     "op9_quality_rules": op9_quality_rules,
+    "op10_pii": op10_pii,
 }
 
 ORACLES = {
