@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellwatch.llm import bpe, exact_dedup, language_id, pii, quality_rules, token_counts
+from cellwatch.llm import bpe, exact_dedup, language_id, packing, pii, quality_rules, token_counts
+from cellwatch.llm.common import written
 from cellwatch.sources.tables import read_table
 
 
@@ -39,6 +40,13 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(read_table(spark, sf_dir, "documents"))
 
 
+def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's pieces, packed into sequences of at most 2048 tokens."""
+    cut = packing.pieces(read_table(spark, sf_dir, "documents"), _tokenizer("word_bpe_49k.json"))
+    return packing.place(written(cut.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32")),
+                                 "pieces"))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rule counts and log-ratio verdict of every document; documents labelled good are the target."""
     docs = read_table(spark, sf_dir, "documents")
@@ -59,6 +67,7 @@ QUERIES = {
     "op3_token_counts": op3_token_counts,
     "op5_bpe_round_trip": op5_bpe_round_trip,
     "op6_language_id": op6_language_id,
+    "op7_best_fit_packing": op7_best_fit_packing,
     "op9_quality_rules": op9_quality_rules,
     "op10_pii": op10_pii,
 }
