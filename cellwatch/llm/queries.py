@@ -5,11 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellwatch.llm import bpe, exact_dedup, language_id, packing, pii, quality_rules, token_counts
+from cellwatch.llm import bpe, exact_dedup, language_id, ngram_join, packing, pii, quality_rules, token_counts
 from cellwatch.llm.common import written
 from cellwatch.sources.tables import read_table
 
 
+def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Component of every document in the graph of near duplicates."""
+    return ngram_join.near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Keep-or-drop decision of exact deduplication for every document."""
     return exact_dedup.deduplicate(read_table(spark, sf_dir, "documents"))
@@ -63,6 +68,7 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op2_exact_dedup": op2_exact_dedup,
     "op3_token_counts": op3_token_counts,
     "op5_bpe_round_trip": op5_bpe_round_trip,
@@ -73,5 +79,6 @@ QUERIES = {
 }
 
 ORACLES = {
+    "op1_ngram_jaccard_join": ngram_join.ORACLE,
     "op2_exact_dedup": exact_dedup.ORACLE,
 }
