@@ -45,6 +45,12 @@ def texts(docs: DataFrame, *more: str) -> DataFrame:
     return docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text"), *more)
 
 
+def row_key() -> Column:
+    """A row's doc_id and a digest of its text, as one string (null text counts as empty)."""
+    return F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("null")),
+                       F.sha2(F.coalesce(F.col("text"), F.lit("")), 256))
+
+
 def words_of(text: str | Column) -> Column:
     """Array of the words (maximal runs without the six white-space bytes)."""
     c = F.col(text) if isinstance(text, str) else text

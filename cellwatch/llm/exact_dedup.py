@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellwatch.llm.common import SPACE_CLASS, scratch_path, texts, unused, written
+from cellwatch.llm.common import SPACE_CLASS, row_key, scratch_path, texts, unused, written
 
 BUCKETS = 64
 
@@ -60,10 +60,14 @@ def deduplicate(docs: DataFrame, index: DigestIndex | None = None) -> DataFrame:
     null ``keep_id``. Null and empty text are the same text. An empty table gives no rows. Other
     columns of ``docs`` are not read.
     """
+    return _decide(docs, index)
+
+
+def _decide(docs: DataFrame, index: DigestIndex | None, *more: str) -> DataFrame:
     spark = docs.sparkSession
     index = index or DigestIndex(spark, scratch_path(spark, "digest-index"))
-    rows = written(texts(docs).select("doc_id", text_digest("text").alias("digest"),
-                                      F.monotonically_increasing_id().alias("row")), "digests")
+    rows = written(texts(docs, *more).select("doc_id", text_digest("text").alias("digest"),
+                                             F.monotonically_increasing_id().alias("row"), *more), "digests")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("null_id"), "doc_id", "row")).alias("first")
     groups = written(rows.groupBy("digest").agg(first, F.count(F.lit(1)).alias("group_size"))
                      .select("digest", F.col("first.doc_id").alias("keep_id"), F.col("first.row").alias("first_row"),
@@ -79,21 +83,20 @@ def deduplicate(docs: DataFrame, index: DigestIndex | None = None) -> DataFrame:
     return rows.join(written(owners, "owners"), "digest").select(
         "doc_id", "keep_id", "group_size",
         F.coalesce(F.col("row") == F.col("first_row"), F.lit(False)).alias("kept"),
-        F.col("digest").alias("text_sha256"))
+        F.col("digest").alias("text_sha256"), *more)
 
 
 def keep_first(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns.
 
-    Joined by doc_id, which spreads a hot text over all tasks; of repeated rows with one doc_id
-    and one text, one stays.
+    A row is known by its doc_id and text, which spreads a hot text over all tasks; of fully
+    repeated rows one stays.
     """
-    digest, key = unused(docs, "text_digest"), unused(docs, "kept_id")
-    kept = deduplicate(docs).where("kept").select(F.col("doc_id").alias(key), F.col("text_sha256").alias(digest + "_k"))
-    named = docs.withColumn(digest, text_digest("text"))
-    stays = named.join(kept, F.col("doc_id").eqNullSafe(F.col(key)) & (F.col(digest) == F.col(digest + "_k")),
-                       "left_semi")
-    return stays.dropDuplicates(["doc_id", digest]).drop(digest)
+    key = unused(docs, "row_key")
+    keyed = docs.withColumn(key, row_key())
+    stays = _decide(keyed.select("doc_id", "text", F.col(key).alias("key")), None, "key").where("kept").select(
+        F.col("key").alias(key))
+    return keyed.join(stays, key, "left_semi").dropDuplicates([key]).select(*docs.columns)
 
 
 ORACLE = """

@@ -144,6 +144,21 @@ def predict(docs: DataFrame, model: dict, *more: str) -> DataFrame:
     return map_slices(source, work, "doc_id bigint, lang_pred string, score double" + rest)
 
 
+def keep_identified(docs: DataFrame, model: dict, least: float = 0.5) -> DataFrame:
+    """The rows of ``docs`` with a letter and a language of at least ``least`` probability, all columns."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches):
+        for batch in batches:
+            values = ["" if t is None else t for t in batch.column(batch.schema.get_field_index("text")).to_pylist()]
+            for a, b in slices(np.fromiter(map(len, values), np.int64, len(values)), 2 << 20):
+                pred, score = classify(values[a:b], shared.value)
+                keep = (np.array(pred, object) != UNDETERMINED) & (score >= least)
+                yield batch.slice(a, b - a).filter(pa.array(keep.astype(bool)))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def identify(docs: DataFrame, parts: int = 4, part: int = 2) -> DataFrame:
     """Train on the rows that are not held out and have a lang; predict every row.
 

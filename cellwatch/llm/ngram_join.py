@@ -22,14 +22,12 @@ prefix tokens. Documents that share a signature are verified on their whole sets
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellwatch.llm.common import mix, partitions_for, slices, text_bytes, texts, unused, word_hashes, written
+from cellwatch.llm.common import mix, partitions_for, row_key, slices, text_bytes, texts, unused, word_hashes, written
 from cellwatch.llm.components import components
 
 WORDS = 5                  # words of a shingle
@@ -87,13 +85,15 @@ def _sliced_sets(batch: pa.RecordBatch, limit: int = 2 << 20):
         yield a, b, tokens, sizes, set_keys(tokens, sizes)
 
 
-def _document_keys(batches) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for a, b, _, sizes, keys in _sliced_sets(batch):
-            keys = keys.view(np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0).slice(a, b - a), pa.array(keys[:, 0]), pa.array(keys[:, 1]), pa.array(sizes)],
-                ["doc_id", "k1", "k2", "n"])
+def _document_keys(*more: str):
+    def run(batches):
+        for batch in batches:
+            for a, b, _, sizes, keys in _sliced_sets(batch):
+                keys = keys.view(np.int64)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(a, b - a), pa.array(keys[:, 0]), pa.array(keys[:, 1]), pa.array(sizes),
+                     *(c.slice(a, b - a) for c in batch.columns[2:])], ["doc_id", "k1", "k2", "n", *more])
+    return run
 
 
 # ---------------------------------------------------------------- packed blocks
@@ -453,6 +453,29 @@ def links(sets: DataFrame) -> DataFrame:
     return written(found, "links")
 
 
+def _classes(docs: DataFrame, *more: str) -> tuple[DataFrame, DataFrame]:
+    """Rows (doc_id, k1, k2, n and ``more``), and for every non-empty set (k1, k2) its component's first row.
+
+    The first row is a struct: null_id, doc_id, then ``more``; null ids come last.
+    """
+    spark: SparkSession = docs.sparkSession
+    source = texts(docs, *more)
+    rest = "".join(f", `{f.name}` {f.dataType.simpleString()}" for f in source.schema.fields[2:])
+    rows = written(source.mapInArrow(_document_keys(*more), "doc_id bigint, k1 bigint, k2 bigint, n bigint" + rest), "keys")
+    parts = partitions_for(source, "text", PARTITION_BYTES, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    sets = written(candidate_sets(docs, parts), "sets")
+    roots = components(links(sets))
+    known = written(sets.select("id", "k1", "k2").join(roots, "id").select("k1", "k2", "root"), "roots")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("null_id"), "doc_id", *more)).alias("first")
+    classes = rows.where("n > 0").groupBy("k1", "k2").agg(first)
+    classes = written(classes.join(known, ["k1", "k2"], "left"), "classes")
+    joined = classes.where("root IS NOT NULL")
+    by_root = joined.groupBy("root").agg(F.min("first").alias("first"))
+    named = joined.drop("first").join(by_root, "root").select("k1", "k2", "first").union(
+        classes.where("root IS NULL").select("k1", "k2", "first"))
+    return rows, written(named, "named")
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """One row per input row: ``doc_id, n_shingles, component_id``.
 
@@ -463,36 +486,26 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     smallest doc_id of its component, null if there is none. Repeated rows give repeated results;
     an empty table gives none; other columns are not read.
     """
-    spark: SparkSession = docs.sparkSession
-    source = texts(docs)
-    rows = written(source.mapInArrow(_document_keys, "doc_id bigint, k1 bigint, k2 bigint, n bigint"), "keys")
-    parts = partitions_for(source, "text", PARTITION_BYTES, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    sets = written(candidate_sets(docs, parts), "sets")
-    roots = components(links(sets))
-    known = written(sets.select("id", "k1", "k2").join(roots, "id").select("k1", "k2", "root"), "roots")
-    classes = rows.where("n > 0").groupBy("k1", "k2").agg(F.min("doc_id").alias("least"))
-    classes = written(classes.join(known, ["k1", "k2"], "left"), "classes")
-    by_root = classes.where("root IS NOT NULL").groupBy("root").agg(F.min("least").alias("component_id"))
-    named = written(classes.where("root IS NOT NULL").join(by_root, "root").select("k1", "k2", "component_id")
-                    .union(classes.where("root IS NULL").select("k1", "k2", F.col("least").alias("component_id"))),
-                    "named")
+    rows, named = _classes(docs)
     # Both sides are plain scans: a text with a third of the rows is split by the skew join.
-    joined = rows.where("n > 0").join(named, ["k1", "k2"], "left")
-    return joined.select("doc_id", F.col("n").alias("n_shingles"), "component_id").union(
+    joined = rows.where("n > 0").join(named, ["k1", "k2"])
+    return joined.select("doc_id", F.col("n").alias("n_shingles"), F.col("first.doc_id").alias("component_id")).union(
         rows.where("n = 0").select("doc_id", "n", F.col("doc_id").alias("component_id")))
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that stay, all columns: of every group the one with the smallest doc_id.
+    """The rows of ``docs`` that stay, all columns: one of every component, all without a word.
 
-    Of repeated rows with that doc_id one stays. A null doc_id stays if its group has no other id;
-    rows without a word stay.
+    It is the row with the smallest doc_id (a null one only if there is no other); of several rows
+    with that id one stays. A row is known by its doc_id and text, so of fully repeated rows one stays.
     """
-    keep = unused(docs, "kept_id")
-    near = near_duplicates(docs)
-    stays = near.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias(keep)).distinct()
-    return (docs.join(stays, F.col("doc_id").eqNullSafe(F.col(keep)), "left_semi")
-            .dropDuplicates(["doc_id", "text"]))
+    key = unused(docs, "row_key")
+    keyed = docs.withColumn(key, row_key())
+    rows, named = _classes(keyed.select("doc_id", "text", F.col(key).alias("row")), "row")
+    stays = named.select("first.row").union(rows.where("n = 0").select("row")).distinct()
+    # The texts are shuffled once, by a key that spreads copies.
+    return (keyed.join(stays.select(F.col("row").alias(key)), key, "left_semi").dropDuplicates([key])
+            .select(*docs.columns))
 
 
 ORACLE = """

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellwatch.llm import bpe, exact_dedup, language_id, ngram_join, packing, pii, quality_rules, token_counts
+from cellwatch.llm import bpe, exact_dedup, language_id, lm_scoring, ngram_join, packing, pii, quality_classifier, quality_rules, token_counts
 from cellwatch.llm.common import written
 from cellwatch.sources.tables import read_table
 
@@ -31,6 +31,11 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(read_table(spark, sf_dir, "documents"), _tokenizer("byte_bpe_50k.json"))
 
 
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document by co-trained content and metadata views."""
+    return quality_classifier.co_train(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def op5_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document encoded and decoded again, as digests."""
     path = _tokenizer("byte_bpe_50k.json")
@@ -52,6 +57,11 @@ def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                                  "pieces"))
 
 
+def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log probability of every document under the hierarchical Pitman-Yor model."""
+    return lm_scoring.score(read_table(spark, sf_dir, "documents"))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rule counts and log-ratio verdict of every document; documents labelled good are the target."""
     docs = read_table(spark, sf_dir, "documents")
@@ -71,9 +81,11 @@ QUERIES = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op2_exact_dedup": op2_exact_dedup,
     "op3_token_counts": op3_token_counts,
+    "op4_quality_classifier": op4_quality_classifier,
     "op5_bpe_round_trip": op5_bpe_round_trip,
     "op6_language_id": op6_language_id,
     "op7_best_fit_packing": op7_best_fit_packing,
+    "op8_lm_scoring": op8_lm_scoring,
     "op9_quality_rules": op9_quality_rules,
     "op10_pii": op10_pii,
 }
