@@ -117,7 +117,7 @@ def classify(values: list[str], model: dict) -> tuple[list[str], np.ndarray]:
     if not languages:
         return out, score
     total = np.stack([np.bincount(owner, log_p[at, k], len(values)) for k in range(len(languages))], 1)
-    total += model["prior"]
+    total = total + model["prior"]
     total -= total.max(axis=1, keepdims=True)
     best = total.argmax(axis=1)
     posterior = 1 / np.exp(total).sum(axis=1)
