@@ -66,7 +66,9 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rule counts and log-ratio verdict of every document; documents labelled good are the target."""
     docs = read_table(spark, sf_dir, "documents")
     good = read_table(spark, sf_dir, "labels").where("quality = 1").select("doc_id")
-    return quality_rules.quality_rules(docs, docs.select("doc_id", "text").join(good, "doc_id", "left_semi"))
+    # The labels grow with the documents, so they are never broadcast.
+    target = docs.select("doc_id", "text").join(good.hint("merge"), "doc_id", "left_semi")
+    return quality_rules.quality_rules(docs, target)
 
 
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
