@@ -8,9 +8,8 @@ from pyspark.sql import functions as F
 from cellwatch import schema as S
 
 __all__ = [
-    "ntz_literal", "epoch_seconds", "hour_floor", "exact_sum", "exact_sum_over", "exact_sum_sql", "exact_total", "guarded_ratio", "add_totals", "add_time_parts",
-    "severity_band", "round6", "blank_to_null", "any_negative", "grid_id_invalid",
-    "relative_deviation", "fmt4", "fmt2", "col_or_zero",
+    "ntz_literal", "epoch_seconds", "hour_floor", "day_floor", "second_floor", "exact_sum", "exact_sum_over",
+    "exact_sum_sql", "guarded_ratio", "severity_band", "round6", "relative_deviation", "fmt4", "fmt2",
 ]
 
 _EPOCH_NTZ = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
@@ -26,73 +25,72 @@ def ntz_literal(value) -> Column:
     """A TIMESTAMP_NTZ literal from a Python datetime (or ISO text), independent of the
     Python process time zone and of the session time zone."""
     text = value.isoformat(sep=" ") if hasattr(value, "isoformat") else str(value)
-    return F.to_timestamp_ntz(F.lit(text))
+    return F.lit(text).cast("timestamp_ntz")
 
 
-def hour_floor(col: str | Column) -> Column:
-    c = F.col(col) if isinstance(col, str) else col
-    return F.date_trunc("hour", c).cast("timestamp_ntz")
+# Floors of TIMESTAMP_NTZ values from their own fields: date_trunc would go through the session
+# zone and move the hours that a clock change skips or repeats.
 
+def hour_floor(ts: str) -> str:
+    """SQL text: the hour of a TIMESTAMP_NTZ expression."""
+    return f"make_timestamp_ntz(year({ts}), month({ts}), day({ts}), hour({ts}), 0, 0)"
 
-def exact_sum(col: str | Column, scale: int = 4) -> Column:
-    """Order-independent sum of doubles with at most ``scale`` decimals, as a double.
 
-    Values are scaled to integers and summed as BIGINT: exact, independent of task order (a
-    re-executed task after an executor loss gives bit-identical totals), and fast (long
-    arithmetic stays in generated code, unlike DECIMAL(38, s) which falls back to BigDecimal).
-    Equal to ``CAST(SUM(CAST(x AS DECIMAL(38, scale))) AS DOUBLE)``. Meant for grouped
-    roll-ups, whose per-group sums stay far below the BIGINT limit (9.2e14 at scale 4);
-    ANSI mode raises on overflow instead of wrapping. Use ``exact_total`` for unbounded totals.
-    """
-    factor = float(10 ** scale)
-    if isinstance(col, str):
-        return F.expr(exact_sum_sql(f"`{col}`", scale))
-    return (F.sum(F.round(col * F.lit(factor)).cast("long")) / F.lit(factor)).cast("double")
+def second_floor(ts: str) -> str:
+    """SQL text: the second of a TIMESTAMP_NTZ expression."""
+    return f"make_timestamp_ntz(year({ts}), month({ts}), day({ts}), hour({ts}), minute({ts}), second({ts}))"
 
 
-def exact_sum_over(col: str, window, scale: int = 4) -> Column:
-    """``exact_sum`` as a window aggregate (the scaled BIGINT sum runs over the window)."""
-    factor = float(10 ** scale)
-    return (F.sum(F.round(F.col(col) * F.lit(factor)).cast("long")).over(window) / F.lit(factor)).cast("double")
+def day_floor(ts: str) -> str:
+    """SQL text: the start of day of a TIMESTAMP_NTZ expression."""
+    return f"make_timestamp_ntz(year({ts}), month({ts}), day({ts}), 0, 0, 0)"
 
 
-def exact_sum_sql(expr: str, scale: int = 4) -> str:
-    """SQL text of ``exact_sum`` over a SQL expression (one parse on the JVM side)."""
-    factor = 10 ** scale
-    return f"CAST(SUM(CAST(ROUND(({expr}) * {factor}D) AS BIGINT)) / {factor}D AS DOUBLE)"
+# High part of the sums: units of 1e-4; what lies below is summed beside it.
+_UNITS = 10_000
+_CARRY = 1_000_000_000
 
 
-def exact_total(col: str | Column, scale: int = 4) -> Column:
-    """Exact sum through DECIMAL(38, scale): no practical overflow, for whole-table totals."""
-    c = F.col(col) if isinstance(col, str) else col
-    return F.sum(c.cast(f"decimal(38,{scale})")).cast("double")
+def exact_sum_sql(expr: str) -> str:
+    """SQL text of ``exact_sum`` over a SQL expression (one parse on the JVM side)."""
+    return _sum_text(expr, "")
 
 
-def guarded_ratio(num: Column, den: Column) -> Column:
-    """``num/den`` when ``den > 0`` else ``0.0`` (NULL den gives 0.0 too)."""
-    return F.when(den > 0, num / den).otherwise(F.lit(0.0))
+def _sum_text(expr: str, over: str) -> str:
+    unit = f"CAST(ROUND(({expr}) * {_UNITS}D) AS BIGINT)"
+    high = (f"CAST(SUM({unit} DIV {_CARRY}){over} AS DOUBLE) * {_CARRY}D"
+            f" + CAST(SUM({unit} % {_CARRY}){over} AS DOUBLE)")
+    return f"(({high}) / {_UNITS}D + SUM(({expr}) - {unit} / {_UNITS}D){over})"
 
 
-def col_or_zero(name: str) -> Column:
-    return F.coalesce(F.col(name), F.lit(0.0))
+def exact_sum(col: str | Column) -> Column:
+    """Sum of doubles at full input precision, the same in any task order to the last digits.
 
+    Each value is split into whole units of 1e-4, summed as integers (with a carry, so a total
+    over all history cannot overflow), and the rest, at most 5e-5 each. Values of up to four
+    decimals have no rest: their sum is exact and bit-identical however tasks are re-executed. For
+    others only the sum of the rests depends on the order, by far less than the total's last digit.
+    A value beyond 9.2e14 raises in ANSI mode instead of wrapping. NULLs are skipped.
+    """
+    if isinstance(col, str):
+        return F.expr(_sum_text(f"`{col}`", ""))
+    unit = F.round(col * F.lit(float(_UNITS))).cast("long")
+    high = (F.sum(F.floor(unit / F.lit(_CARRY)).cast("long")).cast("double") * float(_CARRY)
+            + F.sum(F.pmod(unit, F.lit(_CARRY))).cast("double"))
+    return high / float(_UNITS) + F.sum(col - unit / float(_UNITS))
 
-def add_totals(df, internet: str = "internet_activity"):
-    """total_sms, total_calls, total_activity; summed in the fixed order (sms + calls) + internet."""
-    return df.withColumns({
-        "total_sms": F.expr("sms_in + sms_out"),
-        "total_calls": F.expr("call_in + call_out"),
-        "total_activity": F.expr(f"(sms_in + sms_out) + (call_in + call_out) + `{internet}`"),
-    })
 
+def exact_sum_over(col: str, window) -> Column:
+    """``exact_sum`` as a window aggregate."""
+    c = F.col(col)
+    unit = F.round(c * F.lit(float(_UNITS))).cast("long")
+    return (F.sum(unit).over(window).cast("double") / float(_UNITS)
+            + F.sum(c - unit / float(_UNITS)).over(window))
 
-def add_time_parts(df, ts: str = "timestamp"):
-    """date, hour and day_of_week (1 = Sunday ... 7 = Saturday)."""
-    return df.withColumns({
-        "date": F.expr(f"to_date(`{ts}`)"),
-        "hour": F.expr(f"hour(`{ts}`)"),
-        "day_of_week": F.expr(f"dayofweek(`{ts}`)"),
-    })
+
+def guarded_ratio(num: Column, den: Column) -> Column:
+    """``num/den`` when ``den > 0`` else ``0.0`` (NULL den gives 0.0 too)."""
+    return F.when(den > 0, num / den).otherwise(F.lit(0.0))
 
 
 def severity_band(total: Column, bands=S.SEVERITY_BANDS) -> Column:
@@ -107,23 +105,6 @@ def round6(c: Column) -> Column:
     return F.round(c, 6)
 
 
-def blank_to_null(col: str) -> Column:
-    return F.nullif(F.trim(F.col(col)), F.lit(""))
-
-
-def any_negative(cols) -> Column:
-    """True when any measure is negative; a NULL measure counts as not negative (never NULL)."""
-    out = F.lit(False)
-    for c in cols:
-        out = out | F.coalesce(F.col(c) < 0, F.lit(False))
-    return out
-
-
-def grid_id_invalid(col: str = "grid_id", lo: int = S.GRID_ID_MIN, hi: int = S.GRID_ID_MAX) -> Column:
-    c = F.col(col)
-    return c.isNull() | ~c.between(lo, hi)
-
-
 def relative_deviation(x: Column, base: Column) -> Column:
     """``(x - base) / |base| * 100``; NULL when the base is 0 or NULL."""
     return F.when(F.abs(base) > 0, (x - base) / F.abs(base) * 100.0)

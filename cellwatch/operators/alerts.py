@@ -37,14 +37,11 @@ def rule_alerts(dense: DataFrame, high: float = S.HIGH_ACTIVITY_MULTIPLIER, drop
     """HIGH_ACTIVITY / ACTIVITY_DROP / ACTIVITY_SPIKE rows in one pass (explode of a filtered array).
 
     Grids whose daily total is below that day's floor are skipped, rows without a baseline too.
-    The floor table has one row per date and is broadcast behind a row-count check.
+    The floor has one row per date; AQE broadcasts it from its measured size, so the floor's
+    aggregate runs once.
     """
-    from cellwatch.operators.geo import bounded_broadcast
     base = baseline(dense)
-    # One row per date: broadcast after a bounded row-count check, so the dense rows are
-    # never shuffled by date (a date key would leave only as many busy tasks as days).
-    floor = bounded_broadcast(activity_floor(dense, floor_p).withColumnRenamed("activity_floor", "floor"),
-                              max_rows=100_000)
+    floor = activity_floor(dense, floor_p).withColumnRenamed("activity_floor", "floor")
     eligible = (base.join(floor, "date")
                 .where((F.col("daily_total") >= F.col("floor")) & F.col("baseline_activity").isNotNull()))
     cur, b, prev = F.col("total_activity"), F.col("baseline_activity"), F.col("previous_hour_activity")
@@ -93,9 +90,11 @@ def alert_volume(alerts: DataFrame, evaluated: DataFrame, max_share: float = S.M
     alerted = alerts.select("grid_id", "timestamp").distinct().agg(F.count(F.lit(1)).alias("alerted_grid_hours"))
     total = evaluated.agg(F.count(F.lit(1)).alias("evaluated_rows")).select("evaluated_rows").scalar()
     return (alerted.withColumn("evaluated_rows", total)
-            .withColumn("alert_share", round6(F.col("alerted_grid_hours") / F.col("evaluated_rows")))
             .withColumn("max_share", F.lit(max_share))
-            .withColumn("passed", F.col("alert_share") < F.lit(max_share)))
+            .withColumn("passed", F.col("alerted_grid_hours") / F.col("evaluated_rows") < F.lit(max_share))
+            .select("alerted_grid_hours", "evaluated_rows",
+                    round6(F.col("alerted_grid_hours") / F.col("evaluated_rows")).alias("alert_share"),
+                    "max_share", "passed"))
 
 
 def reason_check(alerts: DataFrame) -> DataFrame:

@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 from cellwatch import schema as S
 
 
-RAW_TIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
+# The raw time format, yyyy-MM-dd HH:mm:ss.
+_TIME_SHAPE = "^[0-9]{4}-[0-9]{2}-[0-9]{2} [0-9]{2}:[0-9]{2}:[0-9]{2}$"
 
 
 def normalize_column_names(df: DataFrame) -> DataFrame:
@@ -30,9 +31,14 @@ def rename_canonical(df: DataFrame, strict: bool = False) -> DataFrame:
     return df.withColumnsRenamed(present)
 
 
-def parse_timestamp(col, fmt: str = RAW_TIME_FORMAT):
+def _parsed_time(text: str) -> str:
+    """SQL text: TIMESTAMP_NTZ of ``yyyy-MM-dd HH:mm:ss``, without a way through the session zone."""
+    return f"CASE WHEN ({text}) RLIKE '{_TIME_SHAPE}' THEN try_cast(({text}) AS TIMESTAMP_NTZ) END"
+
+
+def parse_timestamp(col):
     """Text or timestamp -> TIMESTAMP_NTZ; unparseable text -> NULL."""
-    return F.try_to_timestamp(F.col(col).cast("string"), F.lit(fmt)).cast("timestamp_ntz")
+    return F.expr(_parsed_time(f"CAST(`{col}` AS STRING)"))
 
 
 def typed_columns(df: DataFrame) -> DataFrame:
@@ -49,8 +55,7 @@ def typed_columns(df: DataFrame) -> DataFrame:
         return f"try_cast(`{c}` AS {target}) AS `{c}`"
 
     if types.get("timestamp") == "string":
-        ts = (f"CAST(try_to_timestamp(nullif(trim(`timestamp`), ''), '{RAW_TIME_FORMAT}') AS TIMESTAMP_NTZ)"
-              " AS `timestamp`")
+        ts = _parsed_time("trim(`timestamp`)") + " AS `timestamp`"
     else:
         ts = "CAST(`timestamp` AS TIMESTAMP_NTZ) AS `timestamp`"
     typed = {"timestamp": ts, "grid_id": parsed("grid_id", "INT"), "country_code": parsed("country_code", "INT")}
@@ -64,19 +69,25 @@ def blank_counts(df: DataFrame, columns) -> list:
             for c in columns]
 
 
-def reject_reason_sql(grid_lo: int = S.GRID_ID_MIN, grid_hi: int = S.GRID_ID_MAX) -> str:
-    """First failing rule, or NULL for a valid row. Never NULL because of a NULL measure."""
+def reject_reason_sql(grid_lo: int | None = None, grid_hi: int | None = None) -> str:
+    """First failing rule, or NULL for a valid row. Never NULL because of a NULL measure.
+
+    The id domain (P11) is a gate (``quality.valid_values``), not a quarantine rule: only a caller
+    who passes a range has ids outside it rejected.
+    """
+    outside = "" if grid_lo is None else f" OR grid_id < {grid_lo}"
+    outside += "" if grid_hi is None else f" OR grid_id > {grid_hi}"
     negative = " OR ".join(f"coalesce(`{m}` < 0, false)" for m in S.MEASURES)
     return (f"CASE WHEN `timestamp` IS NULL THEN 'invalid_timestamp' "
-            f"WHEN grid_id IS NULL OR NOT (grid_id BETWEEN {grid_lo} AND {grid_hi}) THEN 'invalid_grid_id' "
+            f"WHEN grid_id IS NULL{outside} THEN 'invalid_grid_id' "
             f"WHEN {negative} THEN 'negative_activity' END")
 
 
-def reject_reason(grid_lo: int = S.GRID_ID_MIN, grid_hi: int = S.GRID_ID_MAX):
+def reject_reason(grid_lo: int | None = None, grid_hi: int | None = None):
     return F.expr(reject_reason_sql(grid_lo, grid_hi))
 
 
-def tag_rows(raw: DataFrame, grid_lo: int = S.GRID_ID_MIN, grid_hi: int = S.GRID_ID_MAX) -> DataFrame:
+def tag_rows(raw: DataFrame, grid_lo: int | None = None, grid_hi: int | None = None) -> DataFrame:
     """Rename, type and tag each raw row with its reject reason (NULL = valid)."""
     typed = typed_columns(rename_canonical(raw))
     return typed.selectExpr("*", f"{reject_reason_sql(grid_lo, grid_hi)} AS reject_reason")
@@ -96,7 +107,7 @@ def curate(valid: DataFrame) -> DataFrame:
     return valid.selectExpr(*_CURATED)
 
 
-def clean(raw: DataFrame, grid_lo: int = S.GRID_ID_MIN, grid_hi: int = S.GRID_ID_MAX, with_counts: bool = True):
+def clean(raw: DataFrame, grid_lo: int | None = None, grid_hi: int | None = None, with_counts: bool = True):
     """(clean, rejected, counts). All three are lazy and share one tagged plan; ``counts``
     is None when ``with_counts`` is False (saves building a plan nobody runs)."""
     tagged = tag_rows(raw, grid_lo, grid_hi)

@@ -1,6 +1,6 @@
 """Hourly grid fact and the aggregates over it.
 
-Sums go through DECIMAL so totals are exact and independent of task order; every
+Sums keep the full precision of their inputs (see ``functions.columns.exact_sum``); every
 aggregate is a hash aggregate with map-side partial aggregation, so a hot grid or a hot
 hour is collapsed before the shuffle.
 """
@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cellwatch import schema as S
-from cellwatch.functions.columns import exact_sum, round6
+from cellwatch.functions.columns import day_floor, exact_sum, round6
 
 
 def hourly_grid_summary(clean: DataFrame) -> DataFrame:
@@ -42,8 +42,8 @@ def finish_fact(summed: DataFrame) -> DataFrame:
 def day_bounds(fact: DataFrame, ts: str = "timestamp"):
     """(first day 00:00, last day 23:00) as fields of ONE scalar subquery (evaluated once)."""
     b = fact.select(F.struct(
-        F.date_trunc("day", F.min(ts)).cast("timestamp_ntz").alias("lo"),
-        (F.date_trunc("day", F.max(ts)) + F.expr("INTERVAL 23 HOURS")).cast("timestamp_ntz").alias("hi"))).scalar()
+        F.expr(day_floor(f"min({ts})")).alias("lo"),
+        F.expr(day_floor(f"max({ts})") + " + INTERVAL 23 HOURS").alias("hi"))).scalar()
     return b["lo"], b["hi"]
 
 
@@ -116,8 +116,10 @@ def internet_heavy_windows(fact: DataFrame, n: int = 20) -> DataFrame:
          .agg(exact_sum("internet_activity").alias("internet_activity"),
               exact_sum("total_activity").alias("total_activity"))
          .where(F.col("total_activity") > 0)
-         .withColumn("internet_share", round6(F.col("internet_activity") / F.col("total_activity"))))
-    return t.orderBy(F.desc("internet_share"), F.asc("timestamp")).limit(n)
+         .withColumn("internet_share", F.col("internet_activity") / F.col("total_activity")))
+    # Ranked by the raw share; only the output is rounded.
+    top = t.orderBy(F.desc("internet_share"), F.asc("timestamp")).limit(n)
+    return top.withColumn("internet_share", round6(F.col("internet_share")))
 
 
 def top_grids(fact: DataFrame, n: int = 10) -> DataFrame:

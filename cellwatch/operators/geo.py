@@ -2,8 +2,7 @@
 
 Geometries stay JSON text until needed and are parsed with ``from_json``; centroids are
 higher-order array expressions (``aggregate`` over ``sequence``), so they run in
-whole-stage code with no Python. The grid reference is bounded by the city grid
-(10,000 cells): it is broadcast only after a row-count check proves that bound.
+whole-stage code with no Python. No size is assumed for the grid reference.
 """
 
 from __future__ import annotations
@@ -19,32 +18,22 @@ MULTIPOLYGON_DDL = "type string, coordinates array<array<array<array<double>>>>"
 BROADCAST_MAX_ROWS = 20000
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, proven_rows: int | None = None) -> DataFrame:
-    """Broadcast hint only for a frame whose row count is provably at most ``max_rows``.
+def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """Broadcast hint only for a frame that a check finds to have at most ``max_rows`` rows.
 
-    ``proven_rows`` is a bound that holds by construction (for example: distinct grid ids of
-    a frame filtered to 1..10000); it costs no job. Without it, the check reads at most
-    ``max_rows + 1`` rows. Beyond the bound the frame is returned unhinted: the join stays a
-    shuffle join, and AQE may still switch it to broadcast from measured runtime sizes.
+    The check reads at most ``max_rows + 1`` rows. Beyond the bound the frame is returned unhinted:
+    the join stays a shuffle join, and AQE may still broadcast what it measures as small.
     """
-    if proven_rows is not None:
-        small = proven_rows <= max_rows
-    else:
-        small = df.limit(max_rows + 1).count() <= max_rows
-    return F.broadcast(df) if small else df
+    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
 
 
-def reference_lookup(lookup: DataFrame, lo: int = S.GRID_ID_MIN, hi: int = S.GRID_ID_MAX) -> DataFrame:
-    """Grid reference restricted to valid ids, one row per id (smallest geometry text on a
-    duplicate, so the enrichment join can never multiply fact rows). At most hi - lo + 1 rows."""
-    return (lookup.where(F.col("grid_id").between(lo, hi))
+def reference_lookup(lookup: DataFrame) -> DataFrame:
+    """Grid reference with one row per id (smallest geometry text on a duplicate, so the
+    enrichment join can never multiply fact rows)."""
+    return (lookup.where(F.col("grid_id").isNotNull())
             .groupBy("grid_id").agg(F.min("geometry").alias("geometry")))
 
 
-def reference_bound(lo: int = S.GRID_ID_MIN, hi: int = S.GRID_ID_MAX) -> int:
-    return hi - lo + 1
-
-
 def geometry_reference(grid_id: Column) -> Column:
     """Stable text key of a cell's geometry."""
     return F.concat(F.lit(S.GEOMETRY_REFERENCE_PREFIX), grid_id.cast("string"))
@@ -92,10 +81,10 @@ def vertex_centroid(geometry: Column) -> Column:
     return F.when(n > 0, F.struct(lon.alias("lon"), lat.alias("lat")))
 
 
-def with_centroids(lookup: DataFrame) -> DataFrame:
+def with_centroids(lookup: DataFrame, *more: str) -> DataFrame:
     """Lookup + both centroid forms as plain columns."""
     a, v = area_centroid(F.col("geometry")), vertex_centroid(F.col("geometry"))
-    return lookup.select("grid_id", "geometry",
+    return lookup.select("grid_id", *more, "geometry",
                          a["lon"].alias("centroid_longitude"), a["lat"].alias("centroid_latitude"),
                          v["lon"].alias("vertex_longitude"), v["lat"].alias("vertex_latitude"))
 
@@ -106,7 +95,8 @@ def geo_enrich(fact: DataFrame, lookup: DataFrame, broadcast: bool = True) -> Da
     ``broadcast=False`` is the J2 baseline: the same join planned as a shuffle join.
     """
     ref = with_centroids(reference_lookup(lookup)).select("grid_id", "centroid_longitude", "centroid_latitude")
-    ref = bounded_broadcast(ref, proven_rows=reference_bound()) if broadcast else ref.hint("shuffle_merge")
+    # No size is assumed for the reference: AQE broadcasts it when it measures small.
+    ref = ref if broadcast else ref.hint("shuffle_merge")
     return (fact.join(ref, "grid_id", "left")
             .withColumn("geometry_reference",
                         F.when(F.col("centroid_longitude").isNotNull(), geometry_reference(F.col("grid_id")))))
@@ -150,5 +140,8 @@ def top_grids_with_geometry(fact: DataFrame, lookup: DataFrame, n: int = 10) ->
     """K2: aggregate by grid first, keep the top n, attach centroids to those n rows only."""
     from cellwatch.operators.facts import top_grids
     top = top_grids(fact, n).select("grid_id", "total_activity")
-    ref = with_centroids(lookup).select("grid_id", "centroid_longitude", "centroid_latitude")
-    return top.join(ref, "grid_id", "left")
+    # Raw geometry is joined to the n rows first, one per id; centroids are computed for these only.
+    own = reference_lookup(lookup.join(F.broadcast(top.select("grid_id")), "grid_id", "left_semi"))
+    joined = with_centroids(top.join(own, "grid_id", "left"), "total_activity")
+    return (joined.select("grid_id", "total_activity", "centroid_longitude", "centroid_latitude")
+            .orderBy(F.desc("total_activity"), F.asc("grid_id")))

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cellwatch import schema as S
+from cellwatch.functions.columns import hour_floor
 
 PIPELINE_NAME = "telecom_network_pipeline"
 MAX_REJECTED_SHARE = 0.02
@@ -35,7 +36,7 @@ def file_runs(tagged: DataFrame, max_rejected_share: float = MAX_REJECTED_SHARE,
     input / rejected / published rows per file, validation by the rejected share. Published rows
     are the file's hourly grid rows. The span of the file's data stands in for start/end."""
     valid = F.col("reject_reason").isNull()
-    hour_key = F.when(valid, F.struct(F.date_trunc("hour", "timestamp").alias("h"), F.col("grid_id").alias("g")))
+    hour_key = F.when(valid, F.struct(F.expr(hour_floor("timestamp")).alias("h"), F.col("grid_id").alias("g")))
     per_file = tagged.groupBy("source_file").agg(
         F.count(F.lit(1)).alias("input_rows"),
         F.sum(F.when(~valid, 1).otherwise(0)).cast("long").alias("rejected_rows"),

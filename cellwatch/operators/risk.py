@@ -50,9 +50,7 @@ def risk_labels(split: DataFrame, p: float = S.POSITIVE_PERCENTILE) -> DataFrame
     """Per-grid p-quantile of train future activity, else the overall train quantile
     (exact and distributed, see functions.quantiles); risk_label = future >= threshold."""
     train = split.where(F.col("split") == "train")
-    from cellwatch.operators.geo import bounded_broadcast, reference_bound
     per_grid = train.groupBy("grid_id").agg(F.percentile("future_activity", F.lit(p)).alias("grid_threshold"))
-    per_grid = bounded_broadcast(per_grid, proven_rows=reference_bound())  # one row per valid grid id
     overall = exact_quantile(train, "future_activity", p)
     out = split.join(per_grid, "grid_id", "left").withColumn(
         "_threshold", F.coalesce(F.col("grid_threshold"), F.lit(overall).cast("double"))).drop("grid_threshold")
@@ -81,9 +79,11 @@ def train(train_rows: DataFrame, features=S.FEATURE_COLUMNS, max_iter: int = 100
     # Many passes follow (imputer, scaler, optimizer iterations): cut the lineage once into
     # the shared checkpoint folder so a lost executor does not replay the whole chain.
     rows = cut_lineage(_clean_features(train_rows, features))
-    n = rows.agg(F.count(F.lit(1))).first()[0]
+    n, classes = rows.agg(F.count(F.lit(1)), F.count_distinct(label)).first()
     if n == 0:
         raise ValueError("empty training split")
+    if classes < 2:
+        raise ValueError("the training split has one class only")
     imputed = [f"{c}__imp" for c in features]
     stages = [Imputer(inputCols=list(features), outputCols=imputed, strategy="median"),
               VectorAssembler(inputCols=imputed, outputCol="__raw", handleInvalid="keep"),
@@ -111,7 +111,24 @@ def evaluate(predictions: DataFrame, label: str = "risk_label") -> DataFrame:
     return predictions.groupBy("split").agg(
         F.count(F.lit(1)).alias("rows"), F.avg(y.cast("double")).alias("base_rate"),
         F.avg((y == yh).cast("double")).alias("accuracy"),
-        F.try_divide(tp, tp + fp).alias("precision"), F.try_divide(tp, tp + fn).alias("recall"))
+        # An empty denominator counts as 0.
+        F.coalesce(F.try_divide(tp, tp + fp), F.lit(0.0)).alias("precision"),
+        F.coalesce(F.try_divide(tp, tp + fn), F.lit(0.0)).alias("recall"))
+
+
+def class_report(predictions: DataFrame, label: str = "risk_label") -> DataFrame:
+    """M5 report: per split and class, support, precision, recall and F1 (0 on an empty denominator)."""
+    seen = predictions.select("split", F.col(label).cast("int").alias("y"), F.col("model_prediction").alias("yh"))
+    each = seen.select("split", F.explode(F.array(F.lit(0), F.lit(1))).alias("class"), "y", "yh")
+    hit = lambda c: F.sum(F.when(c, 1).otherwise(0)).cast("double")
+    k = F.col("class")
+    t = each.groupBy("split", "class").agg(
+        hit(F.col("y") == k).cast("long").alias("support"), hit((F.col("y") == k) & (F.col("yh") == k)).alias("tp"),
+        hit(F.col("yh") == k).alias("said"))
+    zero = lambda c: F.coalesce(c, F.lit(0.0))
+    p, r = zero(F.try_divide("tp", "said")), zero(F.try_divide(F.col("tp"), F.col("support")))
+    return t.select("split", "class", "support", p.alias("precision"), r.alias("recall"),
+                    zero(F.try_divide(2 * p * r, p + r)).alias("f1"))
 
 
 def coefficients(spark, model: PipelineModel, features=S.FEATURE_COLUMNS) -> DataFrame:
@@ -141,10 +158,26 @@ def agreement_matrix(predictions: DataFrame, alerts: DataFrame, prediction_col:
                  cnt((m == 0) & (a == 1)).alias("rules_only"))
 
 
+def predict_linear(df: DataFrame, model: dict, intercept: float) -> DataFrame:
+    """The columns of ``predict`` from given numbers: per feature (imputation value, coefficient)."""
+    cleaned = _clean_features(df, list(model))
+    logit = F.lit(intercept)
+    for c, (fill, weight) in model.items():
+        logit = logit + F.lit(weight) * F.coalesce(F.col(c), F.lit(fill))
+    p = 1 / (1 + F.exp(-logit))
+    out = cleaned.withColumn("model_probability", p)
+    return out.withColumns({"model_prediction": (F.col("model_probability") >= 0.5).cast("int"),
+                            "confidence": F.greatest("model_probability", 1 - F.col("model_probability"))})
+
+
 def score(features: DataFrame, model: PipelineModel, threshold: float = S.RISK_THRESHOLD,
           version: str = S.MODEL_VERSION) -> DataFrame:
-    """M8: risk_score = P(class 1) rounded to 6 places, level by threshold, model version."""
-    p = predict(model, features)
+    """M8: every given row scored by the trained model."""
+    return score_rows(predict(model, features), threshold, version)
+
+
+def score_rows(p: DataFrame, threshold: float = S.RISK_THRESHOLD, version: str = S.MODEL_VERSION) -> DataFrame:
+    """risk_score = P(class 1) rounded to 6 places, level by threshold, model version."""
     return p.select("grid_id", "feature_timestamp",
                     F.round(F.col("model_probability"), 6).alias("risk_score"),
                     F.when(F.col("model_probability") >= threshold, "high").otherwise("low").alias("risk_level"),

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cellwatch import schema as S
-from cellwatch.functions.columns import exact_sum, exact_total, guarded_ratio, ntz_literal, severity_band
+from cellwatch.functions.columns import exact_sum, guarded_ratio, ntz_literal, severity_band
 from cellwatch.operators.windows import trailing_rows
 
 
@@ -46,7 +46,7 @@ def network_summary(rows: DataFrame, as_of: datetime | None = None) -> DataFrame
     t = effective_as_of(rows, as_of)
     cur = as_of_rows(rows, t)
     g = cur.groupingSets([["hour"], ["grid_id"], []], "hour", "grid_id").agg(
-        exact_total("total_activity").alias("v"), F.grouping_id().alias("gid"))
+        exact_sum("total_activity").alias("v"), F.grouping_id().alias("gid"))
     # gid: 1 = grouped by hour (grid_id aggregated away), 2 = by grid_id, 3 = grand total
     by_hour, by_grid = F.col("gid") == 1, F.col("gid") == 2
     best_hour = F.max(F.when(by_hour, F.struct(F.col("v"), (-F.col("hour")).alias("k"))))

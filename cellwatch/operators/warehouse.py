@@ -2,7 +2,7 @@
 
 Dimensions are small by construction (hours of the data, cells of the city grid); their
 surrogate keys come from ``row_number`` over those bounded distinct sets, and the fact
-looks them up through size-checked broadcast joins, so the fact itself never shuffles.
+looks them up through joins that AQE broadcasts when they measure small.
 """
 
 from __future__ import annotations
@@ -10,19 +10,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cellwatch.functions.columns import exact_sum, exact_total
-from cellwatch.operators.geo import (bounded_broadcast, geometry_reference, reference_bound, reference_lookup,
-                                     vertex_centroid)
+from cellwatch.functions.columns import exact_sum, second_floor
+from cellwatch.operators.geo import geometry_reference, reference_lookup, vertex_centroid
 from cellwatch.operators.windows import surrogate_key
 
 FACT_MEASURES = ["sms_in", "sms_out", "call_in", "call_out", "internet_activity",
                  "total_sms", "total_calls", "total_activity", "internet_share"]
-DIM_GRID_MAX_ROWS = 20000
 
 
 def dim_time(fact: DataFrame) -> DataFrame:
     """time_key 1..n by timestamp; day_of_week here is 1 = Monday ... 7 = Sunday."""
-    ts = fact.select(F.date_trunc("second", "timestamp").cast("timestamp_ntz").alias("timestamp")).distinct()
+    ts = fact.select(F.expr(second_floor("timestamp")).alias("timestamp")).distinct()
     return (surrogate_key(ts, "timestamp", "time_key")
             .select("time_key", "timestamp", F.to_date("timestamp").alias("date"),
                     F.hour("timestamp").alias("hour"), (F.weekday("timestamp") + 1).alias("day_of_week")))
@@ -34,27 +32,38 @@ def dim_grid(fact: DataFrame, lookup: DataFrame) -> DataFrame:
     observed = fact.select("grid_id").distinct()
     ref = reference_lookup(lookup).join(observed, "grid_id", "left_semi")
     c = vertex_centroid(F.col("geometry"))
-    ref = ref.select("grid_id", c["lat"].alias("centroid_latitude"), c["lon"].alias("centroid_longitude"))
+    ref = ref.select("grid_id", c["lat"].alias("centroid_latitude"), c["lon"].alias("centroid_longitude"),
+                     F.lit(True).alias("has_geometry"))
     grids = observed.join(ref, "grid_id", "left")
     return (surrogate_key(grids, "grid_id", "grid_key")
             .select("grid_key", "grid_id", "centroid_latitude", "centroid_longitude",
-                    geometry_reference(F.col("grid_id")).alias("geometry_reference")))
+                    F.when(F.col("has_geometry"), geometry_reference(F.col("grid_id"))).alias("geometry_reference")))
 
 
 def fact_activity(fact: DataFrame, dim_t: DataFrame, dim_g: DataFrame) -> DataFrame:
     """Many-to-one key lookups (second-precision timestamp key, P21) -> (time_key, grid_key, 9 measures).
 
-    dim_grid holds only valid grid ids, so its size is proven by construction and it is
-    broadcast; dim_time grows with the time span, so its join is left to AQE's runtime
-    size check (broadcast when small, shuffle join otherwise).
+    Both dimensions grow with the data, so no size is assumed: AQE broadcasts the one it measures
+    as small, else the join shuffles. ``lookup_findings`` checks the keys.
     """
     t = dim_t.select("timestamp", "time_key")
-    g = bounded_broadcast(dim_g.select("grid_id", "grid_key"), DIM_GRID_MAX_ROWS, reference_bound())
-    keyed = fact.withColumn("timestamp", F.date_trunc("second", "timestamp").cast("timestamp_ntz"))
+    g = dim_g.select("grid_id", "grid_key")
+    keyed = fact.withColumn("timestamp", F.expr(second_floor("timestamp")))
     return (keyed.join(t, "timestamp", "left").join(g, "grid_id", "left")
             .select("time_key", "grid_key", *FACT_MEASURES))
 
 
+def lookup_findings(fact: DataFrame, dim: DataFrame, on: str, key: str) -> DataFrame:
+    """J5 guard: the lookup is many-to-one (no duplicate in ``dim``) and every fact value has a key."""
+    from cellwatch.operators.quality import _finding
+    twice = dim.groupBy(on).agg(F.count(F.lit(1)).alias("n")).where("n > 1").agg(F.count(F.lit(1)).alias("n"))
+    known = dim.where(F.col(key).isNotNull()).select(F.col(on).alias("_known")).distinct()
+    missing = (fact.select(on).distinct().join(known, F.col(on) == F.col("_known"), "left_anti")
+               .agg(F.count(F.lit(1)).alias("n")))
+    return (twice.select(*_finding(f"{key}_many_to_one", F.col("n") == 0, F.col("n"), "0"))
+            .unionByName(missing.select(*_finding(f"{key}_found", F.col("n") == 0, F.col("n"), "0"))))
+
+
 def star(fact: DataFrame, lookup: DataFrame):
     """(dim_time, dim_grid, fact_activity)."""
     dt, dg = dim_time(fact), dim_grid(fact, lookup)
@@ -64,7 +73,7 @@ def star(fact: DataFrame, lookup: DataFrame):
 def star_view(dim_t: DataFrame, dim_g: DataFrame, fact_a: DataFrame) -> DataFrame:
     """Fact joined back to both dimensions (inner), the shape the serving queries read."""
     t = dim_t.select("time_key", "timestamp", "date", "hour")
-    g = bounded_broadcast(dim_g.select("grid_key", "grid_id"), DIM_GRID_MAX_ROWS, reference_bound())
+    g = dim_g.select("grid_key", "grid_id")
     return fact_a.join(t, "time_key").join(g, "grid_key")
 
 
@@ -96,9 +105,9 @@ def reconciliation(source: DataFrame, star_rows: DataFrame, rel: float = 1e-9, a
                 .agg(F.max(F.struct(F.col("v"), (-F.col("grid_id")).alias("k"))).alias("b")))
         return best.select((-F.col("b.k")).cast("int")).scalar()
 
-    s_rows, s_total = source.agg(F.count(F.lit(1))).scalar(), source.agg(exact_total("total_activity")).scalar()
+    s_rows, s_total = source.agg(F.count(F.lit(1))).scalar(), source.agg(exact_sum("total_activity")).scalar()
     out = star_rows.agg(F.count(F.lit(1)).alias("warehouse_rows"),
-                        exact_total("total_activity").alias("warehouse_total"))
+                        exact_sum("total_activity").alias("warehouse_total"))
     out = out.select(s_rows.alias("source_rows"), "warehouse_rows", s_total.alias("source_total"),
                      "warehouse_total", top(source).alias("source_top_grid"),
                      top(star_rows).alias("warehouse_top_grid"))

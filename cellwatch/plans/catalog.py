@@ -11,8 +11,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cellwatch.operators import facts as Fa
+from cellwatch.plans import oracle as O
 from cellwatch.plans import pipeline as P
 from cellwatch.plans.oracle import sql
+from cellwatch.sources import fixtures as X
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -30,7 +32,7 @@ def register(name: str, oracle: str | None = None):
 
 
 def _dsum(c: str, alias: str | None = None) -> str:
-    return f"CAST(SUM(CAST({c} AS DECIMAL(38,4))) AS DOUBLE) AS {alias or c}"
+    return f"CAST(SUM(CAST({c} AS DECIMAL(38,10))) AS DOUBLE) AS {alias or c}"
 
 
 # ---------------------------------------------------------------- cleaning
@@ -131,7 +133,7 @@ SELECT timestamp, internet_activity, total_activity,
        round(internet_activity / total_activity, 6) AS internet_share
 FROM (SELECT timestamp, {_dsum('internet_activity')}, {_dsum('total_activity')} FROM fact GROUP BY timestamp)
 WHERE total_activity > 0
-ORDER BY internet_share DESC, timestamp LIMIT 20""", "fact"))
+ORDER BY internet_activity / total_activity DESC, timestamp LIMIT 20""", "fact"))
 def q_internet_heavy_windows(spark, sf_dir):
     return Fa.internet_heavy_windows(P.fact(spark, sf_dir))
 
@@ -311,7 +313,7 @@ def q_top_alerted_grids(spark, sf_dir):
 
 @register("alert_volume", sql("""
 SELECT a.n AS alerted_grid_hours, d.n AS evaluated_rows, round(a.n / d.n, 6) AS alert_share,
-       CAST(0.25 AS DOUBLE) AS max_share, round(a.n / d.n, 6) < 0.25 AS passed
+       CAST(0.25 AS DOUBLE) AS max_share, a.n / d.n < 0.25 AS passed
 FROM (SELECT count(*) AS n FROM (SELECT DISTINCT grid_id, timestamp FROM alerts)) a,
      (SELECT count(*) AS n FROM dense) d""", "alerts", "dense"))
 def q_alert_volume(spark, sf_dir):
@@ -410,7 +412,7 @@ def q_unmatched_grids(spark, sf_dir):
 @register("top_grids_geo", sql("""
 SELECT t.grid_id, t.total_activity, round(r.centroid_longitude, 6) AS centroid_longitude,
        round(r.centroid_latitude, 6) AS centroid_latitude
-FROM (SELECT grid_id, CAST(SUM(CAST(total_activity AS DECIMAL(38,4))) AS DOUBLE) AS total_activity
+FROM (SELECT grid_id, CAST(SUM(CAST(total_activity AS DECIMAL(38,10))) AS DOUBLE) AS total_activity
       FROM fact GROUP BY grid_id ORDER BY total_activity DESC, grid_id LIMIT 10) t
 LEFT JOIN ref_centroids r USING (grid_id)""", "fact", "ref_centroids"))
 def q_top_grids_geo(spark, sf_dir):
@@ -466,14 +468,14 @@ def q_warehouse_integrity(spark, sf_dir):
     return Wh.integrity(*P.star(spark, sf_dir))
 
 
-_TOP = """(SELECT grid_id FROM (SELECT grid_id, CAST(SUM(CAST(total_activity AS DECIMAL(38,4))) AS DOUBLE) AS v
+_TOP = """(SELECT grid_id FROM (SELECT grid_id, CAST(SUM(CAST(total_activity AS DECIMAL(38,10))) AS DOUBLE) AS v
                               FROM fact GROUP BY grid_id) ORDER BY v DESC, grid_id LIMIT 1)"""
 
 
 @register("reconciliation", sql(f"""
 SELECT (SELECT count(*) FROM fact) AS source_rows, (SELECT count(*) FROM fact_activity) AS warehouse_rows,
-       (SELECT CAST(SUM(CAST(total_activity AS DECIMAL(38,4))) AS DOUBLE) FROM fact) AS source_total,
-       (SELECT CAST(SUM(CAST(total_activity AS DECIMAL(38,4))) AS DOUBLE) FROM fact_activity) AS warehouse_total,
+       (SELECT CAST(SUM(CAST(total_activity AS DECIMAL(38,10))) AS DOUBLE) FROM fact) AS source_total,
+       (SELECT CAST(SUM(CAST(total_activity AS DECIMAL(38,10))) AS DOUBLE) FROM fact_activity) AS warehouse_total,
        {_TOP} AS source_top_grid, {_TOP} AS warehouse_top_grid,
        (SELECT count(*) FROM fact) = (SELECT count(*) FROM fact_activity) AS passed""",
     "fact", "fact_activity"))
@@ -493,7 +495,7 @@ def q_star_hourly_trend(spark, sf_dir):
 
 @register("network_summary", sql(f"""
 SELECT (SELECT t FROM as_of_t) AS as_of,
-       CAST(SUM(CAST(total_activity AS DECIMAL(38,4))) AS DOUBLE) AS total_activity,
+       CAST(SUM(CAST(total_activity AS DECIMAL(38,10))) AS DOUBLE) AS total_activity,
        count(DISTINCT grid_id) AS active_grids,
        (SELECT hour FROM (SELECT hour, {_dsum('total_activity', 'v')} FROM fact
                           WHERE timestamp <= (SELECT t FROM as_of_t) GROUP BY hour) ORDER BY v DESC, hour LIMIT 1)
@@ -555,10 +557,10 @@ SELECT grid_id, feature_timestamp, round(s / n, 6) AS avg_activity,
        CASE WHEN feature_timestamp >= (SELECT t FROM as_of_t) THEN 'fresh'
             WHEN (SELECT t FROM as_of_t) - feature_timestamp <= INTERVAL 3 HOUR THEN 'stale'
             ELSE 'very_stale' END AS feature_freshness
-FROM (SELECT grid_id, count(*) AS n, CAST(SUM(CAST(total_activity AS DECIMAL(38,4))) AS DOUBLE) AS s,
+FROM (SELECT grid_id, count(*) AS n, CAST(SUM(CAST(total_activity AS DECIMAL(38,10))) AS DOUBLE) AS s,
              max(total_activity) AS peak,
              sum(CASE WHEN total_activity > 0 THEN 1 ELSE 0 END) AS active_hours,
-             CAST(SUM(CAST(internet_activity AS DECIMAL(38,4))) AS DOUBLE) AS si,
+             CAST(SUM(CAST(internet_activity AS DECIMAL(38,10))) AS DOUBLE) AS si,
              stddev_pop(total_activity) AS sd, arg_max(total_activity, timestamp) AS last,
              max(timestamp) AS feature_timestamp
       FROM fact WHERE timestamp >= (SELECT t FROM as_of_t) - INTERVAL 23 HOUR AND timestamp <= (SELECT t FROM as_of_t)
@@ -590,7 +592,7 @@ def q_rolling_features(spark, sf_dir):
 
 @register("future_labels", sql(f"SELECT * REPLACE ({_round_sql(_FEAT_ROUND)}) FROM labelled0", "labelled0"))
 def q_future_labels(spark, sf_dir):
-    return _round_cols(R.future_labels(P.features(spark, sf_dir), P.dense_fact(spark, sf_dir)), _FEAT_ROUND)
+    return _round_cols(P.labels(spark, sf_dir), _FEAT_ROUND)
 
 
 @register("chrono_split", sql("""
@@ -598,9 +600,7 @@ SELECT split, count(*) AS rows, min(feature_timestamp) AS first_timestamp, max(f
        count(DISTINCT feature_timestamp) AS timestamps
 FROM split GROUP BY split""", "split"))
 def q_chrono_split(spark, sf_dir):
-    from cellwatch.session import cut_lineage
-    lab = cut_lineage(R.future_labels(P.features(spark, sf_dir), P.dense_fact(spark, sf_dir)))
-    return (R.chrono_split(lab).groupBy("split")
+    return (R.chrono_split(P.labels(spark, sf_dir)).groupBy("split")
             .agg(F.count(F.lit(1)).alias("rows"), F.min("feature_timestamp").alias("first_timestamp"),
                  F.max("feature_timestamp").alias("last_timestamp"),
                  F.count_distinct("feature_timestamp").alias("timestamps")))
@@ -636,9 +636,7 @@ FROM (SELECT CAST(l.future_activity >= l._threshold AS INTEGER) AS m,
       FROM labelled l)""", "labelled", "alerts"))
 def q_agreement_matrix(spark, sf_dir):
     """The label rule stands in for the model flag so that the matrix has an exact oracle."""
-    dense = P.dense_fact(spark, sf_dir)
-    return R.agreement_matrix(P.labelled(spark, sf_dir, dense), P.alerts(spark, sf_dir, dense),
-                              prediction_col="risk_label")
+    return R.agreement_matrix(P.labelled(spark, sf_dir), P.alerts(spark, sf_dir), prediction_col="risk_label")
 
 
 _SCORE_ROUND = ["hour_of_day_baseline", "deviation", "anomaly_score"]
@@ -696,9 +694,8 @@ FROM (SELECT s.grid_id, s.timestamp, CAST(s.direction <> 'NORMAL' AS INTEGER) AS
       FROM scored s)""", "scored", "alerts", "labelled"))
 def q_three_way_comparison(spark, sf_dir):
     """The label rule stands in for the model flag so that the comparison has an exact oracle."""
-    dense = P.dense_fact(spark, sf_dir)
-    return An.three_way(P.anomalies(spark, sf_dir, dense), P.alerts(spark, sf_dir, dense),
-                        P.labelled(spark, sf_dir, dense), prediction_col="risk_label")
+    return An.three_way(P.anomalies(spark, sf_dir), P.alerts(spark, sf_dir), P.labelled(spark, sf_dir),
+                        prediction_col="risk_label")
 
 
 # ---------------------------------------------------------------- run health and metrics
@@ -767,53 +764,115 @@ def q_file_traceability(spark, sf_dir):
     return Q.file_traceability(P.dirty_activity(spark, sf_dir))
 
 
-# ---------------------------------------------------------------- model (M4-M10, K6): rows-only checks
+# ---------------------------------------------------------------- model
+
+# A documented constant model, so that the scoring operators have an exact oracle: imputation values
+# and coefficients by feature column, then the intercept. The trained queries follow it.
+FIXED_MODEL = {"avg_activity": (40.0, 0.01), "activity_growth": (0.0, 0.3), "active_hours": (18.0, -0.05),
+               "peak_ratio": (2.0, 0.2), "variability": (0.5, -0.4), "internet_share": (0.2, 0.6)}
+FIXED_INTERCEPT = -0.5
+
+_LOGIT = " + ".join([str(FIXED_INTERCEPT), *(
+    f"{w} * coalesce(CASE WHEN isinf({c}) THEN NULL ELSE CAST({c} AS DOUBLE) END, {m})" for c, (m, w) in FIXED_MODEL.items())])
+O.add_cte("fixed_scores", ["labelled0", "features"], f"""
+SELECT grid_id, feature_timestamp, 1 / (1 + exp(-({_LOGIT}))) AS p FROM features""")
+O.add_cte("fixed_predictions", ["labelled", "fixed_scores"], """
+SELECT l.split, CAST(l.future_activity >= l._threshold AS INTEGER) AS y, CAST(s.p >= 0.5 AS INTEGER) AS yh,
+       l.grid_id, l.feature_timestamp
+FROM labelled l JOIN fixed_scores s ON s.grid_id = l.grid_id AND s.feature_timestamp = l.feature_timestamp""")
+
+
+def _fixed(df):
+    return R.predict_linear(df, FIXED_MODEL, FIXED_INTERCEPT)
+
+
+@register("risk_scores_fixed", sql("""
+SELECT grid_id, feature_timestamp, round(p, 6) AS risk_score,
+       CASE WHEN p >= 0.5 THEN 'high' ELSE 'low' END AS risk_level, 'fixed-v1' AS model_version
+FROM fixed_scores""", "fixed_scores"))
+def q_risk_scores_fixed(spark, sf_dir):
+    """M8 / P19 / P20 over every feature row."""
+    return R.score_rows(_fixed(P.features(spark, sf_dir)), version="fixed-v1")
 
-def _scored(spark, sf_dir):
-    lab = P.labelled(spark, sf_dir)
-    model = R.train(lab.where(F.col("split") == "train"))
-    return lab, model
 
+@register("top_risk_fixed", sql("""
+SELECT grid_id, feature_timestamp, round(p, 6) AS risk_score,
+       CASE WHEN p >= 0.5 THEN 'high' ELSE 'low' END AS risk_level, 'fixed-v1' AS model_version
+FROM fixed_scores ORDER BY round(p, 6) DESC, grid_id, feature_timestamp LIMIT 20""", "fixed_scores"))
+def q_top_risk_fixed(spark, sf_dir):
+    return R.top_risk(R.score_rows(_fixed(P.features(spark, sf_dir)), version="fixed-v1"))
+
+
+@register("model_evaluation_fixed", sql("""
+SELECT split, count(*) AS rows, round(avg(CAST(y AS DOUBLE)), 6) AS base_rate,
+       round(avg(CASE WHEN y = yh THEN 1.0 ELSE 0.0 END), 6) AS accuracy,
+       round(coalesce(sum(y * yh) / nullif(sum(yh), 0), 0.0), 6) AS precision,
+       round(coalesce(sum(y * yh) / nullif(sum(y), 0), 0.0), 6) AS recall
+FROM fixed_predictions GROUP BY split""", "fixed_predictions"))
+def q_model_evaluation_fixed(spark, sf_dir):
+    e = R.evaluate(_fixed(P.labelled(spark, sf_dir)))
+    return _round_cols(e, ["base_rate", "accuracy", "precision", "recall"])
+
+
+@register("class_report_fixed", sql("""
+SELECT split, class, support, round(p, 6) AS precision, round(r, 6) AS recall,
+       round(coalesce(2 * p * r / nullif(p + r, 0), 0.0), 6) AS f1
+FROM (SELECT split, class, CAST(sum(CASE WHEN y = class THEN 1 ELSE 0 END) AS BIGINT) AS support,
+             coalesce(sum(CASE WHEN y = class AND yh = class THEN 1.0 ELSE 0.0 END)
+                      / nullif(sum(CASE WHEN yh = class THEN 1.0 ELSE 0.0 END), 0), 0.0) AS p,
+             coalesce(sum(CASE WHEN y = class AND yh = class THEN 1.0 ELSE 0.0 END)
+                      / nullif(sum(CASE WHEN y = class THEN 1.0 ELSE 0.0 END), 0), 0.0) AS r
+      FROM fixed_predictions, (SELECT unnest([0, 1]) AS class) GROUP BY split, class)""", "fixed_predictions"))
+def q_class_report_fixed(spark, sf_dir):
+    return _round_cols(R.class_report(_fixed(P.labelled(spark, sf_dir))), ["precision", "recall", "f1"])
+
+
+@register("model_agreement_fixed", sql("""
+SELECT count(*) AS rows, CAST(sum(CASE WHEN m = a THEN 1 ELSE 0 END) AS BIGINT) AS agreement,
+       round(avg(CASE WHEN m = a THEN 1.0 ELSE 0.0 END), 6) AS agreement_rate,
+       CAST(sum(CASE WHEN m = 1 AND a = 1 THEN 1 ELSE 0 END) AS BIGINT) AS both_alert,
+       CAST(sum(CASE WHEN m = 0 AND a = 0 THEN 1 ELSE 0 END) AS BIGINT) AS both_no_alert,
+       CAST(sum(CASE WHEN m = 1 AND a = 0 THEN 1 ELSE 0 END) AS BIGINT) AS model_only,
+       CAST(sum(CASE WHEN m = 0 AND a = 1 THEN 1 ELSE 0 END) AS BIGINT) AS rules_only
+FROM (SELECT l.yh AS m, CASE WHEN EXISTS (SELECT 1 FROM alerts x WHERE x.grid_id = l.grid_id
+                               AND x.timestamp = l.feature_timestamp) THEN 1 ELSE 0 END AS a
+      FROM fixed_predictions l)""", "fixed_predictions", "alerts"))
+def q_model_agreement_fixed(spark, sf_dir):
+    return R.agreement_matrix(_fixed(P.labelled(spark, sf_dir)), P.alerts(spark, sf_dir))
+
+
+# The trained model: rows-only checks, tested against a Newton solve.
 
 @register("risk_scores")
 def q_risk_scores(spark, sf_dir):
-    lab, model = _scored(spark, sf_dir)
-    return R.score(lab.where(F.col("split") == "test").select("grid_id", "feature_timestamp", *_S.FEATURE_COLUMNS),
-                   model)
+    """Every feature row is scored."""
+    return R.score(P.features(spark, sf_dir), P.model(spark, sf_dir))
 
 
 @register("top_risk_report")
 def q_top_risk_report(spark, sf_dir):
-    lab, model = _scored(spark, sf_dir)
-    return R.top_risk(R.score(lab.select("grid_id", "feature_timestamp", *_S.FEATURE_COLUMNS), model))
+    return R.top_risk(R.score(P.features(spark, sf_dir), P.model(spark, sf_dir)))
 
 
 @register("model_coefficients")
 def q_model_coefficients(spark, sf_dir):
-    _, model = _scored(spark, sf_dir)
-    return R.coefficients(spark, model)
+    return R.coefficients(spark, P.model(spark, sf_dir))
 
 
 @register("model_evaluation")
 def q_model_evaluation(spark, sf_dir):
-    lab, model = _scored(spark, sf_dir)
-    return R.evaluate(R.predict(model, lab))
+    return R.evaluate(R.predict(P.model(spark, sf_dir), P.labelled(spark, sf_dir)))
 
 
 @register("model_agreement")
 def q_model_agreement(spark, sf_dir):
-    dense = P.dense_fact(spark, sf_dir)
-    lab = P.labelled(spark, sf_dir, dense)
-    model = R.train(lab.where(F.col("split") == "train"))
-    return R.agreement_matrix(R.predict(model, lab.where(F.col("split") == "test")), P.alerts(spark, sf_dir, dense))
+    test = P.labelled(spark, sf_dir).where(F.col("split") == "test")
+    return R.agreement_matrix(R.predict(P.model(spark, sf_dir), test), P.alerts(spark, sf_dir))
 
 
 @register("latest_risk")
 def q_latest_risk(spark, sf_dir):
-    dense = P.dense_fact(spark, sf_dir)
-    lab = P.labelled(spark, sf_dir, dense)
-    model = R.train(lab.where(F.col("split") == "train"))
-    return R.latest_risk(P.features(spark, sf_dir, dense), model)
+    return R.latest_risk(P.features(spark, sf_dir), P.model(spark, sf_dir))
 
 
 # ---------------------------------------------------------------- streaming form of the clean path
@@ -883,3 +942,45 @@ UNION ALL SELECT 'processed', 'forbidden_columns', true, '-', '-'
 UNION ALL SELECT 'processed', 'required_columns', true, '-', '-'""", "fact"))
 def q_processed_gate(spark, sf_dir):
     return Ga.processed_gate(P.fact(spark, sf_dir))
+
+
+# ---------------------------------------------------------------- full precision, ids of any size, gates
+
+@register("hourly_grid_summary_fine", sql(f"""
+SELECT CAST(date_trunc('hour', ts) AS TIMESTAMP) AS timestamp, CAST(user_id // 15 + 9996 AS INTEGER) AS grid_id,
+       {", ".join(f"coalesce(round(fsum(CASE WHEN event_type = '{et}' THEN value / 7e5 END), 9), 0) AS {name}"
+                  for et, name in (("click", "sms_in"), ("view", "sms_out"), ("signup", "call_in"),
+                                   ("error", "call_out"), ("purchase", "internet_activity")))}
+FROM events GROUP BY 1, 2"""))
+def q_hourly_grid_summary_fine(spark, sf_dir):
+    """A1 / D2 on small values of many decimals and ids beyond 10,000: nothing is rounded or rejected."""
+    ev = P.events(spark, sf_dir).withColumns({"value": F.col("value") / 7e5, "user_id": F.col("user_id") + 15 * 9995})
+    fact = Fa.hourly_grid_summary(Cl.clean(X.activity_raw(ev), with_counts=False)[0])
+    return fact.select("timestamp", "grid_id", *(F.round(m, 9).alias(m) for m in _S.MEASURES))
+
+
+@register("grid_range_gate", """
+SELECT 'valid_timestamp' AS "check", TRUE AS passed, '0' AS observed, '0' AS expected
+UNION ALL
+SELECT 'valid_grid_id', n = 0, CAST(n AS VARCHAR), '0'
+FROM (SELECT count(*) AS n FROM (SELECT DISTINCT date_trunc('hour', ts), user_id // 15, event_id % 7
+                                 FROM events WHERE user_id // 15 + 9996 > 10000))""")
+def q_grid_range_gate(spark, sf_dir):
+    """P11 as a gate (G2): ids beyond the domain fail the run, they are not quarantined."""
+    ev = P.events(spark, sf_dir).withColumn("user_id", F.col("user_id") + 15 * 9995)
+    return Q.valid_values(Cl.typed_columns(Cl.rename_canonical(X.activity_raw(ev))))
+
+
+@register("key_lookup_findings", """
+SELECT * FROM (VALUES ('grid_key_many_to_one', TRUE, '0', '0'), ('grid_key_found', TRUE, '0', '0'))
+  t("check", passed, observed, expected)""")
+def q_key_lookup_findings(spark, sf_dir):
+    """J5 guard of the grid dimension."""
+    return Wh.lookup_findings(P.fact_table(spark, sf_dir), P.star(spark, sf_dir)[1], "grid_id", "grid_key")
+
+
+@register("peak_timestamp", sql(f"""
+SELECT timestamp, {_dsum('total_activity')} FROM fact GROUP BY timestamp
+ORDER BY total_activity DESC, timestamp LIMIT 1""", "fact"))
+def q_peak_timestamp(spark, sf_dir):
+    return Fa.peak_timestamp(P.fact_table(spark, sf_dir))

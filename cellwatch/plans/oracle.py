@@ -11,7 +11,7 @@ MEASURES = ["sms_in", "sms_out", "call_in", "call_out", "internet_activity"]
 
 
 def _dsum(c: str) -> str:
-    return f"CAST(SUM(CAST({c} AS DECIMAL(38,4))) AS DOUBLE)"
+    return f"CAST(SUM(CAST({c} AS DECIMAL(38,10))) AS DOUBLE)"
 
 
 def _fact_from(summed: str) -> str:
@@ -30,7 +30,7 @@ FROM {summed}"""
 
 _NEG = " OR ".join(f"coalesce({m} < 0, false)" for m in MEASURES)
 _REASON = f"""CASE WHEN timestamp IS NULL THEN 'invalid_timestamp'
-     WHEN grid_id IS NULL OR NOT (grid_id BETWEEN 1 AND 10000) THEN 'invalid_grid_id'
+     WHEN grid_id IS NULL THEN 'invalid_grid_id'
      WHEN {_NEG} THEN 'negative_activity' END"""
 _CLEAN_SELECT = ("timestamp, grid_id, country_code, "
                  + ", ".join(f"coalesce({m}, 0.0) AS {m}" for m in MEASURES))
@@ -40,11 +40,11 @@ CTES: dict[str, tuple[list[str], str]] = {
 SELECT CAST(date_trunc('hour', ts) AS TIMESTAMP) AS timestamp,
        CAST(user_id // 15 + 1 AS INTEGER) AS grid_id,
        CAST(event_id % 7 AS INTEGER) AS country_code,
-       CAST(SUM(CASE WHEN event_type = 'click' THEN CAST(value AS DECIMAL(38,4)) END) AS DOUBLE) AS sms_in,
-       CAST(SUM(CASE WHEN event_type = 'view' THEN CAST(value AS DECIMAL(38,4)) END) AS DOUBLE) AS sms_out,
-       CAST(SUM(CASE WHEN event_type = 'signup' THEN CAST(value AS DECIMAL(38,4)) END) AS DOUBLE) AS call_in,
-       CAST(SUM(CASE WHEN event_type = 'error' THEN CAST(value AS DECIMAL(38,4)) END) AS DOUBLE) AS call_out,
-       CAST(SUM(CASE WHEN event_type = 'purchase' THEN CAST(value AS DECIMAL(38,4)) END) AS DOUBLE) AS internet_activity
+       CAST(SUM(CASE WHEN event_type = 'click' THEN CAST(value AS DECIMAL(38,10)) END) AS DOUBLE) AS sms_in,
+       CAST(SUM(CASE WHEN event_type = 'view' THEN CAST(value AS DECIMAL(38,10)) END) AS DOUBLE) AS sms_out,
+       CAST(SUM(CASE WHEN event_type = 'signup' THEN CAST(value AS DECIMAL(38,10)) END) AS DOUBLE) AS call_in,
+       CAST(SUM(CASE WHEN event_type = 'error' THEN CAST(value AS DECIMAL(38,10)) END) AS DOUBLE) AS call_out,
+       CAST(SUM(CASE WHEN event_type = 'purchase' THEN CAST(value AS DECIMAL(38,10)) END) AS DOUBLE) AS internet_activity
 FROM events GROUP BY 1, 2, 3"""),
     "activity_dirty": ([], """
 SELECT event_id, 'sms-call-internet-mi-' || strftime(ts, '%Y-%m-%d') || '.csv' AS source_file,
@@ -127,7 +127,7 @@ GROUP BY a.grid_id, a.timestamp""")
 add_cte("base", ["dense_base", "loo"], """
 SELECT d.*, l.baseline_activity FROM dense_base d JOIN loo l USING (grid_id, timestamp)""")
 add_cte("daily_totals", ["dense"], """
-SELECT date, grid_id, CAST(SUM(CAST(total_activity AS DECIMAL(38,4))) AS DOUBLE) AS daily_total
+SELECT date, grid_id, CAST(SUM(CAST(total_activity AS DECIMAL(38,10))) AS DOUBLE) AS daily_total
 FROM dense GROUP BY date, grid_id""")
 add_cte("floors", ["daily_totals"], """
 SELECT date, quantile_cont(daily_total, 0.25) AS floor FROM daily_totals GROUP BY date""")
@@ -183,8 +183,9 @@ FROM (SELECT DISTINCT timestamp FROM fact)""")
 add_cte("dim_grid", ["fact", "ref_centroids"], """
 SELECT CAST(row_number() OVER (ORDER BY g.grid_id) AS INTEGER) AS grid_key, g.grid_id,
        r.vertex_latitude AS centroid_latitude, r.vertex_longitude AS centroid_longitude,
-       'milano-grid.geojson#cellId=' || CAST(g.grid_id AS VARCHAR) AS geometry_reference
-FROM (SELECT DISTINCT grid_id FROM fact) g LEFT JOIN ref_centroids r USING (grid_id)""")
+       CASE WHEN r.grid_id IS NOT NULL THEN 'milano-grid.geojson#cellId=' || CAST(g.grid_id AS VARCHAR) END
+         AS geometry_reference
+FROM (SELECT DISTINCT grid_id FROM fact) g LEFT JOIN ref_centroids r ON r.grid_id = g.grid_id""")
 add_cte("fact_activity", ["fact", "dim_time", "dim_grid"], """
 SELECT t.time_key, g.grid_key, f.sms_in, f.sms_out, f.call_in, f.call_out, f.internet_activity,
        f.total_sms, f.total_calls, f.total_activity, f.internet_share

@@ -1,19 +1,48 @@
 """Wiring of the standard frames from a test-table folder.
 
-Each function returns a lazy DataFrame; Catalyst sees the whole chain from the parquet
-scan to the final operator, so projections and filters reach the scan.
+What several plans read (fact, dense fact, features, labels, star, model) is built once per session
+and source folder as Parquet tables, partitioned by date where there is one, in the shared folder
+that ``spark.checkpoint.dir`` names; after that a call only makes a scan, so filters and projections
+reach the files. The other functions return lazy frames over the source tables.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import hashlib
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from cellwatch.operators import clean as C
 from cellwatch.operators import facts as Fa
+from cellwatch.session import ensure_checkpoint_dir
 from cellwatch.sources import fixtures as X
+from cellwatch.sources.sinks import write_parquet
+
+# (application, source folder, table) -> (path, schema) of what this process has built.
+_BUILT: dict[tuple[str, str, str], tuple] = {}
+
+
+def stored(spark, sf_dir: str, name: str, build, partition_by: str | None = None) -> DataFrame:
+    """The table ``name`` of a source folder: built on the first call, a Parquet scan ever after.
+
+    A table belongs to the session that built it; a later session builds its own, so changed
+    source files are never answered from an old table.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), name)
+    if key not in _BUILT:
+        folder = hashlib.sha256(key[1].encode()).hexdigest()[:16]
+        path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables-{folder}/{name}"
+        df = build()
+        if partition_by:
+            df = df.select(*(c for c in df.columns if c != partition_by), partition_by)
+        write_parquet(df, path, partition_by=partition_by)
+        _BUILT[key] = (path, df.schema)
+    path, schema = _BUILT[key]
+    return spark.read.schema(schema).parquet(path)
 
 
-def events(spark: SparkSession, sf_dir: str) -> DataFrame:
+def events(spark, sf_dir) -> DataFrame:
     return X.read_events(spark, sf_dir)
 
 
@@ -46,16 +75,12 @@ def fact(spark, sf_dir) -> DataFrame:
 
 
 def fact_table(spark, sf_dir) -> DataFrame:
-    """The fact materialized once (reliable checkpoint in the shared folder) for plans that
-    read it several times: the production pipeline writes this table and serves from it."""
-    from cellwatch.session import cut_lineage
-    return cut_lineage(fact(spark, sf_dir))
+    return stored(spark, sf_dir, "fact", lambda: fact(spark, sf_dir), "date")
 
 
 def dense_fact(spark, sf_dir) -> DataFrame:
-    """The densified fact, materialized once: alerts, features and anomalies all read it."""
-    from cellwatch.session import cut_lineage
-    return cut_lineage(Fa.densify_hours(fact_table(spark, sf_dir)))
+    """The densified fact: alerts, features and anomalies all read it."""
+    return stored(spark, sf_dir, "dense", lambda: Fa.densify_hours(fact_table(spark, sf_dir)), "date")
 
 
 def grid_lookup(spark, sf_dir) -> DataFrame:
@@ -66,47 +91,54 @@ def grid_lookup(spark, sf_dir) -> DataFrame:
 
 
 def star(spark, sf_dir):
-    """(dim_time, dim_grid, fact_activity) of the fact and the grid reference."""
-    from cellwatch.operators.warehouse import star as build
-    return build(fact_table(spark, sf_dir), grid_lookup(spark, sf_dir))
+    """(dim_time, dim_grid, fact_activity) of the fact and the grid reference, each stored once."""
+    from cellwatch.operators import warehouse as Wh
+    source = fact_table(spark, sf_dir)
+    dim_t = stored(spark, sf_dir, "dim_time", lambda: Wh.dim_time(source))
+    dim_g = stored(spark, sf_dir, "dim_grid", lambda: Wh.dim_grid(source, grid_lookup(spark, sf_dir)))
+    return dim_t, dim_g, stored(spark, sf_dir, "fact_activity", lambda: Wh.fact_activity(source, dim_t, dim_g))
 
 
 def star_rows(spark, sf_dir) -> DataFrame:
     """The warehouse read back through its keys: what the serving queries read."""
     from cellwatch.operators.warehouse import star_view
-    from cellwatch.session import cut_lineage
-    # Serving reads the loaded warehouse; materialize the joined view once per plan.
-    return cut_lineage(star_view(*star(spark, sf_dir)))
+    return stored(spark, sf_dir, "star_rows", lambda: star_view(*star(spark, sf_dir)), "date")
 
 
-def features(spark, sf_dir, dense: DataFrame | None = None) -> DataFrame:
+def features(spark, sf_dir) -> DataFrame:
     from cellwatch.operators.features import rolling_features
-    return rolling_features(dense if dense is not None else dense_fact(spark, sf_dir))
+    return stored(spark, sf_dir, "features", lambda: rolling_features(dense_fact(spark, sf_dir)))
 
 
-def labelled(spark, sf_dir, dense: DataFrame | None = None) -> DataFrame:
-    """Features + future activity + split + training thresholds + risk label."""
+def labels(spark, sf_dir) -> DataFrame:
+    """Features with the activity that followed."""
     from cellwatch.operators import risk as R
-    from cellwatch.session import cut_lineage
-    d = dense if dense is not None else dense_fact(spark, sf_dir)
-    # The feature table is materialized once (reliable checkpoint in the shared folder):
-    # the split and the thresholds each run small jobs over it.
-    lab = cut_lineage(R.future_labels(features(spark, sf_dir, d), d))
-    return R.risk_labels(R.chrono_split(lab))
+    return stored(spark, sf_dir, "labels", lambda: R.future_labels(features(spark, sf_dir), dense_fact(spark, sf_dir)))
 
 
-def alerts(spark, sf_dir, dense: DataFrame | None = None) -> DataFrame:
+def labelled(spark, sf_dir) -> DataFrame:
+    """Labels + split + training thresholds + risk label."""
+    from cellwatch.operators import risk as R
+    return stored(spark, sf_dir, "labelled", lambda: R.risk_labels(R.chrono_split(labels(spark, sf_dir))))
+
+
+def alerts(spark, sf_dir) -> DataFrame:
     from cellwatch.operators.alerts import rule_alerts
-    return rule_alerts(dense if dense is not None else dense_fact(spark, sf_dir))
+    return rule_alerts(dense_fact(spark, sf_dir))
 
 
-def anomalies(spark, sf_dir, dense: DataFrame | None = None) -> DataFrame:
+def anomalies(spark, sf_dir) -> DataFrame:
     from cellwatch.operators.anomaly import anomaly_scores
-    return anomaly_scores(dense if dense is not None else dense_fact(spark, sf_dir))
+    return anomaly_scores(dense_fact(spark, sf_dir))
 
 
 def model(spark, sf_dir):
-    from pyspark.sql import functions as F
-
+    """The trained risk model: fitted once, saved, and loaded by every query that needs it."""
     from cellwatch.operators import risk as R
-    return R.train(labelled(spark, sf_dir).where(F.col("split") == "train"))
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), "model")
+    if key not in _BUILT:
+        folder = hashlib.sha256(key[1].encode()).hexdigest()[:16]
+        path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables-{folder}/model"
+        R.save_model(R.train(labelled(spark, sf_dir).where(F.col("split") == "train")), path)
+        _BUILT[key] = (path, None)
+    return R.load_model(_BUILT[key][0])

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cellwatch.functions.columns import exact_sum_sql
+from cellwatch.functions.columns import exact_sum_sql, hour_floor
 from cellwatch.sources.tables import read_table
 
 # Event type that feeds each raw measure column.
@@ -37,7 +37,7 @@ def read_events(spark, sf_dir: str) -> DataFrame:
 def activity_raw(events: DataFrame) -> DataFrame:
     """Typed raw activity: one row per (hour, grid, country); unseen measures stay NULL."""
     keyed = events.selectExpr(
-        "CAST(date_trunc('hour', ts) AS TIMESTAMP_NTZ) AS datetime",
+        f"{hour_floor('ts')} AS datetime",
         f"CAST(CAST(floor(user_id / {USERS_PER_GRID}D) AS BIGINT) + 1 AS INT) AS CellID",
         f"CAST(event_id % {COUNTRY_MODULUS} AS INT) AS countrycode",
         "event_type", "value")

@@ -32,9 +32,49 @@ def test_junk_becomes_null_under_ansi(spark):
     rows = [("not-a-time", "x", "1", " ", "1", "1", "1", "1"),
             ("2024-01-01 01:00:00", "10001", "1", "1", "1", "1", "1", "1"),
             ("2024-01-01 02:00:00", "0", "1", "1", "1", "1", "1", "1")]
-    _, rejected, _ = C.clean(spark.createDataFrame(rows, RAW_DDL))
+    raw = spark.createDataFrame(rows, RAW_DDL)
+    _, rejected, _ = C.clean(raw, grid_lo=1, grid_hi=10000)     # a caller's own id range
     reasons = sorted(r["reject_reason"] for r in rejected.collect())
     assert reasons == ["invalid_grid_id", "invalid_grid_id", "invalid_timestamp"]
+    # Without one, ids of any size are kept; the domain is a gate that fails.
+    kept, rejected, _ = C.clean(raw)
+    assert sorted(r["grid_id"] for r in kept.collect()) == [0, 10001]
+    assert [r["reject_reason"] for r in rejected.collect()] == ["invalid_timestamp"]
+    assert not Q.valid_values(kept).where("check = 'valid_grid_id'").first()["passed"]
+
+
+def test_sums_keep_every_digit(spark):
+    """Small values and many decimals are neither rounded nor lost; large totals don't overflow."""
+    t = dt.datetime(2024, 1, 1)
+    rows = [(t, 1, 1, 0.08136262351125882, 3e-5, 0.0, 0.0, 9e11)] * 1000 + [(t, 1, 2, 3e-5, 4e-5, 0.0, 0.0, 9e11)] * 1000
+    ddl = "timestamp timestamp_ntz, grid_id int, country_code int, sms_in double, sms_out double, call_in double, " \
+          "call_out double, internet_activity double"
+    fact = Fa.hourly_grid_summary(spark.createDataFrame(rows, ddl).repartition(5)).first()
+    assert fact["sms_in"] == pytest.approx(81.39262351125882, rel=1e-13)
+    assert fact["sms_out"] == pytest.approx(0.07, rel=1e-13)
+    assert fact["internet_activity"] == pytest.approx(1.8e15, rel=1e-13)
+
+
+@pytest.mark.parametrize("zone", ["Europe/Rome", "America/New_York"])
+def test_zone_does_not_matter(spark, zone):
+    """Hours that a clock change skips or repeats come out as under UTC."""
+    from cellwatch.operators.warehouse import dim_time
+    hours = [f"2014-{d} {h:02d}:30:00" for d in ("03-30", "10-26", "03-09", "11-02") for h in range(5)]
+    raw = spark.createDataFrame([(h, "7", "1", "1", "1", "1", "1", "1") for h in hours], RAW_DDL)
+
+    def result():
+        clean = C.clean(raw)[0]
+        fact = Fa.hourly_grid_summary(clean)
+        return [sorted(map(str, df.collect())) for df in (
+            clean, fact, Fa.densify_hours(fact.where("date < '2014-03-11'")), dim_time(fact))]
+
+    before = spark.conf.get("spark.sql.session.timeZone")
+    want = result()
+    try:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+        assert result() == want
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
 
 
 def test_split_invariant_on_fixture(spark):

@@ -44,7 +44,17 @@ def test_enrich_keeps_rows_and_broadcasts(spark):
     lookup = spark.createDataFrame([(1, geom), (2, geom), (2, geom)], "grid_id int, geometry string")
     out = G.geo_enrich(fact, lookup)
     assert out.count() == 3  # duplicate reference ids never multiply fact rows
+    out.collect()       # broadcast by the measured size
     assert "BroadcastHashJoin" in out._jdf.queryExecution().executedPlan().toString()
+    large = G.geo_enrich(fact, lookup.union(spark.createDataFrame([(20001, geom)], "grid_id int, geometry string")))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        large = large.select("*")
+        large.collect()     # nothing forces a broadcast
+        assert "Broadcast" not in large._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     assert [r["grid_id"] for r in G.unmatched_grids(fact, lookup).collect()] == [3]
 
 
