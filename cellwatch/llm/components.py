@@ -1,19 +1,28 @@
-"""Connected components of an edge table by alternating large-star and small-star steps."""
+"""Connected components of an edge table.
+
+Up to ``LOCAL`` edges, a number that is checked, one task joins them. Any larger table goes through
+alternating large-star and small-star steps, which need no group, task or driver that holds a
+component.
+"""
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cellwatch.llm.common import written
 
+LOCAL = 200_000
+
 
 def _large_star(edges: DataFrame) -> DataFrame:
     """Connect every larger neighbour of a node with the node's smallest neighbour (or itself)."""
     both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     least = both.groupBy("a").agg(F.least("a", F.min("b")).alias("least"))
     return (both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("least").alias("b"))
-            .where("a <> b").distinct())
+            .where("a <> b"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
@@ -24,15 +33,39 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return moved.union(least.select("a", F.col("least").alias("b"))).distinct()
 
 
-def components(edges: DataFrame, steps: int = 100) -> DataFrame:
+def _forest(batches):
+    """Stars of all edges of one task."""
+    pairs = [np.stack([b.column(0).to_numpy(), b.column(1).to_numpy()], 1) for b in batches]
+    if not pairs:
+        return
+    nodes, at = np.unique(np.concatenate(pairs), return_inverse=True)
+    at = at.reshape(-1, 2)
+    root = np.arange(len(nodes))
+    while True:
+        low = np.minimum(root[at[:, 0]], root[at[:, 1]])
+        new = root.copy()
+        for side in (0, 1):
+            np.minimum.at(new, root[at[:, side]], low)
+            np.minimum.at(new, at[:, side], low)
+        new = new[new]
+        if (new == root).all():
+            break
+        root = new
+    yield pa.RecordBatch.from_arrays([pa.array(nodes), pa.array(nodes[root])], ["id", "root"])
+
+
+def components(edges: DataFrame, local: int = LOCAL, steps: int = 100) -> DataFrame:
     """``id, root`` for every node of the edges ``a, b`` (long): root is the smallest id reachable.
 
-    Every step is a map-side aggregate and a join, so a node with any number of neighbours is never
-    one group; each round is written to the shared folder. Rows with a = b name lone nodes. An
-    empty table gives no rows; a null on either side is left out.
+    A step is a map-side aggregate and a join; each round is written to the shared folder. Rows
+    with a = b name lone nodes. An empty table gives no rows; a null on either side is left out.
     """
     named = edges.select("a", "b").where("a IS NOT NULL AND b IS NOT NULL")
-    now = written(named.where("a <> b").distinct(), "edges")
+    now = written(named.distinct(), "edges")
+    if now.count() <= local:
+        return now.coalesce(1).mapInArrow(_forest, "id bigint, root bigint")
+    lone = now.where("a = b").select(F.col("a").alias("id"))
+    now = now.where("a <> b")
     mark = None
     for k in range(steps):
         now = written(_small_star(_large_star(now)), f"stars{k}")
@@ -42,5 +75,4 @@ def components(edges: DataFrame, steps: int = 100) -> DataFrame:
         mark = tuple(seen)
     roots = now.select(F.col("b").alias("id"), F.col("b").alias("root")).union(
         now.select(F.col("a").alias("id"), F.col("b").alias("root"))).distinct()
-    lone = named.where("a = b").select(F.col("a").alias("id")).distinct().join(roots, "id", "left_anti")
-    return roots.union(lone.select("id", F.col("id").alias("root")))
+    return roots.union(lone.join(roots, "id", "left_anti").select("id", F.col("id").alias("root")))
