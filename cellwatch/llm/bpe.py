@@ -16,7 +16,8 @@ from pyspark.sql import DataFrame
 from cellwatch.llm.common import map_slices, texts
 from cellwatch.llm.vocabulary import Vocabulary, chunks, parse, split_pretokens
 
-KEPT = 300_000       # chunks whose ids a worker remembers
+KEPT = 300_000       # chunks and pre-tokens whose ids a worker remembers
+KEPT_LENGTH = 200    # only shorter ones are
 _IDS: dict[bytes, tuple[dict, dict]] = {}
 
 
@@ -58,7 +59,9 @@ def _ids_of(chunk: str, by_pretoken: dict, vocab: Vocabulary) -> bytes:
     for p in split_pretokens(chunk):
         ids = by_pretoken.get(p)
         if ids is None:
-            ids = by_pretoken[p] = np.array(merge(p.encode(), vocab), np.int32).tobytes()
+            ids = np.array(merge(p.encode(), vocab), np.int32).tobytes()
+            if len(p) < KEPT_LENGTH:
+                by_pretoken[p] = ids
         out.append(ids)
     return b"".join(out)
 
@@ -79,7 +82,7 @@ def encode_text(text: str, content: bytes) -> bytes:
             ids = by_chunk.get(chunk)
             if ids is None:
                 ids = _ids_of(chunk, by_pretoken, vocab)
-                if len(chunk) < 200:
+                if len(chunk) < KEPT_LENGTH:
                     by_chunk[chunk] = ids
             out.append(ids)
     return b"".join(out)

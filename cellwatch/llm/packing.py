@@ -24,7 +24,8 @@ from cellwatch.llm.common import map_slices, texts
 LENGTH = 2048
 SHARD = 20_000             # pieces that one task packs together, at about
 END_ID = 0                 # appended to every document
-KEPT = 400_000             # chunks whose ids a worker remembers
+KEPT = 400_000             # runs whose ids a worker remembers
+KEPT_LENGTH = 200          # longer ones are forgotten with their slice
 FAILURES = 200             # least filled sequences in a row that can't be emptied before a shard ends
 _IDS: dict[str, dict[bytes, bytes]] = {}
 
@@ -57,7 +58,11 @@ def encode_texts(values: list[str], content: str) -> list[bytes]:
         part = missing[k:k + 10_000]
         got = tokenizer.encode_batch([m.decode() for m in part], add_special_tokens=False)
         memory.update((m, np.array(e.ids, "<u4").tobytes()) for m, e in zip(part, got))
-    return [b"".join(map(memory.__getitem__, words)) for words in cut]
+    out = [b"".join(map(memory.__getitem__, words)) for words in cut]
+    for m in missing:
+        if len(m) > KEPT_LENGTH:
+            del memory[m]
+    return out
 
 
 @lru_cache(4)

@@ -20,6 +20,7 @@ from cellwatch.llm.vocabulary import Vocabulary, chunks, parse, split_pretokens
 
 CONTEXT = 1024
 KEPT = 400_000       # chunks and pre-tokens whose counts a worker remembers
+KEPT_LENGTH = 200    # longer ones (such as texts that can't be cut) are forgotten with their slice
 _COUNTS: dict[bytes, tuple[dict, dict]] = {}
 
 
@@ -89,7 +90,12 @@ def count_texts(values: list[str], content: bytes) -> list[int]:
         special.append(n)
         missing.update(mine)
     _learn(missing - by_chunk.keys(), by_chunk, by_pretoken, vocab)
-    return [n + sum(map(by_chunk.__getitem__, mine)) for mine, n in zip(cut, special)]
+    counts = [n + sum(map(by_chunk.__getitem__, mine)) for mine, n in zip(cut, special)]
+    if any(len(c) > KEPT_LENGTH for c in missing):
+        for memory in (by_chunk, by_pretoken):
+            for x in [x for x in memory if len(x) > KEPT_LENGTH]:
+                del memory[x]
+    return counts
 
 
 def token_counts(docs: DataFrame, vocabulary: str, context: int = CONTEXT) -> DataFrame:
