@@ -159,7 +159,10 @@ def enforce(findings: DataFrame) -> DataFrame:
     """Raise when any finding failed (one small job over the findings); returns them otherwise."""
     failed = findings.where(~F.col("passed"))
     if not failed.isEmpty():
-        rows = failed.limit(20).collect()  # bounded: at most 20 finding rows for the message
-        raise QualityGateError("; ".join(f"{r['check']}: observed {r['observed']}, expected {r['expected']}"
-                                         for r in rows))
+        # One row per name of a check, however many findings it has.
+        rows = failed.groupBy("check").agg(F.count(F.lit(1)).alias("n"), F.min("observed").alias("observed"),
+                                           F.min("expected").alias("expected")).orderBy("check").collect()
+        raise QualityGateError("; ".join(
+            f"{r['check']}: observed {r['observed']}, expected {r['expected']}"
+            + (f" (and {r['n'] - 1} more)" if r["n"] > 1 else "") for r in rows))
     return findings

@@ -8,6 +8,7 @@ explicit schema (no inference pass), splittable, with provenance taken from the
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from cellwatch import schema as S
@@ -35,10 +36,8 @@ def read_activity_csv(spark: SparkSession, path: str, schema=S.RAW_ACTIVITY_SCHE
         from pyspark.sql import types as T
         full = T.StructType(list(schema.fields) + [T.StructField(corrupt_column, T.StringType())])
         opts["columnNameOfCorruptRecord"] = corrupt_column
-    try:
-        df = _reader(spark, full, **opts).csv(path)
-    except Exception as exc:  # AnalysisException when the path itself is missing
-        raise FileNotFoundError(f"no activity files under {path}") from exc
+    require_files(spark, path, pattern)
+    df = _reader(spark, full, **opts).csv(path)
     if with_source:
         df = df.withColumns({
             "source_file": F.col("_metadata.file_path"),
@@ -56,7 +55,7 @@ def require_files(spark: SparkSession, path: str, pattern: str = S.RAW_FILE_GLOB
         files = (spark.read.format("binaryFile").option("pathGlobFilter", pattern)
                  .option("recursiveFileLookup", "true").load(path)
                  .select("path", "length"))
-    except Exception as exc:  # AnalysisException: the folder itself does not exist
+    except AnalysisException as exc:  # the folder itself does not exist
         raise FileNotFoundError(f"no files matching {pattern} under {path}") from exc
     if files.isEmpty():
         raise FileNotFoundError(f"no files matching {pattern} under {path}")
