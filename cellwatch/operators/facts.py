@@ -158,21 +158,22 @@ def value_counts(df: DataFrame, col: str) -> DataFrame:
 
 
 def dataset_profile(activity: DataFrame, approximate: bool = False) -> DataFrame:
-    """A10: one-pass profile of canonical activity (rows, distincts, range, NULLs, negatives,
-    exact duplicate rows). ``approximate`` swaps exact distincts for HLL sketches."""
+    """A10: profile of canonical activity (rows, distincts, range, NULLs, negatives, exact duplicate
+    rows). Rows are grouped as a whole once; everything else is computed from their counts.
+    ``approximate`` swaps the exact distincts of single columns for HLL sketches."""
     cd = (lambda c: F.approx_count_distinct(c)) if approximate else (lambda c: F.count_distinct(c))
-    all_cols = F.struct(*[F.col(c) for c in activity.columns])
-    aggs = [F.count(F.lit(1)).alias("rows"),
+    activity = activity.groupBy(*activity.columns).agg(F.count(F.lit(1)).alias("_n"))
+    aggs = [F.sum("_n").alias("rows"),
             cd("grid_id").alias("distinct_grids"),
             cd("country_code").alias("distinct_countries"),
             cd("timestamp").alias("distinct_timestamps"),
             F.min("timestamp").alias("first_timestamp"),
             F.max("timestamp").alias("last_timestamp")]
     for m in S.MEASURES:
-        aggs.append(F.sum(F.when(F.col(m).isNull(), 1).otherwise(0)).alias(f"null_{m}"))
+        aggs.append(F.sum(F.when(F.col(m).isNull(), F.col("_n")).otherwise(0)).alias(f"null_{m}"))
     for m in S.MEASURES:
-        aggs.append(F.sum(F.when(F.col(m) < 0, 1).otherwise(0)).alias(f"negative_{m}"))
-    aggs.append((F.count(F.lit(1)) - cd(all_cols)).alias("duplicate_rows"))
+        aggs.append(F.sum(F.when(F.col(m) < 0, F.col("_n")).otherwise(0)).alias(f"negative_{m}"))
+    aggs.append(F.sum(F.col("_n") - 1).alias("duplicate_rows"))
     return activity.agg(*aggs)
 
 

@@ -1071,3 +1071,91 @@ FROM lineitem GROUP BY 1 ORDER BY total_activity DESC, grid_id LIMIT 10""")
 def q_lineitem_top_grids(spark, sf_dir):
     top = Fa.top_grids(lineitem_fact(spark, sf_dir))
     return top.select("grid_id", F.round("total_activity", 4).alias("total_activity"))
+
+
+# ---------------------------------------------------------------- geometry from the data
+
+O.add_cte("data_boxes", [], """
+SELECT CAST(user_id // 15 + 1 AS INTEGER) AS g, min(value) AS x0, max(value) AS x1,
+       min(CAST(event_id % 1000 AS DOUBLE)) AS y0, max(CAST(event_id % 1000 AS DOUBLE)) AS y1
+FROM events GROUP BY 1""")
+
+
+@register("data_centroids", sql("""
+SELECT g AS grid_id,
+       round(CASE g % 4 WHEN 0 THEN (2 * x0 + x1) / 3 WHEN 1 THEN (x0 + x1) / 2 WHEN 3 THEN (2 * x0 + x1) / 3 END, 6)
+         AS centroid_longitude,
+       round(CASE g % 4 WHEN 0 THEN (2 * y0 + y1) / 3 WHEN 1 THEN (y0 + y1) / 2 WHEN 3 THEN y0 END, 6)
+         AS centroid_latitude,
+       round(CASE g % 4 WHEN 0 THEN (3 * x0 + x1) / 4 WHEN 1 THEN (3 * x0 + 2 * x1) / 5
+             WHEN 2 THEN (6 * x0 + 3 * x1) / 9 ELSE (2 * x0 + x1) / 3 END, 6) AS vertex_longitude,
+       round(CASE g % 4 WHEN 0 THEN (3 * y0 + y1) / 4 WHEN 1 THEN (3 * y0 + 2 * y1) / 5
+             WHEN 2 THEN (6 * y0 + 3 * y1) / 9 ELSE y0 END, 6) AS vertex_latitude
+FROM data_boxes WHERE g % 5 <> 0""", "data_boxes"))
+def q_data_centroids(spark, sf_dir):
+    """Both centroids of polygons, multi-polygons and rings without area made from the events."""
+    from cellwatch.sources.geojson import grid_lookup, parse_features
+    lookup = Geo.reference_lookup(grid_lookup(parse_features(X.data_features(P.events(spark, sf_dir)))))
+    c = Geo.with_centroids(lookup).where("grid_id % 5 <> 0").drop("geometry")
+    return _round_cols(c, ["centroid_longitude", "centroid_latitude", "vertex_longitude", "vertex_latitude"])
+
+
+@register("data_geo_duplicates", sql("""
+SELECT count(*) AS features, count(*) - count(DISTINCT g) AS duplicates,
+       count(DISTINCT g) AS grids FROM (SELECT g FROM data_boxes UNION ALL SELECT g FROM data_boxes WHERE g % 5 = 0)""",
+    "data_boxes"))
+def q_data_geo_duplicates(spark, sf_dir):
+    """Features with a repeated id: the lookup has one row per id."""
+    from cellwatch.sources.geojson import grid_lookup, parse_features
+    raw = grid_lookup(parse_features(X.data_features(P.events(spark, sf_dir))))
+    once = Geo.reference_lookup(raw).agg(F.count(F.lit(1))).scalar()
+    return raw.agg(F.count(F.lit(1)).alias("features")).select(
+        "features", (F.col("features") - once).alias("duplicates"), once.alias("grids"))
+
+
+# ---------------------------------------------------------------- further gates and helpers as queries
+
+@register("first_event_per_user", """
+SELECT user_id, event_id, ts FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS r FROM events)
+WHERE r = 1""")
+def q_first_event_per_user(spark, sf_dir):
+    """W9 on rows that do repeat."""
+    e = P.events(spark, sf_dir).select("user_id", "event_id", "ts")
+    return Wi.keep_first(e, ["user_id"], ["ts", "event_id"])
+
+
+@register("row_count_gate", sql("""
+SELECT 'row_count_bounds' AS "check", a <= b AND a <= d * 240000 AS passed, CAST(a AS VARCHAR) AS observed,
+       '<= ' || CAST(least(b, d * 240000) AS VARCHAR) AS expected
+FROM (SELECT (SELECT count(*) FROM clean) AS b, (SELECT count(*) FROM fact) AS a,
+             (SELECT count(DISTINCT date) FROM fact) AS d)""", "clean", "fact"))
+def q_row_count_gate(spark, sf_dir):
+    """G5."""
+    return Q.row_count_bounds(P.clean_activity(spark, sf_dir), P.fact_table(spark, sf_dir))
+
+
+@register("raw_grain_gate", sql("""
+SELECT 'raw_grain_unique' AS "check", n = 0 AS passed, CAST(n AS VARCHAR) AS observed, '0' AS expected
+FROM (SELECT count(*) AS n FROM (SELECT timestamp, grid_id, country_code FROM activity_raw
+                                 GROUP BY ALL HAVING count(*) > 1))""", "activity_raw"))
+def q_raw_grain_gate(spark, sf_dir):
+    """G8."""
+    return Q.grain_preserved(P.canonical_raw(spark, sf_dir))
+
+
+@register("dirty_grain_gate", sql("""
+SELECT 'raw_grain_unique' AS "check", n = 0 AS passed, CAST(n AS VARCHAR) AS observed, '0' AS expected
+FROM (SELECT count(*) AS n FROM (SELECT timestamp, grid_id, country_code FROM dirty_typed
+                                 GROUP BY ALL HAVING count(*) > 1))""", "dirty_typed"))
+def q_dirty_grain_gate(spark, sf_dir):
+    """G8 where it fails: missing times and ids repeat."""
+    return Q.grain_preserved(Cl.typed_columns(Cl.rename_canonical(P.dirty_activity(spark, sf_dir))))
+
+
+@register("blank_counts", sql(", ".join([f"SELECT CAST(sum(CASE WHEN trim({c}) = '' THEN 1 ELSE 0 END) AS BIGINT) AS blank_{c}"
+                                          if k == 0 else f"CAST(sum(CASE WHEN trim({c}) = '' THEN 1 ELSE 0 END) AS BIGINT) AS blank_{c}"
+                                          for k, c in enumerate(("smsin", "smsout", "datetime"))])
+                              + " FROM activity_dirty", "activity_dirty"))
+def q_blank_counts(spark, sf_dir):
+    """P5 / A10: blank cells of the text columns."""
+    return P.dirty_activity(spark, sf_dir).agg(*Cl.blank_counts(None, ("smsin", "smsout", "datetime")))

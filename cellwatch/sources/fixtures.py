@@ -98,6 +98,29 @@ def grid_id_range(events: DataFrame, drop_largest: bool = True) -> DataFrame:
     return events.agg(top.alias("n")).select(F.explode(F.sequence(F.lit(1), F.col("n"))).alias("grid_id"))
 
 
+def data_features(events: DataFrame) -> DataFrame:
+    """GeoJSON feature lines whose shapes come from the events: per grid the ranges of value and of
+    event_id % 1000 span a box. By grid_id % 4: a triangle, a rectangle, a MultiPolygon of both, a ring
+    without area; every fifth grid comes twice (the second time moved by 1)."""
+    box = events.selectExpr(f"CAST(user_id DIV {USERS_PER_GRID} + 1 AS INT) AS g", "value",
+                            "CAST(event_id % 1000 AS DOUBLE) AS e").groupBy("g").agg(
+        F.min("value").alias("x0"), F.max("value").alias("x1"), F.min("e").alias("y0"), F.max("e").alias("y1"))
+    box = box.select("*", F.explode(F.when(F.col("g") % 5 == 0, F.array(F.lit(0.0), F.lit(1.0))).otherwise(
+        F.array(F.lit(0.0)))).alias("d"))
+    x0, x1, y0, y1 = (F.round(F.col(c) + F.col("d"), 6) for c in ("x0", "x1", "y0", "y1"))
+    ring = lambda *points: F.array(*(F.array(*p) for p in points))
+    triangle = ring((x0, y0), (x1, y0), (x0, y1), (x0, y0))
+    rectangle = ring((x0, y0), (x1, y0), (x1, y1), (x0, y1), (x0, y0))
+    line = ring((x0, y0), (x1, y0), (x0, y0))
+    kind = F.col("g") % 4
+    polygon = F.to_json(F.struct(F.lit("Polygon").alias("type"), F.array(
+        F.when(kind == 0, triangle).when(kind == 1, rectangle).otherwise(line)).alias("coordinates")))
+    multi = F.to_json(F.struct(F.lit("MultiPolygon").alias("type"), F.array(
+        F.array(rectangle), F.array(triangle)).alias("coordinates")))
+    return box.select(F.concat(F.lit('{"type":"Feature","properties":{"cellId":'), F.col("g").cast("string"),
+                               F.lit('},"geometry":'), F.when(kind == 2, multi).otherwise(polygon), F.lit("}")).alias("value"))
+
+
 def grid_reference_features(grid_ids: DataFrame) -> DataFrame:
     """GeoJSON feature lines (one JSON object per grid) for the given grid ids.
 
