@@ -1159,3 +1159,65 @@ def q_dirty_grain_gate(spark, sf_dir):
 def q_blank_counts(spark, sf_dir):
     """P5 / A10: blank cells of the text columns."""
     return P.dirty_activity(spark, sf_dir).agg(*Cl.blank_counts(None, ("smsin", "smsout", "datetime")))
+
+
+# ---------------------------------------------------------------- the named gates on dirty and clean input
+
+@register("landing_gate", sql("""
+SELECT 'landing' AS gate, "check", passed, observed, expected FROM (
+  SELECT 'required_columns' AS "check", TRUE AS passed, '-' AS observed, '-' AS expected
+  UNION ALL SELECT 'valid_timestamp', n = 0, CAST(n AS VARCHAR), '0' FROM (SELECT count(*) AS n FROM dirty_typed WHERE timestamp IS NULL)
+  UNION ALL SELECT 'valid_grid_id', n = 0, CAST(n AS VARCHAR), '0'
+    FROM (SELECT count(*) AS n FROM dirty_typed WHERE grid_id IS NULL OR NOT grid_id BETWEEN 1 AND 10000)
+  UNION ALL SELECT 'valid_measure_types', TRUE, '0', '0'
+  UNION ALL SELECT 'duplicate_records', n = 0, CAST(n AS VARCHAR), '0'
+    FROM (SELECT count(*) - (SELECT count(*) FROM (SELECT DISTINCT * EXCLUDE (event_id, source_file) FROM activity_dirty)) AS n
+          FROM activity_dirty))""", "dirty_typed", "activity_dirty"))
+def q_landing_gate(spark, sf_dir):
+    """Gate 1: fails on the injected junk."""
+    return Ga.landing_gate(P.dirty_activity(spark, sf_dir))
+
+
+@register("raw_gate", sql("""
+SELECT 'raw' AS gate, "check", passed, observed, expected FROM (
+  SELECT 'required_columns' AS "check", TRUE AS passed, '-' AS observed, '-' AS expected
+  UNION ALL SELECT 'valid_timestamp', n = 0, CAST(n AS VARCHAR), '0' FROM (SELECT count(*) AS n FROM activity_raw WHERE timestamp IS NULL)
+  UNION ALL SELECT 'valid_grid_id', n = 0, CAST(n AS VARCHAR), '0'
+    FROM (SELECT count(*) AS n FROM activity_raw WHERE grid_id IS NULL OR NOT grid_id BETWEEN 1 AND 10000)
+  UNION ALL SELECT 'raw_grain_unique', n = 0, CAST(n AS VARCHAR), '0'
+    FROM (SELECT count(*) AS n FROM (SELECT timestamp, grid_id, country_code FROM activity_raw GROUP BY ALL HAVING count(*) > 1)))""",
+    "activity_raw"))
+def q_raw_gate(spark, sf_dir):
+    """Gate 2."""
+    return Ga.raw_gate(P.canonical_raw(spark, sf_dir))
+
+
+@register("analytics_gate", sql("""
+SELECT 'analytics' AS gate, "check", passed, observed, expected FROM (
+  SELECT 'unique_grain' AS "check", n = 0 AS passed, CAST(n AS VARCHAR) AS observed, '0' AS expected
+    FROM (SELECT count(*) AS n FROM (SELECT timestamp, grid_id FROM fact GROUP BY ALL HAVING count(*) > 1))
+  UNION ALL SELECT 'warehouse_rows', a = b, CAST(a AS VARCHAR), CAST(b AS VARCHAR)
+    FROM (SELECT (SELECT count(*) FROM fact_activity) AS a, (SELECT count(*) FROM fact) AS b)
+  UNION ALL SELECT 'warehouse_keys', n = 0, CAST(n AS VARCHAR), '0'
+    FROM (SELECT count(*) AS n FROM fact_activity WHERE time_key IS NULL OR grid_key IS NULL)
+  UNION ALL SELECT 'unique_time_key', n = 0, CAST(n AS VARCHAR), '0'
+    FROM (SELECT count(*) AS n FROM (SELECT time_key FROM dim_time GROUP BY 1 HAVING count(*) > 1))
+  UNION ALL SELECT 'unique_grid_key', n = 0, CAST(n AS VARCHAR), '0'
+    FROM (SELECT count(*) AS n FROM (SELECT grid_key FROM dim_grid GROUP BY 1 HAVING count(*) > 1)))""",
+    "fact", "fact_activity", "dim_time", "dim_grid"))
+def q_analytics_gate(spark, sf_dir):
+    """Gate 4."""
+    dim_t, dim_g, loaded = P.star(spark, sf_dir)
+    return Ga.analytics_gate(P.fact_table(spark, sf_dir), loaded, dim_t, dim_g)
+
+
+@register("serve_gate", sql("""
+SELECT 'serve' AS gate, "check", passed, observed, expected FROM (
+  SELECT unnest([{'check': 'latest_run_succeeded', 'passed': status = 'SUCCESS', 'observed': status, 'expected': 'SUCCESS'},
+                 {'check': 'latest_run_validated', 'passed': validation_status = 'PASS', 'observed': validation_status, 'expected': 'PASS'},
+                 {'check': 'latest_run_published', 'passed': output_rows > 0, 'observed': CAST(output_rows AS VARCHAR), 'expected': '> 0'}],
+                recursive := true)
+  FROM health ORDER BY end_time DESC, run_id DESC LIMIT 3)""", "health"))
+def q_serve_gate(spark, sf_dir):
+    """Gate 5: the newest file's run."""
+    return Ga.serve_gate(_health(spark, sf_dir))

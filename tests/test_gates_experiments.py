@@ -42,3 +42,49 @@ def test_experiments(spark):
     j = X.join_experiment(fact, P.grid_lookup(spark, SF_SMALL))
     assert j["counts_equal"] and j["broadcast_planned"]
     assert X.over_partitioning(fact)["partitions"] >= 100
+
+
+def test_load_and_read_back_of_a_warehouse_table(spark):
+    """Append, bucketed by key, read back with the same rows and types."""
+    import uuid
+    from cellwatch.sources.sinks import write_table
+    name = f"load_{uuid.uuid4().hex}"
+    fact = P.fact(spark, SF_SMALL)
+    try:
+        write_table(fact, name, mode="append", bucket_by=(4, "grid_id"))
+        back = spark.table(name)
+        assert Q.schemas_match(fact, back).first()["passed"]
+        assert fact.exceptAll(back).isEmpty() and back.exceptAll(fact).isEmpty()      # U3 both ways
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def test_lookup_guard_and_names(spark):
+    from cellwatch.operators.clean import normalize_column_names
+    from cellwatch.operators.warehouse import lookup_findings
+    fact = spark.createDataFrame([(1,), (2,), (3,)], "grid_id int")
+    dim = spark.createDataFrame([(1, 10), (2, 11), (2, 12)], "grid_id int, grid_key int")
+    got = {r["check"]: r["passed"] for r in lookup_findings(fact, dim, "grid_id", "grid_key").collect()}
+    assert got == {"grid_key_many_to_one": False, "grid_key_found": False}
+    assert normalize_column_names(fact.toDF(" Grid_ID ")).columns == ["grid_id"]
+    nulls = spark.createDataFrame([(1, None)], "a int, b double")
+    assert not Q.non_null_columns(nulls, ["a", "b"]).first()["passed"]
+
+
+def test_model_saved_once_and_loaded(spark):
+    """The stored model scores like the trained one; one class or no row raises."""
+    import pytest
+    from cellwatch import schema as S
+    from cellwatch.operators import risk as R
+    lab = P.labelled(spark, SF_SMALL)
+    train = lab.where("split = 'train'")
+    fresh = R.train(train)
+    loaded = P.model(spark, SF_SMALL)
+    one = [sorted(map(tuple, R.score(P.features(spark, SF_SMALL), m).collect())) for m in (fresh, loaded)]
+    assert one[0] == one[1] and len(one[0]) == P.features(spark, SF_SMALL).count()
+    with pytest.raises(ValueError, match="one class"):
+        R.train(train.where("risk_label = 0"))
+    never = lab.selectExpr("'test' AS split", "1 AS risk_label", "0 AS model_prediction")
+    row = R.evaluate(never).first()
+    assert (row["precision"], row["recall"]) == (0.0, 0.0)
+    assert set(S.FEATURE_COLUMNS) <= set(lab.columns)
