@@ -32,8 +32,9 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Quality of every document by co-trained content and metadata views."""
-    return quality_classifier.co_train(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+    """Quality of every document by co-trained content and metadata views; kept where it is good."""
+    scored = quality_classifier.co_train(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+    return scored.withColumn("kept", F.col("quality_pred") == 1)
 
 
 def op5_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
