@@ -19,6 +19,7 @@ from cellwatch.llm.common import map_slices, slices, texts
 ORDERS = (1, 2, 3)
 BUCKETS = 1 << 15
 SMOOTHING = 0.5
+SLICE = 1 << 19            # text that is worked on at a time
 MAX_LANGUAGES = 1000       # the broadcast matrix holds at most BUCKETS x this; beyond it training raises
 UNDETERMINED = "und"
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], np.uint64)
@@ -78,7 +79,7 @@ def train(labelled: DataFrame, buckets: int = BUCKETS) -> dict:
         memory: dict[str, np.ndarray] = {}
         for batch in batches:
             langs, values = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for a, b in slices(np.fromiter(map(len, values), np.int64, len(values)), 2 << 20):
+            for a, b in slices(np.fromiter(map(len, values), np.int64, len(values)), SLICE):
                 names = sorted(set(langs[a:b]))
                 number = np.array([names.index(x) for x in langs[a:b]])
                 at, owner, _ = grams(values[a:b], buckets)
@@ -141,7 +142,7 @@ def predict(docs: DataFrame, model: dict, *more: str) -> DataFrame:
 
     source = texts(docs, *more)
     rest = "".join(f", `{f.name}` {f.dataType.simpleString()}" for f in source.schema.fields[2:])
-    return map_slices(source, work, "doc_id bigint, lang_pred string, score double" + rest)
+    return map_slices(source, work, "doc_id bigint, lang_pred string, score double" + rest, SLICE)
 
 
 def keep_identified(docs: DataFrame, model: dict, least: float = 0.5) -> DataFrame:
@@ -151,7 +152,7 @@ def keep_identified(docs: DataFrame, model: dict, least: float = 0.5) -> DataFra
     def run(batches):
         for batch in batches:
             values = ["" if t is None else t for t in batch.column(batch.schema.get_field_index("text")).to_pylist()]
-            for a, b in slices(np.fromiter(map(len, values), np.int64, len(values)), 2 << 20):
+            for a, b in slices(np.fromiter(map(len, values), np.int64, len(values)), SLICE):
                 pred, score = classify(values[a:b], shared.value)
                 keep = (np.array(pred, object) != UNDETERMINED) & (score >= least)
                 yield batch.slice(a, b - a).filter(pa.array(keep.astype(bool)))
