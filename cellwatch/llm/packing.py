@@ -11,6 +11,8 @@ sum of squared fills rises until sequences are empty or no step is left.
 from __future__ import annotations
 
 import json
+import re
+from array import array
 from bisect import bisect_right, insort
 from functools import lru_cache
 
@@ -24,9 +26,9 @@ from cellwatch.llm.common import map_slices, texts
 LENGTH = 2048
 SHARD = 20_000             # pieces that one task packs together, at about
 END_ID = 0                 # appended to every document
-KEPT = 400_000             # runs whose ids a worker remembers
+KEPT = 1_000_000           # runs whose ids a worker remembers
 KEPT_LENGTH = 200          # longer ones are forgotten with their slice
-FAILURES = 200             # least filled sequences in a row that can't be emptied before a shard ends
+FAILURES = 500             # stuck sequences, without one emptied between, before a shard ends
 _IDS: dict[str, dict[bytes, bytes]] = {}
 
 
@@ -53,11 +55,8 @@ def encode_texts(values: list[str], content: str) -> list[bytes]:
     # ASCII capitals are the same to a lower-casing tokenizer, but for its special strings ("<|").
     raw = [v.encode() for v in values]
     cut = [(r if b"<|" in r else r.lower()).split() for r in raw]
-    missing = list(set().union(*cut) - memory.keys())
-    for k in range(0, len(missing), 10_000):
-        part = missing[k:k + 10_000]
-        got = tokenizer.encode_batch([m.decode() for m in part], add_special_tokens=False)
-        memory.update((m, np.array(e.ids, "<u4").tobytes()) for m, e in zip(part, got))
+    missing = set().union(*cut) - memory.keys()
+    _learn(missing, memory, content)
     out = [b"".join(map(memory.__getitem__, words)) for words in cut]
     for m in missing:
         if len(m) > KEPT_LENGTH:
@@ -65,6 +64,58 @@ def encode_texts(values: list[str], content: str) -> list[bytes]:
     return out
 
 
+def _learn(missing: set[bytes], memory: dict[bytes, bytes], content: str) -> None:
+    """Add the ids of runs that are not known yet.
+
+    Signs after a letter or digit start a pre-token of their own, so ``word,`` is ``word`` and ``,``.
+    Runs of letters are one pre-token each; many are encoded as one text and told apart by the
+    tokens that end a word. All others are encoded one by one.
+    """
+    ends = _word_ends(content)
+    joined = {m: len(m) - len(m.rstrip(_SIGNS)) for m in missing}
+    joined = {m: n for m, n in joined.items() if 0 < n < len(m) and _LETTER_END.search(m[:-n])}
+    wanted = {m for m in missing if m not in joined}
+    for m, n in joined.items():
+        wanted.update((m[:-n], m[-n:]))
+    wanted -= memory.keys()
+    tokenizer = _tokenizer(content)
+    words = [m for m in wanted if _LETTERS.fullmatch(m)] if ends is not None else []
+    for k in range(0, len(words), 5_000):
+        part = words[k:k + 5_000]
+        ids = np.array(tokenizer.encode(b" ".join(part).decode(), add_special_tokens=False).ids, "<u4")
+        cuts = (4 * (np.flatnonzero(ends[ids]) + 1)).tolist()
+        if len(cuts) != len(part):
+            continue                     # not one pre-token each: encoded one by one below
+        data = ids.tobytes()
+        memory.update(zip(part, (data[a:b] for a, b in zip([0, *cuts[:-1]], cuts))))
+    rest = [m for m in wanted if m not in memory]
+    for k in range(0, len(rest), 10_000):
+        part = rest[k:k + 10_000]
+        got = tokenizer.encode_batch_fast([m.decode() for m in part], add_special_tokens=False)
+        memory.update((m, array("I", e.ids).tobytes()) for m, e in zip(part, got))
+    for m, n in joined.items():
+        memory[m] = memory[m[:-n]] + memory[m[-n:]]
+
+
+_SIGNS = b"#*$%&.,!?;:"
+_LATIN = rb"(?:[a-z]|\xc3[\xa0-\xb6\xb8-\xbf\x9f])"     # a-z and the lower-case letters of Latin-1
+_LETTERS = re.compile(_LATIN + rb"+")
+_LETTER_END = re.compile(rb"(?:[0-9]|" + _LATIN + rb")\Z")
+
+
+@lru_cache(2)
+def _word_ends(content: str) -> np.ndarray | None:
+    """Whether a token ends a word, by id; None where the vocabulary doesn't mark it."""
+    model = json.loads(content)["model"]
+    suffix = model.get("end_of_word_suffix")
+    if not suffix:
+        return None
+    out = np.zeros(max(model["vocab"].values()) + 1000, bool)
+    for token, i in model["vocab"].items():
+        out[i] = token.endswith(suffix)
+    return out
+
+
 @lru_cache(4)
 def _drops_space(content: str) -> bool:
     """Whether the file lower-cases and splits on white space that it removes."""
@@ -197,7 +248,8 @@ def local_search(bins: list[list[int]], sizes: list[int], capacity: int, failure
     state = _Underfull(bins, sizes, capacity)
     used = len(bins)
     stuck: set[int] = set()
-    while used > bound and len(stuck) < failures:
+    failed = 0                          # sequences found stuck since one was emptied
+    while used > bound and failed < failures:
         donor = next((b for f, b in state.order if b not in stuck), None)
         if donor is None:
             break
@@ -205,9 +257,12 @@ def local_search(bins: list[list[int]], sizes: list[int], capacity: int, failure
             state.step(donor, x) for x in list(state.items[donor]))
         if state.fill[donor] == 0:
             used -= 1
-            stuck.clear()
-        elif not moved:
+            failed = 0
+        if moved:
+            stuck.clear()               # a changed sequence may take what none took before
+        else:
             stuck.add(donor)
+            failed += 1
     return [[i for _, i in b] for b in state.items if b]
 
 
