@@ -46,9 +46,18 @@ def texts(docs: DataFrame, *more: str) -> DataFrame:
 
 
 def row_key() -> Column:
-    """A row's doc_id and a digest of its text, as one string (null text counts as empty)."""
-    return F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("null")),
-                       F.sha2(F.coalesce(F.col("text"), F.lit("")), 256))
+    """128-bit digest of a row's doc_id and text (null text counts as empty)."""
+    line = F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.coalesce(F.col("text"), F.lit("")))
+    return F.unhex(F.substring(F.sha2(line, 256), 1, 32))
+
+
+def with_keys(keyed: DataFrame, key: str, stays: DataFrame) -> DataFrame:
+    """The rows of ``keyed`` whose ``key`` is in ``stays``, each key once.
+
+    Always a sort-merge join: the keys grow with the rows, so they are never broadcast. The rows are
+    shuffled once; bringing repeated rows together uses the same partitioning.
+    """
+    return keyed.join(stays.hint("merge"), key, "left_semi").dropDuplicates([key])
 
 
 def words_of(text: str | Column) -> Column:

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellwatch.llm.common import SPACE_CLASS, row_key, scratch_path, texts, unused, written
+from cellwatch.llm.common import SPACE_CLASS, row_key, scratch_path, texts, unused, with_keys, written
 
 BUCKETS = 64
 
@@ -96,7 +96,7 @@ def keep_first(docs: DataFrame) -> DataFrame:
     keyed = docs.withColumn(key, row_key())
     stays = _decide(keyed.select("doc_id", "text", F.col(key).alias("key")), None, "key").where("kept").select(
         F.col("key").alias(key))
-    return keyed.join(stays, key, "left_semi").dropDuplicates([key]).select(*docs.columns)
+    return with_keys(keyed, key, stays).select(*docs.columns)
 
 
 ORACLE = """

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellwatch.llm.common import mix, partitions_for, row_key, slices, text_bytes, texts, unused, word_hashes, written
+from cellwatch.llm.common import mix, partitions_for, row_key, slices, text_bytes, texts, unused, with_keys, word_hashes, written
 from cellwatch.llm.components import components
 
 WORDS = 5                  # words of a shingle
@@ -502,10 +502,8 @@ def keep_one(docs: DataFrame) -> DataFrame:
     key = unused(docs, "row_key")
     keyed = docs.withColumn(key, row_key())
     rows, named = _classes(keyed.select("doc_id", "text", F.col(key).alias("row")), "row")
-    stays = named.select("first.row").union(rows.where("n = 0").select("row")).distinct()
-    # The texts are shuffled once, by a key that spreads copies.
-    return (keyed.join(stays.select(F.col("row").alias(key)), key, "left_semi").dropDuplicates([key])
-            .select(*docs.columns))
+    stays = written(named.select("first.row").union(rows.where("n = 0").select("row")).distinct(), "stays")
+    return with_keys(keyed, key, stays.select(F.col("row").alias(key))).select(*docs.columns)
 
 
 ORACLE = """

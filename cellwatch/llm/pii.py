@@ -258,7 +258,8 @@ def redact(docs: DataFrame) -> DataFrame:
                   ELSE struct(concat(a.done, substring(text, a.at + 1, s.start - a.at),
                                      get({names}, s.kind)) AS done, s.stop AS at) END,
         a -> concat(a.done, substring(text, a.at + 1)))""")
-    joined = docs.withColumn(key, _text_key()).join(found, key, "left")
+    # What was found grows with the texts, so it is never broadcast.
+    joined = docs.withColumn(key, _text_key()).join(found.hint("merge"), key, "left")
     out = joined.withColumn("text", F.when(F.col(extra).isNull(), F.col("text")).otherwise(cleaned))
     if "n_chars" in docs.columns:
         length = F.length("text").cast(docs.schema["n_chars"].dataType)
