@@ -16,15 +16,15 @@ from pyspark.sql import DataFrame
 from cellwatch.llm.common import map_slices, texts
 from cellwatch.llm.vocabulary import Vocabulary, chunks, parse, split_pretokens
 
-KEPT = 300_000       # chunks and pre-tokens whose ids a worker remembers
+KEPT = 800_000       # chunks and pre-tokens whose ids a worker remembers
 KEPT_LENGTH = 200    # only shorter ones are
 _IDS: dict[bytes, tuple[dict, dict]] = {}
 
 
 def merge(sequence: bytes, vocab: Vocabulary) -> list[int]:
     """Ids of one pre-token."""
-    ranks, merged = vocab.ranks, vocab.merged
-    symbols = vocab.byte_ids[np.frombuffer(sequence, np.uint8)].tolist()
+    ranks, merged, byte_ids = vocab.ranks, vocab.merged_list, vocab.byte_list
+    symbols = [byte_ids[b] for b in sequence]
     n = len(symbols)
     after, before = list(range(1, n + 1)), list(range(-1, n - 1))
     queue = []
@@ -38,7 +38,7 @@ def merge(sequence: bytes, vocab: Vocabulary) -> list[int]:
         j = after[i]
         if symbols[i] != left or j >= n or symbols[j] != right:
             continue  # stale
-        symbols[i] = int(merged[rank])
+        symbols[i] = merged[rank]
         symbols[j] = -1
         k = after[i] = after[j]
         if k < n:

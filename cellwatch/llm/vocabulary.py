@@ -80,6 +80,7 @@ class Vocabulary:
 
     def __post_init__(self):
         size = self.size = len(self.strings)
+        self.byte_list, self.merged_list = self.byte_ids.tolist(), self.merged.tolist()
         keys = np.fromiter((a * size + b for a, b in self.ranks), np.int64, len(self.ranks))
         order = np.argsort(keys)
         self.keys = keys[order]
