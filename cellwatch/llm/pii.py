@@ -2,8 +2,8 @@
 
 1. The fixed patterns find seed entities. Near-miss spans (identifiers written in another way)
    are only candidates.
-2. Every seed and candidate has lexical contexts: the word before, the two words before, the words
-   around. A context with enough different seeds of a kind is a pattern of that kind.
+2. Every seed and candidate has lexical contexts: the token before, the two and three tokens before,
+   the tokens around. A context with enough different seeds of a kind is a pattern of that kind.
 3. The corpus is read once more to count how often each pattern's context occurs at all, before
    whatever word: a common word that happens to stand before a few seeds gets no confidence.
 4. Pattern and instance confidences are computed from each other over a few rounds of joins:
@@ -15,6 +15,7 @@
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from hashlib import blake2b
 
 import numpy as np
@@ -22,7 +23,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cellwatch.llm.common import map_slices, mix, text_bytes, texts, unused, word_hashes, written
+from cellwatch.llm.common import (_BYTE_VALUES, _IS_SPACE, _LOWER, _powers, map_slices, mix, text_bytes, texts, unused,
+                                  written)
 
 # Kinds in their order and the patterns of the contract.
 KINDS = ("email", "ip", "card", "phone")
@@ -32,17 +34,23 @@ _DOTTED = re.compile(r"[0-9]+(?:\.[0-9]+)+")
 _CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 # Candidates: the same identifiers written in ways the fixed patterns don't know.
-_EMAIL_LIKE = re.compile(r"[A-Za-z0-9._%+-]{1,64}\x20?(?:\(at\)|\[at\])\x20?[A-Za-z0-9-]{1,64}"
-                         r"(?:\x20?(?:\(dot\)|\[dot\]|\.)\x20?[A-Za-z0-9-]{1,64}){1,8}", re.I)
-_IP_LIKE = re.compile(r"(?<![0-9.\]])[0-9]{1,3}(?:(?:\[\.\]|\(\.\))[0-9]{1,3}){3}(?![0-9\[])")
-_PHONE_LIKE = re.compile(r"(?<![0-9A-Za-z+.-])\(?[0-9][0-9().\x20/-]{5,24}[0-9](?![0-9A-Za-z])")
+# Patterns that begin with a plain letter or digit are searched for fast; what stands before is checked after.
+_MAYBE_AT = re.compile(r"a[tT](?=[\x20)\]}>_*-])|A[tT](?=[\x20)\]}>_*-])|@|＠|#|%40")
+_AT = re.compile(r"\x20?[(\[{<]\x20?(?:at|@)\x20?[)\]}>]\x20?|\x20(?:at|@)\x20|[-_*]at[-_*]|&#64;|%40|[@＠#]", re.I)
+_HOST = re.compile(r"[A-Za-z0-9-]+((?:\x20?[(\[{<]\x20?(?:dot|\.)\x20?[)\]}>]\x20?|\x20dot\x20|[-_*]dot[-_*]|\.)[A-Za-z0-9-]+)*", re.I)
+_SITE = re.compile(r"\.[A-Za-z]{2}")
+_IP_LIKE = re.compile(r"[0-9][0-9]{0,2}(?:(?:\x20?(?:[(\[{](?:\.|dot)[)\]}]|dot|[.,:_-])\x20?|\x20)[0-9]{1,3}){3}(?![0-9\[])")
+_BEFORE_IP = frozenset("0123456789.]")
+_GAP = r"().\x20\t /_:,|*~·‐-―-"
+_CHAIN = re.compile(rf"[0-9][0-9{_GAP}]{{5,}}[0-9]\)?")
+_UNIT = re.compile(r"\(?[0-9]+(?:[^0-9\s]{1,3}[0-9]+)*\)?")
+_SHAPE = str.maketrans("123456789", "000000000")
+_DIGITS = ((3, 7, 15), (2, 12, 19))      # kind, least and most digits
 
 MIN_SEEDS = 3              # different seed values that make a context a pattern
 CONFIDENCE = 0.5           # of a candidate that is added
 ROUNDS = 3
 _FILTER = 1 << 20          # size of the broadcast table of pattern hashes (booleans)
-_WORD = re.compile(r"[^\x20\x09-\x0D]+")
-_REACH = 200               # code points looked at on each side for context words
 
 
 def _luhn(digits: str) -> bool:
@@ -85,56 +93,153 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(out)
 
 
-def candidate_spans(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
-    """Near misses that overlap no base span."""
-    found = []
-    if "(" in text or "[" in text:
-        found += [(m.start(), 0, m.end()) for m in _EMAIL_LIKE.finditer(text)]
-        found += [(m.start(), 1, m.end()) for m in _IP_LIKE.finditer(text)]
-    for m in _PHONE_LIKE.finditer(text):
-        digits = sum(c.isdigit() for c in m.group())
-        if 7 <= digits <= 15 and not _DOTTED.fullmatch(m.group()):
-            found.append((m.start(), 3, m.end()))
-        if 12 <= digits <= 19 and _CARD.fullmatch(m.group()):
-            found.append((m.start(), 2, m.end()))
-    if not found:
-        return []
+def _email_like(text: str) -> list[tuple[int, int, int]]:
+    found, end = [], 0
+    for maybe in _MAYBE_AT.finditer(text):
+        # The longest sign around: "(at)" may have blanks inside and outside.
+        m = next(filter(None, (_AT.match(text, k) for k in range(max(end, maybe.start() - 3), maybe.start() + 1))), None)
+        if m is None or m.end() <= maybe.start():
+            continue
+        start = m.start()
+        while start > end and text[start - 1] in _LOCAL:
+            start -= 1
+        host = _HOST.match(text, m.end()) if start < m.start() else None
+        # Between blanks "at" is a common word, and "#" is a common sign: the host needs a dot.
+        if host and (host.group(1) or m.group().strip().lower() not in ("at", "#", "%40")):
+            found.append((start, 0, host.end()))
+            end = host.end()
+    done = 0
+    for m in _SITE.finditer(text):
+        if m.start() >= max(done, 1) and text[m.start() - 1].isalnum():
+            start, done = m.start(), m.end()
+            while start > 0 and text[start - 1] in _LOCAL:
+                start -= 1
+            while done < len(text) and text[done] in _LOCAL:
+                done += 1
+            found.append((start, 0, start + len(text[start:done].rstrip(".-_%+"))))
+    return found
+
+
+def _numbers(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int, int, int, int]]:
+    """Runs of number groups that may be phones or cards: (start, kind, end, rank, from, to).
+
+    Where a chain of groups is too long, its repeated shapes and then all runs of groups take its
+    place. Repeats of the chain's first shape stand in the same slot: their context is that of
+    ``from`` and ``to``.
+    """
     out, b = [], 0
-    for span in sorted(found):
+    for chain in _CHAIN.finditer(text):
+        parts: list[list] = [[]]
+        for m in _UNIT.finditer(text, chain.start() - (text[chain.start() - 1:chain.start()] == "("), chain.end()):
+            s, e = m.span()
+            while b < len(base) and base[b][2] <= s:
+                b += 1
+            glued = (s and (text[s - 1] == "+" or text[s - 1].isalnum())) or (e < len(text) and text[e].isalnum())
+            if glued or any(x[0] < e and x[2] > s for x in _upto(base, b, e)):
+                parts.append([])
+            else:
+                parts[-1].append((s, e, m.group().translate(_SHAPE), sum(map(str.isdigit, m.group()))))
+        for units in parts:
+            if units:
+                out += _ranges(text, units)
+    return out
+
+
+def _upto(base, b, end):
+    while b < len(base) and base[b][0] < end:
+        yield base[b]
+        b += 1
+
+
+def _ranges(text: str, units: list) -> list:
+    out = []
+    shapes, digits = [u[2] for u in units], [u[3] for u in units]
+    n, total = len(units), sum(digits)
+
+    def span(i, j):
+        s, e = units[i][0], units[j - 1][1]
+        inside = text[s:e]
+        s += inside[0] == "(" and ")" not in inside
+        e -= inside[-1] == ")" and "(" not in inside
+        return s, e
+
+    for kind, least, most in _DIGITS:
+        if total < least:
+            continue
+        if total <= most:
+            s, e = span(0, n)
+            out.append((s, kind, e, 0, s, e))
+            continue
+        for p in range(min(n // 2, most), 0, -1):
+            if least <= sum(digits[:p]) <= most and shapes[p:2 * p] == shapes[:p]:
+                k = 2
+                while shapes[k * p:(k + 1) * p] == shapes[:p]:
+                    k += 1
+                whole = span(0, k * p)
+                out += [(*span(i * p, i * p + p)[:1], kind, span(i * p, i * p + p)[1], 0,
+                         units[0][0] if i else span(0, p)[0], whole[1]) for i in range(k)]
+                break
+        for i in range(n):
+            have, j = 0, i
+            while j < n and have + digits[j] <= most:
+                have += digits[j]
+                j += 1
+                if have >= least:
+                    s, e = span(i, j)
+                    out.append((s, kind, e, 1, s, e))
+    return out
+
+
+def candidate_spans(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int, int, int, int]]:
+    """Near misses that overlap no base span: (start, kind, end, rank, from, to)."""
+    found = _email_like(text)
+    found += [(m.start(), 1, m.end()) for m in _IP_LIKE.finditer(text)
+              if text[m.start() - 1:m.start()] not in _BEFORE_IP and all(int(x) <= 255 for x in re.findall("[0-9]+", m.group()))]
+    out, b = [], 0
+    for span in sorted(set(found)):
         while b < len(base) and base[b][2] <= span[0]:
             b += 1
-        if all(x[0] >= span[2] or x[2] <= span[0] for x in base[b:b + 8]):
-            out.append(span)
-    return out
+        if not any(x[2] > span[0] for x in _upto(base, b, span[2])):
+            out.append((*span, 0, span[0], span[2]))
+    return out + _numbers(text, base)
+
 
+_NONE = np.uint64(0x3C6EF372FE94F82B)          # stands for the word before a text's first
 
-def _hash_words(parts: list[str]) -> list[int]:
-    """The slice hashing of :func:`common.word_hashes` for single words."""
-    if not parts:
-        return []
-    raw = np.frombuffer(" ".join(parts).encode(), np.uint8)
-    return word_hashes(raw, np.array([0, len(raw)]))[0].tolist()
 
+def _tokens(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts, hashes and texts of a slice's tokens: its words."""
+    n = len(raw)
+    space = _IS_SPACE[raw]
+    start = ~space
+    start[1:] &= space[:-1]
+    inner = offsets[(offsets > 0) & (offsets < n)]
+    start[inner] = ~space[inner]
+    starts = np.flatnonzero(start)
+    if not len(starts):
+        return starts, np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    spans = np.diff(np.append(starts, n))
+    values = _BYTE_VALUES[_LOWER[raw[starts[0]:]]]
+    values[space[starts[0]:]] = 0
+    values *= _powers(int(spans.max()))[np.arange(starts[0], n) - np.repeat(starts, spans)]
+    return starts, mix(np.add.reduceat(values, starts - starts[0])), np.searchsorted(offsets, starts, "right") - 1
 
-def _context_hashes(before2, before1, after) -> np.ndarray:
-    """Three pattern hashes (word before; two before; around) of aligned word-hash arrays."""
-    a, b, c = (np.asarray(x, np.uint64) for x in (before2, before1, after))
-    one, two, three = np.uint64(0x51ED270B), np.uint64(0xA24BAED4963EE407), np.uint64(0x9FB21C651E98DF25)
-    return np.stack([mix(b + one), mix(a * two + b), mix(b * three + c + two)])
 
+def _patterns(words: np.ndarray, owner: np.ndarray, at: np.ndarray, after: np.ndarray):
+    """Hashes of the contexts of slots from token ``at`` to before token ``after``, and which exist.
 
-def _contexts(text: str, start: int, end: int) -> list[int]:
-    """Pattern hashes of a span; missing words (text's ends) leave their patterns out."""
-    left = _WORD.findall(text[max(0, start - _REACH):start])
-    right = _WORD.search(text, end, end + _REACH)
-    if not left or (start and not text[start - 1].isspace()):
-        return []
-    words = _hash_words([*left[-2:], *([right.group()] if right else [])])
-    b1 = words[min(len(left), 2) - 1]
-    b2 = words[0] if len(left) > 1 else None
-    after = words[-1] if right else None
-    all3 = _context_hashes([b2 or 0], [b1], [after or 0])[:, 0].view(np.int64).tolist()
-    return [all3[0], *([all3[1]] if b2 is not None else []), *([all3[2]] if after is not None else [])]
+    One, two and three tokens before; the tokens around (a text's start counts as one).
+    """
+    n = len(words)
+    before = [np.where(at >= k, words[np.maximum(at - k, 0)], _NONE) for k in (1, 2, 3)]
+    has = [(at >= k) & (owner[np.maximum(at - k, 0)] == owner[at]) for k in (1, 2, 3)]
+    b1 = np.where(has[0], before[0], _NONE)
+    ok = (after < n) & (owner[np.minimum(after, n - 1)] == owner[at])
+    c = words[np.minimum(after, n - 1)]
+    one, two, three, four = (np.uint64(x) for x in (0x51ED270B, 0xA24BAED4963EE407, 0x9FB21C651E98DF25, 0xD6E8FEB86659FD93))
+    h = np.stack([mix(b1 + one), mix(before[1] * two + b1), mix(mix(before[2] * four + before[1]) * two + b1),
+                  mix(b1 * three + c + two)])
+    return h.view(np.int64), np.stack([*has, ok])
 
 
 def _instance(kind: int, value: str) -> int:
@@ -142,18 +247,41 @@ def _instance(kind: int, value: str) -> int:
 
 
 _SPAN = pa.struct([("kind", pa.int32()), ("start", pa.int32()), ("stop", pa.int32())])
-_SEEN = pa.struct([*_SPAN, ("seed", pa.bool_()), ("instance", pa.int64()), ("patterns", pa.list_(pa.int64()))])
+_SEEN = pa.struct([*_SPAN, ("seed", pa.bool_()), ("rank", pa.int32()), ("instance", pa.int64()),
+                   ("patterns", pa.list_(pa.int64())), ("wide", pa.int64())])
 
 
 def _scan(batch: pa.RecordBatch) -> pa.RecordBatch:
-    base, seen = [], []
-    for text in batch.column(1).to_pylist():
+    base, seen, where, slots = [], [], [], []
+    raw, offsets = text_bytes(batch.column(1))
+    for number, text in enumerate(batch.column(1).to_pylist()):
         spans = base_spans(text)
         base.append([{"kind": k, "start": s, "stop": e} for s, k, e in spans])
-        seen.append([{"kind": k, "start": s, "stop": e, "seed": is_seed, "instance": _instance(k, text[s:e]),
-                      "patterns": _contexts(text, s, e)}
-                     for is_seed, group in ((True, spans), (False, candidate_spans(text, spans)))
-                     for s, k, e in group])
+        rows = []
+        for is_seed, group in ((True, [(*x, 0, x[0], x[2]) for x in spans]), (False, candidate_spans(text, spans))):
+            for s, k, e, rank, a, z in group:
+                rows.append({"kind": k, "start": s, "stop": e, "seed": is_seed, "rank": rank,
+                             "instance": _instance(k, text[s:e]), "patterns": [], "wide": None})
+                slots.append((number, a, z))
+                where.append(rows[-1])
+        seen.append(rows)
+    starts, words, owner = _tokens(raw, offsets)
+    if slots and len(starts):
+        number, a, z = np.array(slots).T
+        chars = np.append(np.flatnonzero((raw & 0xC0) != 0x80), len(raw))
+        first = np.searchsorted(chars, offsets[number])
+        a, z = chars[first + a], chars[first + z]
+        at = np.minimum(np.searchsorted(starts, a), len(starts) - 1)
+        after = np.searchsorted(starts, z)
+        h, ok = _patterns(words, owner, at, after)
+        ok &= starts[at] == a              # inside a token there is no slot
+        # Slots of several tokens, which the count of all contexts doesn't see.
+        wide, counted = ok[3] & (after - at > 1), set()
+        for k, row in enumerate(where):
+            row["patterns"] = h[ok[:, k], k].tolist()
+            if wide[k] and (int(at[k]), int(after[k])) not in counted:
+                counted.add((int(at[k]), int(after[k])))
+                row["wide"] = int(h[3, k])
     return pa.RecordBatch.from_arrays(
         [batch.column(0), batch.column(2), pa.array(base, pa.list_(_SPAN)), pa.array(seen, pa.list_(_SEEN))],
         ["doc_id", "key", "base", "seen"])
@@ -164,19 +292,11 @@ def _totals(docs: DataFrame, filled: np.ndarray) -> DataFrame:
     table = docs.sparkSession.sparkContext.broadcast(filled)
 
     def count(batch: pa.RecordBatch) -> pa.RecordBatch:
-        words, owner = word_hashes(*text_bytes(batch.column(1)))
-        n = len(words)
-        if n < 2:
-            got = np.zeros(0, np.int64)
-        else:
-            b1, mid_owner = words[:-1], owner[1:]
-            b2 = np.append(np.uint64(0), words[:-2])
-            after = np.append(words[2:], np.uint64(0))
-            same = owner[:-1] == mid_owner
-            ok2 = same & np.append(False, owner[:-2] == mid_owner[1:])
-            ok3 = same & np.append(owner[2:] == mid_owner[:-1], False)
-            h = _context_hashes(b2, b1, after)
-            got = np.concatenate([h[0][same], h[1][ok2], h[2][ok3]]).view(np.int64)
+        _, words, owner = _tokens(*text_bytes(batch.column(1)))
+        got = np.zeros(0, np.int64)
+        if len(words):
+            h, ok = _patterns(words, owner, np.arange(len(words)), np.arange(1, len(words) + 1))
+            got = h[ok]
             got = got[table.value[got & (_FILTER - 1)]]
         value, times = np.unique(got, return_counts=True)
         return pa.RecordBatch.from_arrays([pa.array(value), pa.array(times.astype(np.int64))], ["pattern", "total"])
@@ -186,7 +306,7 @@ def _totals(docs: DataFrame, filled: np.ndarray) -> DataFrame:
 
 
 def _discovered(docs: DataFrame, seen: DataFrame) -> DataFrame:
-    """``key, kind, start, stop`` of candidates that confident patterns reach."""
+    """``key, kind, start, stop, rank`` of candidates that confident patterns reach."""
     edges = seen.select("kind", "instance", "seed", F.explode("patterns").alias("pattern"))
     edges = written(edges.groupBy("kind", "instance", "seed", "pattern").agg(F.count(F.lit(1)).alias("n")), "edges")
     supported = edges.groupBy("kind", "pattern").agg(F.count_if("seed").alias("seeds")).where(F.col("seeds") >= MIN_SEEDS)
@@ -194,7 +314,9 @@ def _discovered(docs: DataFrame, seen: DataFrame) -> DataFrame:
     slots = supported.select(F.expr(f"pattern & {_FILTER - 1}").alias("slot")).distinct().toArrow()
     filled = np.zeros(_FILTER, bool)
     filled[slots.column("slot").to_numpy()] = True
-    patterns = written(supported.join(_totals(docs, filled), "pattern").select("kind", "pattern", "total"), "patterns")
+    wide = seen.where("wide IS NOT NULL").groupBy(F.col("wide").alias("pattern")).agg(F.count(F.lit(1)).alias("total"))
+    totals = _totals(docs, filled).unionByName(wide).groupBy("pattern").agg(F.sum("total").alias("total"))
+    patterns = written(supported.join(totals, "pattern").select("kind", "pattern", "total"), "patterns")
     graph = written(edges.join(patterns, ["kind", "pattern"]), "graph")
     score = graph.select("kind", "instance", F.col("seed").cast("double").alias("score")).distinct()
     for k in range(ROUNDS):
@@ -206,8 +328,27 @@ def _discovered(docs: DataFrame, seen: DataFrame) -> DataFrame:
         score = written(reached.select("kind", "instance", F.when(F.col("seed"), 1.0).otherwise(
             F.when(F.col("score") >= CONFIDENCE, F.col("score")).otherwise(0.0)).alias("score")), f"score{k}")
     sure = confidence.where(F.col("confidence") >= CONFIDENCE).select("kind", "pattern")
-    reach = seen.where("NOT seed").select("key", "kind", "start", "stop", F.explode("patterns").alias("pattern"))
-    return reach.join(sure, ["kind", "pattern"]).select("key", "kind", "start", "stop").distinct()
+    reach = seen.where("NOT seed").select("key", "kind", "start", "stop", "rank", F.explode("patterns").alias("pattern"))
+    return (reach.join(sure, ["kind", "pattern"]).groupBy("key", "kind", "start", "stop")
+            .agg(F.min("rank").alias("rank")))
+
+
+def _apart(batches):
+    """Of a text's overlapping spans of a kind the one of lower rank stays, then the longer one."""
+    for batch in batches:
+        out = []
+        for row in batch.column(1).to_pylist():
+            taken: dict[int, list] = {}
+            kept = []
+            for s in sorted(row, key=lambda s: (s["rank"], s["start"] - s["stop"], s["start"])):
+                own = taken.setdefault(s["kind"], [])
+                k = bisect_left(own, (s["start"], s["stop"]))
+                if (k and own[k - 1][1] > s["start"]) or (k < len(own) and own[k][0] < s["stop"]):
+                    continue
+                own.insert(k, (s["start"], s["stop"]))
+                kept.append({"kind": s["kind"], "start": s["start"], "stop": s["stop"]})
+            out.append(kept)
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.list_(_SPAN))], ["key", "more"])
 
 
 def _text_key():
@@ -218,10 +359,12 @@ def _spans(docs: DataFrame) -> DataFrame:
     """``doc_id, key, base, spans`` (arrays of kind number, start, stop; sorted by start, kind)."""
     rows = written(map_slices(
         texts(docs, _text_key().alias("key")), _scan, "doc_id bigint, key binary, base array<struct<kind:int,start:int,stop:int>>, "
-        "seen array<struct<kind:int,start:int,stop:int,seed:boolean,instance:bigint,patterns:array<bigint>>>"), "scan")
+        "seen array<struct<kind:int,start:int,stop:int,seed:boolean,rank:int,instance:bigint,patterns:array<bigint>,"
+        "wide:bigint>>"), "scan")
     seen = rows.select("key", F.explode("seen").alias("s")).select("key", "s.*")
     more = written(_discovered(docs, seen).groupBy("key").agg(
-        F.collect_set(F.struct("kind", "start", "stop")).alias("more")), "more")
+        F.collect_set(F.struct("kind", "start", "stop", "rank")).alias("more")).mapInArrow(
+        _apart, "key binary, more array<struct<kind:int,start:int,stop:int>>"), "more")
     joined = rows.drop("seen").join(more, "key", "left")
     order = lambda a, b: (F.when(a["start"] != b["start"], a["start"] - b["start"])
                           .when(a["kind"] != b["kind"], a["kind"] - b["kind"]).otherwise(a["stop"] - b["stop"]))

@@ -161,6 +161,34 @@ def test_pii_finds_unseen_forms_in_learned_contexts(spark, none):
     assert pii.find(none).count() == 0 and pii.redact(none).count() == 0
 
 
+def _found(spark, rows):
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    text = dict(rows)
+    return {r.doc_id: [(s.kind, text[r.doc_id][s.start:s.stop]) for s in r.spans] for r in pii.find(df).collect()}
+
+
+def test_pii_candidates_of_other_shapes(spark):
+    rows = [(i, f"filler {i} and Call me at +1 (555) 010-{1000 + i} today ok") for i in range(30)]
+    rows += [(100 + i, f"row {i} we bill card 4111 1111 1111 {1111 + k} monthly yes") for i, k in enumerate(
+        k for k in range(200) if pii._luhn(f"411111111111{1111 + k}"))]
+    rows += [(200 + i, f"line {i} please write to user{i}@example.org soon thanks") for i in range(30)]
+    want = {
+        300: ("phone", "x Call me at", ["555.123.4567"], "today"),
+        301: ("phone", "x Call me at", ["555-010-7711", "555-010-7712"], "today"),
+        302: ("phone", "x Call me at", ["555-010-7711"], "2024-01-05 today"),
+        303: ("card", "x bill card", ["4111.1111.1111.1112"], "monthly"),
+        304: ("card", "x bill card", ["4111/1111/1111/1112"], "monthly"),
+        305: ("email", "x please write to", ["bob AT example DOT org"], "soon"),
+        306: ("email", "x please write to", ["bob{at}example.org"], "soon"),
+        307: ("phone", "x Call me at", ["555 010 7711", "555 010 7712"], "today")}
+    rows += [(k, " ".join([a, *v, z])) for k, (_, a, v, z) in want.items()]
+    rows += [(400, "we counted 555.123.4567 apples, 4111.1111.1111.1112 pears, see bob AT example DOT org")]
+    got = _found(spark, rows)
+    for k, (kind, _, values, _) in want.items():
+        assert got[k] == [(kind, v) for v in values], k
+    assert got[400] == []
+
+
 def test_redaction_keeps_rows_and_columns(odd):
     got = pii.redact(odd)
     assert got.columns == odd.columns and got.count() == odd.count()
