@@ -3,7 +3,8 @@
 1. The fixed patterns find seed entities. Near-miss spans (identifiers written in another way)
    are only candidates.
 2. Every seed and candidate has lexical contexts: the token before, the two and three tokens before,
-   the tokens around. A context with enough different seeds of a kind is a pattern of that kind.
+   the tokens around. Signs (brackets, quotes, colons) are tokens of their own, so a glued prefix is
+   a context. A context with enough different seeds of a kind is a pattern of that kind.
 3. The corpus is read once more to count how often each pattern's context occurs at all, before
    whatever word: a common word that happens to stand before a few seeds gets no confidence.
 4. Pattern and instance confidences are computed from each other over a few rounds of joins:
@@ -204,17 +205,30 @@ def candidate_spans(text: str, base: list[tuple[int, int, int]]) -> list[tuple[i
     return out + _numbers(text, base)
 
 
+_SIGN = np.zeros(256, bool)
+_SIGN[[c for c in range(33, 127) if not chr(c).isalnum() and chr(c) not in "._%+-@"]] = True
 _NONE = np.uint64(0x3C6EF372FE94F82B)          # stands for the word before a text's first
 
 
 def _tokens(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Starts, hashes and texts of a slice's tokens: its words."""
+    """Starts, hashes and texts of a slice's tokens: signs one by one, and what stands between them."""
     n = len(raw)
-    space = _IS_SPACE[raw]
-    start = ~space
-    start[1:] &= space[:-1]
+    space, sign, later = _IS_SPACE[raw], _SIGN[raw], np.zeros(n, bool)
+    if n and raw.max() >= 0x80:
+        after, third = np.append(raw[1:], 0), np.append(raw[2:], [0, 0])[:n]
+        two = (raw == 0xC2) & ((after == 0xAB) | (after == 0xBB))
+        three = (((raw == 0xE2) | (raw == 0xE3)) & (after == 0x80)) | (
+            (raw == 0xEF) & (after == 0xBC) & ((third <= 0x8F) | ((third >= 0x9A) & (third <= 0x9F))))
+        sign |= two | three
+        later[1:] |= (two | three)[:-1]
+        later[2:] |= three[:-2]
+    start = sign | ~space
+    start[1:] &= sign[1:] | space[:-1] | sign[:-1] | later[:-1]
+    # A plus before a digit starts a number.
+    start[1:-1] |= (raw[1:-1] == 43) & (_DIGIT[raw[2:]]) & ~_DIGIT[raw[:-2]]
     inner = offsets[(offsets > 0) & (offsets < n)]
     start[inner] = ~space[inner]
+    start &= ~later
     starts = np.flatnonzero(start)
     if not len(starts):
         return starts, np.zeros(0, np.uint64), np.zeros(0, np.int64)
@@ -225,6 +239,10 @@ def _tokens(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return starts, mix(np.add.reduceat(values, starts - starts[0])), np.searchsorted(offsets, starts, "right") - 1
 
 
+_DIGIT = np.zeros(256, bool)
+_DIGIT[48:58] = True
+
+
 def _patterns(words: np.ndarray, owner: np.ndarray, at: np.ndarray, after: np.ndarray):
     """Hashes of the contexts of slots from token ``at`` to before token ``after``, and which exist.
 

@@ -189,6 +189,20 @@ def test_pii_candidates_of_other_shapes(spark):
     assert got[400] == []
 
 
+def test_pii_contexts_at_signs_and_starts(spark):
+    rows = [(i, f"note {i} from Bob <user{i}@example.org> here") for i in range(10)]
+    rows += [(50 + i, f"see href=mailto:user{i}@example.com , {i}") for i in range(10)]
+    rows += [(100 + i, f"user{i}@example.net wrote this {i}") for i in range(10)]
+    rows += [(150 + i, f"item {i} tel:+1 555 010 {1000 + i} open") for i in range(10)]
+    rows += [(200, "and Ann <ann(at)example.org> there"), (201, "x mailto:ann(at)example.com y"),
+             (202, "ann (at) example.net wrote that"), (203, "y tel:555 010 7711 z")]
+    got = _found(spark, rows)
+    assert got[200] == [("email", "ann(at)example.org")]
+    assert got[201] == [("email", "ann(at)example.com")]
+    assert got[202] == [("email", "ann (at) example.net")]
+    assert got[203] == [("phone", "555 010 7711")]
+
+
 def test_redaction_keeps_rows_and_columns(odd):
     got = pii.redact(odd)
     assert got.columns == odd.columns and got.count() == odd.count()
