@@ -1,6 +1,6 @@
 """Packing of documents into sequences: best fit, then swap-based local search.
 
-Pieces are dealt by hash into shards of about ``SHARD`` pieces, so that no task grows with the
+Pieces are dealt by a stored row number into shards of about ``SHARD`` pieces, so that no task grows with the
 input; each shard is packed by itself and ends with at most a few sequences that are not full. In
 a shard, best fit over decreasing lengths gives the start. The local search then takes the least
 filled sequence and moves its documents into others, alone or in exchange for one shorter document
@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cellwatch.llm.common import map_slices, texts
+from cellwatch.llm.common import map_slices, texts, unused, written
 
 LENGTH = 2048
 SHARD = 20_000             # pieces that one task packs together, at about
@@ -297,7 +297,10 @@ def place(cut: DataFrame, length: int = LENGTH, shard: int = SHARD) -> DataFrame
         return pa.table([*(table.column(n) for n in names), pa.array(number + (key[0].as_py() << 32)),
                          pa.array(offset)], [*names, "sequence_id", "offset"])
 
-    dealt = cut.withColumn("_shard", F.pmod(F.xxhash64(*names), F.lit(shards))).groupBy("_shard")
+    # Dealt by a stored number of the row, so that repeated rows are spread too.
+    row, part = unused(cut, "row_number"), unused(cut, "shard")
+    numbered = written(cut.withColumn(row, F.monotonically_increasing_id()), "numbered")
+    dealt = numbered.withColumn(part, F.pmod(F.xxhash64(row), F.lit(shards))).groupBy(part)
     return dealt.applyInArrow(lambda key, table: pack(key, table.select(names)),
                               schema + ", sequence_id bigint, offset bigint")
 

@@ -106,6 +106,12 @@ def test_packing(request, which):
         assert at <= 2048
 
 
+def test_packing_spreads_repeated_rows(spark):
+    cut = spark.range(0, 4000).selectExpr("CAST(NULL AS BIGINT) AS doc_id", "CAST(700 AS BIGINT) AS length")
+    shards = [r["count"] for r in packing.place(cut, shard=400).groupBy(F.expr("sequence_id >> 32")).count().collect()]
+    assert sum(shards) == 4000 and len(shards) == 10 and max(shards) < 800
+
+
 def test_packing_of_nothing(none):
     assert packing.place(packing.pieces(none, WORD).cache()).count() == 0
 
