@@ -72,6 +72,30 @@ def test_lm_probabilities_sum_to_one(spark):
     assert 0 < total < 1 and 10 ** scored[free[50]] < 1
 
 
+def test_lm_hot_pair_is_dealt_by_text(spark):
+    """A pair with half of all tokens: its references are spread, its probability is one and right."""
+    from cellwatch.llm.common import texts
+    line = "same same same same same same"
+    train = [i for i in range(3000) if crc(i) % 5 != 1]
+    rows = [(i, f"{line} w{i}" if i % 2 else f"a{i} b{i}") for i in train]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    source = texts(df, F.xxhash64("text").alias("key"), F.lit(True).alias("train"))
+    pairs = lm_scoring._hot(source.mapInArrow(lm_scoring._measure, "doc_id long, key long, n long, word long, times long, pair boolean"), True)[0]
+    hot = lm_scoring._hot(source.mapInArrow(lm_scoring._measure, "doc_id long, key long, n long, word long, times long, pair boolean"), False)[0]
+    blocks = source.mapInArrow(lm_scoring._occurrences(8, hot, pairs), "part int, data binary").collect()
+    sizes = Counter()
+    for b in blocks:
+        sizes[b.part] += len(lm_scoring._unpack(bytes(b.data))["ref"])
+    assert len(sizes) == 8 and max(sizes.values()) < 2 * sum(sizes.values()) / 8
+    scored = {r.doc_id: r for r in lm_scoring.score(df).collect()}
+    odd = [i for i in train if i % 2]
+    gap = [scored[i].score - scored[i].base_score for i in odd]
+    assert all(g > 0 for g in gap) and all(scored[i].n_tokens == 8 for i in odd)
+    # In its context "same" follows with 5 of 6 tokens: a text's five repeats cost about 5 log10(5 / 6).
+    whole = np.mean([scored[i].score for i in odd])
+    assert whole > 5 * math.log10(5 / 6) - 12
+
+
 def test_lm_odd_rows(odd, none):
     rows = lm_scoring.score(odd).collect()
     assert len(rows) == 13
