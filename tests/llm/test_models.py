@@ -96,6 +96,18 @@ def test_lm_hot_pair_is_dealt_by_text(spark):
     assert whole > 5 * math.log10(5 / 6) - 12
 
 
+def test_lm_contexts_are_words(corpus, monkeypatch):
+    raw = np.frombuffer(" ".join(f"w{i}" for i in range(200_000)).encode(), np.uint8)
+    token, context, _ = lm_scoring.tokens_of(raw, np.array([0, len(raw)]))
+    assert len(np.unique(context)) == len(token) == 200_001
+    # Totals summed over many partitions: about the scores of one.
+    whole = {r.doc_id: r.score for r in lm_scoring.score(corpus).collect()}
+    monkeypatch.setattr(lm_scoring, "PARTITION_BYTES", 100_000)
+    split = {r.doc_id: r.score for r in lm_scoring.score(corpus).collect()}
+    assert whole.keys() == split.keys()
+    assert abs(sum(split.values()) / sum(whole.values()) - 1) < 0.02
+
+
 def test_lm_odd_rows(odd, none):
     rows = lm_scoring.score(odd).collect()
     assert len(rows) == 13
