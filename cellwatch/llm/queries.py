@@ -5,7 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellwatch.llm import bpe, exact_dedup, language_id, lm_scoring, ngram_join, packing, pii, quality_classifier, quality_rules, token_counts
+from cellwatch.llm import (
+    bpe,
+    exact_dedup,
+    fill_in_middle,
+    language_id,
+    lm_scoring,
+    ngram_join,
+    packing,
+    pii,
+    quality_classifier,
+    quality_rules,
+    token_counts,
+    winnowing,
+)
 from cellwatch.llm.common import written
 from cellwatch.sources.tables import read_table
 
@@ -80,6 +93,21 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, F.sha2(line("base"), 256).alias("base_sha256"), line("spans").alias("spans"))
 
 
+def op12_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Winnowed fingerprint of every document, beside those of its edited text and the next document."""
+    found = winnowing.neighbour_likeness(read_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_chars", "edited_sha256", winnowing.as_text("hashes", "positions").alias("fingerprint"),
+                        winnowing.as_text("edited_hashes", "edited_positions").alias("edited_fingerprint"),
+                        "near_edited", "near_next")
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fill-in-the-middle form of every document, as digests of the output and of the text rebuilt from it."""
+    made = fill_in_middle.fill_in_middle(read_table(spark, sf_dir, "documents"))
+    return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+                       F.sha2(fill_in_middle.restored("output", "form"), 256).alias("restored_sha256"))
+
+
 QUERIES = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op2_exact_dedup": op2_exact_dedup,
@@ -91,9 +119,12 @@ QUERIES = {
     "op8_lm_scoring": op8_lm_scoring,
     "op9_quality_rules": op9_quality_rules,
     "op10_pii": op10_pii,
+    "op12_document_fingerprints": op12_document_fingerprints,
+    "op13_fill_in_middle": op13_fill_in_middle,
 }
 
 ORACLES = {
     "op1_ngram_jaccard_join": ngram_join.ORACLE,
     "op2_exact_dedup": exact_dedup.ORACLE,
+    "op13_fill_in_middle": fill_in_middle.ORACLE,
 }
