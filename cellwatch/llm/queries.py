@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from cellwatch.llm import (
     bpe,
+    conversation_repair,
     exact_dedup,
     fill_in_middle,
     language_id,
@@ -93,6 +94,12 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, F.sha2(line("base"), 256).alias("base_sha256"), line("spans").alias("spans"))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults of every damaged conversation and its cheapest repair."""
+    damaged = conversation_repair.damage(read_table(spark, sf_dir, "conversations"))
+    return conversation_repair.summarise(damaged)
+
+
 def op12_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Winnowed fingerprint of every document, beside those of its edited text and the next document."""
     found = winnowing.neighbour_likeness(read_table(spark, sf_dir, "documents"))
@@ -119,6 +126,7 @@ QUERIES = {
     "op8_lm_scoring": op8_lm_scoring,
     "op9_quality_rules": op9_quality_rules,
     "op10_pii": op10_pii,
+    "op11_conversation_repair": op11_conversation_repair,
     "op12_document_fingerprints": op12_document_fingerprints,
     "op13_fill_in_middle": op13_fill_in_middle,
 }
