@@ -1,55 +1,82 @@
-"""Exact quantiles that stay distributed when one group is unbounded.
-
-``percentile``/``median`` keep every distinct value of a group in one task's buffer: fine
-for bounded groups (a grid's hours, a bucket's days), not for a global quantile over a
-whole fact. ``exact_quantile`` brackets the target rank with ``percentile_approx`` (a
-Greenwald-Khanna summary with a deterministic rank-error bound of n/accuracy), counts
-the rows below the bracket, and resolves the exact order statistics from the distinct
-values inside it. Only the bracket's distinct values (about 2*margin*n/accuracy, fewer
-with ties) meet in one task; the interpolation is the one of ``percentile``.
-
-It runs four small aggregate jobs and returns a Python float, so callers should pass a
-persisted or checkpointed frame.
+"""Exact order statistics and quantiles of an unbounded column, without a hot task.
+
+``percentile`` and ``median`` keep every distinct value of a group in one task's buffer: fine for
+bounded groups (a grid's hours, a bucket's days), not for a global quantile over a whole fact.
+
+``order_statistic`` narrows an open value range around the wanted rank. Each round brackets the rank by
+two values of a quantile sketch (one aggregate), counts the rows below, at and between them (one
+aggregate), and goes on inside the part that holds the rank. The counts are exact, so the answer never
+depends on the sketch; the sketch only makes the part small, whatever the distribution. A value that
+many rows share is found by the count at it. Once at most ``few`` rows are left in the range, these, and
+never more, are sorted in one task.
 """
 
 from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+FEW = 4096          # rows that may meet in one task
+ACCURACY = 10_000   # of the sketch: rank error 1 / ACCURACY of the range's rows
+ROUNDS = 200        # far beyond any need (each round leaves a small share of the rows): then it raises
+
+
+def order_statistic(df: DataFrame, col: str, rank: int, few: int = FEW, accuracy: int = ACCURACY):
+    """The value at ``rank`` (from 0) of the sorted non-null values of a numeric column.
+
+    NaN sorts last. Raises IndexError for a rank outside. Callers should pass a stored frame: every round
+    reads the column twice.
+    """
+    x = df.select(F.col(col).alias("x")).where(F.col("x").isNotNull())
+    inside = x                                # rows of the open range at hand
+    left = x.agg(F.count(F.lit(1))).first()[0]
+    if not 0 <= rank < left:
+        raise IndexError(f"rank {rank} of {left} values")
+    at = rank                                 # the rank within the range
+    for _ in range(ROUNDS):
+        if left <= few:
+            return inside.orderBy("x").limit(few).agg(F.array_sort(F.collect_list("x")).alias("v")).first()["v"][at]
+        share = (at + 0.5) / left
+        margin = 3.0 / accuracy + 2.0 / left
+        low, high = inside.agg(F.percentile_approx("x", F.array(F.lit(max(share - margin, 0.0)), F.lit(min(share + margin, 1.0))),
+                                                   accuracy)).first()[0]
+        c, lo, hi = F.col("x"), F.lit(low), F.lit(high)
+        n = inside.agg(*(F.count_if(condition) for condition in (c < lo, c <= lo, c < hi, c <= hi))).first()
+        below_low, upto_low, below_high, upto_high = n
+        if below_low <= at < upto_low:
+            return low
+        if below_high <= at < upto_high:
+            return high
+        if at < below_low:
+            inside, left = inside.where(c < lo), below_low
+        elif at < below_high:
+            inside, at, left = inside.where((c > lo) & (c < hi)), at - upto_low, below_high - upto_low
+        else:
+            inside, at, left = inside.where(c > hi), at - upto_high, left - upto_high
+    raise RuntimeError("the range around the rank does not get smaller")
+
+
+def exact_quantile(df: DataFrame, col: str, p: float, few: int = FEW, accuracy: int = ACCURACY):
+    """Exact linear-interpolated ``p``-quantile of ``col`` (NULLs skipped), as ``percentile`` gives it.
 
-def exact_quantile(df: DataFrame, col: str, p: float, accuracy: int = 100_000, margin: float = 3.0):
-    """Exact linear-interpolated ``p``-quantile of ``col`` (NULLs skipped); None when empty."""
+    None when there is no value. No task holds more than ``few`` values, whatever the number of rows.
+    """
     if not 0.0 <= p <= 1.0:
         raise ValueError("p must be within [0, 1]")
     x = df.select(F.col(col).cast("double").alias("x")).where(F.col("x").isNotNull())
-    st = x.agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("mn"), F.max("x").alias("mx")).first()
-    n = st["n"]
+    n = x.agg(F.count(F.lit(1))).first()[0]
     if n == 0:
         return None
-    # Rank margin: the summary's error (margin * n / accuracy ranks) plus two ranks for the
-    # gap between its rank convention (about p*n, rounded up) and interpolation's (n-1)*p.
-    e = margin / accuracy + 2.0 / n
-    lo_p, hi_p = max(p - e, 0.0), min(p + e, 1.0)
-    b = x.agg(F.percentile_approx("x", F.array(F.lit(lo_p), F.lit(hi_p)), accuracy)).first()[0]
-    lo_b = st["mn"] if lo_p == 0.0 else b[0]
-    hi_b = st["mx"] if hi_p == 1.0 else b[1]
-    pos = (n - 1) * p
-    r_lo, r_hi = math.floor(pos), math.ceil(pos)      # 0-based ranks of the two order statistics
-    below = x.where(F.col("x") < lo_b).agg(F.count(F.lit(1))).first()[0]
-    cand = (x.where((F.col("x") >= lo_b) & (F.col("x") <= hi_b))
-            .groupBy("x").agg(F.count(F.lit(1)).alias("c")))
-    w = Window.orderBy("x").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    cum = cand.withColumn("upto", F.lit(below) + F.sum("c").over(w))   # rows with value <= x
-    got = cum.agg(F.min(F.when(F.col("upto") > r_lo, F.col("x"))).alias("lo"),
-                  F.min(F.when(F.col("upto") > r_hi, F.col("x"))).alias("hi"),
-                  F.max("upto").alias("top")).first()
-    if below > r_lo or got["top"] is None or got["top"] <= r_hi:
-        raise RuntimeError("quantile bracket missed the target rank")  # violates the GK bound
-    v_lo, v_hi = got["lo"], got["hi"]
-    if r_lo == r_hi:
-        return float(v_lo)
-    frac = pos - r_lo
-    return float((1.0 - frac) * v_lo + frac * v_hi)
+    position = (n - 1) * p
+    low, high = math.floor(position), math.ceil(position)
+    first = order_statistic(x, "x", low, few, accuracy)
+    if low == high:
+        return float(first)
+    # The next order statistic: the same value if enough rows share it, else the least above it.
+    c, v = F.col("x"), F.lit(first)
+    upto, above = x.agg(F.count_if(c <= v), F.min(F.when(c > v, c))).first()
+    second = first if upto > high else above
+    share = position - low
+    return float((1.0 - share) * first + share * second)

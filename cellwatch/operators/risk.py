@@ -3,6 +3,8 @@ a Spark ML pipeline, evaluation, batch scoring and the latest risk per grid."""
 
 from __future__ import annotations
 
+from datetime import datetime, timedelta
+
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import Imputer, StandardScaler, VectorAssembler
@@ -12,8 +14,10 @@ from pyspark.sql import functions as F
 
 from cellwatch import schema as S
 from cellwatch.functions.columns import ntz_literal
-from cellwatch.functions.quantiles import exact_quantile
-from cellwatch.session import cut_lineage
+from cellwatch.functions.quantiles import exact_quantile, order_statistic
+from cellwatch.session import cut_lineage, written
+
+EPOCH = datetime(1970, 1, 1)
 
 
 def future_labels(features: DataFrame, fact: DataFrame, hours: int = S.LABEL_HORIZON_HOURS,
@@ -29,29 +33,34 @@ def future_labels(features: DataFrame, fact: DataFrame, hours: int = S.LABEL_HOR
 def split_timestamp(df: DataFrame, ratio: float = S.TRAIN_RATIO, time: str = "feature_timestamp"):
     """The distinct timestamp at index max(1, int(n*ratio)) (capped at n-1).
 
-    Two small jobs over the distinct timestamps (a set bounded by the hours of the data);
-    returns the timestamp itself. Pass a persisted or checkpointed frame.
+    The distinct timestamps are stored and the one of that rank is selected without sorting them in one
+    place; returns the timestamp itself. Pass a stored frame.
     """
-    ts = df.select(F.col(time).alias("t")).where(F.col("t").isNotNull()).distinct()
+    micros = F.timestamp_diff("MICROSECOND", F.lit(EPOCH), F.col("t"))
+    ts = written(df.select(F.col(time).alias("t")).where(F.col("t").isNotNull()).distinct().select(micros.alias("u")), "times")
     n = ts.agg(F.count(F.lit(1))).first()[0]
     if n < 2:
         raise ValueError("not enough timestamps for a chronological split")
-    k = min(max(1, int(n * ratio)), n - 1)
-    return ts.orderBy("t").offset(k).limit(1).first()[0]
+    return EPOCH + timedelta(microseconds=order_statistic(ts, "u", min(max(1, int(n * ratio)), n - 1)))
 
 
 def chrono_split(df: DataFrame, ratio: float = S.TRAIN_RATIO, time: str = "feature_timestamp") -> DataFrame:
     """M2: rows before the split timestamp are 'train', the rest 'test' (G19: neither empty)."""
     t = split_timestamp(df, ratio, time)
-    return df.withColumn("split", F.when(F.col(time) < F.lit(t), "train").otherwise("test"))
+    return df.withColumn("split", F.when(F.col(time) < ntz_literal(t), "train").otherwise("test"))
 
 
 def risk_labels(split: DataFrame, p: float = S.POSITIVE_PERCENTILE) -> DataFrame:
     """Per-grid p-quantile of train future activity, else the overall train quantile
-    (exact and distributed, see functions.quantiles); risk_label = future >= threshold."""
+    (exact and distributed, see functions.quantiles); risk_label = future >= threshold.
+
+    The overall quantile is only looked for if some grid has no training row.
+    """
     train = split.where(F.col("split") == "train")
     per_grid = train.groupBy("grid_id").agg(F.percentile("future_activity", F.lit(p)).alias("grid_threshold"))
-    overall = exact_quantile(train, "future_activity", p)
+    seen = per_grid.where(F.col("grid_threshold").isNotNull()).select("grid_id")
+    unseen = split.select("grid_id").distinct().join(seen, "grid_id", "left_anti")
+    overall = None if unseen.isEmpty() else exact_quantile(train, "future_activity", p)
     out = split.join(per_grid, "grid_id", "left").withColumn(
         "_threshold", F.coalesce(F.col("grid_threshold"), F.lit(overall).cast("double"))).drop("grid_threshold")
     return out.withColumn("risk_label", (F.col("future_activity") >= F.col("_threshold")).cast("int"))

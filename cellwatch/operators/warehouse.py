@@ -1,8 +1,8 @@
 """Star schema (D7), its analytics (D8) and integrity / reconciliation checks.
 
-Dimensions are small by construction (hours of the data, cells of the city grid); their
-surrogate keys come from ``row_number`` over those bounded distinct sets, and the fact
-looks them up through joins that AQE broadcasts when they measure small.
+Dimensions grow with the data (its hours, the cells of its grid). Their surrogate keys are numbered by
+range partitions (``windows.surrogate_key``), and the fact looks them up through joins that AQE
+broadcasts when they measure small.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ def dim_time(fact: DataFrame) -> DataFrame:
     """time_key 1..n by timestamp; day_of_week here is 1 = Monday ... 7 = Sunday."""
     ts = fact.select(F.expr(second_floor("timestamp")).alias("timestamp")).distinct()
     return (surrogate_key(ts, "timestamp", "time_key")
-            .select("time_key", "timestamp", F.to_date("timestamp").alias("date"),
+            .select(F.col("time_key").cast("int").alias("time_key"), "timestamp", F.to_date("timestamp").alias("date"),
                     F.hour("timestamp").alias("hour"), (F.weekday("timestamp") + 1).alias("day_of_week")))
 
 
@@ -36,7 +36,7 @@ def dim_grid(fact: DataFrame, lookup: DataFrame) -> DataFrame:
                      F.lit(True).alias("has_geometry"))
     grids = observed.join(ref, "grid_id", "left")
     return (surrogate_key(grids, "grid_id", "grid_key")
-            .select("grid_key", "grid_id", "centroid_latitude", "centroid_longitude",
+            .select(F.col("grid_key").cast("int").alias("grid_key"), "grid_id", "centroid_latitude", "centroid_longitude",
                     F.when(F.col("has_geometry"), geometry_reference(F.col("grid_id"))).alias("geometry_reference")))
 
 

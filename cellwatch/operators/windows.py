@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cellwatch.functions.columns import epoch_seconds
+from cellwatch.session import written
 
 
 def previous_value(df: DataFrame, value: str = "total_activity", partition=("grid_id", "date"),
@@ -46,15 +46,6 @@ def leave_one_out_median(df: DataFrame, value: str = "total_activity", partition
     return staged.withColumn(out, (y_lo + y_hi) / 2).drop("__r", "__n", "__xlo", "__xlo1", "__xhi", "__xhi1")
 
 
-def trailing_frame(partition=("grid_id",), seconds: int = 24 * 3600, order_col: str = "__epoch"):
-    """W3 frame: RANGE ``seconds`` PRECEDING .. CURRENT ROW on epoch seconds (both ends closed)."""
-    return Window.partitionBy(*partition).orderBy(order_col).rangeBetween(-seconds, 0)
-
-
-def with_epoch(df: DataFrame, time: str = "timestamp") -> DataFrame:
-    return df.withColumn("__epoch", epoch_seconds(time))
-
-
 def keep_first(df: DataFrame, key, order) -> DataFrame:
     """One row per key, the first by the stated order (no reliance on file order)."""
     w = Window.partitionBy(*key).orderBy(*order)
@@ -67,6 +58,29 @@ def trailing_rows(df: DataFrame, as_of: Column, hours: int = 24, time: str = "ti
     return df.where((F.col(time) >= start) & (F.col(time) <= as_of))
 
 
+def number_rows(df: DataFrame, part: str, row: str, out: str) -> DataFrame:
+    """Rows numbered from 1 by (part, row), where ``row`` counts up without gaps within each part.
+
+    Only the parts' row counts are ordered, on the driver: one number for each file or partition of a
+    table, which the driver lists anyway. The rows are not moved.
+    """
+    counts = df.groupBy(part).agg(F.count(F.lit(1)).alias("n"), F.min(row).alias("first")).collect()
+    shifts, before = [], 0
+    for c in sorted(counts, key=lambda c: c[part]):
+        shifts.append((c[part], before - c["first"] + 1))
+        before += c["n"]
+    kind = dict(df.dtypes)[part]
+    shift = df.sparkSession.createDataFrame(shifts, f"`{part}` {kind}, __shift bigint")
+    return df.join(shift, part).withColumn(out, F.col(row) + F.col("__shift")).drop("__shift", part, row)
+
+
 def surrogate_key(distinct_keys: DataFrame, order_col: str, out: str) -> DataFrame:
-    """1..n in key order over a small distinct set (hours of the data, grids of the city)."""
-    return distinct_keys.withColumn(out, F.row_number().over(Window.orderBy(order_col)).cast("int"))
+    """1..n in key order (NULL first) over a distinct set of any size.
+
+    The keys are range-partitioned and sorted, each partition counts its own rows, and the counts before
+    it are added: no task sees more than its range. The sorted keys are stored, so the counts and the
+    numbers come from one partitioning.
+    """
+    ordered = (distinct_keys.repartitionByRange(F.col(order_col)).sortWithinPartitions(order_col)
+               .withColumns({"__part": F.spark_partition_id(), "__row": F.monotonically_increasing_id()}))
+    return number_rows(written(ordered, "keys"), "__part", "__row", out)

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings applied only when the running session has not set them already.
 DEFAULTS = {
@@ -66,6 +67,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as Parquet to a fresh folder of the shared checkpoint folder and read it back.
+
+    What depends on one run's row order (a position in a partition) stays as it was written.
+    """
+    path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/work-{uuid.uuid4().hex}/{name}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def cut_lineage(df, eager: bool = True):
     """Reliable checkpoint into the shared checkpoint folder (never a local checkpoint)."""
     ensure_checkpoint_dir(df.sparkSession)

@@ -7,11 +7,12 @@ from pyspark.sql import functions as F
 
 
 def write_parquet(df: DataFrame, path: str, partition_by=None, mode: str = "overwrite",
-                  compression: str = "snappy", rebalance: bool = True) -> None:
+                  compression: str = "snappy", rebalance: bool = True, watch=lambda df: df) -> None:
     """Parquet, optionally date-partitioned with dynamic partition overwrite.
 
     With ``partition_by`` the rows are rebalanced on the partition columns first (AQE splits
     a hot date into several files instead of one huge task), then sorted within partitions.
+    ``watch`` is applied to the frame as it is written (to observe it in the writing tasks).
     """
     out = df
     if partition_by:
@@ -19,10 +20,10 @@ def write_parquet(df: DataFrame, path: str, partition_by=None, mode: str = "over
         if rebalance:
             out = out.hint("rebalance", *cols)
         out = out.sortWithinPartitions(*cols)
-        (out.write.mode(mode).option("compression", compression)
+        (watch(out).write.mode(mode).option("compression", compression)
          .option("partitionOverwriteMode", "dynamic").partitionBy(*cols).parquet(path))
     else:
-        out.write.mode(mode).option("compression", compression).parquet(path)
+        watch(out).write.mode(mode).option("compression", compression).parquet(path)
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite", single_file: bool = False) -> None:
