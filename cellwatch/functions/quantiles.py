@@ -18,7 +18,7 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-FEW = 4096          # rows that may meet in one task
+FEW = 50_000        # rows that may meet in one task
 ACCURACY = 10_000   # of the sketch: rank error 1 / ACCURACY of the range's rows
 ROUNDS = 200        # far beyond any need (each round leaves a small share of the rows): then it raises
 

@@ -7,11 +7,14 @@ hour is collapsed before the shuffle.
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cellwatch import schema as S
 from cellwatch.functions.columns import day_floor, exact_sum, round6
+from cellwatch.functions.quantiles import order_statistic
 
 
 def hourly_grid_summary(clean: DataFrame) -> DataFrame:
@@ -47,19 +50,60 @@ def day_bounds(fact: DataFrame, ts: str = "timestamp"):
     return b["lo"], b["hi"]
 
 
-def densify_hours(fact: DataFrame) -> DataFrame:
+def plausible_span(fact: DataFrame, share: float = 0.05, reach: float = 3.0):
+    """First and last plausible date of a table, from the mass of its rows; None for no rows.
+
+    The dates below which ``share`` of the rows lie, and above which ``share`` do, bound the bulk (at least one
+    row is left out on each side where there are three); the span is the bulk and ``reach`` times its days on both sides.
+    """
+    days = fact.where(F.col("date").isNotNull()).select(F.datediff("date", F.lit(_FIRST_DAY)).alias("d"))
+    n = days.agg(F.count(F.lit(1))).first()[0]
+    if not n:
+        return None
+    cut = min(max(int(share * n), 1), (n - 1) // 2)
+    low, high = order_statistic(days, "d", cut), order_statistic(days, "d", n - 1 - cut)
+    margin = int(reach * (high - low + 1))
+    return _day(low - margin), _day(high + margin)
+
+
+_FIRST_DAY = date(1970, 1, 1)
+
+
+def _day(number: int) -> date:
+    """The date of a day number, kept within the calendar."""
+    return date.fromordinal(min(max(_FIRST_DAY.toordinal() + number, 1), date.max.toordinal()))
+
+
+def span_findings(fact: DataFrame, span) -> DataFrame:
+    """D4 gate: rows dated outside the plausible span (they are kept, but multiply nothing)."""
+    from cellwatch.operators.quality import _finding
+    inside = F.col("date").between(F.lit(span[0]), F.lit(span[1])) if span else F.lit(True)
+    return fact.agg(F.count_if(~F.coalesce(inside, F.lit(False))).alias("n")).select(
+        *_finding("plausible_dates", F.col("n") == 0, F.col("n"), "0"))
+
+
+def densify_hours(fact: DataFrame, span=None, by_grid: bool = False) -> DataFrame:
     """Every grid x every hour from the first day 00:00 to the last day 23:00, 0-filled.
 
     Each distinct grid generates its own hour sequence (a generator, no cross join); the
-    result is bounded by grids x hours and is left-joined to the fact on the full key.
+    result is bounded by grids x hours and is left-joined to the fact on the full key. With a ``span``
+    (see ``plausible_span``) only its days are filled; rows outside come through as they are. With
+    ``by_grid`` a grid's hours run between its own first and last day.
     """
-    lo, hi = day_bounds(fact)
-    skeleton = (fact.select("grid_id").distinct()
-                .select("grid_id", F.explode(F.sequence(lo, hi, F.expr("INTERVAL 1 HOUR"))).alias("timestamp")))
-    measures = fact.select(*S.FACT_KEY, *S.MEASURES)
-    joined = skeleton.join(measures, on=S.FACT_KEY, how="left")
-    filled = joined.withColumns({m: F.coalesce(F.col(m), F.lit(0.0)) for m in S.MEASURES})
-    return finish_fact(filled)
+    inside = fact if span is None else fact.where(F.col("date").between(F.lit(span[0]), F.lit(span[1])))
+    if by_grid:
+        bounds = inside.groupBy("grid_id").agg(F.expr(day_floor("min(`timestamp`)")).alias("lo"),
+                                               (F.expr(day_floor("max(`timestamp`)")) + F.expr("INTERVAL 23 HOURS")).alias("hi"))
+        grids, lo, hi = bounds, F.col("lo"), F.col("hi")
+    else:
+        grids = inside.select("grid_id").distinct()
+        lo, hi = day_bounds(inside)
+    skeleton = grids.select("grid_id", F.explode(F.sequence(lo, hi, F.expr("INTERVAL 1 HOUR"))).alias("timestamp"))
+    joined = skeleton.join(inside.select(*S.FACT_KEY, *S.MEASURES), on=S.FACT_KEY, how="left")
+    filled = finish_fact(joined.withColumns({m: F.coalesce(F.col(m), F.lit(0.0)) for m in S.MEASURES}))
+    if span is None:
+        return filled
+    return filled.unionByName(fact.where(~F.col("date").between(F.lit(span[0]), F.lit(span[1]))).select(*S.FACT_COLUMNS))
 
 
 def daily_grid_summary(fact: DataFrame) -> DataFrame:

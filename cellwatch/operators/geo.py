@@ -15,16 +15,6 @@ from cellwatch.functions.columns import round6
 
 POLYGON_DDL = "type string, coordinates array<array<array<double>>>"
 MULTIPOLYGON_DDL = "type string, coordinates array<array<array<array<double>>>>"
-BROADCAST_MAX_ROWS = 20000
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast hint only for a frame that a check finds to have at most ``max_rows`` rows.
-
-    The check reads at most ``max_rows + 1`` rows. Beyond the bound the frame is returned unhinted:
-    the join stays a shuffle join, and AQE may still broadcast what it measures as small.
-    """
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
 
 
 def reference_lookup(lookup: DataFrame) -> DataFrame:

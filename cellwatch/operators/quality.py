@@ -128,14 +128,34 @@ def sum_preserved(before: DataFrame, after: DataFrame, col: str = "total_activit
                   F.col("a"), b))
 
 
-def recompute_diff(fact: DataFrame, clean: DataFrame) -> DataFrame:
-    """G11 generalized: recompute every (timestamp, grid) group by a second route (totals of
-    the clean rows) and return the groups whose totals disagree. Empty = passed."""
-    second = clean.groupBy(*S.FACT_KEY).agg(exact_sum("total_activity").alias("recomputed"))
+def recomputed_totals(fact: DataFrame, clean: DataFrame, rel: float = 1e-9, abs_tol: float = 1e-6) -> DataFrame:
+    """G11 generalized: every (timestamp, grid) total beside one summed by a second route, and whether they agree.
+
+    The second route shares nothing with ``exact_sum``: the measures are added as wide decimals (12 places).
+    A group that only one side has does not agree.
+    """
+    parts = [F.sum(F.col(m).cast("decimal(38,12)")) for m in S.MEASURES]
+    second = clean.groupBy(*S.FACT_KEY).agg(reduce(lambda a, b: a + b, [p.cast("double") for p in parts]).alias("recomputed"))
     j = fact.select(*S.FACT_KEY, "total_activity").join(second, S.FACT_KEY, "full_outer")
-    tol = F.greatest(F.abs(F.col("recomputed")) * 1e-9, F.lit(1e-6))
-    return j.where(F.col("total_activity").isNull() | F.col("recomputed").isNull()
-                   | (F.abs(F.col("total_activity") - F.col("recomputed")) > tol))
+    tol = F.greatest(F.abs(F.col("recomputed")) * rel, F.lit(abs_tol))
+    return j.withColumn("agrees", F.coalesce(F.abs(F.col("total_activity") - F.col("recomputed")) <= tol, F.lit(False)))
+
+
+def recompute_diff(fact: DataFrame, clean: DataFrame) -> DataFrame:
+    """The groups whose totals disagree. Empty = passed."""
+    return recomputed_totals(fact, clean).where(~F.col("agrees")).drop("agrees")
+
+
+def multiset_difference(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Rows that one side has more often, with how often more (``only_left``, ``only_right``).
+
+    Whole rows are compared (NULL equals NULL), repeats count. Both directions come from signed counts in
+    one aggregate with a map-side combine, so a row that is repeated without end leaves a task once.
+    """
+    columns = left.columns
+    signed = left.withColumn("__sign", F.lit(1)).unionByName(right.select(*columns).withColumn("__sign", F.lit(-1)))
+    return (signed.groupBy(*columns).agg(F.sum("__sign").alias("__n")).where(F.col("__n") != 0)
+            .select(*columns, F.greatest(F.col("__n"), F.lit(0)).alias("only_left"), F.greatest(-F.col("__n"), F.lit(0)).alias("only_right")))
 
 
 def file_traceability(df: DataFrame, col: str = "source_file") -> DataFrame:

@@ -209,7 +209,11 @@ def latest_features(features: DataFrame, as_of=None) -> DataFrame:
 def latest_risk(features: DataFrame, model: PipelineModel, as_of=None, version: str = S.MODEL_VERSION) -> DataFrame:
     """M9: risk of every grid's latest features: confidence = max class probability (API form),
     level from the predicted class, rounded to 4 places."""
-    p = predict(model, latest_features(features, as_of))
+    return latest_from(predict(model, latest_features(features, as_of)), version)
+
+
+def latest_from(p: DataFrame, version: str = S.MODEL_VERSION) -> DataFrame:
+    """M9 on predicted rows, one for each grid."""
     return p.select("grid_id", F.col("feature_timestamp").alias("as_of"),
                     F.round(F.col("confidence"), 4).alias("risk_score"),
                     F.when(F.col("model_prediction") == 1, "high").otherwise("low").alias("risk_level"),

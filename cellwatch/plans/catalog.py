@@ -844,40 +844,6 @@ def q_model_agreement_fixed(spark, sf_dir):
     return R.agreement_matrix(_fixed(P.labelled(spark, sf_dir)), P.alerts(spark, sf_dir))
 
 
-# The trained model: rows-only checks, tested against a Newton solve.
-
-@register("risk_scores")
-def q_risk_scores(spark, sf_dir):
-    """Every feature row is scored."""
-    return R.score(P.features(spark, sf_dir), P.model(spark, sf_dir))
-
-
-@register("top_risk_report")
-def q_top_risk_report(spark, sf_dir):
-    return R.top_risk(R.score(P.features(spark, sf_dir), P.model(spark, sf_dir)))
-
-
-@register("model_coefficients")
-def q_model_coefficients(spark, sf_dir):
-    return R.coefficients(spark, P.model(spark, sf_dir))
-
-
-@register("model_evaluation")
-def q_model_evaluation(spark, sf_dir):
-    return R.evaluate(R.predict(P.model(spark, sf_dir), P.labelled(spark, sf_dir)))
-
-
-@register("model_agreement")
-def q_model_agreement(spark, sf_dir):
-    test = P.labelled(spark, sf_dir).where(F.col("split") == "test")
-    return R.agreement_matrix(R.predict(P.model(spark, sf_dir), test), P.alerts(spark, sf_dir))
-
-
-@register("latest_risk")
-def q_latest_risk(spark, sf_dir):
-    return R.latest_risk(P.features(spark, sf_dir), P.model(spark, sf_dir))
-
-
 # ---------------------------------------------------------------- streaming form of the clean path
 
 @register("stream_clean_activity", ORACLES["clean_activity"])
@@ -1221,3 +1187,7 @@ SELECT 'serve' AS gate, "check", passed, observed, expected FROM (
 def q_serve_gate(spark, sf_dir):
     """Gate 5: the newest file's run."""
     return Ga.serve_gate(_health(spark, sf_dir))
+
+
+# The queries of what is delivered (runs, published tables, read-back) and of the trained model.
+from cellwatch.plans import catalog_delivery, catalog_model  # noqa: E402, F401

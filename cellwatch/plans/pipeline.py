@@ -8,7 +8,8 @@ reach the files. The other functions return lazy frames over the source tables.
 
 from __future__ import annotations
 
-import hashlib
+import threading
+import uuid
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -18,27 +19,47 @@ from cellwatch.operators import facts as Fa
 from cellwatch.session import ensure_checkpoint_dir
 from cellwatch.sources import fixtures as X
 from cellwatch.sources.sinks import write_parquet
+from cellwatch.sources.tables import table_path
 
-# (application, source folder, table) -> (path, schema) of what this process has built.
+# (application, source folder, table) -> (state of the sources, path, schema) of what this process has built.
 _BUILT: dict[tuple[str, str, str], tuple] = {}
+_LOCK = threading.RLock()
+
+
+def _sources_state(spark, sf_dir: str) -> tuple:
+    """Number of the source files, and a sum of hashes of their names, lengths and times (no content is read)."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(table_path(sf_dir, "events"))
+    return tuple(files.agg(F.count(F.lit(1)), F.sum(F.xxhash64("path", "length", "modificationTime").cast("decimal(38,0)"))).first())
+
+
+def _built(spark, sf_dir: str, name: str, build):
+    """What ``build(path)`` returns for a fresh path, made once for each state of the sources.
+
+    Changed source files give a new state, so an old table never answers for them. The path is known to
+    others only when the table is whole; a second thread waits for it.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), name)
+    with _LOCK:
+        state = _sources_state(spark, sf_dir)
+        if key not in _BUILT or _BUILT[key][0] != state:
+            path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables-{uuid.uuid4().hex}/{name}"
+            _BUILT[key] = (state, path, build(path))
+        return _BUILT[key][1:]
 
 
 def stored(spark, sf_dir: str, name: str, build, partition_by: str | None = None) -> DataFrame:
     """The table ``name`` of a source folder: built on the first call, a Parquet scan ever after.
 
-    A table belongs to the session that built it; a later session builds its own, so changed
-    source files are never answered from an old table.
+    A table belongs to the session that built it and to its source files as they were then.
     """
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), name)
-    if key not in _BUILT:
-        folder = hashlib.sha256(key[1].encode()).hexdigest()[:16]
-        path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables-{folder}/{name}"
+    def write(path: str):
         df = build()
         if partition_by:
             df = df.select(*(c for c in df.columns if c != partition_by), partition_by)
         write_parquet(df, path, partition_by=partition_by)
-        _BUILT[key] = (path, df.schema)
-    path, schema = _BUILT[key]
+        return df.schema
+
+    path, schema = _built(spark, sf_dir, name, write)
     return spark.read.schema(schema).parquet(path)
 
 
@@ -79,8 +100,11 @@ def fact_table(spark, sf_dir) -> DataFrame:
 
 
 def dense_fact(spark, sf_dir) -> DataFrame:
-    """The densified fact: alerts, features and anomalies all read it."""
-    return stored(spark, sf_dir, "dense", lambda: Fa.densify_hours(fact_table(spark, sf_dir)), "date")
+    """The densified fact: alerts, features and anomalies all read it. Only plausible dates are filled."""
+    def build():
+        source = fact_table(spark, sf_dir)
+        return Fa.densify_hours(source, Fa.plausible_span(source))
+    return stored(spark, sf_dir, "dense", build, "date")
 
 
 def grid_lookup(spark, sf_dir) -> DataFrame:
@@ -134,11 +158,24 @@ def anomalies(spark, sf_dir) -> DataFrame:
 
 def model(spark, sf_dir):
     """The trained risk model: fitted once, saved, and loaded by every query that needs it."""
-    from cellwatch.operators import risk as R
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), "model")
-    if key not in _BUILT:
-        folder = hashlib.sha256(key[1].encode()).hexdigest()[:16]
-        path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables-{folder}/model"
-        R.save_model(R.train(labelled(spark, sf_dir).where(F.col("split") == "train")), path)
-        _BUILT[key] = (path, None)
-    return R.load_model(_BUILT[key][0])
+    from cellwatch.operators import logistic as L
+
+    def fit(path: str) -> None:
+        L.save(spark, L.train(labelled(spark, sf_dir).where(F.col("split") == "train")), path)
+
+    return L.load(spark, _built(spark, sf_dir, "model", fit)[0])
+
+
+def delivery(spark, sf_dir) -> str:
+    """Root folder of a delivery of the source folder: a good load, a failing one, and the good one again."""
+    from cellwatch.operators import publish as Pu
+
+    def deliver(root: str) -> None:
+        good = raw_activity(spark, sf_dir)
+        good = good.select(F.date_format("datetime", "yyyy-MM-dd HH:mm:ss").alias("datetime"),
+                           *(F.col(c).cast("string").alias(c) for c in good.columns if c != "datetime"))
+        for run_id, rows, name in (("RUN-1", good, "activity.csv"), ("RUN-2", dirty_activity(spark, sf_dir).drop("event_id"), "dirty.csv"),
+                                   ("RUN-3", good, "activity.csv")):
+            Pu.run_load(rows, root, run_id, name)
+
+    return _built(spark, sf_dir, "delivery", deliver)[0]

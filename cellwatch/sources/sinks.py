@@ -26,10 +26,33 @@ def write_parquet(df: DataFrame, path: str, partition_by=None, mode: str = "over
         watch(out).write.mode(mode).option("compression", compression).parquet(path)
 
 
-def write_csv(df: DataFrame, path: str, mode: str = "overwrite", single_file: bool = False) -> None:
-    """CSV with header. ``single_file`` is only for small, already aggregated results."""
+def write_ordered(df: DataFrame, path: str, order, mode: str = "overwrite") -> None:
+    """K9: Parquet in total order: range partitions, sorted inside, and the files' numbers rise with the key."""
+    df.repartitionByRange(*order).sortWithinPartitions(*order).write.mode(mode).parquet(path)
+
+
+def read_ordered(spark: SparkSession, path: str, out: str = "position") -> DataFrame:
+    """A table of ``write_ordered`` with each row's place (from 1) in the order of its files."""
+    from cellwatch.operators.windows import number_rows
+    name = F.col("_metadata.file_name")
+    # part-<task>-<id>-c<file>: by task, then by the file a task wrote.
+    part = (F.regexp_extract(name, r"^part-(\d+)", 1).cast("long") * 1_000_000
+            + F.coalesce(F.expr("try_cast(nullif(regexp_extract(_metadata.file_name, '-c([0-9]+)', 1), '') AS BIGINT)"), F.lit(0)))
+    rows = spark.read.parquet(path).select("*", part.alias("__part"), F.col("_metadata.row_index").alias("__row"))
+    return number_rows(rows, "__part", "__row", out)
+
+
+SINGLE_FILE_ROWS = 1_000_000
+
+
+def write_csv(df: DataFrame, path: str, mode: str = "overwrite", single_file: bool = False, compression: str = "none") -> None:
+    """CSV with header. ``single_file`` is for small, already aggregated results: beyond
+    ``SINGLE_FILE_ROWS`` rows (a check that reads no further) it raises instead of filling one task."""
+    if single_file and df.limit(SINGLE_FILE_ROWS + 1).count() > SINGLE_FILE_ROWS:
+        raise ValueError(f"more than {SINGLE_FILE_ROWS} rows do not go into a single file")
     out = df.coalesce(1) if single_file else df
-    out.write.mode(mode).option("header", "true").csv(path)
+    (out.write.mode(mode).option("header", "true").option("compression", compression)
+     .option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false").csv(path))
 
 
 def write_table(df: DataFrame, name: str, mode: str = "append", partition_by=None,

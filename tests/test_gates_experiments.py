@@ -71,7 +71,7 @@ def test_lookup_guard_and_names(spark):
     assert not Q.non_null_columns(nulls, ["a", "b"]).first()["passed"]
 
 
-def test_model_saved_once_and_loaded(spark):
+def test_model_saved_once_and_loaded(spark, scratch):
     """The stored model scores like the trained one; one class or no row raises."""
     import pytest
     from cellwatch import schema as S
@@ -79,9 +79,15 @@ def test_model_saved_once_and_loaded(spark):
     lab = P.labelled(spark, SF_SMALL)
     train = lab.where("split = 'train'")
     fresh = R.train(train)
-    loaded = P.model(spark, SF_SMALL)
+    R.save_model(fresh, f"{scratch}/model")
+    loaded = R.load_model(f"{scratch}/model")
     one = [sorted(map(tuple, R.score(P.features(spark, SF_SMALL), m).collect())) for m in (fresh, loaded)]
     assert one[0] == one[1] and len(one[0]) == P.features(spark, SF_SMALL).count()
+    from cellwatch.operators import logistic as L
+    again = L.train(train)
+    assert again == P.model(spark, SF_SMALL)
+    newton, lbfgs = (p.agg({"model_probability": "avg"}).first()[0] for p in (L.predict(again, train), R.predict(fresh, train)))
+    assert abs(newton - lbfgs) < 1e-3
     with pytest.raises(ValueError, match="one class"):
         R.train(train.where("risk_label = 0"))
     never = lab.selectExpr("'test' AS split", "1 AS risk_label", "0 AS model_prediction")

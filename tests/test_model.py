@@ -40,3 +40,25 @@ def test_logistic_regression_matches_l2_newton(spark):
     assert np.allclose(got, w, rtol=1e-3, atol=1e-4)
     ev = {r["split"]: r for r in R.evaluate(R.predict(model, lab)).collect()}
     assert ev["train"]["accuracy"] >= max(ev["train"]["base_rate"], 1 - ev["train"]["base_rate"]) - 1e-9
+
+
+def test_newton_by_aggregates_equals_numpy(spark, scratch):
+    from cellwatch.operators import logistic as L
+    lab = P.labelled(spark, SF_SMALL)
+    holes = lab.where(F.col("split") == "train").withColumn("variability", F.when(F.rand(4) < 0.1, None).when(F.rand(5) < 0.02, float("inf"))
+                                                            .otherwise(F.col("variability"))).cache()
+    model = L.train(holes)
+    pdf = holes.select(*S.FEATURE_COLUMNS, "risk_label").toPandas()
+    X = pdf[S.FEATURE_COLUMNS].to_numpy(float)
+    X[~np.isfinite(X)] = np.nan
+    X = np.where(np.isnan(X), np.nanmedian(X, axis=0), X)
+    sd = X.std(axis=0)
+    w = _newton((X - X.mean(axis=0)) / np.where(sd > 0, sd, 1.0), pdf["risk_label"].to_numpy(float))
+    assert np.allclose([*model.coefficients, model.intercept], w, rtol=1e-8, atol=1e-10)
+    L.save(spark, model, f"{scratch}/model")
+    assert L.load(spark, f"{scratch}/model") == model
+    import pytest
+    with pytest.raises(ValueError, match="one class"):
+        L.train(holes.where("risk_label = 1"))
+    with pytest.raises(ValueError, match="empty"):
+        L.train(holes.where("risk_label > 1"))
