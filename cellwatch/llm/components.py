@@ -58,12 +58,18 @@ def components(edges: DataFrame, local: int = LOCAL, steps: int = 100) -> DataFr
     """``id, root`` for every node of the edges ``a, b`` (long): root is the smallest id reachable.
 
     A step is a map-side aggregate and a join; each round is written to the shared folder. Rows
-    with a = b name lone nodes. An empty table gives no rows; a null on either side is left out.
+    with a = b name lone nodes. An empty table gives no rows; a null on either side is left out. Raises
+    where ``steps`` rounds, far more than any graph has needed, don't settle the labels.
     """
     named = edges.select("a", "b").where("a IS NOT NULL AND b IS NOT NULL")
     now = written(named.distinct(), "edges")
     if now.count() <= local:
         return now.coalesce(1).mapInArrow(_forest, "id bigint, root bigint")
+    return _stars(now, steps)
+
+
+def _stars(now: DataFrame, steps: int) -> DataFrame:
+    """Components of distinct edges by alternating steps."""
     lone = now.where("a = b").select(F.col("a").alias("id"))
     now = now.where("a <> b")
     mark = None
@@ -73,6 +79,8 @@ def components(edges: DataFrame, local: int = LOCAL, steps: int = 100) -> DataFr
         if tuple(seen) == mark:
             break
         mark = tuple(seen)
+    else:
+        raise RuntimeError(f"components are not settled after {steps} rounds")
     roots = now.select(F.col("b").alias("id"), F.col("b").alias("root")).union(
         now.select(F.col("a").alias("id"), F.col("b").alias("root"))).distinct()
     return roots.union(lone.join(roots, "id", "left_anti").select("id", F.col("id").alias("root")))

@@ -134,3 +134,54 @@ def test_exact_rows_have_hot_group_spread(spark):
     got = exact_dedup.deduplicate(df)
     assert got.where("kept").count() == 401 and got.where("group_size = 200").count() == 200
     assert df.schema["text"].dataType.simpleString() in SCHEMA
+
+
+def test_exact_retried_batch_gives_the_same_answer(spark, scratch):
+    """A result that was lost after the append can be made again; other batches see the texts as known."""
+    path = scratch + "/index"
+    rows = [(1, "a"), (2, "b"), (3, "a "), (4, "b"), (None, "n"), (5, "q")]
+    batch = spark.createDataFrame(rows, "doc_id long, text string")
+    keys = lambda d: sorted(str(tuple(r)) for r in d.collect())
+    first = keys(exact_dedup.deduplicate(batch, exact_dedup.DigestIndex(spark, path)))
+    assert sum("True" in r for r in first) == 5
+    again = keys(exact_dedup.deduplicate(batch.repartition(3), exact_dedup.DigestIndex(spark, path)))
+    assert again == first
+    more = spark.createDataFrame([*rows, (6, "new")], "doc_id long, text string")
+    third = exact_dedup.deduplicate(more, exact_dedup.DigestIndex(spark, path)).collect()
+    assert {r.doc_id for r in third if r.kept} == {6}
+    named = [keys(exact_dedup.deduplicate(spark.createDataFrame([(7, "z")], "doc_id long, text string"),
+                                          exact_dedup.DigestIndex(spark, path), batch="b")) for _ in range(2)]
+    assert named[0] == named[1] and "True" in named[0][0]
+    assert exact_dedup.DigestIndex(spark, path).read().count() == 7
+
+
+def test_exact_index_is_sized_when_made(spark, scratch):
+    made = exact_dedup.DigestIndex(spark, scratch + "/sized", rows=100 * exact_dedup.BUCKET_ROWS)
+    assert made.buckets == 100 and exact_dedup.DigestIndex(spark, scratch + "/sized", rows=1).buckets == 100
+    assert exact_dedup.DigestIndex(spark, scratch + "/small", rows=1).buckets == exact_dedup.LEAST_BUCKETS
+
+
+def _roots(edges):
+    root = {}
+
+    def find(x):
+        while root.setdefault(x, x) != x:
+            root[x] = root[root[x]]
+            x = root[x]
+        return x
+
+    for a, b in edges:
+        p, q = sorted((find(a), find(b)))
+        root[q] = p
+    return {x: find(x) for x in root}
+
+
+def test_star_rounds_at_the_size_of_the_check(spark):
+    """The distributed route on tens of thousands of edges: random ones, a hub, a long path."""
+    rnd = random.Random(5)
+    edges = [(rnd.randrange(30_000), rnd.randrange(30_000)) for _ in range(25_000)]
+    edges += [(50_000, 50_000 + rnd.randrange(9_000)) for _ in range(9_000)] + [(70_000 + i, 70_001 + i) for i in range(3_000)] + [(9, 9)]
+    df = spark.createDataFrame(edges, "a long, b long")
+    assert {r.id: r.root for r in C.components(df, local=0).collect()} == _roots(edges)
+    with pytest.raises(RuntimeError, match="not settled"):
+        C.components(df, local=0, steps=2)
