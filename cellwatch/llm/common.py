@@ -84,12 +84,25 @@ def slices(sizes: np.ndarray, limit: int) -> Iterator[tuple[int, int]]:
         yield start, len(sizes)
 
 
+ROWS_A_BATCH = 1000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Fewer rows in an Arrow batch where the session leaves that open: texts are wide rows, and a batch is
+    held by the JVM and by the Python worker at once."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(name, None) is None:
+        spark.conf.set(name, str(ROWS_A_BATCH))
+
+
 def map_slices(docs: DataFrame, work, schema: str, slice_bytes: int = 2 << 20) -> DataFrame:
     """Apply ``work(RecordBatch) -> RecordBatch`` to slices of about ``slice_bytes`` of text.
 
     ``docs`` has the columns doc_id and text (not null) first. Slicing bounds a task's working
     memory by the slice (or one very long text), whatever Arrow's batch size is.
     """
+    small_batches(docs.sparkSession)
+
     def run(batches):
         for batch in batches:
             column = batch.column(1)

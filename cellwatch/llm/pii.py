@@ -1,13 +1,14 @@
 """Personal data: fixed patterns, and bootstrapped contextual extraction of what they miss.
 
-1. The fixed patterns find seed entities. Near-miss spans (identifiers written in another way)
-   are only candidates.
-2. Every seed and candidate has lexical contexts: the token before, the two and three tokens before,
-   the tokens around. Signs (brackets, quotes, colons) are tokens of their own, so a glued prefix is
-   a context. A context with enough different seeds of a kind is a pattern of that kind.
-3. The corpus is read once more to count how often each pattern's context occurs at all, before
-   whatever word: a common word that happens to stand before a few seeds gets no confidence.
-4. Pattern and instance confidences are computed from each other over a few rounds of joins:
+1. The fixed patterns find seed entities. Every seed has lexical contexts: the token before, the two and
+   three tokens before, the tokens around. Signs (brackets, quotes, colons) are tokens of their own, so
+   a glued prefix is a context. A context with enough different seeds of a kind is a pattern of that kind.
+2. The corpus is read once more against a filter of these patterns. It is counted how often each one's
+   context occurs at all, before whatever word: a common word that happens to stand before a few seeds
+   gets no confidence. Near-miss spans (identifiers written in another way) are candidates where they
+   stand in a pattern's context, and only there, so what a task holds grows with the text, not with the
+   number of ways to cut it.
+3. Pattern and instance confidences are computed from each other over a few rounds of joins:
    a pattern's is the share of its occurrences that its instances account for, a candidate's is
    1 - prod(1 - confidence of its patterns). Candidates that a confident pattern reaches are
    added; what they are then strengthens further patterns.
@@ -17,6 +18,7 @@ from __future__ import annotations
 
 import re
 from bisect import bisect_left
+from collections.abc import Iterator
 from hashlib import blake2b
 
 import numpy as np
@@ -51,7 +53,9 @@ _DIGITS = ((3, 7, 15), (2, 12, 19))      # kind, least and most digits
 MIN_SEEDS = 3              # different seed values that make a context a pattern
 CONFIDENCE = 0.5           # of a candidate that is added
 ROUNDS = 3
-_FILTER = 1 << 20          # size of the broadcast table of pattern hashes (booleans)
+FILTER_LOAD = 16           # slots of the broadcast filter for each pattern hash
+FILTER_MOST = 1 << 26      # its size at most, in bytes; fuller, it lets more through, which a join takes out
+BLOCK = 100_000            # candidates of a long chain of numbers that are looked at together
 
 
 def _luhn(digits: str) -> bool:
@@ -121,14 +125,15 @@ def _email_like(text: str) -> list[tuple[int, int, int]]:
     return found
 
 
-def _numbers(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int, int, int, int]]:
-    """Runs of number groups that may be phones or cards: (start, kind, end, rank, from, to).
+def _numbers(text: str, base: list[tuple[int, int, int]]) -> Iterator[np.ndarray]:
+    """Runs of number groups that may be phones or cards, in blocks of rows
+    (start, kind, end, rank, from, to).
 
     Where a chain of groups is too long, its repeated shapes and then all runs of groups take its
     place. Repeats of the chain's first shape stand in the same slot: their context is that of
     ``from`` and ``to``.
     """
-    out, b = [], 0
+    b, known = 0, {}
     for chain in _CHAIN.finditer(text):
         parts: list[list] = [[]]
         for m in _UNIT.finditer(text, chain.start() - (text[chain.start() - 1:chain.start()] == "("), chain.end()):
@@ -139,11 +144,11 @@ def _numbers(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int
             if glued or any(x[0] < e and x[2] > s for x in _upto(base, b, e)):
                 parts.append([])
             else:
-                parts[-1].append((s, e, m.group().translate(_SHAPE), sum(map(str.isdigit, m.group()))))
+                shape = m.group().translate(_SHAPE)
+                parts[-1].append((s, e, known.setdefault(shape, shape), sum(map(str.isdigit, shape))))
         for units in parts:
             if units:
-                out += _ranges(text, units)
-    return out
+                yield from _ranges(text, units)
 
 
 def _upto(base, b, end):
@@ -152,47 +157,54 @@ def _upto(base, b, end):
         b += 1
 
 
-def _ranges(text: str, units: list) -> list:
-    out = []
+def _ranges(text: str, units: list) -> Iterator[np.ndarray]:
     shapes, digits = [u[2] for u in units], [u[3] for u in units]
     n, total = len(units), sum(digits)
+    begin, end = (np.array([u[k] for u in units]) for k in (0, 1))
+    low = int(begin[0])
+    part = np.frombuffer(text[low:int(end[-1])].encode("utf-32-le", "surrogatepass"), "<u4")
+    opened, closed = (np.append(0, np.cumsum(part == ord(c))) for c in "()")
+    upto = np.append(0, np.cumsum(digits))
+
+    def spans(i, j):
+        """Start and end of the units i to j - 1, without a bracket that has no partner inside."""
+        s, e = begin[i], end[j - 1]
+        has = opened[e - low] > opened[s - low], closed[e - low] > closed[s - low]
+        return s + ((part[s - low] == ord("(")) & ~has[1]), e - ((part[e - 1 - low] == ord(")")) & ~has[0])
 
-    def span(i, j):
-        s, e = units[i][0], units[j - 1][1]
-        inside = text[s:e]
-        s += inside[0] == "(" and ")" not in inside
-        e -= inside[-1] == ")" and "(" not in inside
-        return s, e
+    def rows(kind, rank, s, e, a, z):
+        return np.stack(np.broadcast_arrays(s, kind, e, rank, a, z), 1)
 
     for kind, least, most in _DIGITS:
         if total < least:
             continue
         if total <= most:
-            s, e = span(0, n)
-            out.append((s, kind, e, 0, s, e))
+            s, e = spans(np.array([0]), np.array([n]))
+            yield rows(kind, 0, s, e, s, e)
             continue
         for p in range(min(n // 2, most), 0, -1):
-            if least <= sum(digits[:p]) <= most and shapes[p:2 * p] == shapes[:p]:
+            if least <= upto[p] <= most and shapes[p:2 * p] == shapes[:p]:
                 k = 2
                 while shapes[k * p:(k + 1) * p] == shapes[:p]:
                     k += 1
-                whole = span(0, k * p)
-                out += [(*span(i * p, i * p + p)[:1], kind, span(i * p, i * p + p)[1], 0,
-                         units[0][0] if i else span(0, p)[0], whole[1]) for i in range(k)]
+                at = np.arange(k) * p
+                s, e = spans(at, at + p)
+                whole = spans(np.array([0]), np.array([k * p]))[1]
+                yield rows(kind, 0, s, e, np.where(at > 0, begin[0], s[0]), whole)
                 break
-        for i in range(n):
-            have, j = 0, i
-            while j < n and have + digits[j] <= most:
-                have += digits[j]
-                j += 1
-                if have >= least:
-                    s, e = span(i, j)
-                    out.append((s, kind, e, 1, s, e))
-    return out
-
-
-def candidate_spans(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int, int, int, int]]:
-    """Near misses that overlap no base span: (start, kind, end, rank, from, to)."""
+        for i in range(0, n, BLOCK // 20):
+            first = np.arange(i, min(n, i + BLOCK // 20))
+            # Runs from each unit: those whose digits are enough and not too many.
+            one, last = (np.searchsorted(upto, upto[first] + d, side) for d, side in ((least, "left"), (most, "right")))
+            count = np.maximum(last - one, 0)
+            start = np.repeat(first, count)
+            stop = np.repeat(one, count) + np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count)
+            s, e = spans(start, stop)
+            yield rows(kind, 1, s, e, s, e)
+
+
+def candidate_blocks(text: str, base: list[tuple[int, int, int]]) -> Iterator[np.ndarray]:
+    """Near misses that overlap no base span, in blocks of rows (start, kind, end, rank, from, to)."""
     found = _email_like(text)
     found += [(m.start(), 1, m.end()) for m in _IP_LIKE.finditer(text)
               if text[m.start() - 1:m.start()] not in _BEFORE_IP and all(int(x) <= 255 for x in re.findall("[0-9]+", m.group()))]
@@ -202,7 +214,9 @@ def candidate_spans(text: str, base: list[tuple[int, int, int]]) -> list[tuple[i
             b += 1
         if not any(x[2] > span[0] for x in _upto(base, b, span[2])):
             out.append((*span, 0, span[0], span[2]))
-    return out + _numbers(text, base)
+    if out:
+        yield np.array(out)
+    yield from _numbers(text, base)
 
 
 _SIGN = np.zeros(256, bool)
@@ -265,76 +279,134 @@ def _instance(kind: int, value: str) -> int:
 
 
 _SPAN = pa.struct([("kind", pa.int32()), ("start", pa.int32()), ("stop", pa.int32())])
-_SEEN = pa.struct([*_SPAN, ("seed", pa.bool_()), ("rank", pa.int32()), ("instance", pa.int64()),
-                   ("patterns", pa.list_(pa.int64())), ("wide", pa.int64())])
-
-
-def _scan(batch: pa.RecordBatch) -> pa.RecordBatch:
-    base, seen, where, slots = [], [], [], []
-    raw, offsets = text_bytes(batch.column(1))
-    for number, text in enumerate(batch.column(1).to_pylist()):
-        spans = base_spans(text)
-        base.append([{"kind": k, "start": s, "stop": e} for s, k, e in spans])
-        rows = []
-        for is_seed, group in ((True, [(*x, 0, x[0], x[2]) for x in spans]), (False, candidate_spans(text, spans))):
-            for s, k, e, rank, a, z in group:
-                rows.append({"kind": k, "start": s, "stop": e, "seed": is_seed, "rank": rank,
-                             "instance": _instance(k, text[s:e]), "patterns": [], "wide": None})
-                slots.append((number, a, z))
-                where.append(rows[-1])
-        seen.append(rows)
-    starts, words, owner = _tokens(raw, offsets)
-    if slots and len(starts):
-        number, a, z = np.array(slots).T
-        chars = np.append(np.flatnonzero((raw & 0xC0) != 0x80), len(raw))
-        first = np.searchsorted(chars, offsets[number])
-        a, z = chars[first + a], chars[first + z]
-        at = np.minimum(np.searchsorted(starts, a), len(starts) - 1)
-        after = np.searchsorted(starts, z)
-        h, ok = _patterns(words, owner, at, after)
-        ok &= starts[at] == a              # inside a token there is no slot
-        # Slots of several tokens, which the count of all contexts doesn't see.
-        wide, counted = ok[3] & (after - at > 1), set()
-        for k, row in enumerate(where):
-            row["patterns"] = h[ok[:, k], k].tolist()
-            if wide[k] and (int(at[k]), int(after[k])) not in counted:
-                counted.add((int(at[k]), int(after[k])))
-                row["wide"] = int(h[3, k])
+
+
+class _Slots:
+    """The tokens of a slice of texts, and the contexts of spans in it."""
+
+    def __init__(self, column):
+        self.raw, self.offsets = text_bytes(column)
+        self.starts, self.words, self.owner = _tokens(self.raw, self.offsets)
+        self.chars = np.append(np.flatnonzero((self.raw & 0xC0) != 0x80), len(self.raw))
+        self.first = np.searchsorted(self.chars, self.offsets[:-1])   # each text's first code point
+
+    def contexts(self, number, a: np.ndarray, z: np.ndarray):
+        """(hashes, which exist, token of the span, token after it) of spans a to z (code points) of texts."""
+        a, z = self.chars[self.first[number] + a], self.chars[self.first[number] + z]
+        at = np.minimum(np.searchsorted(self.starts, a), len(self.starts) - 1)
+        after = np.searchsorted(self.starts, z)
+        h, ok = _patterns(self.words, self.owner, at, after)
+        return h, ok & (self.starts[at] == a), at, after          # inside a token there is no slot
+
+
+def _span_lists(spans: list[list[tuple[int, int, int]]]) -> pa.Array:
+    """(start, kind, end) lists as an Arrow column of structs."""
+    flat = np.array([x for row in spans for x in row], np.int32).reshape(-1, 3)
+    return pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, spans)], dtype=np.int32)), pa.StructArray.from_arrays(
+        [pa.array(flat[:, k]) for k in (1, 0, 2)], fields=list(_SPAN)))
+
+
+def _scan_seeds(batch: pa.RecordBatch) -> pa.RecordBatch:
+    """Base spans of each text; its seeds' contexts as two lists in step (pattern, and kind with instance)."""
+    values = batch.column(1).to_pylist()
+    base = [base_spans(t) for t in values]
+    seeds = [(i, *x) for i, row in enumerate(base) for x in row]
+    patterns, which = np.zeros(0, np.int64), np.zeros(0, np.int64)
+    if seeds:
+        number, start, kind, stop = np.array(seeds).T
+        h, ok, _, _ = _Slots(batch.column(1)).contexts(number, start, stop)
+        which, nth = np.nonzero(ok.T)
+        patterns = h[nth, which]
+    named = [(k, _instance(k, values[i][s:e])) for i, s, k, e in seeds]
+    owner = np.array([x[0] for x in seeds], np.int64)[which] if seeds else which
+    offsets = pa.array(np.append(0, np.cumsum(np.bincount(owner, minlength=len(values)))).astype(np.int32))
+    rows = pa.StructArray.from_arrays([pa.array([named[k][0] for k in which.tolist()], pa.int32()),
+                                       pa.array([named[k][1] for k in which.tolist()], pa.int64()), pa.array(patterns, pa.int64())],
+                                      names=["kind", "instance", "pattern"])
+    return pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), _span_lists(base), pa.ListArray.from_arrays(offsets, rows)],
+                                      ["doc_id", "key", "base", "seeds"])
+
+
+_FOUND = [("key", pa.binary()), ("kind", pa.int32()), ("start", pa.int32()), ("stop", pa.int32()), ("rank", pa.int32()),
+          ("instance", pa.int64()), ("pattern", pa.int64()), ("total", pa.int64())]
+
+
+def _scan_candidates(batch: pa.RecordBatch, filled: np.ndarray) -> pa.RecordBatch:
+    """Occurrences of the filter's contexts (pattern, total), and candidates in them (one row a pattern)."""
+    slots, mask = _Slots(batch.column(1)), len(filled) - 1
+    totals, rows, wide = [], [], []
+    if len(slots.words):
+        for i in range(0, len(slots.words), BLOCK):
+            at = np.arange(i, min(len(slots.words), i + BLOCK))
+            h, ok = _patterns(slots.words, slots.owner, at, at + 1)
+            got = h[ok]
+            totals.append(got[filled[got & mask]])
+        keys = batch.column(2).to_pylist()
+        for number, text in enumerate(batch.column(1).to_pylist()):
+            spans = base_spans(text)
+            seeds = [np.array([(*x, -1, x[0], x[2]) for x in spans])] if spans else []
+            for block in seeds:
+                _, h, ok, at, after = _inside(slots, number, block, filled)
+                wide.append(_wide(h, ok, at, after))
+            for block in candidate_blocks(text, spans):
+                block, h, ok, at, after = _inside(slots, number, block, filled)
+                wide.append(_wide(h, ok, at, after))
+                which, nth = np.nonzero(ok.T)
+                instances = {k: _instance(int(block[k, 1]), text[block[k, 0]:block[k, 2]]) for k in np.unique(which).tolist()}
+                rows += [(keys[number], *block[k, [1, 0, 2, 3]].tolist(), instances[k], int(h[n, k]), None)
+                         for k, n in zip(which.tolist(), nth.tolist())]
+    # A slot of several tokens, which the count of single tokens doesn't see, counts once.
+    slots_of = np.unique(np.concatenate([np.zeros((0, 3), np.int64), *wide]), axis=0)
+    value, times = np.unique(np.concatenate([np.zeros(0, np.int64), *totals, slots_of[:, 2]]), return_counts=True)
+    columns = list(zip(*rows)) if rows else [()] * len(_FOUND)
+    none = [None] * len(value)
     return pa.RecordBatch.from_arrays(
-        [batch.column(0), batch.column(2), pa.array(base, pa.list_(_SPAN)), pa.array(seen, pa.list_(_SEEN))],
-        ["doc_id", "key", "base", "seen"])
+        [pa.array([*c, *(value.tolist() if name == "pattern" else times.tolist() if name == "total" else none)], kind)
+         for c, (name, kind) in zip(columns, _FOUND)], [name for name, _ in _FOUND])
 
 
-def _totals(docs: DataFrame, filled: np.ndarray) -> DataFrame:
-    """``pattern, total``: occurrences of contexts in the filter, before whatever word."""
-    table = docs.sparkSession.sparkContext.broadcast(filled)
+def _inside(slots: _Slots, number: int, block: np.ndarray, filled: np.ndarray):
+    """The rows of a block that stand in a context of the filter, and which contexts these are."""
+    h, ok, at, after = slots.contexts(np.full(len(block), number), block[:, 4], block[:, 5])
+    ok &= filled[h & (len(filled) - 1)]
+    some = ok.any(axis=0)
+    return block[some], h[:, some], ok[:, some], at[some], after[some]
+
+
+def _wide(h, ok, at, after) -> np.ndarray:
+    """(token, token after, pattern) of the slots of several tokens whose context around is in the filter."""
+    mine = ok[3] & (after - at > 1)
+    return np.stack([at[mine], after[mine], h[3, mine]], 1)
 
-    def count(batch: pa.RecordBatch) -> pa.RecordBatch:
-        _, words, owner = _tokens(*text_bytes(batch.column(1)))
-        got = np.zeros(0, np.int64)
-        if len(words):
-            h, ok = _patterns(words, owner, np.arange(len(words)), np.arange(1, len(words) + 1))
-            got = h[ok]
-            got = got[table.value[got & (_FILTER - 1)]]
-        value, times = np.unique(got, return_counts=True)
-        return pa.RecordBatch.from_arrays([pa.array(value), pa.array(times.astype(np.int64))], ["pattern", "total"])
 
-    return (map_slices(texts(docs), count, "pattern bigint, total bigint")
-            .groupBy("pattern").agg(F.sum("total").alias("total")))
+def _pattern_filter(supported: DataFrame) -> np.ndarray:
+    """Which slots of a table the patterns' hashes fall into: sized by their number, at most ``FILTER_MOST``.
+
+    The slots are found in Spark; no more than the table's size of numbers reach the driver.
+    """
+    size = 1 << 10
+    while size < min(FILTER_MOST, FILTER_LOAD * supported.count()):
+        size *= 2
+    filled = np.zeros(size, bool)
+    filled[supported.select(F.expr(f"pattern & {size - 1}").alias("slot")).distinct().toArrow().column("slot").to_numpy()] = True
+    return filled
 
 
-def _discovered(docs: DataFrame, seen: DataFrame) -> DataFrame:
+def _discovered(docs: DataFrame, rows: DataFrame) -> DataFrame:
     """``key, kind, start, stop, rank`` of candidates that confident patterns reach."""
-    edges = seen.select("kind", "instance", "seed", F.explode("patterns").alias("pattern"))
-    edges = written(edges.groupBy("kind", "instance", "seed", "pattern").agg(F.count(F.lit(1)).alias("n")), "edges")
-    supported = edges.groupBy("kind", "pattern").agg(F.count_if("seed").alias("seeds")).where(F.col("seeds") >= MIN_SEEDS)
-    # At most _FILTER numbers reach the driver, however many patterns there are.
-    slots = supported.select(F.expr(f"pattern & {_FILTER - 1}").alias("slot")).distinct().toArrow()
-    filled = np.zeros(_FILTER, bool)
-    filled[slots.column("slot").to_numpy()] = True
-    wide = seen.where("wide IS NOT NULL").groupBy(F.col("wide").alias("pattern")).agg(F.count(F.lit(1)).alias("total"))
-    totals = _totals(docs, filled).unionByName(wide).groupBy("pattern").agg(F.sum("total").alias("total"))
+    seeds = rows.select(F.explode("seeds").alias("s")).select("s.*")
+    seeds = written(seeds.groupBy("kind", "instance", "pattern").agg(F.count(F.lit(1)).alias("n")), "seeds")
+    supported = written(seeds.groupBy("kind", "pattern").agg(F.count(F.lit(1)).alias("seeds")).where(F.col("seeds") >= MIN_SEEDS),
+                        "supported")
+    table = docs.sparkSession.sparkContext.broadcast(_pattern_filter(supported))
+    found = written(map_slices(texts(docs, _text_key().alias("key")), lambda batch: _scan_candidates(batch, table.value),
+                               "key binary, kind int, start int, stop int, rank int, instance bigint, pattern bigint, total bigint"),
+                    "candidates")
+    totals = found.where("total IS NOT NULL").groupBy("pattern").agg(F.sum("total").alias("total"))
+    candidates = found.where("total IS NULL")
     patterns = written(supported.join(totals, "pattern").select("kind", "pattern", "total"), "patterns")
+    maybe = candidates.groupBy("kind", "instance", "pattern").agg(F.count(F.lit(1)).alias("n"))
+    edges = seeds.withColumn("seed", F.lit(True)).unionByName(maybe.withColumn("seed", F.lit(False)))
     graph = written(edges.join(patterns, ["kind", "pattern"]), "graph")
     score = graph.select("kind", "instance", F.col("seed").cast("double").alias("score")).distinct()
     for k in range(ROUNDS):
@@ -346,8 +418,7 @@ def _discovered(docs: DataFrame, seen: DataFrame) -> DataFrame:
         score = written(reached.select("kind", "instance", F.when(F.col("seed"), 1.0).otherwise(
             F.when(F.col("score") >= CONFIDENCE, F.col("score")).otherwise(0.0)).alias("score")), f"score{k}")
     sure = confidence.where(F.col("confidence") >= CONFIDENCE).select("kind", "pattern")
-    reach = seen.where("NOT seed").select("key", "kind", "start", "stop", "rank", F.explode("patterns").alias("pattern"))
-    return (reach.join(sure, ["kind", "pattern"]).groupBy("key", "kind", "start", "stop")
+    return (candidates.join(sure, ["kind", "pattern"]).groupBy("key", "kind", "start", "stop")
             .agg(F.min("rank").alias("rank")))
 
 
@@ -376,14 +447,12 @@ def _text_key():
 def _spans(docs: DataFrame) -> DataFrame:
     """``doc_id, key, base, spans`` (arrays of kind number, start, stop; sorted by start, kind)."""
     rows = written(map_slices(
-        texts(docs, _text_key().alias("key")), _scan, "doc_id bigint, key binary, base array<struct<kind:int,start:int,stop:int>>, "
-        "seen array<struct<kind:int,start:int,stop:int,seed:boolean,rank:int,instance:bigint,patterns:array<bigint>,"
-        "wide:bigint>>"), "scan")
-    seen = rows.select("key", F.explode("seen").alias("s")).select("key", "s.*")
-    more = written(_discovered(docs, seen).groupBy("key").agg(
+        texts(docs, _text_key().alias("key")), _scan_seeds, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, key binary, "
+        "base array<struct<kind:int,start:int,stop:int>>, seeds array<struct<kind:int,instance:bigint,pattern:bigint>>"), "scan")
+    more = written(_discovered(docs, rows).groupBy("key").agg(
         F.collect_set(F.struct("kind", "start", "stop", "rank")).alias("more")).mapInArrow(
         _apart, "key binary, more array<struct<kind:int,start:int,stop:int>>"), "more")
-    joined = rows.drop("seen").join(more, "key", "left")
+    joined = rows.drop("seeds").join(more, "key", "left")
     order = lambda a, b: (F.when(a["start"] != b["start"], a["start"] - b["start"])
                           .when(a["kind"] != b["kind"], a["kind"] - b["kind"]).otherwise(a["stop"] - b["stop"]))
     return joined.select("doc_id", "key", "base", F.array_sort(

@@ -1,4 +1,9 @@
 import math
+import os
+import random
+import re
+import subprocess
+import sys
 import zlib
 from collections import Counter
 
@@ -258,3 +263,66 @@ def test_classifier(corpus, labels, odd, none):
     assert len(blind) == 13 and all(abs(r.quality_score - 0.5) < 1e-9 for r in blind)
     twice = labels.union(labels)
     assert quality_classifier.co_train(odd, twice).count() == 13
+
+
+def test_pii_recall_of_unseen_forms(spark):
+    """Identifiers written in ways that the fixed patterns don't know, in contexts learned from others."""
+    rnd = random.Random(12)
+    digits = lambda n: "".join(rnd.choice("0123456789") for _ in range(n))
+
+    def card():
+        body = "4" + digits(14)
+        return next(body + c for c in "0123456789" if pii._luhn(body + c))
+
+    name = lambda: "".join(rnd.choice("abcdefghijklmnop") for _ in range(7))
+    known = {"email": lambda: f"{name()}@{name()}.org", "ip": lambda: ".".join(str(rnd.randrange(256)) for _ in range(4)),
+             "card": card, "phone": lambda: f"+1 555 {digits(3)} {digits(4)}"}
+    unseen = {"email": [lambda: f"{name()} (at) {name()} (dot) org", lambda: f"{name()}[at]{name()}.net", lambda: f"{name()} at {name()} dot com"],
+              "ip": [lambda: "-".join(str(rnd.randrange(10, 256)) for _ in range(4)), lambda: "[.]".join(str(rnd.randrange(256)) for _ in range(4))],
+              "card": [lambda: ".".join(re.findall("....", card())), lambda: "/".join(re.findall("....", card()))],
+              "phone": [lambda: f"555.{digits(3)}.{digits(4)}", lambda: f"({digits(3)}) {digits(3)}-{digits(4)}", lambda: f"555-{digits(3)}-{digits(4)}"]}
+    frames = {"email": ["please write to {} for details", "our address: {} ; thanks"], "ip": ["logged in from host {} yesterday", "the server <{}> went down"],
+              "card": ["charged to card {} in full", "visa number: {} , valid"], "phone": ["call me on {} tonight", "tel:{} any time"]}
+    filler = lambda: " ".join(name() for _ in range(rnd.randrange(5, 40)))
+    rows, planted = [], {}
+    for kind, makers in unseen.items():
+        for k in range(60):
+            rows.append((len(rows), f"{filler()} {frames[kind][k % 2].format(known[kind]())} {filler()}"))
+        for k in range(60):
+            value = rnd.choice(makers)()
+            text = f"{filler()} {frames[kind][k % 2].format(value)} {filler()}"
+            planted[len(rows)] = (text.index(value), text.index(value) + len(value))
+            rows.append((len(rows), text))
+    clean = {len(rows) + k: f"{filler()} in 2024 we sold 1200 to 1500 items, {digits(5)} in all {filler()}" for k in range(150)}
+    rows += list(clean.items())
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: [(s.start, s.stop) for s in r.spans] for r in pii.find(df).collect()}
+    caught = sum(any(a <= want[0] + 1 and b >= want[1] - 1 for a, b in got[i]) for i, want in planted.items())
+    assert caught / len(planted) >= 0.9
+    assert not any(got[i] for i in clean)
+    safe = {r.doc_id: r.text for r in pii.redact(df).collect()}
+    assert all(safe[i] == t for i, t in clean.items())
+
+
+def test_pii_memory_is_linear_in_numbers():
+    """A text of 1 MB of single digits: all its runs are looked at, in blocks, when every context is learned."""
+    code = """
+import resource, sys
+import numpy as np, pyarrow as pa
+from cellwatch.llm import pii
+text = " ".join(str(i % 10) for i in range(500_000))
+batch = pa.RecordBatch.from_arrays([pa.array([1]), pa.array([text]), pa.array([b"k"])], ["doc_id", "text", "key"])
+before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+pii._scan_seeds(batch)
+pii._scan_candidates(batch, np.zeros(1024, bool))
+print(resource.getrusage(resource.RUSAGE_SELF).ru_maxrss >> 10)
+"""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    done = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, cwd=root, env={**os.environ, "PYTHONPATH": root})
+    assert int(done.stdout) < 500, done.stderr
+
+
+def test_pii_filter_follows_the_patterns(spark):
+    few, many = (spark.range(n).select(F.xxhash64("id").alias("pattern")) for n in (10, 5000))
+    assert len(pii._pattern_filter(few)) == 1024 and len(pii._pattern_filter(many)) == 131072
+    assert 4500 < pii._pattern_filter(many).sum() <= 5000
