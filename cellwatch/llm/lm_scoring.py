@@ -4,7 +4,8 @@ Every context (the word before, or a text's start; a 64-bit hash) is a restauran
 are words; all restaurants share one parent, the word restaurant, whose base is uniform over the
 known words and one unknown. ``P(w|u) = (c_uw - d t_uw + (theta + d T_u) P0(w)) / (theta + c_u)``
 with customers c and tables t; the parent's customers are the tables of its children. Seating is
-sampled by Gibbs steps (a random customer leaves and is seated again) and the predictive
+sampled by Gibbs sweeps: a dish's customers all leave and are seated again, by a number of tables drawn
+from its exact conditional (``Seating``), in the contexts and in the parent. The predictive
 probabilities of several samples are averaged.
 
 The work is dealt by word. A word's counts in all contexts lie in one partition, which also has
@@ -19,21 +20,22 @@ and scores its occurrences, as one Gibbs sweep after another over parallel block
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cellwatch.llm.common import mix, partitions_for, slices, text_bytes, texts, word_hashes, written
+from cellwatch.llm.common import mix, partitions_for, slices, small_batches, text_bytes, texts, word_hashes, written
 from cellwatch.llm.language_id import held_out
 
-HOT_SHARE = 1024           # a word with more than 1 / HOT_SHARE of a task's tokens may be hot
+HOT_SHARE = 1024           # a word with more than 1 / (2 HOT_SHARE) of all tokens is hot; with more partitions, of 1 / (2 partitions)
 FLUSH = 1_000_000          # tokens that a task packs at a time
 PARTITION_BYTES = 20 << 20     # text whose tokens one partition holds, at about
 DISCOUNT, STRENGTH = 0.75, 1.0
 ROOT_DISCOUNT, ROOT_STRENGTH = 0.5, 10.0
-STEPS = 12                 # Gibbs steps for each dish in a sweep, at most one for each customer
 BURN, SAMPLES = 2, 3
 SEED = 7
 _END, _START = np.uint64(0x0DDBA11CAFEF00D5), np.uint64(0x5EEDC0DE12345677)
@@ -99,7 +101,7 @@ def _runs(x: np.ndarray) -> np.ndarray:
 
 # ---------------------------------------------------------------- pass 1: texts and hot words
 
-def _measure(batches):
+def _measure(batches, hot_share: int = HOT_SHARE):
     """Token count of every text, and the words and pairs with a large share of this task's tokens."""
     frequent = [(np.zeros(0, np.uint64), np.zeros(0, np.int64))] * 2
     total = 0
@@ -116,7 +118,7 @@ def _measure(batches):
                 # Space saving: what is kept has at least its share of the tokens so far, or a slice's.
                 merged, at = np.unique(np.concatenate([frequent[k][0], w]), return_inverse=True)
                 sums = np.bincount(at, np.concatenate([frequent[k][1], t]), len(merged)).astype(np.int64)
-                keep = sums * 4 * HOT_SHARE > total
+                keep = sums * 4 * hot_share > total
                 frequent[k] = merged[keep], sums[keep]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).slice(a, b - a), batch.column(2).slice(a, b - a), pa.array(n.astype(np.int64)),
@@ -203,71 +205,130 @@ def _occurrences(parts: int, hot: np.ndarray, hot_pairs: np.ndarray):
 
 # ---------------------------------------------------------------- seating
 
+class Ratios:
+    """Ratios of generalised Stirling numbers, S(n, t + 1) / S(n, t), for one discount.
+
+    S(n, t) sums the weights of all ways to seat n customers of a dish at t tables. The ratios follow a
+    stable recursion in n. They are kept for every n up to ``EXACT``, for n 3 % apart up to ``LAST``, and carried
+    on beyond: f(n, t) = S(n, t) t! d^t depends on t / n^d alone as n grows, so
+    log(f(t + 1) / f(t)) / log((t + 1) / t) is read at the same t / n^d.
+    """
+
+    EXACT, LAST, TABLES = 64, 1 << 15, 1 << 13
+
+    def __init__(self, discount: float):
+        self.d = discount
+        grid = list(range(2, self.EXACT + 1))
+        while grid[-1] < self.LAST:
+            grid.append(min(self.LAST, max(grid[-1] + 1, int(grid[-1] * 1.03))))
+        self.grid = np.array(grid)
+        wanted, rows = set(grid), []
+        t = np.arange(1.0, self.TABLES + 1)
+        v = np.zeros(self.TABLES)                        # v[t - 1] = S(n, t + 1) / S(n, t), 0 from t = n on
+        steps = np.log((t + 1) / t)
+        for n in range(1, self.LAST):
+            k = min(n, self.TABLES)
+            below = n - discount * t[:k]
+            below[1:] += 1 / v[:k - 1]
+            v[:k] = (1 + (n - discount * (t[:k] + 1)) * v[:k]) / below
+            if n + 1 in wanted:
+                k = min(n, self.TABLES)
+                rows.append(np.log(v[:k] * (t[:k] + 1) * discount) / steps[:k])
+        self.rows = rows
+
+    def log_ratio(self, row: int, n: np.ndarray, tables: int) -> np.ndarray:
+        """log S(n, t + 1) / S(n, t) for t = 1 .. tables - 1, of customers ``n`` that belong to a row of the grid."""
+        t = np.arange(1.0, tables)
+        kept = self.rows[row]
+        known = int(self.grid[row])
+        if known <= self.EXACT or (n == known).all():
+            k = np.append(kept, np.full(max(0, tables - 1 - len(kept)), kept[-1]))[None, :tables - 1]
+        else:
+            at = (known / n[:, None]) ** self.d * t[None, :] - 1
+            k = np.interp(at.ravel(), np.arange(len(kept)), kept).reshape(at.shape)
+        out = k * np.log((t + 1) / t) - np.log((t + 1) * self.d)
+        return np.where(t[None, :] >= n[:, None], -np.inf, out)
+
+
+@lru_cache(4)
+def ratios(discount: float) -> Ratios:
+    """The ratios of a discount (made once in a worker)."""
+    return Ratios(discount)
+
+
 class Seating:
-    """Tables of dishes that have two or more customers, sampled a random customer at a time.
+    """Numbers of tables of dishes, sampled one dish at a time from the exact conditional.
 
-    Dishes are independent given the restaurants' table totals, so a step moves one customer of
-    every dish at once; totals are brought up to date after each step.
+    Given the other dishes, t tables for c customers have the weight S(c, t) times the masses of the new
+    tables, (mass + slope (t - 1)) .. mass: all seatings of all the dish's customers are summed, so one draw
+    is as good as any number of single customers' moves, whatever c. Dishes of one size are drawn together;
+    totals are brought up to date after each size.
     """
 
-    def __init__(self, customers: np.ndarray, prior: np.ndarray, rng, discount: float):
-        """``prior``: mass of a new table for each dish, (theta + d T) P0, as a first estimate."""
-        self.rng, self.d = rng, discount
-        self.customers = customers
+    CELLS = 1 << 20     # weights that are looked at together
+
+    def __init__(self, customers: np.ndarray, prior: np.ndarray, rng, discount: float, tables: np.ndarray | None = None):
+        """``prior``: mass of a new table for each dish as a first estimate; ``tables``: a state to go on from."""
+        self.rng, self.d, self.customers = rng, discount, customers
         self.tables = np.minimum(customers, 1).astype(np.int64)
         many = np.flatnonzero(customers > 1)
-        # Start near the expected number of tables: one table takes the rest, the others one each.
-        n, t = np.ones(len(many)), np.ones(len(many))
-        top = customers[many].astype(float)
-        for _ in range(40):
-            step = np.minimum(n * 0.5 + 0.5, top - n)
-            t += step * prior[many] / (n - discount * t + prior[many])
-            n += step
-        self.tables[many] = np.clip(np.rint(t), 1, customers[many])
-        self.groups = []
-        cap = np.minimum(customers[many], self.tables[many] + STEPS * (BURN + SAMPLES))
-        width = 1 << np.ceil(np.log2(cap)).astype(int) if len(many) else cap
-        for k in np.unique(width).tolist():
-            dish = many[width == k]
-            sizes = np.zeros((len(dish), k), np.int64 if customers[dish].max() >= 1 << 31 else np.int32)
-            sizes[np.arange(k)[None, :] < self.tables[dish][:, None]] = 1
-            sizes[:, 0] += (customers[dish] - self.tables[dish]).astype(sizes.dtype)
-            self.groups.append((dish, sizes))
-
-    def sweep(self, new_mass) -> None:
-        """``new_mass(dishes, change)``: mass of a new table, after noting the change of tables."""
-        for dish, sizes in self.groups:
-            count = self.customers[dish]
-            for step in range(min(STEPS, int(count.max()))):
-                active = np.flatnonzero(count > step)
-                d, s, n = dish[active], sizes[active], count[active]
-                row, t = np.arange(len(d)), self.tables[d]
-                k = (np.cumsum(s, axis=1) <= (self.rng.random(len(d)) * n)[:, None]).sum(axis=1)
-                s[row, k] -= 1
-                gone = s[row, k] == 0
-                s[row[gone], k[gone]] = s[row[gone], t[gone] - 1]
-                s[row[gone], t[gone] - 1] = 0
-                t = t - gone
-                mass = new_mass(d, -gone.astype(np.int64))
-                old = n - 1 - self.d * t
-                draw = self.rng.random(len(d)) * (old + mass)
-                fresh = draw >= old
-                seats = np.cumsum(s - self.d * (np.arange(s.shape[1]) < t[:, None]), axis=1)
-                k = np.where(fresh, t, np.minimum((seats <= draw[:, None]).sum(axis=1), np.maximum(t - 1, 0)))
-                s[row, k] += 1
-                t = t + fresh
-                new_mass(d, fresh.astype(np.int64))
-                sizes[active] = s
-                self.tables[d] = t
+        self.ratios = ratios(discount) if len(many) else None
+        if len(many):
+            row = np.searchsorted(self.ratios.grid, customers[many], "right") - 1
+            order = np.argsort(row, kind="stable")
+            cuts = _runs(row[order])[1:]
+            self.groups = list(zip(np.unique(row).tolist(), np.split(many[order], cuts)))
+        else:
+            self.groups = []
+        if tables is not None:
+            self.tables = np.array(tables, np.int64)
+        else:
+            self._draw_all(lambda dish: (prior[dish], 0.0))
+
+    def _draw_all(self, masses, changed=None) -> None:
+        for row, dishes in self.groups:
+            for dish in np.array_split(dishes, max(1, -(-len(dishes) * 64 // self.CELLS))):
+                new = self._draw(row, dish, *masses(dish))
+                if changed is not None:
+                    changed(dish, new - self.tables[dish])
+                self.tables[dish] = new
+
+    def _draw(self, row: int, dish: np.ndarray, mass, slope) -> np.ndarray:
+        """A number of tables for each dish; the range looked at grows until the rest has no weight."""
+        n = self.customers[dish]
+        mass, slope = (np.broadcast_to(np.asarray(x, float), n.shape) for x in (mass, slope))
+        out = np.zeros(len(dish), np.int64)
+        left, size, top = np.arange(len(dish)), 64, int(n.max())
+        while len(left):
+            size = min(size, top)
+            for part in np.array_split(left, max(1, -(-len(left) * size // self.CELLS))):
+                logs = np.zeros((len(part), size))
+                t = np.arange(1, size)
+                logs[:, 1:] = np.log(np.maximum(mass[part, None] + slope[part, None] * t, 1e-300))
+                logs[:, 1:] += self.ratios.log_ratio(row, n[part], size)
+                np.cumsum(logs, axis=1, out=logs)
+                logs -= logs.max(axis=1, keepdims=True)
+                whole = (logs[:, -1] < -45) | (n[part] <= size)
+                weight = np.cumsum(np.exp(logs[whole]), axis=1)
+                draw = self.rng.random(len(weight)) * weight[:, -1]
+                out[part[whole]] = 1 + (weight <= draw[:, None]).sum(axis=1).clip(max=size - 1)
+            left, size = left[out[left] == 0], size * 4
+        return out
+
+    def sweep(self, new_mass, slope=None) -> None:
+        """Draw every dish once. ``new_mass(dishes, change)``: mass of a new table, after noting the change of
+        tables; ``slope(dishes)``: what one table more in the restaurant adds to it (none: nothing)."""
+        def masses(dish):
+            step = slope(dish) if slope else np.zeros(len(dish))
+            return np.maximum(new_mass(dish, np.zeros(len(dish), np.int64)) - step * self.tables[dish], 1e-300), step
+
+        self._draw_all(masses, new_mass)
 
 
 def _seat_words(customers: np.ndarray, total_tables: float, known: float, rng) -> np.ndarray:
-    """Tables of words in the parent restaurant."""
+    """Tables of words in the parent restaurant, given its total of tables."""
     mass = (ROOT_STRENGTH + ROOT_DISCOUNT * total_tables) / (known + 1)
-    seating = Seating(customers, np.full(len(customers), mass), rng, ROOT_DISCOUNT)
-    for _ in range(BURN):
-        seating.sweep(lambda d, change: np.full(len(d), mass))
-    return seating.tables
+    return Seating(customers, np.full(len(customers), mass), rng, ROOT_DISCOUNT).tables
 
 
 class _Contexts:
@@ -282,6 +343,10 @@ class _Contexts:
             np.add.at(self.totals, at[change != 0], change[change != 0])
         return (STRENGTH + DISCOUNT * np.maximum(self.totals[at], 0)) * self.p0[dish]
 
+    def slope(self, dish):
+        """What one table more adds to a dish's mass."""
+        return DISCOUNT * self.p0[dish]
+
 
 # ---------------------------------------------------------------- model partitions
 
@@ -325,8 +390,9 @@ def _build(parts: int, hot: np.ndarray, hot_share: np.ndarray, hot_pairs: np.nda
         rng = np.random.default_rng([SEED, 1, part])
         room = _Contexts(totals, context, share[word])
         seating = Seating(count, room.mass(np.arange(len(count))), rng, DISCOUNT)
+        np.add.at(room.totals, context, seating.tables - seen)
         for _ in range(BURN):
-            seating.sweep(room.mass)
+            seating.sweep(room.mass, room.slope)
         t = seating.tables
         customers = np.bincount(word, t, len(words)).astype(np.int64)
         c_word = np.bincount(word, all_count, len(words)).astype(np.int64)
@@ -336,7 +402,7 @@ def _build(parts: int, hot: np.ndarray, hot_share: np.ndarray, hot_pairs: np.nda
         data = _pack(word=words, kinds=np.bincount(word, minlength=len(words)).astype(np.uint32), context=context,
                      contexts=contexts,
                      count=count.astype(np.uint32 if not len(count) or count.max() < 1 << 32 else np.int64),
-                     refs=refs.astype(np.uint32), ref=ref, more=np.flatnonzero(often > 1),
+                     tables=t.astype(np.uint32), refs=refs.astype(np.uint32), ref=ref, more=np.flatnonzero(often > 1),
                      times=often[often > 1], key=keys, root=root.astype(np.uint32))
         hot_rows = [{"word": int(w), "customers": int(a), "count": int(c)} for w, a, c in
                     zip(words[is_hot].view(np.int64), customers[is_hot], c_word[is_hot])]
@@ -361,6 +427,35 @@ _MODEL = ("part int, data binary, known bigint, train bigint, customers bigint,
           "hot array<struct<word:bigint,customers:bigint,count:bigint>>")
 
 
+def _sample(rng, count, word, context, seated, tables, counts, own, hot_p0, root, g) -> np.ndarray:
+    """Averaged predictive probability of each dish (a word in a context), by sweeps on from ``seated``.
+
+    ``tables`` and ``counts`` are the contexts' totals, the dishes' own tables included; ``own`` words have all
+    their dishes here, ``hot_p0`` holds the parent's probability of the others (NaN: an unknown word, which
+    all share one type). ``root`` is the parent's seating so far; ``g`` has the totals over all partitions. What changes here is noted at once,
+    so the probabilities of a context sum to one, up to what other partitions have moved meanwhile.
+    """
+    n_words = len(own)
+    room = _Contexts(tables, context, np.zeros(len(count)))
+    seating = Seating(count, None, rng, DISCOUNT, seated)
+    before = int(np.bincount(word, seating.tables, n_words)[own].sum()), int(root[own].sum())
+    total = np.zeros(len(count))
+    for k in range(BURN + SAMPLES):
+        # The parent is seated again under its new customers, the tables of these restaurants.
+        customers = np.where(own, np.bincount(word, seating.tables, n_words), 0).astype(np.int64)
+        mass = (ROOT_STRENGTH + ROOT_DISCOUNT * (g["root"] - before[1] + int(root[own].sum()))) / (g["known"] + 1)
+        root = Seating(customers, np.full(n_words, mass), rng, ROOT_DISCOUNT).tables
+        mass = (ROOT_STRENGTH + ROOT_DISCOUNT * (g["root"] - before[1] + int(root[own].sum()))) / (g["known"] + 1)
+        everyone = g["customers"] - before[0] + int(customers.sum())
+        p0 = np.where(own, customers - ROOT_DISCOUNT * root + mass, mass) / (ROOT_STRENGTH + everyone)
+        room.p0 = np.where(np.isnan(hot_p0), p0, hot_p0)[word]
+        seating.sweep(room.mass, room.slope)
+        if k >= BURN:
+            total += ((count - DISCOUNT * seating.tables * (count > 0) + room.mass(np.arange(len(count))))
+                      / (STRENGTH + counts[context]))
+    return total / SAMPLES
+
+
 def _score(shared):
     """Seat on with the true totals and sum every text's log probabilities in this partition."""
     def run(key, left, right):
@@ -379,33 +474,18 @@ def _score(shared):
         c_word = np.bincount(word, count, len(words)).astype(np.int64)
         rng = np.random.default_rng([SEED, 2, part])
         at, is_hot = _among(words, g["hot"])
-        base_mass = (ROOT_STRENGTH + ROOT_DISCOUNT * g["root"]) / (g["known"] + 1)
-        # Unknown words share the one unknown type; a word's customers are its tables below.
-        prior = np.full(len(words), base_mass / (ROOT_STRENGTH + g["customers"]))
+        hot_p0 = np.full(len(words), np.nan)
         if is_hot.any():
-            prior[is_hot] = g["hot_p0"][at[is_hot]]
+            hot_p0[is_hot] = g["hot_p0"][at[is_hot]]
             c_word[is_hot] = g["hot_count"][at[is_hot]]
-        room = _Contexts(tables, context, prior[word])
-        start = np.maximum(c_word, 1) / max(g["train"], 1)
-        seating = Seating(count, room.mass(np.arange(len(count))) / prior[word] * start[word], rng, DISCOUNT)
-        total = np.zeros(len(count))
-        for k in range(BURN + SAMPLES):
-            customers = np.bincount(word, seating.tables, len(words))
-            own = ~is_hot & (c_word > 0)
-            p0 = prior.copy()
-            p0[own] = (customers[own] - ROOT_DISCOUNT * np.minimum(m["root"][own], customers[own])
-                       + base_mass) / (ROOT_STRENGTH + g["customers"])
-            room.p0 = p0[word]
-            seating.sweep(room.mass)
-            if k >= BURN:
-                total += ((count - DISCOUNT * seating.tables * (count > 0) + room.mass(np.arange(len(count))))
-                          / (STRENGTH + counts[context]))
-        log_p = np.log10(total / SAMPLES)
+        p = _sample(rng, count, word, context, m["tables"], tables, counts, ~is_hot & (c_word > 0), hot_p0,
+                    m["root"].astype(np.int64), g)
+        log_p = np.log10(p)
         pair_at, is_pair = _among(_pair(words[word], contexts[context]), g["pairs"])
         if is_pair.any():
             log_p[is_pair] = g["pair_log_p"][pair_at[is_pair]]
         log_base = np.log10((c_word + 0.5) / (g["train"] + 0.5 * (g["known"] + 1)))
-        del room, seating, total, start
+        del p
         per = np.repeat(np.arange(len(count), dtype=np.int32), m["refs"])
         ref, n = m["ref"], len(m["key"])
         often = np.ones(len(ref))
@@ -419,11 +499,11 @@ def _score(shared):
 
 
 def _sums(key, score, base, known, n, buckets):
-    """Partial sums of texts, packed by text bucket; a partial score has 24 bits."""
+    """Partial sums of texts, packed by text bucket."""
     bucket = (key.view(np.uint64) % np.uint64(buckets)).astype(np.int64)
     order = np.argsort(bucket, kind="stable")
     ends = np.append(_runs(bucket[order]), len(order))
-    rows = [(int(bucket[order[a]]), _pack(key=key[x], score=score[x].astype(np.float32), base=base[x], known=known[x].astype(np.uint32),
+    rows = [(int(bucket[order[a]]), _pack(key=key[x], score=score[x], base=base[x], known=known[x].astype(np.uint32),
                                           n=n[x].astype(np.uint32)))
             for a, b in zip(ends[:-1].tolist(), ends[1:].tolist()) for x in (order[a:b],)]
     for k in range(0, len(rows), 64):
@@ -484,11 +564,11 @@ def _totals_of(totals: DataFrame, wanted: np.ndarray) -> tuple[np.ndarray, np.nd
     return tables, counts
 
 
-def _hot(measured: DataFrame, pair: bool) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted hot words (or pairs) and their shares; at most 2 * HOT_SHARE, as their counts sum to all tokens."""
+def _hot(measured: DataFrame, pair: bool, hot_share: int = HOT_SHARE) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted hot words (or pairs) and their shares; at most 2 * hot_share, as their counts sum to all tokens."""
     total = measured.where("word IS NULL AND times IS NOT NULL").agg(F.sum("times").alias("n")).first()["n"] or 0
     rows = (measured.where(F.col("word").isNotNull() & (F.col("pair") == pair)).groupBy("word")
-            .agg(F.sum("times").alias("times")).where(F.col("times") * 2 * HOT_SHARE > total).collect())
+            .agg(F.sum("times").alias("times")).where(F.col("times") * 2 * hot_share > total).collect())
     words = np.array([r["word"] for r in rows], np.int64).view(np.uint64)
     share = np.array([r["times"] for r in rows], float) / max(total, 1)
     order = np.argsort(words)
@@ -496,7 +576,7 @@ def _hot(measured: DataFrame, pair: bool) -> tuple[np.ndarray, np.ndarray]:
 
 
 class _HotPairs:
-    """Seating of the hot pairs on the driver: at most 2 * HOT_SHARE dishes, whatever the input."""
+    """Seating of the hot pairs on the driver: at most two dishes for each partition, or 2 * HOT_SHARE."""
 
     def __init__(self, model: DataFrame, pairs: np.ndarray, share: np.ndarray, totals: DataFrame):
         rows = (model.select(F.explode("pairs").alias("p")).select("p.*").groupBy("pair", "word", "context")
@@ -517,7 +597,7 @@ class _HotPairs:
         np.copyto(self.room.totals, self.others)
         np.add.at(self.room.totals, self.context, self.seating.tables)
         for _ in range(n):
-            self.seating.sweep(self.room.mass)
+            self.seating.sweep(self.room.mass, self.room.slope)
 
     def score(self, prior: np.ndarray) -> None:
         """Average the samples' probabilities under the words' final ``prior``."""
@@ -542,14 +622,16 @@ def score(docs: DataFrame, parts: int = 5, part: int = 1) -> DataFrame:
     rows count and are scored like others. An empty table gives no rows; other columns are not read.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     out = held_out("doc_id", parts, part)
     source = texts(docs, F.xxhash64(F.coalesce(F.col("text"), F.lit(""))).alias("key"),
                    (F.col("doc_id").isNotNull() & ~out).alias("train"))
-    measured = written(source.mapInArrow(_measure, "doc_id bigint, key bigint, n bigint, word bigint, times bigint, pair boolean"),
-                       "measured")
-    hot, share = _hot(measured, False)
-    pairs = np.sort(_hot(measured, True)[0])
     n_parts = partitions_for(source, "text", PARTITION_BYTES, 1)
+    hot_share = max(HOT_SHARE, n_parts)     # no word or pair that is not hot fills a partition
+    measured = written(source.mapInArrow(lambda batches: _measure(batches, hot_share), "doc_id bigint, key bigint, n bigint, word bigint, times bigint, pair boolean"),
+                       "measured")
+    hot, share = _hot(measured, False, hot_share)
+    pairs = np.sort(_hot(measured, True, hot_share)[0])
     blocks = source.mapInArrow(_occurrences(n_parts, hot, pairs), "part int, data binary")
     model = written(blocks.groupBy("part").applyInArrow(_build(n_parts, hot, share, pairs), _MODEL), "model")
     sums = model.agg(*(F.sum(c).alias(c) for c in ("known", "train", "customers", "root"))).first().asDict()

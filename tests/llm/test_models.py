@@ -8,6 +8,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from cellwatch.llm import language_id, lm_scoring, pii, quality_classifier, quality_rules
@@ -64,13 +65,31 @@ def test_lm_base_columns_and_gain(corpus):
     assert sum(r.score for r in held) > sum(r.base_score for r in held)
 
 
-def test_lm_probabilities_sum_to_one(spark):
-    """One-word texts over the whole vocabulary and one unknown word: P(w | start) sums to 1."""
+def test_lm_probabilities_sum_to_one():
+    """Over the vocabulary and one unknown word, in every context, after all sweeps."""
+    rng = np.random.default_rng(2)
+    n_words, n_contexts = 60, 25
+    count = rng.poisson(rng.gamma(0.3, 8, (n_contexts, n_words + 1))).astype(np.int64)
+    count[:, -1] = 0                                        # the unknown word
+    context, word = (x.ravel() for x in np.indices(count.shape))
+    count = count.ravel()
+    own = np.bincount(word, count, n_words + 1) > 0
+    seated = np.minimum(count, 1)
+    tables = np.bincount(context, seated).astype(float)
+    customers = np.bincount(word, seated, n_words + 1).astype(np.int64)
+    root = np.minimum(customers, 1)
+    g = {"known": int(own.sum()), "root": int(root.sum()), "customers": int(customers.sum())}
+    p = lm_scoring._sample(rng, count, word, context, seated, tables, np.bincount(context, count), own,
+                           np.full(n_words + 1, np.nan), root, g)
+    assert np.allclose(np.bincount(context, p * (own | (np.arange(n_words + 1) == n_words))[word]), 1, atol=1e-6)
+    assert (p > 0).all()
+
+
+def test_lm_scores_of_one_word_texts(spark):
     train = [(i, f"v{i % 40} v{(i * 7) % 40}") for i in range(2000) if crc(i) % 5 != 1]
     df = spark.createDataFrame(train, "doc_id long, text string")
     vocab = [f"v{i}" for i in range(40)]
     free = [i for i in range(10_000, 20_000) if crc(i) % 5 == 1]
-    # Two-word texts w w share their end's context w; the chain rule gives P(w | start) by a ratio.
     ask = spark.createDataFrame([(free[k], w) for k, w in enumerate([*vocab, "unknown"])] + [(free[50], "")], "doc_id long, text string")
     scored = {r.doc_id: r.score for r in lm_scoring.score(df.union(ask)).collect()}
     total = sum(10 ** scored[free[k]] for k in range(41))       # P(w | start) P(end | w)
@@ -123,21 +142,41 @@ def test_lm_odd_rows(odd, none):
     assert [r.train_tokens for r in untrained] == [0, 0] and all(math.isfinite(r.score) for r in untrained)
 
 
-def test_gibbs_matches_exact_table_posterior():
-    """Mean number of tables of one dish against the exact posterior (generalised Stirling numbers)."""
-    d, mass0, c = 0.5, 0.8, 6
-    s = np.zeros((c + 1, c + 2))
-    s[0, 0] = 1
-    for n in range(1, c + 1):
-        for t in range(1, n + 1):
-            s[n, t] = s[n - 1, t - 1] + (n - 1 - d * t) * s[n - 1, t]
-    weight = np.array([s[c, t] * mass0 ** t for t in range(1, c + 1)])
-    exact = (weight * np.arange(1, c + 1)).sum() / weight.sum()
-    seating = lm_scoring.Seating(np.full(20_000, c), np.full(20_000, mass0), np.random.default_rng(1), d)
-    for _ in range(4):
-        seating.sweep(lambda dish, change: np.full(len(dish), mass0))
-    assert abs(seating.tables.mean() - exact) < 0.03
-    assert all((sizes.sum(axis=1) == c).all() for _, sizes in seating.groups)
+def _exact_tables(c, mass, d, most):
+    """Exact mean number of tables of one dish with c customers, by the recursion of log Stirling numbers."""
+    s = np.full(most + 1, -np.inf)
+    s[1] = 0.0
+    t = np.arange(most + 1)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        for n in range(1, c):
+            stay = np.where(n - d * t > 0, np.log(np.maximum(n - d * t, 1e-300)) + s, -np.inf)
+            s = np.logaddexp(stay, np.append(-np.inf, s[:-1]))
+        w = s + t * np.log(mass)
+    w = np.exp(w - w[1:].max())
+    return (w[1:] * t[1:]).sum() / w[1:].sum()
+
+
+@pytest.mark.parametrize("c,mass,d", [(2, 20.0, 0.75), (12, 0.8, 0.75), (12, 200.0, 0.5), (90, 3.0, 0.75), (2000, 0.8, 0.75), (2000, 20.0, 0.75),
+                                      (2000, 200.0, 0.75), (20_000, 5.0, 0.5), (100_000, 20.0, 0.75), (100_000, 300.0, 0.75)])
+def test_gibbs_matches_exact_table_posterior(c, mass, d):
+    """Mean number of tables against the exact posterior, within 3 % (and the sampling error)."""
+    exact = _exact_tables(c, mass, d, min(c, 4000))
+    n = 20_000 if c < 100 else 2000
+    seating = lm_scoring.Seating(np.full(n, c), np.full(n, 0.01), np.random.default_rng(1), d)
+    seating.sweep(lambda dish, change: np.full(len(dish), mass))
+    error = seating.tables.std() / n ** 0.5
+    assert abs(seating.tables.mean() - exact) < 0.03 * exact + 4 * error
+    assert seating.tables.min() >= 1 and seating.tables.max() <= c
+
+
+def test_gibbs_of_enormous_dishes_scales():
+    """Beyond the table of ratios the numbers carry on: with mass kept, the mean hardly moves from 1e6 to 1e9 customers."""
+    means = []
+    for c in (100_000, 1_000_000, 1_000_000_000):
+        seating = lm_scoring.Seating(np.full(500, c), np.full(500, 20.0), np.random.default_rng(1), 0.75)
+        means.append(seating.tables.mean())
+    limit = 20 / 0.75 + 1     # tables beside the one big one follow Poisson(mass / discount) as c grows
+    assert abs(means[1] - limit) < 1.0 and abs(means[2] - limit) < 1.0 and means[0] <= means[1] + 1
 
 
 def test_rules(corpus, labels, odd):
