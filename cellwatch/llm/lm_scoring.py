@@ -33,7 +33,7 @@ from cellwatch.llm.language_id import held_out
 
 HOT_SHARE = 1024           # a word with more than 1 / (2 HOT_SHARE) of all tokens is hot; with more partitions, of 1 / (2 partitions)
 FLUSH = 1_000_000          # tokens that a task packs at a time
-PARTITION_BYTES = 20 << 20     # text whose tokens one partition holds, at about
+PARTITION_BYTES = 10 << 20     # text whose tokens one partition holds, at about
 DISCOUNT, STRENGTH = 0.75, 1.0
 ROOT_DISCOUNT, ROOT_STRENGTH = 0.5, 10.0
 BURN, SAMPLES = 2, 3
