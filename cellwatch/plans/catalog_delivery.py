@@ -15,6 +15,7 @@ from cellwatch.plans import pipeline as P
 from cellwatch.plans.catalog import register
 from cellwatch.plans.oracle import add_cte, sql
 from cellwatch.sources import files as Fi
+from cellwatch.sources import fixtures as X
 from cellwatch.sources import sinks as Sk
 from cellwatch.streaming.daily_files import shared_path
 
@@ -86,6 +87,29 @@ def q_upserted_fact(spark, sf_dir):
             .withColumn("total_activity", F.round("total_activity", 6)))
 
 
+@register("merged_hours", sql("""
+SELECT CAST(date_trunc('hour', timestamp) AS TIMESTAMP) AS timestamp, grid_id, count(*) AS rows,
+       round(CAST(SUM(CAST(coalesce(sms_in, 0) AS DECIMAL(38,10))) AS DOUBLE), 6) AS sms_in,
+       round(CAST(SUM(CAST(coalesce(internet_activity, 0) AS DECIMAL(38,10))) AS DOUBLE), 6) AS internet_activity
+FROM dirty_tagged WHERE reject_reason IS NULL GROUP BY 1, 2""", "dirty_tagged"))
+def q_merged_hours(spark, sf_dir):
+    """A1 as a stream over the events: every batch is merged, the newest hours are there at the end."""
+    from cellwatch.streaming import daily_files as D
+    schema = spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet").schema
+    stream = (spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir).select(*X.EVENT_COLUMNS))
+    out, checkpoint = shared_path(spark, "merged"), shared_path(spark, "merged-checkpoint")
+    D.run_to_completion(D.merge_hours(D.clean_stream(X.activity_dirty(stream)), out, checkpoint))
+    return spark.read.parquet(out).select("timestamp", "grid_id", "rows", *(F.round(c, 6).alias(c) for c in ("sms_in", "internet_activity")))
+
+
+@register("file_report", sql("""
+SELECT source_file, count(*) AS rows, count(DISTINCT grid_id) AS distinct_grids, count(DISTINCT timestamp) AS distinct_timestamps,
+       count(DISTINCT country_code) AS distinct_countries FROM dirty_typed GROUP BY source_file""", "dirty_typed"))
+def q_file_report(spark, sf_dir):
+    """A9 by file."""
+    return Fa.source_report(C.typed_columns(C.rename_canonical(P.dirty_activity(spark, sf_dir))), "source_file")
+
+
 # ---------------------------------------------------------------- read-back and recomputation
 
 @register("read_back_check", sql("""

@@ -84,3 +84,25 @@ def test_driver_contract(spark):
     assert len(q) >= 60
     df = E.entry(spark)
     assert df.count() > 0 and "total_activity" in df.columns
+
+
+def test_late_rows_are_merged_and_counted(spark, scratch):
+    src = os.path.join(scratch, "late")
+    day = "2013-11-0{} {:02d}:00:00,{},39,{},,2,3,4\n"
+    _write_daily(src, "2013-11-01", [day.format(1, h, g, 1.5) for h in range(4) for g in (1, 2)])
+    _write_daily(src, "2013-11-02", [day.format(2, 5, 1, 1), day.format(1, 0, 1, 0.25), day.format(1, 0, 1, 0.5)])
+    _write_daily(src, "2013-11-03", [day.format(1, 3, 2, 7), day.format(3, 0, 9, 1)])
+    out, ck = os.path.join(scratch, "hours"), os.path.join(scratch, "hours-ck")
+    stream = D.clean_stream(D.read_daily_files(spark, src))
+    D.run_to_completion(D.merge_hours(stream, out, ck))
+    batch = C.clean(Fi.read_activity_csv(spark, src, schema=C.S.RAW_ACTIVITY_TEXT_SCHEMA))[0]
+    from cellwatch.operators.facts import hourly_grid_summary
+    want = sorted((r.timestamp, r.grid_id, r.sms_in, r.internet_activity) for r in hourly_grid_summary(batch).collect())
+    read = lambda: spark.read.parquet(out).collect()
+    assert sorted((r.timestamp, r.grid_id, r.sms_in, r.internet_activity) for r in read()) == want
+    assert sum(r.late_rows for r in read()) == 3 and sum(r.rows for r in read()) == 13
+    # The last batch again, as after a failure before its commit: nothing is added twice.
+    last = max(r.last_batch for r in read())
+    again = C.clean(Fi.read_activity_csv(spark, src, schema=C.S.RAW_ACTIVITY_TEXT_SCHEMA, pattern="*-03.csv"))[0]
+    D.merge_batch(again, last, out)
+    assert sorted((r.timestamp, r.grid_id, r.sms_in, r.internet_activity) for r in read()) == want
