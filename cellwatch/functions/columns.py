@@ -46,46 +46,45 @@ def day_floor(ts: str) -> str:
     return f"make_timestamp_ntz(year({ts}), month({ts}), day({ts}), 0, 0, 0)"
 
 
-# High part of the sums: units of 1e-4; what lies below is summed beside it.
+# High part of the sums: units of 1e-4, in blocks of 2^30; what lies below a unit is summed beside it.
 _UNITS = 10_000
-_CARRY = 1_000_000_000
+_BITS = 30
 
 
 def exact_sum_sql(expr: str) -> str:
     """SQL text of ``exact_sum`` over a SQL expression (one parse on the JVM side)."""
-    return _sum_text(expr, "")
-
-
-def _sum_text(expr: str, over: str) -> str:
-    unit = f"CAST(ROUND(({expr}) * {_UNITS}D) AS BIGINT)"
-    high = (f"CAST(SUM({unit} DIV {_CARRY}){over} AS DOUBLE) * {_CARRY}D"
-            f" + CAST(SUM({unit} % {_CARRY}){over} AS DOUBLE)")
-    return f"(({high}) / {_UNITS}D + SUM(({expr}) - {unit} / {_UNITS}D){over})"
+    unit = f"CAST(RINT(({expr}) * {_UNITS}D) AS BIGINT)"
+    high = (f"CAST(SUM(SHIFTRIGHT({unit}, {_BITS})) AS DOUBLE) * {1 << _BITS}D"
+            f" + CAST(SUM({unit} & {(1 << _BITS) - 1}L) AS DOUBLE)")
+    return f"(({high}) / {_UNITS}D + SUM(({expr}) - {unit} / {_UNITS}D))"
 
 
 def exact_sum(col: str | Column) -> Column:
     """Sum of doubles at full input precision, the same in any task order to the last digits.
 
-    Each value is split into whole units of 1e-4, summed as integers (with a carry, so a total
+    Each value is split into whole units of 1e-4, summed as integers (in two parts, so a total
     over all history cannot overflow), and the rest, at most 5e-5 each. Values of up to four
     decimals have no rest: their sum is exact and bit-identical however tasks are re-executed. For
     others only the sum of the rests depends on the order, by far less than the total's last digit.
     A value beyond 9.2e14 raises in ANSI mode instead of wrapping. NULLs are skipped.
     """
     if isinstance(col, str):
-        return F.expr(_sum_text(f"`{col}`", ""))
-    unit = F.round(col * F.lit(float(_UNITS))).cast("long")
-    high = (F.sum(F.floor(unit / F.lit(_CARRY)).cast("long")).cast("double") * float(_CARRY)
-            + F.sum(F.pmod(unit, F.lit(_CARRY))).cast("double"))
-    return high / float(_UNITS) + F.sum(col - unit / float(_UNITS))
+        return F.expr(exact_sum_sql(f"`{col}`"))
+    return _exact(col, lambda summed: summed)
 
 
 def exact_sum_over(col: str, window) -> Column:
     """``exact_sum`` as a window aggregate."""
-    c = F.col(col)
-    unit = F.round(c * F.lit(float(_UNITS))).cast("long")
-    return (F.sum(unit).over(window).cast("double") / float(_UNITS)
-            + F.sum(c - unit / float(_UNITS)).over(window))
+    return _exact(F.col(col), lambda summed: summed.over(window))
+
+
+def _exact(value: Column, scope) -> Column:
+    """The sum from its parts: blocks of units and units by shift and mask (both exact for negatives), rests."""
+    unit = F.rint(value * F.lit(float(_UNITS))).cast("long")
+    blocks = scope(F.sum(F.shiftright(unit, _BITS).cast("long"))).cast("double")
+    units = scope(F.sum(unit.bitwiseAND(F.lit((1 << _BITS) - 1)))).cast("double")
+    return ((blocks * float(1 << _BITS) + units) / float(_UNITS)
+            + scope(F.sum(value - unit / float(_UNITS))))
 
 
 def guarded_ratio(num: Column, den: Column) -> Column:

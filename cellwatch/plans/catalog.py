@@ -93,7 +93,7 @@ SELECT date, grid_id, {_dsum('total_sms')}, {_dsum('total_calls')}, {_dsum('inte
        {_dsum('total_activity')}, count(*) AS active_hours
 FROM fact GROUP BY date, grid_id""", "fact"))
 def q_daily_grid_summary(spark, sf_dir):
-    return Fa.daily_grid_summary(P.fact(spark, sf_dir))
+    return Fa.daily_grid_summary(P.fact_table(spark, sf_dir))
 
 
 @register("daily_kpi", sql(f"""
@@ -101,7 +101,7 @@ SELECT date, {_dsum('total_sms')}, {_dsum('total_calls')}, {_dsum('total_activit
        {_dsum('internet_activity', 'total_internet')}, count(DISTINCT grid_id) AS unique_grids
 FROM fact GROUP BY date""", "fact"))
 def q_daily_kpi(spark, sf_dir):
-    return Fa.daily_kpi(P.fact(spark, sf_dir))
+    return Fa.daily_kpi(P.fact_table(spark, sf_dir))
 
 
 @register("grid_kpi", sql(f"""
@@ -109,7 +109,7 @@ SELECT grid_id, {_dsum('total_sms')}, {_dsum('total_calls')}, {_dsum('total_acti
        {_dsum('internet_activity', 'total_internet')}, count(DISTINCT hour) AS active_hours
 FROM fact GROUP BY grid_id""", "fact"))
 def q_grid_kpi(spark, sf_dir):
-    return Fa.grid_kpi(P.fact(spark, sf_dir))
+    return Fa.grid_kpi(P.fact_table(spark, sf_dir))
 
 
 @register("dashboard_summary", sql(f"""
@@ -118,7 +118,7 @@ SELECT date, {_dsum('total_sms')}, {_dsum('total_calls')}, {_dsum('internet_acti
        count(DISTINCT grid_id) AS active_grids
 FROM fact GROUP BY date""", "fact"))
 def q_dashboard_summary(spark, sf_dir):
-    return Fa.dashboard_summary(P.fact(spark, sf_dir))
+    return Fa.dashboard_summary(P.fact_table(spark, sf_dir))
 
 
 @register("hourly_trend", sql(f"""
@@ -126,7 +126,7 @@ SELECT timestamp, {_dsum('total_sms')}, {_dsum('total_calls')}, {_dsum('internet
        {_dsum('total_activity')}, count(*) AS active_grids
 FROM fact GROUP BY timestamp""", "fact"))
 def q_hourly_trend(spark, sf_dir):
-    return Fa.hourly_trend(P.fact(spark, sf_dir))
+    return Fa.hourly_trend(P.fact_table(spark, sf_dir))
 
 
 @register("internet_heavy_windows", sql(f"""
@@ -136,7 +136,7 @@ FROM (SELECT timestamp, {_dsum('internet_activity')}, {_dsum('total_activity')}
 WHERE total_activity > 0
 ORDER BY internet_activity / total_activity DESC, timestamp LIMIT 20""", "fact"))
 def q_internet_heavy_windows(spark, sf_dir):
-    return Fa.internet_heavy_windows(P.fact(spark, sf_dir))
+    return Fa.internet_heavy_windows(P.fact_table(spark, sf_dir))
 
 
 @register("top_grids", sql(f"""
@@ -144,7 +144,7 @@ SELECT grid_id, {_dsum('total_activity')}, {_dsum('total_sms')}, {_dsum('total_c
        {_dsum('internet_activity')}
 FROM fact GROUP BY grid_id ORDER BY total_activity DESC, grid_id LIMIT 10""", "fact"))
 def q_top_grids(spark, sf_dir):
-    return Fa.top_grids(P.fact(spark, sf_dir))
+    return Fa.top_grids(P.fact_table(spark, sf_dir))
 
 
 @register("peak_hour", sql(f"""
@@ -152,7 +152,7 @@ SELECT hour AS peak_hour, total_activity
 FROM (SELECT hour, {_dsum('total_activity')} FROM fact GROUP BY hour)
 ORDER BY total_activity DESC, hour LIMIT 1""", "fact"))
 def q_peak_hour(spark, sf_dir):
-    return Fa.peak_hour(P.fact(spark, sf_dir))
+    return Fa.peak_hour(P.fact_table(spark, sf_dir))
 
 
 @register("busiest_grid", sql(f"""
@@ -160,7 +160,7 @@ SELECT grid_id, total_activity
 FROM (SELECT grid_id, {_dsum('total_activity')} FROM fact GROUP BY grid_id)
 ORDER BY total_activity DESC, grid_id LIMIT 1""", "fact"))
 def q_busiest_grid(spark, sf_dir):
-    return Fa.busiest_grid(P.fact(spark, sf_dir))
+    return Fa.busiest_grid(P.fact_table(spark, sf_dir))
 
 
 # ---------------------------------------------------------------- profiles
@@ -257,7 +257,7 @@ def q_cadence_check(spark, sf_dir):
 SELECT grid_id, date, count(DISTINCT hour) AS hours FROM fact GROUP BY grid_id, date
 HAVING count(DISTINCT hour) <> 24""", "fact"))
 def q_incomplete_grid_days(spark, sf_dir):
-    return Al.hours_per_grid_day(P.fact(spark, sf_dir))
+    return Al.hours_per_grid_day(P.fact_table(spark, sf_dir))
 
 
 # ---------------------------------------------------------------- rule alerts
@@ -383,7 +383,7 @@ def q_centroid_distance(spark, sf_dir):
 SELECT * REPLACE (round(centroid_longitude, 6) AS centroid_longitude, round(centroid_latitude, 6) AS centroid_latitude)
 FROM enriched""", "enriched"))
 def q_geo_enrich(spark, sf_dir):
-    e = Geo.geo_enrich(P.fact(spark, sf_dir), P.grid_lookup(spark, sf_dir))
+    e = Geo.geo_enrich(P.fact_table(spark, sf_dir), P.grid_lookup(spark, sf_dir))
     return e.withColumns({"centroid_longitude": round6(F.col("centroid_longitude")),
                           "centroid_latitude": round6(F.col("centroid_latitude"))})
 
@@ -407,7 +407,7 @@ def q_enrichment_coverage(spark, sf_dir):
 @register("unmatched_grids", sql("""
 SELECT DISTINCT grid_id FROM fact WHERE grid_id NOT IN (SELECT grid_id FROM ref)""", "fact", "ref"))
 def q_unmatched_grids(spark, sf_dir):
-    return Geo.unmatched_grids(P.fact(spark, sf_dir), P.grid_lookup(spark, sf_dir))
+    return Geo.unmatched_grids(P.fact_table(spark, sf_dir), P.grid_lookup(spark, sf_dir))
 
 
 @register("top_grids_geo", sql("""
@@ -417,7 +417,7 @@ FROM (SELECT grid_id, CAST(SUM(CAST(total_activity AS DECIMAL(38,10))) AS DOUBLE
       FROM fact GROUP BY grid_id ORDER BY total_activity DESC, grid_id LIMIT 10) t
 LEFT JOIN ref_centroids r USING (grid_id)""", "fact", "ref_centroids"))
 def q_top_grids_geo(spark, sf_dir):
-    t = Geo.top_grids_with_geometry(P.fact(spark, sf_dir), P.grid_lookup(spark, sf_dir))
+    t = Geo.top_grids_with_geometry(P.fact_table(spark, sf_dir), P.grid_lookup(spark, sf_dir))
     return t.withColumns({"centroid_longitude": round6(F.col("centroid_longitude")),
                           "centroid_latitude": round6(F.col("centroid_latitude"))})
 
@@ -868,7 +868,7 @@ from cellwatch.operators import gates as Ga  # noqa: E402
 @register("geo_enrich_shuffle", ORACLES["geo_enrich"])
 def q_geo_enrich_shuffle(spark, sf_dir):
     """The enrichment planned as a shuffle (sort-merge) join, the reference's baseline."""
-    e = Geo.geo_enrich(P.fact(spark, sf_dir), P.grid_lookup(spark, sf_dir), broadcast=False)
+    e = Geo.geo_enrich(P.fact_table(spark, sf_dir), P.grid_lookup(spark, sf_dir), broadcast=False)
     return e.withColumns({"centroid_longitude": round6(F.col("centroid_longitude")),
                           "centroid_latitude": round6(F.col("centroid_latitude"))})
 
@@ -889,7 +889,7 @@ GROUP BY grid_id""", "fact", "as_of_t"))
 def q_drilldown_totals(spark, sf_dir):
     """The client-side totals over the 24 returned points, per grid."""
     from cellwatch.functions.columns import exact_sum
-    d = Sv.grid_activity(P.fact(spark, sf_dir))
+    d = Sv.grid_activity(P.fact_table(spark, sf_dir))
     return d.groupBy("grid_id").agg(F.count(F.lit(1)).alias("points"),
                                     *[exact_sum(c).alias(c) for c in ["total_sms", "total_calls",
                                                                       "internet_activity", "total_activity"]])
@@ -910,7 +910,7 @@ FROM (SELECT count(DISTINCT timestamp) AS t, count(DISTINCT CAST(timestamp AS DA
 UNION ALL SELECT 'processed', 'forbidden_columns', true, '-', '-'
 UNION ALL SELECT 'processed', 'required_columns', true, '-', '-'""", "fact"))
 def q_processed_gate(spark, sf_dir):
-    return Ga.processed_gate(P.fact(spark, sf_dir))
+    return Ga.processed_gate(P.fact_table(spark, sf_dir))
 
 
 # ---------------------------------------------------------------- full precision, ids of any size, gates

@@ -110,8 +110,10 @@ def dense_fact(spark, sf_dir) -> DataFrame:
 def grid_lookup(spark, sf_dir) -> DataFrame:
     """Grid reference for the grids of the data, as GeoJSON feature lines parsed by Spark."""
     from cellwatch.sources.geojson import grid_lookup as lookup, parse_features
-    ids = X.grid_id_range(events(spark, sf_dir))
-    return lookup(parse_features(X.grid_reference_features(ids)))
+
+    def build():
+        return lookup(parse_features(X.grid_reference_features(X.grid_id_range(events(spark, sf_dir)))))
+    return stored(spark, sf_dir, "grid_lookup", build)
 
 
 def star(spark, sf_dir):
