@@ -2,10 +2,10 @@
 
 Pieces are dealt by a stored row number into shards of about ``SHARD`` pieces, so that no task grows with the
 input; each shard is packed by itself and ends with at most a few sequences that are not full. In
-a shard, best fit over decreasing lengths gives the start. The local search then takes the least
-filled sequence and moves its documents into others, alone or in exchange for one shorter document
-or for two that are shorter together. Every step makes a fuller sequence fuller, so the
-sum of squared fills rises until sequences are empty or no step is left.
+a shard, best fit over decreasing lengths gives the start. The local search then takes the sequences
+from the least filled one on and moves their documents into fuller ones, alone or in exchange for one shorter
+document or for two that are shorter together. Every step makes a fuller sequence fuller, so the
+sum of squared fills rises until no packing has fewer sequences or no step is left.
 """
 
 from __future__ import annotations
@@ -13,8 +13,9 @@ from __future__ import annotations
 import json
 import re
 from array import array
-from bisect import bisect_right, insort
+from bisect import bisect_left, insort
 from functools import lru_cache
+from heapq import heappop, heappush
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +29,6 @@ SHARD = 20_000             # pieces that one task packs together, at about
 END_ID = 0                 # appended to every document
 KEPT = 1_000_000           # runs whose ids a worker remembers
 KEPT_LENGTH = 200          # longer ones are forgotten with their slice
-FAILURES = 500             # stuck sequences, without one emptied between, before a shard ends
 _IDS: dict[str, dict[bytes, bytes]] = {}
 
 
@@ -178,92 +178,160 @@ def best_fit(sizes: list[int], capacity: int) -> list[list[int]]:
     return bins
 
 
-class _Underfull:
-    """Bins by fill, and for each bin its (size, item) pairs in order."""
-
-    def __init__(self, bins: list[list[int]], sizes: list[int], capacity: int):
-        self.capacity = capacity
-        self.items = [sorted((sizes[i], i) for i in b) for b in bins]
-        self.fill = [sum(s for s, _ in b) for b in self.items]
-        self.order = sorted((f, b) for b, f in enumerate(self.fill) if f < capacity)
-
-    def change(self, b: int, out: list, into: list) -> None:
-        at = bisect_right(self.order, (self.fill[b], b)) - 1
-        if at >= 0 and self.order[at] == (self.fill[b], b):
-            del self.order[at]
-        for x in out:
-            self.items[b].remove(x)
-        for x in into:
-            insort(self.items[b], x)
-        self.fill[b] += sum(s for s, _ in into) - sum(s for s, _ in out)
-        if 0 < self.fill[b] < self.capacity:
-            insort(self.order, (self.fill[b], b))
-
-    def step(self, donor: int, x: tuple[int, int], tries: int = 400) -> bool:
-        """Place ``x`` of the donor in a fuller bin, alone or for one or two shorter documents."""
-        size = x[0]
-        # A bin with at least this fill and room for the whole document: the fullest one.
-        at = bisect_right(self.order, (self.capacity - size, len(self.fill))) - 1
-        while at >= 0 and self.order[at][1] == donor:
-            at -= 1
-        if at >= 0 and self.order[at][0] + size > self.fill[donor]:
-            b = self.order[at][1]
-            self.change(donor, [x], [])
-            self.change(b, [], [x])
-            return True
-        for f, b in self.order[max(0, len(self.order) - tries):]:
-            if b == donor:
-                continue
-            room, own = self.capacity - f, self.items[b]
-            # One for one: the longest document that is shorter than x by at most the room.
-            k = bisect_right(own, (size - 1, 1 << 62)) - 1
-            low = size - room
-            first = bisect_right(own, (low - 1, 1 << 62))
-            if first <= k and f + size - own[first][0] > self.fill[donor]:
-                y = own[first]
-                self.change(donor, [x], [y])
-                self.change(b, [y], [x])
-                return True
-            # Two for one: the bin gives two documents that are shorter together.
-            i, j = 0, min(k, len(own) - 1)
-            while i < j:
-                two = own[i][0] + own[j][0]
-                if two >= size:
-                    j -= 1
-                elif two < low:
-                    i += 1
-                else:
-                    if f + size - two > self.fill[donor]:
-                        pair = [own[i], own[j]]
-                        self.change(donor, [x], pair)
-                        self.change(b, pair, [x])
-                        return True
+def lower_bound(sizes: list[int], capacity: int) -> int:
+    """No packing has fewer bins: the largest of the bounds by dual feasible functions.
+
+    Each function gives items new sizes that fit wherever the old ones fit together: the sizes themselves;
+    large items rounded up to a whole bin and as small ones to nothing; multiples of a k-th of the bin.
+    """
+    many = np.bincount(np.asarray(sizes, np.int64), minlength=capacity + 1)
+    size = np.arange(capacity + 1)
+    below = np.concatenate([[0], np.cumsum(many * size)])              # total of the sizes below
+    above = np.concatenate([np.cumsum(many[::-1])[::-1], [0]])         # number of the sizes from here on
+    least = np.arange(capacity // 2 + 1)
+    totals = above[capacity - least + 1] * capacity + below[capacity - least + 1] - below[least]
+    best = -(-int(totals.max()) // capacity)
+    for k in range(1, 100):
+        steps, rest = np.divmod((k + 1) * size, capacity)
+        total = int((many * np.where(rest == 0, k * size, steps * capacity)).sum())
+        best = max(best, -(-total // (k * capacity)))
+    return best
+
+
+class _Fuller:
+    """Underfull bins by room, by (item size, room) and by (sum of two items, room).
+
+    An index entry holds the bin's state by number, so entries of earlier states are known and dropped when met.
+    """
+
+    def __init__(self, items: list[list], fill: list[int], capacity: int):
+        self.items, self.fill, self.capacity = items, fill, capacity
+        self.state = [0] * len(items)
+        self.by_room: list[list] = [[] for _ in range(capacity + 1)]
+        self.rooms = 0                                                 # bit r: there may be a bin with room r
+        self.with_size: list[list] = [[] for _ in range(2 * (capacity + 1))]     # items, then sums of two
+        self.reach = np.zeros((2, capacity + 1), np.int64)             # most room of the bins of with_size
+        self.least = []
+        for b in range(len(items)):
+            self.add(b)
+
+    def add(self, b: int) -> None:
+        room = self.capacity - self.fill[b]
+        if not 0 < room < self.capacity:
+            return
+        entry = (-room, b, self.state[b])
+        heappush(self.least, entry)
+        self.by_room[room].append(entry)
+        self.rooms |= 1 << room
+        own = [s for s, _ in self.items[b]]
+        sizes = sorted(set(own))
+        sums = {x + y for k, x in enumerate(sizes) for y in sizes[k + 1:]} | {
+            2 * x for x, y in zip(own, own[1:]) if x == y}
+        for kind, found in enumerate((sizes, sums)):
+            for size in found:
+                heappush(self.with_size[kind * (self.capacity + 1) + size], entry)
+                if room > self.reach[kind, size]:
+                    self.reach[kind, size] = room
+
+    def drop(self, b: int) -> None:
+        self.state[b] += 1
+
+    def valid(self, entry: tuple) -> bool:
+        return self.state[entry[1]] == entry[2]
+
+    def take_least(self) -> int | None:
+        """The least filled bin, out of the index; None when the index is empty."""
+        while self.least:
+            entry = heappop(self.least)
+            if self.valid(entry):
+                self.drop(entry[1])
+                return entry[1]
+        return None
+
+    def fitting(self, size: int) -> int | None:
+        """The fullest bin with room for ``size``."""
+        fits = self.rooms >> size
+        while fits:
+            room = size + (fits & -fits).bit_length() - 1
+            entries = self.by_room[room]
+            while entries and not self.valid(entries[-1]):
+                entries.pop()
+            if entries:
+                return entries[-1][1]
+            self.rooms &= ~(1 << room)
+            fits = self.rooms >> size
+        return None
+
+    def exchange(self, size: int) -> tuple[int, list[int]] | None:
+        """A bin and the sizes of its one or two items, shorter than ``size``, that leave room for it; the least of these."""
+        found = None
+        for kind in (0, 1):
+            reach = self.reach[kind]
+            while True:
+                good = np.flatnonzero(np.arange(size) + reach[:size] >= size)
+                if not len(good) or (found and found[0] <= good[0]):
                     break
+                given = int(good[0])
+                entries = self.with_size[kind * (self.capacity + 1) + given]
+                while entries and not self.valid(entries[0]):
+                    heappop(entries)
+                reach[given] = -entries[0][0] if entries else 0
+                if given + reach[given] >= size:
+                    found = given, kind, entries[0][1]
+                    break
+        if found is None:
+            return None
+        given, kind, b = found
+        own = [s for s, _ in self.items[b]]
+        if kind == 0:
+            return b, [given]
+        i, j = 0, len(own) - 1
+        while own[i] + own[j] != given:
+            if own[i] + own[j] < given:
+                i += 1
+            else:
+                j -= 1
+        return b, [own[i], own[j]]
+
+
+def local_search(bins: list[list[int]], sizes: list[int], capacity: int) -> list[list[int]]:
+    """Empty as many bins as single steps can; every step raises the sum of squared fills.
+
+    A round takes the underfull bins from the least filled one on and gives their items, the longest first,
+    to bins at least as full: alone, or for one or two items that are shorter. All such bins are looked at, through an
+    index. It ends where no packing has fewer bins, or where a whole round finds no step.
+    """
+    bound = lower_bound(sizes, capacity)
+    items = [sorted((sizes[i], i) for i in b) for b in bins]
+    fill = [sum(s for s, _ in b) for b in items]
+    used, moved = sum(map(bool, items)), True
+
+    def hand_over(fuller: _Fuller, donor: int) -> bool:
+        """One step of the donor; False if there is none."""
+        for size in sorted({s for s, _ in items[donor]}, reverse=True):
+            b, back = fuller.fitting(size), []
+            if b is None:
+                if (found := fuller.exchange(size)) is None:
+                    continue
+                b, back = found
+            for source, target, gone in ((donor, b, [size]), (b, donor, back)):
+                for s in gone:
+                    item = items[source].pop(bisect_left(items[source], (s, -1)))
+                    insort(items[target], item)
+                    fill[source] -= s
+                    fill[target] += s
+            fuller.drop(b)
+            fuller.add(b)
+            return True
         return False
 
-
-def local_search(bins: list[list[int]], sizes: list[int], capacity: int, failures: int = FAILURES) -> list[list[int]]:
-    """Empty as many bins as single steps can; every step raises the sum of squared fills."""
-    bound = -(-sum(sizes) // capacity)
-    state = _Underfull(bins, sizes, capacity)
-    used = len(bins)
-    stuck: set[int] = set()
-    failed = 0                          # sequences found stuck since one was emptied
-    while used > bound and failed < failures:
-        donor = next((b for f, b in state.order if b not in stuck), None)
-        if donor is None:
-            break
-        moved = any(state.step(donor, x) for x in sorted(state.items[donor], reverse=True)[:1]) or any(
-            state.step(donor, x) for x in list(state.items[donor]))
-        if state.fill[donor] == 0:
-            used -= 1
-            failed = 0
-        if moved:
-            stuck.clear()               # a changed sequence may take what none took before
-        else:
-            stuck.add(donor)
-            failed += 1
-    return [[i for _, i in b] for b in state.items if b]
+    while moved and used > bound:
+        moved, fuller = False, _Fuller(items, fill, capacity)
+        while used > bound and (donor := fuller.take_least()) is not None:
+            while items[donor] and hand_over(fuller, donor):
+                moved = True
+            used -= not items[donor]
+    return [[i for _, i in b] for b in items if b]
 
 
 def place(cut: DataFrame, length: int = LENGTH, shard: int = SHARD) -> DataFrame:
