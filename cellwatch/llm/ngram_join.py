@@ -16,8 +16,12 @@ prefix tokens. Documents that share a signature are verified on their whole sets
 3. A document partition has each set's shared tokens. A set with more unshared tokens than it may
    miss cannot have a partner; the others get their prefix and signatures.
 4. Documents of a signature are connected to its smallest one; the connected clusters are the
-   candidates. Small clusters are verified whole. A large one is cut into blocks; blocks are first
-   compared with some pivots, after which pairs of blocks that lie within one component are left out.
+   candidates. Small clusters are verified whole. In a large one, which chains of common passages may make
+   of documents that are not alike, the documents of each signature are compared by sketches: parities of
+   their hashed tokens, which can't differ in more places than the sets do. Documents whose sketches allow
+   a link are connected anew, so what is not alike falls apart before any set travels.
+5. What is large still is cut into blocks; blocks are first compared with some pivots, after which pairs
+   of blocks that lie within one component are left out.
 """
 
 from __future__ import annotations
@@ -37,6 +41,9 @@ FLUSH = 1_000_000          # tokens that a task packs at a time
 PARTITION_BYTES = 16 << 20     # text whose tokens one token partition holds, at about
 BLOCK = 1000               # documents that are compared at a time
 PIVOTS = 16                # documents of a large cluster that all its others are compared with first
+SKETCH_BITS = 1024         # parities of a sketch
+SKETCHES = 4096            # sketches of a signature that are compared at a time
+TASK_SKETCHES = 50_000     # sketches that a task compares, at about
 _M = np.uint64(0xD1342543DE82EF95)
 _SALT = np.uint64(0x2545F4914F6CDD1D)
 
@@ -423,6 +430,95 @@ def _link_large(sets: DataFrame, large: DataFrame) -> DataFrame:
     return first.union(_compare(sets, again.select("id", "root", "block"), pairs.select("left", "right")))
 
 
+# ---------------------------------------------------------------- sketches
+
+def sketches(owner: np.ndarray, tokens: np.ndarray, docs: int) -> np.ndarray:
+    """For every document, which hashed token classes hold an odd number of its tokens, as 64-bit words.
+
+    A token that one of two sets lacks changes one place, so sketches differ in at most as many places as sets.
+    """
+    at = owner * SKETCH_BITS + (tokens % np.uint64(SKETCH_BITS)).astype(np.int64)
+    odd = (np.bincount(at, minlength=docs * SKETCH_BITS) & 1).astype(np.uint8)
+    return np.packbits(odd.reshape(docs, SKETCH_BITS), axis=1).view(np.uint64)
+
+
+def _sketch_rows(batches):
+    for batch in batches:
+        ids, sizes, column = batch.columns
+        tokens = [np.frombuffer(t, np.uint64) for t in column.to_pylist()]
+        for a, b in slices(np.fromiter(map(len, tokens), np.int64, len(tokens)) + SKETCH_BITS, FLUSH):
+            counts = np.fromiter(map(len, tokens[a:b]), np.int64, b - a)
+            made = sketches(np.repeat(np.arange(b - a), counts), np.concatenate(tokens[a:b]), b - a)
+            yield pa.RecordBatch.from_arrays(
+                [ids.slice(a, b - a), sizes.slice(a, b - a), pa.array(sizes.slice(a, b - a).to_numpy() - counts),
+                 pa.array([row.tobytes() for row in made], pa.binary())], ["id", "n", "lone", "sketch"])
+
+
+def sketch_forest(n: np.ndarray, lone: np.ndarray, sketch: np.ndarray) -> list[tuple[int, int]]:
+    """Edges that connect all documents between which a link is possible by size, lone tokens and sketch.
+
+    ``lone`` tokens are in no other set. A document is compared only with those that are not connected
+    to an earlier one yet, so a group of near copies costs about its size.
+    """
+    edges, left = [], np.arange(len(n))
+    while len(left) > 1:
+        queue, left = [int(left[0])], left[1:]
+        while queue and len(left):
+            x = queue.pop()
+            allowed = (n[left] + n[x]) * (100 - PERCENT) // (100 + PERCENT)     # places in which alike sets may differ
+            differ = np.maximum(np.abs(n[left] - n[x]), lone[left] + lone[x])
+            near = np.flatnonzero(differ <= allowed)
+            if not len(near):
+                continue
+            places = np.bitwise_count(sketch[left[near]] ^ sketch[x]).sum(axis=1, dtype=np.int64)
+            near = near[places + lone[left[near]] + lone[x] <= allowed[near]]
+            found = left[near].tolist()
+            edges += [(x, y) for y in found]
+            queue += found
+            left = np.delete(left, near)
+    return edges
+
+
+def _connect_sketches(key, table):
+    """Edges of all (signature, part, part) groups of a task."""
+    group = [table.column(c).to_numpy() for c in ("signature", "lo", "hi")]
+    order = np.lexsort(group)
+    new = np.zeros(len(order), bool)
+    for column in group:
+        new[1:] |= column[order][1:] != column[order][:-1]
+    ids, n, lone = (table.column(c).to_numpy()[order] for c in ("id", "n", "lone"))
+    sketch = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint64).reshape(len(order), -1)[order]
+    starts = [0, *np.flatnonzero(new).tolist(), len(order)]
+    edges = [(int(ids[a + x]), int(ids[a + y])) for a, b in zip(starts, starts[1:])
+             for x, y in sketch_forest(n[a:b], lone[a:b], sketch[a:b])]
+    return _link_table(set(edges))
+
+
+def _refined(sets: DataFrame, posting: DataFrame, shared: DataFrame, large: DataFrame) -> DataFrame:
+    """``id, cluster``: the documents of large clusters that may have a link, connected by sketches.
+
+    posting: id, signature; shared: signature, m, d1, d2 (digests of its documents); large: id. Signatures of the
+    same documents are looked at once. A signature of more than SKETCHES documents is cut into parts, and
+    its parts are compared two by two.
+    """
+    within = posting.join(large, "id", "left_semi")
+    chosen = shared.join(within.select("signature").distinct(), "signature", "left_semi").groupBy("m", "d1", "d2").agg(
+        F.min("signature").alias("signature")).withColumn("parts", F.ceil(F.col("m") / SKETCHES)).select(
+        "signature", "m", "parts")
+    chosen = written(chosen, "signatures")
+    total = chosen.agg(F.sum(F.col("m") * F.greatest(F.lit(1), F.col("parts") - 1))).first()[0] or 0
+    groups = max(1, -(-total // TASK_SKETCHES))
+    made = written(sets.select("id", "n", "tokens").join(large, "id", "left_semi").mapInArrow(
+        _sketch_rows, "id bigint, n bigint, lone bigint, sketch binary"), "sketches")
+    own = F.pmod(F.xxhash64("id", F.lit(2)), F.col("parts"))
+    rows = within.join(chosen, "signature").withColumn("own", own).withColumn("other", F.explode(F.expr(
+        "CASE WHEN parts = 1 THEN array(0L) ELSE filter(sequence(0L, parts - 1), p -> p <> own) END"))).select(
+        "id", "signature", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"))
+    rows = rows.join(made, "id").withColumn("g", F.pmod(F.xxhash64("signature", "lo", "hi"), F.lit(groups)))
+    edges = rows.groupBy("g").applyInArrow(_connect_sketches, "a bigint, b bigint")
+    return components(edges).select("id", F.col("root").alias("cluster"))
+
+
 # ---------------------------------------------------------------- operator
 
 def candidate_sets(docs: DataFrame, parts: int) -> DataFrame:
@@ -433,15 +529,30 @@ def candidate_sets(docs: DataFrame, parts: int) -> DataFrame:
         _prefixes, "id bigint, k1 bigint, k2 bigint, n bigint, tokens binary, signatures array<bigint>")
 
 
-def links(sets: DataFrame) -> DataFrame:
-    """``a, b``: links between ids of ``sets`` that connect all that are linked (written tables)."""
+def _sized(cluster: DataFrame) -> DataFrame:
+    size = cluster.groupBy("cluster").agg(F.count(F.lit(1)).alias("members"))
+    return written(cluster.join(size, "cluster"), "clusters")
+
+
+def clusters(sets: DataFrame) -> DataFrame:
+    """``id, cluster, members`` of the sets that may have a link: only sets of one cluster may be linked."""
     posting = sets.select("id", F.explode("signatures").alias("signature"))
-    least = posting.groupBy("signature").agg(F.min("id").alias("least"), F.count(F.lit(1)).alias("m")).where("m > 1")
-    star = posting.join(least, "signature").where("id <> least").select(
+    shared = written(posting.groupBy("signature").agg(
+        F.min("id").alias("least"), F.count(F.lit(1)).alias("m"), F.bit_xor(F.xxhash64("id")).alias("d1"),
+        F.bit_xor(F.xxhash64("id", F.lit(1))).alias("d2")).where("m > 1"), "shared")
+    star = posting.join(shared.select("signature", "least"), "signature").where("id <> least").select(
         F.col("id").alias("a"), F.col("least").alias("b")).distinct()
-    cluster = components(star).select("id", F.col("root").alias("cluster"))
-    size = cluster.groupBy("cluster").agg(F.count(F.lit(1)).alias("members"))
-    cluster = written(cluster.join(size, "cluster"), "clusters")
+    found = _sized(components(star).select("id", F.col("root").alias("cluster")))
+    large = found.where(F.col("members") > BLOCK).select("id")
+    if large.isEmpty():
+        return found
+    fine = _refined(sets, posting, shared.drop("least"), large)
+    return _sized(found.where(F.col("members") <= BLOCK).select("id", "cluster").union(fine.select("id", "cluster")))
+
+
+def links(sets: DataFrame) -> DataFrame:
+    """``a, b``: links between ids of ``sets`` that connect all that are linked (written tables)."""
+    cluster = clusters(sets)
     facts = cluster.agg(F.count_if(F.col("members") <= BLOCK).alias("small"),
                         F.count_if(F.col("members") > BLOCK).alias("large")).first()
     groups = max(1, facts["small"] // BLOCK)

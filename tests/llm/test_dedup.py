@@ -91,6 +91,51 @@ def test_near_brute_force(spark, monkeypatch, block):
     assert got == brute.components(rows)
 
 
+def _passages(docs, seed=3):
+    """Documents of 5 of 9 shared passages and some words of their own: nearly all share a signature, few are alike."""
+    rnd = random.Random(seed)
+    passages = [" ".join(f"p{k}w{i}" for i in range(40)) for k in range(9)]
+    return [(d, " ".join(rnd.sample(passages, 5) + [f"o{rnd.getrandbits(40)}" for _ in range(rnd.randrange(10, 40))]))
+            for d in range(docs)]
+
+
+def test_common_passages_fall_apart(spark, monkeypatch):
+    rows = _passages(500)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    sets = ngram_join.written(ngram_join.candidate_sets(df, 4), "sets")
+    whole = ngram_join.clusters(sets).agg(F.max("members")).first()[0]
+    monkeypatch.setattr(ngram_join, "BLOCK", 50)
+    monkeypatch.setattr(ngram_join, "SKETCHES", 100)           # signatures in parts, compared two by two
+    fine = ngram_join.clusters(sets)
+    assert fine.count() == fine.select("id").distinct().count()
+    assert whole > 400 and fine.agg(F.max("members")).first()[0] < 50
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.near_duplicates(df).collect()}
+    assert got == brute.components(rows)
+
+
+def test_sketches_never_part_what_is_alike():
+    """Pairs of enough similarity are always connected, short and long sets alike."""
+    import numpy as np
+    rnd = np.random.default_rng(4)
+    alike = apart = 0
+    for n in [2, 3, 7, 30, 200, 3000] * 12:
+        a = rnd.integers(0, 1 << 63, n, np.uint64)
+        b = np.concatenate([a[:n - int(rnd.integers(0, n // 4 + 1))], rnd.integers(0, 1 << 63, int(rnd.integers(0, n // 6 + 2)), np.uint64)])
+        if not len(b):
+            continue
+        common = len(np.intersect1d(a, b))
+        linked = 100 * common >= 75 * (len(a) + len(b) - common)
+        kept = [s[np.isin(s, t) | (rnd.random(len(s)) < 0.5)] for s, t in ((a, b), (b, a))]     # the others are lone
+        sizes = np.array([len(a), len(b)])
+        got = ngram_join.sketch_forest(
+            sizes, sizes - [len(k) for k in kept],
+            ngram_join.sketches(np.repeat([0, 1], [len(k) for k in kept]), np.concatenate(kept), 2))
+        assert not linked or got == [(0, 1)]
+        alike, apart = alike + linked, apart + (not got)
+    assert alike > 20 and apart > 10
+    assert ngram_join.sketch_forest(np.zeros(0, int), np.zeros(0, int), np.zeros((0, 16), np.uint64)) == []
+
+
 def test_signatures_meet():
     """Any two sets of enough similarity share a signature, whatever the classes of their tokens."""
     import numpy as np
