@@ -28,12 +28,13 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cellwatch.llm.common import mix, partitions_for, slices, small_batches, text_bytes, texts, word_hashes, written
+from cellwatch.llm.common import mix, partitions_for, shuffles_removed, slices, small_batches, text_bytes, texts, word_hashes, written
 from cellwatch.llm.language_id import held_out
 
 HOT_SHARE = 1024           # a word with more than 1 / (2 HOT_SHARE) of all tokens is hot; with more partitions, of 1 / (2 partitions)
 FLUSH = 1_000_000          # tokens that a task packs at a time
 PARTITION_BYTES = 10 << 20     # text whose tokens one partition holds, at about
+TOGETHER = 4               # partitions that are scored one after another by one task
 DISCOUNT, STRENGTH = 0.75, 1.0
 ROOT_DISCOUNT, ROOT_STRENGTH = 0.5, 10.0
 BURN, SAMPLES = 2, 3
@@ -62,12 +63,15 @@ def tokens_of(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
 # ---------------------------------------------------------------- packing
 
 def _pack(**arrays) -> bytes:
-    """Named number arrays as compressed bytes."""
+    """Named number arrays as compressed bytes: steps instead of 64-bit integers (short where these are sorted),
+    and the first bytes of all numbers, then the second ones, and so on."""
     head, body = [], []
     for name, a in arrays.items():
         a = np.ascontiguousarray(a)
         head.append(f"{name}:{a.dtype.str}:{len(a)}")
-        body.append(a.tobytes())
+        if a.dtype.kind in "iu" and a.itemsize == 8:
+            a = np.diff(a.view(np.uint64), prepend=np.uint64(0))     # wraps, and so does the sum
+        body.append(a.view(np.uint8).reshape(len(a), a.itemsize).T.tobytes())
     line = ";".join(head).encode()
     return zstandard.ZstdCompressor(level=1).compress(len(line).to_bytes(4, "little") + line + b"".join(body))
 
@@ -78,8 +82,11 @@ def _unpack(data: bytes) -> dict[str, np.ndarray]:
     out = {}
     for part in raw[4:at].decode().split(";"):
         name, kind, n = part.rsplit(":", 2)
-        out[name] = np.frombuffer(raw, np.dtype(kind), int(n), at)
-        at += out[name].nbytes
+        kind, n = np.dtype(kind), int(n)
+        a = np.frombuffer(raw, np.uint8, n * kind.itemsize, at).reshape(kind.itemsize, n)
+        a = np.ascontiguousarray(a.T).view(kind).reshape(n)
+        out[name] = np.cumsum(a.view(np.uint64)).view(kind) if kind.kind in "iu" and kind.itemsize == 8 else a
+        at += a.nbytes
     return out
 
 
@@ -138,7 +145,7 @@ def _measure(batches, hot_share: int = HOT_SHARE):
 def _occurrences(parts: int, hot: np.ndarray, hot_pairs: np.ndarray):
     """Blocks of occurrences for the partition of each word (hot words: of word and context; hot pairs: of text).
 
-    A block names a text once for each pair, with the number of times it holds it.
+    A block names a text once for each pair, with the number of times it holds it, and every context once.
     """
     def flush(pending):
         keys = np.concatenate([p[0] for p in pending])
@@ -174,9 +181,10 @@ def _occurrences(parts: int, hot: np.ndarray, hot_pairs: np.ndarray):
             more = np.flatnonzero(times > 1)
             kinds = _runs(w), np.flatnonzero(np.append(True, (w[1:] != w[:-1]) | (c[1:] != c[:-1])))
             here, local = np.unique(o, return_inverse=True)
+            contexts, number_of = np.unique(c[kinds[1]], return_inverse=True)
             rows.append((int(dest[a]), _pack(
                 word=w[kinds[0]], types=np.diff(np.append(np.searchsorted(kinds[1], kinds[0]), len(kinds[1]))).astype(np.uint32),
-                context=c[kinds[1]], refs=np.diff(np.append(kinds[1], len(w))).astype(np.uint32),
+                contexts=contexts, context=number_of.astype(np.uint32), refs=np.diff(np.append(kinds[1], len(w))).astype(np.uint32),
                 ref=local.astype(np.uint16), more=more.astype(np.uint32), times=times[more].astype(np.uint32), key=keys[here], weight=weight[here].astype(np.uint32))))
         for k in range(0, len(rows), 64):
             p, d = zip(*rows[k:k + 64])
@@ -265,7 +273,8 @@ class Seating:
     totals are brought up to date after each size.
     """
 
-    CELLS = 1 << 20     # weights that are looked at together
+    CELLS = 1 << 20     # weights that are drawn from one state of the totals
+    AT_ONCE = 1 << 18   # weights that are held at a time
 
     def __init__(self, customers: np.ndarray, prior: np.ndarray, rng, discount: float, tables: np.ndarray | None = None):
         """``prior``: mass of a new table for each dish as a first estimate; ``tables``: a state to go on from."""
@@ -301,7 +310,7 @@ class Seating:
         left, size, top = np.arange(len(dish)), 64, int(n.max())
         while len(left):
             size = min(size, top)
-            for part in np.array_split(left, max(1, -(-len(left) * size // self.CELLS))):
+            for part in np.array_split(left, max(1, -(-len(left) * size // self.AT_ONCE))):
                 logs = np.zeros((len(part), size))
                 t = np.arange(1, size)
                 logs[:, 1:] = np.log(np.maximum(mass[part, None] + slope[part, None] * t, 1e-300))
@@ -360,7 +369,9 @@ def _build(parts: int, hot: np.ndarray, hot_share: np.ndarray, hot_pairs: np.nda
         weight = np.concatenate([b["weight"] for b in blocks]).astype(np.int64)
         words, number = np.unique(np.concatenate([b["word"] for b in blocks]), return_inverse=True)
         word = np.repeat(number, np.concatenate([b["types"] for b in blocks]))
-        contexts, number = np.unique(np.concatenate([b["context"] for b in blocks]), return_inverse=True)
+        contexts, number = np.unique(np.concatenate([b["contexts"] for b in blocks]), return_inverse=True)
+        context0 = np.cumsum([0, *(len(b["contexts"]) for b in blocks)])
+        number = number[np.concatenate([b["context"].astype(np.int64) + s for b, s in zip(blocks, context0.tolist())])]
         kind = (word.astype(np.int64) << 32) | number
         kinds, number = np.unique(kind, return_inverse=True)
         number = np.repeat(number.astype(np.int32), np.concatenate([b["refs"] for b in blocks]))
@@ -457,14 +468,13 @@ def _sample(rng, count, word, context, seated, tables, counts, own, hot_p0, root
 
 
 def _score(shared):
-    """Seat on with the true totals and sum every text's log probabilities in this partition."""
-    def run(key, left, right):
-        g, part = shared.value, key[0].as_py()
-        m = _unpack(left.column("data")[0].as_buffer())
+    """Seat on with the true totals and sum every text's log probabilities in some partitions."""
+    def one(g, part, model, totals):
+        m = _unpack(model)
         words, context, count = m["word"], m["context"].astype(np.int32), m["count"].astype(np.int64)
         contexts = m["contexts"]
         tables, counts = np.zeros(len(contexts)), np.zeros(len(contexts))
-        for data in right.column("data").to_pylist():
+        for data in totals:
             got = _unpack(data)
             at = np.searchsorted(contexts, got["context"])
             tables[at], counts[at] = got["tables"], got["counts"]
@@ -490,11 +500,16 @@ def _score(shared):
         ref, n = m["ref"], len(m["key"])
         often = np.ones(len(ref))
         often[m["more"]] = m["times"]
-        out = _sums(m["key"], np.bincount(ref, log_p[per] * often, n),
-                         np.bincount(ref, log_base[word[per]] * often, n),
-                         np.bincount(ref, (c_word[word[per]] > 0) * often, n).astype(np.int64),
-                         np.bincount(ref, often, n).astype(np.int64), g["buckets"])
-        return pa.Table.from_batches(out)
+        return (m["key"], np.bincount(ref, log_p[per] * often, n), np.bincount(ref, log_base[word[per]] * often, n),
+                np.bincount(ref, (c_word[word[per]] > 0) * often, n), np.bincount(ref, often, n))
+
+    def run(key, left, right):
+        g, of = shared.value, right.column("part").to_numpy()
+        got = [one(g, part, data.as_buffer(), (right.column("data")[int(i)].as_buffer() for i in np.flatnonzero(of == part)))
+               for part, data in zip(left.column("part").to_pylist(), left.column("data"))]
+        keys, number = np.unique(np.concatenate([x[0] for x in got]), return_inverse=True)
+        score, base, known, n = (np.bincount(number, np.concatenate(x), len(keys)) for x in list(zip(*got))[1:])
+        return pa.Table.from_batches(_sums(keys, score, base, known, n, g["buckets"]))
     return run
 
 
@@ -611,6 +626,12 @@ class _HotPairs:
         self.log_p[self.place] = np.log10(total / SAMPLES)
 
 
+def _stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a stored table; what was exchanged for it (packed tokens, the model) is removed from the disk."""
+    with shuffles_removed(df.sparkSession):
+        return written(df, name)
+
+
 def score(docs: DataFrame, parts: int = 5, part: int = 1) -> DataFrame:
     """One row per input row, learned from the rows whose crc32(doc_id) modulo ``parts`` is not ``part``.
 
@@ -633,10 +654,10 @@ def score(docs: DataFrame, parts: int = 5, part: int = 1) -> DataFrame:
     hot, share = _hot(measured, False, hot_share)
     pairs = np.sort(_hot(measured, True, hot_share)[0])
     blocks = source.mapInArrow(_occurrences(n_parts, hot, pairs), "part int, data binary")
-    model = written(blocks.groupBy("part").applyInArrow(_build(n_parts, hot, share, pairs), _MODEL), "model")
+    model = _stored(blocks.groupBy("part").applyInArrow(_build(n_parts, hot, share, pairs), _MODEL), "model")
     sums = model.agg(*(F.sum(c).alias(c) for c in ("known", "train", "customers", "root"))).first().asDict()
     sums = {k: v or 0 for k, v in sums.items()}
-    totals = written(model.select("part", "totals").mapInArrow(_deal_totals(n_parts), "part int, bucket int, data binary")
+    totals = _stored(model.select("part", "totals").mapInArrow(_deal_totals(n_parts), "part int, bucket int, data binary")
                      .groupBy("bucket").applyInArrow(_add_totals, "part int, data binary"), "context_totals")
     hot_rows = {r["word"]: r for r in model.select(F.explode("hot").alias("h")).select("h.*").groupBy("word").agg(
         F.sum("customers").alias("customers"), F.sum("count").alias("count")).collect()}
@@ -656,9 +677,11 @@ def score(docs: DataFrame, parts: int = 5, part: int = 1) -> DataFrame:
         "hot": hot, "hot_count": counts, "known": known, "train": sums["train"], "customers": all_customers,
         "root": all_root, "buckets": buckets,
         "pair_context": hot_pairs.contexts[hot_pairs.context], "pair_tables": hot_pairs.seating.tables, "pairs": pairs, "pair_log_p": hot_pairs.log_p, "hot_p0": hot_p0})
-    by_part = lambda df: df.select("part", "data").repartition(n_parts, "part").groupBy("part")
-    partial = by_part(model).cogroup(by_part(totals)).applyInArrow(_score(shared), "bucket int, data binary")
-    total = written(partial.groupBy("bucket").applyInArrow(
+    # Sums of a text are added for some partitions before they are exchanged.
+    some = F.floor(F.col("part") / TOGETHER).alias("some")
+    by_some = lambda df: df.select("part", "data", some).repartition(-(-n_parts // TOGETHER), "some").groupBy("some")
+    partial = by_some(model).cogroup(by_some(totals)).applyInArrow(_score(shared), "bucket int, data binary")
+    total = _stored(partial.groupBy("bucket").applyInArrow(
         _total, "key bigint, score double, base double, known bigint, n bigint"), "totals")
     # A text that several tasks packed was summed once for each of them: total.n counts how often.
     times = F.col("total.n") / F.col("rows.n")

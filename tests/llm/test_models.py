@@ -120,6 +120,55 @@ def test_lm_hot_pair_is_dealt_by_text(spark):
     assert whole > 5 * math.log10(5 / 6) - 12
 
 
+def test_lm_packed_numbers_come_back_and_are_small():
+    rng = np.random.default_rng(3)
+    arrays = {"hashes": np.sort(rng.integers(0, 1 << 64, 100_000, np.uint64)), "any": rng.integers(-1 << 63, (1 << 63) - 1, 1000),
+              "small": rng.integers(0, 2000, 50_000).astype(np.uint32), "real": rng.random(100), "short": np.arange(300, dtype=np.uint16),
+              "none": np.zeros(0, np.int64), "nothing": np.zeros(0, np.uint16)}
+    got = lm_scoring._unpack(lm_scoring._pack(**arrays))
+    assert list(got) == list(arrays)
+    assert all(got[n].dtype == a.dtype and (got[n] == a).all() and len(got[n]) == len(a) for n, a in arrays.items())
+    assert len(lm_scoring._pack(a=arrays["hashes"])) < 7 * 100_000
+    assert len(lm_scoring._pack(a=arrays["small"])) < 1.7 * 50_000
+
+
+def test_lm_blocks_name_a_context_once(spark, corpus):
+    from cellwatch.llm.common import texts
+    source = texts(corpus, F.xxhash64("text").alias("key"), F.lit(True).alias("train"))
+    none = np.zeros(0, np.uint64)
+    blocks = [lm_scoring._unpack(bytes(b.data)) for b in source.mapInArrow(
+        lm_scoring._occurrences(2, none, none), "part int, data binary").collect()]
+    assert all((np.diff(b["contexts"].astype(object)) > 0).all() and len(b["contexts"]) < len(b["context"]) for b in blocks)
+
+
+def test_lm_exchanged_files_are_removed(spark):
+    import time
+
+    def files() -> int:
+        found = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString("\n")
+        return sum("shuffle_" in line for line in found.split("\n"))
+    before, name = files(), "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    setting = spark.conf.get(name, None)
+    rows = spark.range(1000).repartition(4, "id").groupBy("id").count()
+    stored = lm_scoring._stored(rows, "rows")
+    until = time.time() + 20
+    while files() > before and time.time() < until:
+        time.sleep(0.2)
+    assert files() <= before and spark.conf.get(name, None) == setting
+    assert stored.count() == 1000
+
+
+def test_lm_sums_of_many_partitions(corpus, monkeypatch):
+    """Partitions that are scored together, and the last ones left over, lose no token of a text."""
+    whole = {r.doc_id: r for r in lm_scoring.score(corpus).collect()}
+    monkeypatch.setattr(lm_scoring, "partitions_for", lambda *a: 2 * lm_scoring.TOGETHER + 1)
+    split = {r.doc_id: r for r in lm_scoring.score(corpus).collect()}
+    assert split.keys() == whole.keys()
+    for k, r in whole.items():
+        assert (split[k].n_tokens, split[k].n_known, split[k].train_tokens) == (r.n_tokens, r.n_known, r.train_tokens)
+        assert abs(split[k].base_score - r.base_score) < 1e-9 * abs(r.base_score)
+
+
 def test_lm_contexts_are_words(corpus, monkeypatch):
     raw = np.frombuffer(" ".join(f"w{i}" for i in range(200_000)).encode(), np.uint8)
     token, context, _ = lm_scoring.tokens_of(raw, np.array([0, len(raw)]))
