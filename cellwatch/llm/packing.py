@@ -55,7 +55,7 @@ def encode_texts(values: list[str], content: str) -> list[bytes]:
     # ASCII capitals are the same to a lower-casing tokenizer, but for its special strings ("<|").
     raw = [v.encode() for v in values]
     cut = [(r if b"<|" in r else r.lower()).split() for r in raw]
-    missing = set().union(*cut) - memory.keys()
+    missing = set().union(*cut).difference(memory)      # looks up each run; "- memory.keys()" would go through the memory
     _learn(missing, memory, content)
     out = [b"".join(map(memory.__getitem__, words)) for words in cut]
     for m in missing:
@@ -72,17 +72,22 @@ def _learn(missing: set[bytes], memory: dict[bytes, bytes], content: str) -> Non
     tokens that end a word. All others are encoded one by one.
     """
     ends = _word_ends(content)
-    joined = {m: len(m) - len(m.rstrip(_SIGNS)) for m in missing}
-    joined = {m: n for m, n in joined.items() if 0 < n < len(m) and _LETTER_END.search(m[:-n])}
-    wanted = {m for m in missing if m not in joined}
-    for m, n in joined.items():
-        wanted.update((m[:-n], m[-n:]))
-    wanted -= memory.keys()
+    joined, wanted = [], set()
+    for m in missing:
+        stem = m.rstrip(_SIGNS)
+        if len(stem) < len(m) and _LETTER_END.search(stem):
+            signs = m[len(stem):]
+            joined.append((m, stem, signs))
+            wanted.add(stem)
+            wanted.add(signs)
+        else:
+            wanted.add(m)
+    wanted = wanted.difference(memory)
     tokenizer = _tokenizer(content)
     words = [m for m in wanted if _LETTERS.fullmatch(m)] if ends is not None else []
     for k in range(0, len(words), 5_000):
         part = words[k:k + 5_000]
-        ids = np.array(tokenizer.encode(b" ".join(part).decode(), add_special_tokens=False).ids, "<u4")
+        ids = np.array(tokenizer.encode_batch_fast([b" ".join(part).decode()], add_special_tokens=False)[0].ids, "<u4")
         cuts = (4 * (np.flatnonzero(ends[ids]) + 1)).tolist()
         if len(cuts) != len(part):
             continue                     # not one pre-token each: encoded one by one below
@@ -93,8 +98,8 @@ def _learn(missing: set[bytes], memory: dict[bytes, bytes], content: str) -> Non
         part = rest[k:k + 10_000]
         got = tokenizer.encode_batch_fast([m.decode() for m in part], add_special_tokens=False)
         memory.update((m, array("I", e.ids).tobytes()) for m, e in zip(part, got))
-    for m, n in joined.items():
-        memory[m] = memory[m[:-n]] + memory[m[-n:]]
+    for m, stem, signs in joined:
+        memory[m] = memory[stem] + memory[signs]
 
 
 _SIGNS = b"#*$%&.,!?;:"

@@ -106,6 +106,27 @@ def test_packing(request, which):
         assert at <= 2048
 
 
+def test_encoding_looks_up_its_own_runs_only(monkeypatch):
+    """A slice costs what its own runs cost, however many a worker remembers; ids are the library's."""
+    import time
+    with open(WORD, encoding="utf-8") as f:
+        content = f.read()
+    values = ["one two, three: 1,5 (x) caf\u00e9! \u00dcber;", "Two Three,,! ### a1. " + "long" * 100 + ", <|end|>", "", ",", "\u4e2d\u6587. z\u0142."]
+    want = [np.array(e.ids, "<u4").tobytes() for e in packing._tokenizer(content).encode_batch(values, add_special_tokens=False)]
+    monkeypatch.setattr(packing, "_IDS", {})
+    assert packing.encode_texts(values, content) == want
+    memory = packing._IDS[content]
+    memory.update((b"remembered%d" % i, b"") for i in range(900_000))
+    start = time.process_time()
+    set().difference_update(memory)
+    whole = time.process_time() - start
+    start = time.process_time()
+    for k in range(20):
+        packing.encode_texts([f"fresh{k} word, fresh{k}."], content)
+    assert time.process_time() - start < 20 * whole / 2
+    assert packing.encode_texts(values, content) == want
+
+
 def test_packing_spreads_repeated_rows(spark):
     cut = spark.range(0, 4000).selectExpr("CAST(NULL AS BIGINT) AS doc_id", "CAST(700 AS BIGINT) AS length")
     shards = [r["count"] for r in packing.place(cut, shard=400).groupBy(F.expr("sequence_id >> 32")).count().collect()]
