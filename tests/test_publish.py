@@ -98,3 +98,17 @@ def test_read_back_finds_changed_and_lost_rows(spark, scratch):
     assert failed(df.dropDuplicates().unionByName(df.where("id BETWEEN 10 AND 14").dropDuplicates()), "swapped") == {"read_back_digest"}
     assert "read_back_schema" in failed(df.withColumn("id", F.col("id").cast("int")), "typed")
     assert Rb.write_checked(spark.createDataFrame([], "a int"), f"{scratch}/none").where("NOT passed").count() == 0
+
+
+def test_write_checked_computes_its_rows_once(spark, scratch):
+    """The partition's values (a null among them) are counted by the tasks that write."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+    rows = spark.range(100).selectExpr("id", "nullif(id % 4, 3) AS day").mapInArrow(count, "id long, day long")
+    found = {r["check"]: r for r in Rb.write_checked(rows, f"{scratch}/once", "day").collect()}
+    assert all(r["passed"] for r in found.values()) and found["read_back_partitions"]["expected"] == "4"
+    assert seen.value == 100
