@@ -153,22 +153,26 @@ def _occurrences(parts: int, hot: np.ndarray, hot_pairs: np.ndarray):
         token = np.concatenate([p[2] for p in pending])
         context = np.concatenate([p[3] for p in pending])
         owner = np.concatenate([p[4] + s for p, s in zip(
-            pending, np.cumsum([0, *(len(p[0]) for p in pending[:-1])]))])
+            pending, np.cumsum([0, *(len(p[0]) for p in pending[:-1])]))]).astype(np.int32)
+        pending.clear()                     # each array of tokens is held once
         first, number = np.unique(keys, return_index=True, return_inverse=True)[1:]
         weight = np.bincount(number, weight, len(first)).astype(np.int64)   # copies in the training set
         keep = np.zeros(len(keys), bool)
         keep[first] = True
         keys, keep = keys[first], keep[owner]
-        token, context, owner = token[keep], context[keep], number[owner[keep]]
+        token, context, owner = token[keep], context[keep], number.astype(np.int32)[owner[keep]]
+        del keep
         dest = mix(token)
         pair = _pair(token, context)
         is_hot = _among(token, hot)[1]
         dest[is_hot] = pair[is_hot]
         is_hot = _among(pair, hot_pairs)[1]
         dest[is_hot] = mix(keys.view(np.uint64)[owner[is_hot]] ^ pair[is_hot])
-        dest = (dest % np.uint64(parts)).astype(np.int64)
+        del pair, is_hot
+        dest = (dest % np.uint64(parts)).astype(np.int32)
         order = np.lexsort((owner, context, token, dest))
         dest, token, context, owner = dest[order], token[order], context[order], owner[order]
+        del order
         new = np.ones(len(dest), bool)
         new[1:] = (dest[1:] != dest[:-1]) | (token[1:] != token[:-1]) | (context[1:] != context[:-1]) | (owner[1:] != owner[:-1])
         first = np.flatnonzero(new)
