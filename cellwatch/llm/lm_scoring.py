@@ -64,29 +64,28 @@ def tokens_of(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
 
 def _pack(**arrays) -> bytes:
     """Named number arrays as compressed bytes: steps instead of 64-bit integers (short where these are sorted),
-    and the first bytes of all numbers, then the second ones, and so on."""
-    head, body = [], []
-    for name, a in arrays.items():
-        a = np.ascontiguousarray(a)
-        head.append(f"{name}:{a.dtype.str}:{len(a)}")
+    and the first bytes of all numbers, then the second ones, and so on. One array is copied at a time."""
+    arrays = {name: np.ascontiguousarray(a) for name, a in arrays.items()}
+    line = ";".join(f"{name}:{a.dtype.str}:{len(a)}" for name, a in arrays.items()).encode()
+    packer = zstandard.ZstdCompressor(level=1).compressobj(size=4 + len(line) + sum(a.nbytes for a in arrays.values()))
+    out = [packer.compress(len(line).to_bytes(4, "little") + line)]
+    for a in arrays.values():
         if a.dtype.kind in "iu" and a.itemsize == 8:
             a = np.diff(a.view(np.uint64), prepend=np.uint64(0))     # wraps, and so does the sum
-        body.append(a.view(np.uint8).reshape(len(a), a.itemsize).T.tobytes())
-    line = ";".join(head).encode()
-    return zstandard.ZstdCompressor(level=1).compress(len(line).to_bytes(4, "little") + line + b"".join(body))
+        out.append(packer.compress(a.view(np.uint8).reshape(len(a), a.itemsize).T.tobytes()))
+    return b"".join([*out, packer.flush()])
 
 
-def _unpack(data: bytes) -> dict[str, np.ndarray]:
-    raw = zstandard.ZstdDecompressor().decompress(data)
-    at = 4 + int.from_bytes(raw[:4], "little")
+def _unpack(data) -> dict[str, np.ndarray]:
+    """The arrays of some packed bytes, unpacked one after another."""
+    reader = zstandard.ZstdDecompressor().stream_reader(data)
     out = {}
-    for part in raw[4:at].decode().split(";"):
+    for part in reader.read(int.from_bytes(reader.read(4), "little")).decode().split(";"):
         name, kind, n = part.rsplit(":", 2)
         kind, n = np.dtype(kind), int(n)
-        a = np.frombuffer(raw, np.uint8, n * kind.itemsize, at).reshape(kind.itemsize, n)
+        a = np.frombuffer(reader.read(n * kind.itemsize), np.uint8).reshape(kind.itemsize, n)
         a = np.ascontiguousarray(a.T).view(kind).reshape(n)
         out[name] = np.cumsum(a.view(np.uint64)).view(kind) if kind.kind in "iu" and kind.itemsize == 8 else a
-        at += a.nbytes
     return out
 
 
@@ -101,6 +100,11 @@ def _among(values: np.ndarray, few: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return at, (few[at] == values if len(few) else np.zeros(len(values), bool))
 
 
+def _pieces(n: int, most: int = 1 << 18) -> list[slice]:
+    """Slices of ``n`` items, for work whose steps then need memory by a slice only."""
+    return [slice(a, min(a + most, n)) for a in range(0, n, most)]
+
+
 def _runs(x: np.ndarray) -> np.ndarray:
     """Start of every run of equal values."""
     return np.flatnonzero(np.append(True, x[1:] != x[:-1])) if len(x) else np.zeros(0, np.int64)
@@ -367,29 +371,38 @@ def _build(parts: int, hot: np.ndarray, hot_share: np.ndarray, hot_pairs: np.nda
     """All occurrences of a partition's words, and a first sample of their seating."""
     def run(key, table):
         part = key[0].as_py()
-        blocks = [_unpack(d) for d in table.column("data").to_pylist()]
+        blocks = [_unpack(d.as_buffer()) for d in table.column("data")]
         doc0 = np.cumsum([0, *(len(b["key"]) for b in blocks)])
         keys = np.concatenate([b["key"] for b in blocks])
         weight = np.concatenate([b["weight"] for b in blocks]).astype(np.int64)
         words, number = np.unique(np.concatenate([b["word"] for b in blocks]), return_inverse=True)
-        word = np.repeat(number, np.concatenate([b["types"] for b in blocks]))
+        # A kind is a word in a context: their numbers in one.
+        kind = np.repeat(number.astype(np.int64) << 32, np.concatenate([b["types"] for b in blocks]))
         contexts, number = np.unique(np.concatenate([b["contexts"] for b in blocks]), return_inverse=True)
         context0 = np.cumsum([0, *(len(b["contexts"]) for b in blocks)])
-        number = number[np.concatenate([b["context"].astype(np.int64) + s for b, s in zip(blocks, context0.tolist())])]
-        kind = (word.astype(np.int64) << 32) | number
+        kind0 = np.cumsum([0, *(len(b["context"]) for b in blocks)])
+        for b, s, k in zip(blocks, context0.tolist(), kind0.tolist()):
+            kind[k:k + len(b["context"])] |= number[b["context"].astype(np.int64) + s]
         kinds, number = np.unique(kind, return_inverse=True)
+        del kind
         number = np.repeat(number.astype(np.int32), np.concatenate([b["refs"] for b in blocks]))
         ref = np.concatenate([b["ref"].astype(np.int32) + s for b, s in zip(blocks, doc0.tolist())])
-        often = np.ones(len(ref), np.int64)
+        often = np.ones(len(ref), np.uint32)
         ref0 = np.cumsum([0, *(len(b["ref"]) for b in blocks)])
         often[np.concatenate([b["more"] + s for b, s in zip(blocks, ref0.tolist())])] = np.concatenate(
             [b["times"] for b in blocks])
         del blocks, table
+        refs, all_count = np.zeros(len(kinds), np.int64), np.zeros(len(kinds), np.int64)
+        for x in _pieces(len(ref)):
+            at = number[x].astype(np.intp)
+            np.add.at(refs, at, 1)
+            np.add.at(all_count, at, weight[ref[x]] * often[x])
         order = np.argsort(number, kind="stable")
-        number, ref, often = number[order], ref[order], often[order]
-        refs = np.bincount(number, minlength=len(kinds))
-        all_count = np.bincount(number, weight[ref] * often, len(kinds)).astype(np.int64)
+        del number
+        ref, often = ref[order], often[order]
+        del order
         word, context = kinds >> 32, (kinds & 0xFFFFFFFF).astype(np.int32)
+        del kinds
         at, is_hot = _among(words, hot)
         # The driver seats hot pairs; here they have no customers.
         pair_at, is_pair = _among(_pair(words[word], contexts[context]), hot_pairs)
@@ -409,6 +422,7 @@ def _build(parts: int, hot: np.ndarray, hot_share: np.ndarray, hot_pairs: np.nda
         for _ in range(BURN):
             seating.sweep(room.mass, room.slope)
         t = seating.tables
+        del seating, room
         customers = np.bincount(word, t, len(words)).astype(np.int64)
         c_word = np.bincount(word, all_count, len(words)).astype(np.int64)
         own = ~is_hot & (c_word > 0)
@@ -466,8 +480,10 @@ def _sample(rng, count, word, context, seated, tables, counts, own, hot_p0, root
         room.p0 = np.where(np.isnan(hot_p0), p0, hot_p0)[word]
         seating.sweep(room.mass, room.slope)
         if k >= BURN:
-            total += ((count - DISCOUNT * seating.tables * (count > 0) + room.mass(np.arange(len(count))))
-                      / (STRENGTH + counts[context]))
+            for x in _pieces(len(count)):
+                c = count[x]
+                total[x] += ((c - DISCOUNT * seating.tables[x] * (c > 0) + room.mass(np.arange(x.start, x.stop)))
+                             / (STRENGTH + counts[context[x]]))
     return total / SAMPLES
 
 

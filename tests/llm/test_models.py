@@ -4,10 +4,12 @@ import random
 import re
 import subprocess
 import sys
+import tracemalloc
 import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -228,6 +230,40 @@ def test_gibbs_of_enormous_dishes_scales():
     assert abs(means[1] - limit) < 1.0 and abs(means[2] - limit) < 1.0 and means[0] <= means[1] + 1
 
 
+def _peak(work):
+    """What the work returns, and the most memory that it held at once."""
+    tracemalloc.start()
+    try:
+        return work(), tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+
+
+def test_packing_holds_one_copied_array_at_a_time():
+    arrays = {f"a{k}": np.arange(k, k + 500_000, dtype=np.uint32) // 7 for k in range(8)} | {
+        "empty": np.zeros(0, np.int64), "steps": np.arange(9) - 4, "real": np.array([0.5, -2.0])}
+    size = sum(a.nbytes for a in arrays.values())
+    data, peak = _peak(lambda: lm_scoring._pack(**arrays))
+    assert peak < size
+    got, peak = _peak(lambda: lm_scoring._unpack(data))
+    assert peak < 1.7 * size
+    assert list(got) == list(arrays) and all(got[k].dtype == a.dtype and (got[k] == a).all() for k, a in arrays.items())
+
+
+def test_model_of_a_partition_holds_few_bytes_an_occurrence():
+    rng = np.random.default_rng(3)
+    n, few = 400, np.zeros(0, np.uint64)
+    text = pa.array([" ".join(f"w{x}" for x in rng.zipf(1.2, 1500) % 50_000) for _ in range(n)])
+    docs = pa.RecordBatch.from_arrays([pa.array(range(n)), text, pa.array(range(n)), pa.array([True] * n)],
+                                      ["doc_id", "text", "key", "train"])
+    blocks = [d for b in lm_scoring._occurrences(1, few, few)([docs]) for d in b.column("data")]
+    table = pa.table({"part": pa.array([0] * len(blocks), pa.int32()), "data": pa.array([d.as_py() for d in blocks], pa.binary())})
+    lm_scoring.ratios(lm_scoring.DISCOUNT), lm_scoring.ratios(lm_scoring.ROOT_DISCOUNT)
+    model, peak = _peak(lambda: lm_scoring._build(1, few, np.zeros(0), few)((pa.scalar(0, pa.int32()),), table))
+    assert model.column("train")[0].as_py() == n * 1501
+    assert peak < 80 * n * 1501
+
+
 def test_rules(corpus, labels, odd):
     good = corpus.join(labels.where("quality = 1").select("doc_id"), "doc_id", "left_semi")
     for df, target in ((corpus, good), (odd, good)):
