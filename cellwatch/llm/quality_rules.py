@@ -26,26 +26,28 @@ SYMBOLS = "[#*$%&|<>]"
 TOKEN = r"[\p{L}\p{N}]+|[^\p{L}\p{N}\s]+"
 
 
-def _grams(text: str, buckets: int) -> Column:
-    """Bucket numbers of the unigrams and bigrams of a text."""
-    return F.expr(f"""
-        transform(regexp_extract_all(lower(`{text}`), '{TOKEN.replace(chr(92), chr(92) * 2)}', 0),
-                  t -> xxhash64(t))""")
+def _tokens(text: str) -> Column:
+    """Array of the tokens of a text."""
+    return F.expr(f"regexp_extract_all(lower(`{text}`), '{TOKEN.replace(chr(92), chr(92) * 2)}', 0)")
 
 
-def _buckets_of(hashes: str, buckets: int) -> Column:
-    return F.expr(f"""
-        concat(transform({hashes}, h -> CAST(pmod(h, {buckets}) AS INT)),
-               CASE WHEN size({hashes}) > 1 THEN
-                 zip_with(slice({hashes}, 1, size({hashes}) - 1), slice({hashes}, 2, size({hashes}) - 1),
-                          (a, b) -> CAST(pmod(xxhash64(a, b), {buckets}) AS INT))
-               ELSE array() END)""")
+def _bucket(gram: str, buckets: int) -> str:
+    """Bucket number of a gram's hash: of a token's, or of its and the next one's."""
+    return f"CAST(pmod({gram}, {buckets}) AS INT)"
 
 
 def gram_counts(docs: DataFrame, buckets: int = BUCKETS) -> DataFrame:
-    """``bucket, n`` over all texts; at most ``buckets`` rows leave a task."""
-    hashes = texts(docs).select(_grams("text", buckets).alias("h"))
-    return (hashes.select(F.explode(_buckets_of("h", buckets)).alias("bucket"))
+    """``bucket, n`` over all texts' unigrams and bigrams; at most ``buckets`` rows leave a task.
+
+    Without lambda functions, which Spark does not compile. Arrays are unfolded by the outer form: for the
+    inner one Spark first filters by the array's size, for which it makes the tokens once more.
+    """
+    token = (texts(docs).select(_tokens("text").alias("t"))
+             .select(F.expr("arrays_zip(t, slice(t, 2, size(t)))").alias("z"))
+             .select(F.inline_outer("z").alias("a", "b")).where("a IS NOT NULL"))
+    grams = token.select(F.expr(_bucket("xxhash64(a)", buckets)).alias("one"), F.expr(
+        f"CASE WHEN b IS NOT NULL THEN {_bucket('xxhash64(xxhash64(a), xxhash64(b))', buckets)} END").alias("two"))
+    return (grams.select(F.explode_outer(F.array("one", "two")).alias("bucket")).where("bucket IS NOT NULL")
             .groupBy("bucket").agg(F.count(F.lit(1)).alias("n")))
 
 
@@ -75,19 +77,22 @@ def quality_rules(docs: DataFrame, target: DataFrame, buckets: int = BUCKETS,
     columns of the inputs are not read.
     """
     base = texts(docs).select(
-        "doc_id", "text", words_of("text").alias("w"), _grams("text", buckets).alias("h"),
+        "doc_id", "text", words_of("text").alias("w"), F.transform(_tokens("text"), lambda t: F.xxhash64(t)).alias("h"),
         F.filter(F.split("text", "\n", -1), lambda x: x.rlike(r"[^\x20\x09-\x0D]")).alias("lines"))
     hashed = base.select(
         "doc_id", F.size("w").cast("long").alias("n_words"),
         F.length(F.array_join("w", "")).cast("long").alias("word_chars"),
         (F.length("text") - F.length(F.regexp_replace("text", SYMBOLS, ""))).cast("long").alias("n_symbols"),
-        (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
-        _buckets_of("h", buckets).alias("grams"),
-        F.expr(f"""CASE WHEN size(w) >= {WINDOW}
-                   THEN transform(sequence(1, size(w) - {WINDOW - 1}), i -> xxhash64(slice(w, i, {WINDOW})))
-                   ELSE array() END""").alias("win"))
+        (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"), "h",
+        F.transform("w", lambda x: F.xxhash64(x)).alias("v"))
+    # Hashes of the windows, from the words' by way of two and four words: every word is hashed once.
+    both = "(a, b) -> xxhash64(a, b)"
+    twos = hashed.withColumn("win", F.expr(f"zip_with(v, slice(v, 2, size(v)), {both})"))
+    fours = twos.withColumn("win", F.expr(f"zip_with(win, slice(win, 3, size(win)), {both})"))
+    windows = fours.withColumn("win", F.expr(
+        f"zip_with(slice(win, 1, greatest(size(win) - {WINDOW - 1}, 0)), slice(v, {WINDOW}, size(v)), {both})")).drop("v")
     # Only a text that has a repeated window pays for sorting its windows.
-    ordered = hashed.withColumn("win", F.expr(
+    ordered = windows.withColumn("win", F.expr(
         "CASE WHEN size(array_distinct(win)) < size(win) "
         "THEN sort_array(transform(win, (v, i) -> struct(v AS v, i AS i))) END"))
     twice = ordered.withColumn("win", F.expr(
@@ -97,9 +102,12 @@ def quality_rules(docs: DataFrame, target: DataFrame, buckets: int = BUCKETS,
         f"coalesce(aggregate(zip_with(win, slice(win, 2, size(win)), "
         f"(a, b) -> least({WINDOW}, coalesce(b - a, {WINDOW}))), 0L, (s, x) -> s + x), 0L)"))
     table = ratio_table(target, docs, buckets).scalar()
-    scored = counted.withColumn("table", table).withColumn("llr", F.expr(
-        "CASE WHEN size(grams) > 0 "
-        "THEN aggregate(grams, 0D, (s, g) -> s + get(table, g)) / size(grams) ELSE 0D END"))
+    add = lambda gram: f"(s, g) -> s + get(table, {_bucket(gram, buckets)})"
+    scored = counted.withColumn("table", table).withColumn("llr", F.expr(f"""
+        CASE WHEN size(h) > 0 THEN
+          aggregate(zip_with(slice(h, 1, size(h) - 1), slice(h, 2, size(h)), {both}),
+                    aggregate(h, 0D, {add("g")}), {add("g")}) / (2 * size(h) - 1)
+        ELSE 0D END"""))
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
     return scored.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "llr",
                          failed.alias("base_failed"), (~failed & (F.col("llr") >= threshold)).alias("kept"))

@@ -292,6 +292,23 @@ def test_rules_ratio_against_counts(spark):
     assert rows[3] == 0
 
 
+def test_rules_of_short_and_repeating_texts(spark, none):
+    """Texts of 0 to 40 of three words: windows that overlap, touch or lie at an end, and too few words for one."""
+    rng = np.random.default_rng(5)
+    rows = [(i, " ".join(rng.choice(["a", "B", "\u00e9"], i % 41))) for i in range(400)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {(r.doc_id, r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words)
+           for r in quality_rules.quality_rules(df, none).collect()}
+    assert got == {(i, *brute.rules(t)) for i, t in rows}
+
+
+def test_rules_count_grams_in_compiled_expressions(corpus):
+    """No lambda function, which Spark interprets, and no filter by an unfolded array's size, which makes the tokens twice."""
+    plan = quality_rules.gram_counts(corpus)._jdf.queryExecution().optimizedPlan().toString()
+    assert "lambda" not in plan and plan.count("regexp_extract_all") == 1
+    assert not [line for line in plan.splitlines() if "Filter" in line and "size(" in line]
+
+
 def test_rules_without_target_or_rows(none, corpus):
     assert quality_rules.quality_rules(none, none).count() == 0
     rows = quality_rules.quality_rules(corpus, none).collect()
