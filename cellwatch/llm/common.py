@@ -21,33 +21,39 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/corpus-{uuid.uuid4().hex}/{name}"
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as Parquet to the shared checkpoint folder and read it back.
+def written(df: DataFrame, name: str, options: dict | None = None) -> DataFrame:
+    """Write ``df`` as Parquet (with the writer's ``options``) to the shared checkpoint folder and read it back.
 
     This cuts the lineage: a lost executor costs a re-read of the files, not a re-computation,
     and a value that depends on the row order of one run (a row number) stays as it was.
     """
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.options(**(options or {})).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 @contextmanager
+def settings(spark: SparkSession, values: dict[str, str]):
+    """Jobs that run in here have these settings of the session."""
+    before = {name: spark.conf.get(name, None) for name in values}
+    for name, value in values.items():
+        spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            if value is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, value)
+
+
 def shuffles_removed(spark: SparkSession):
     """Jobs that end in here leave no shuffle files; else these stay until the driver collects its garbage.
 
     For jobs that write a table. Where files are wanted once more, Spark runs their stage again.
     """
-    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-    before = spark.conf.get(name, None)
-    spark.conf.set(name, "true")
-    try:
-        yield
-    finally:
-        if before is None:
-            spark.conf.unset(name)
-        else:
-            spark.conf.set(name, before)
+    return settings(spark, {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"})
 
 
 def unused(df: DataFrame, base: str) -> str:

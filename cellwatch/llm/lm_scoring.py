@@ -21,6 +21,7 @@ and scores its occurrences, as one Gibbs sweep after another over parallel block
 from __future__ import annotations
 
 from functools import lru_cache
+from itertools import chain, groupby
 
 import numpy as np
 import pyarrow as pa
@@ -28,13 +29,15 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cellwatch.llm.common import mix, partitions_for, shuffles_removed, slices, small_batches, text_bytes, texts, word_hashes, written
+from cellwatch.llm.common import mix, partitions_for, settings, shuffles_removed, slices, small_batches, text_bytes, texts, word_hashes, written
 from cellwatch.llm.language_id import held_out
 
 HOT_SHARE = 1024           # a word with more than 1 / (2 HOT_SHARE) of all tokens is hot; with more partitions, of 1 / (2 partitions)
 FLUSH = 1_000_000          # tokens that a task packs at a time
 PARTITION_BYTES = 10 << 20     # text whose tokens one partition holds, at about
 TOGETHER = 4               # partitions that are scored one after another by one task
+PIECE = 192 << 10          # bytes of a model that a row holds: Spark copies and doubles rows on its heap
+BATCH_BYTES = 4 << 20      # of packed blocks or pieces that travel between Spark and Python at a time
 DISCOUNT, STRENGTH = 0.75, 1.0
 ROOT_DISCOUNT, ROOT_STRENGTH = 0.5, 10.0
 BURN, SAMPLES = 2, 3
@@ -194,8 +197,8 @@ def _occurrences(parts: int, hot: np.ndarray, hot_pairs: np.ndarray):
                 word=w[kinds[0]], types=np.diff(np.append(np.searchsorted(kinds[1], kinds[0]), len(kinds[1]))).astype(np.uint32),
                 contexts=contexts, context=number_of.astype(np.uint32), refs=np.diff(np.append(kinds[1], len(w))).astype(np.uint32),
                 ref=local.astype(np.uint16), more=more.astype(np.uint32), times=times[more].astype(np.uint32), key=keys[here], weight=weight[here].astype(np.uint32))))
-        for k in range(0, len(rows), 64):
-            p, d = zip(*rows[k:k + 64])
+        for a, b in slices(np.array([len(d) for _, d in rows]), BATCH_BYTES):
+            p, d = zip(*rows[a:b])
             yield pa.RecordBatch.from_arrays([pa.array(p, pa.int32()), pa.array(d, pa.binary())], ["part", "data"])
 
     def run(batches):
@@ -367,8 +370,22 @@ class _Contexts:
 
 # ---------------------------------------------------------------- model partitions
 
+def _cut(data: bytes) -> pa.BinaryArray:
+    """Packed bytes as rows of ``PIECE`` bytes (the last one shorter), without a copy."""
+    ends = np.append(np.arange(0, len(data), PIECE), len(data)).astype(np.int32)
+    return pa.BinaryArray.from_buffers(pa.binary(), len(ends) - 1, [None, pa.py_buffer(ends), pa.py_buffer(data)])
+
+
+def _rows_by_part(batches):
+    """Every part (the first column, which batches are sorted by) and its rows, as one-row tables read on demand."""
+    rows = ((part, batch.slice(i, 1)) for batch in batches for i, part in enumerate(batch.column(0).to_pylist()))
+    for part, own in groupby(rows, lambda r: r[0]):
+        yield part, (row for _, row in own)
+
+
 def _build(parts: int, hot: np.ndarray, hot_share: np.ndarray, hot_pairs: np.ndarray):
-    """All occurrences of a partition's words, and a first sample of their seating."""
+    """All occurrences of a partition's words, and a first sample of their seating: rows of ``_MODEL``, the first
+    of which has the sums and totals, and each a piece of the data."""
     def run(key, table):
         part = key[0].as_py()
         blocks = [_unpack(d.as_buffer()) for d in table.column("data")]
@@ -439,18 +456,28 @@ def _build(parts: int, hot: np.ndarray, hot_share: np.ndarray, hot_pairs: np.nda
                      zip(pair_at[is_pair], at[word[is_pair]], contexts.view(np.int64)[context[is_pair]], all_count[is_pair])]
         totals = _pack(context=contexts, tables=np.bincount(context, t, len(contexts)).astype(np.int64),
                        counts=np.bincount(context, all_count, len(contexts)).astype(np.int64))
+        data = _cut(data)
+        first = lambda value, kind=None: pa.array([value] + [None] * (len(data) - 1), kind)
         return pa.table({
-            "part": pa.array([part], pa.int32()), "data": pa.array([data], pa.binary()),
-            "known": [int(own.sum())], "train": [int(all_count.sum())], "customers": [int(customers[own].sum())],
-            "root": [int(root.sum())],
-            "totals": pa.array([totals], pa.binary()),
-            "pairs": pa.array([pair_rows], pa.list_(pa.struct([(n, pa.int64()) for n in ("pair", "word", "context", "count")]))),
-            "hot": pa.array([hot_rows], pa.list_(pa.struct(
+            "part": pa.array([part] * len(data), pa.int32()), "piece": pa.array(range(len(data)), pa.int32()), "data": data,
+            "known": first(int(own.sum())), "train": first(int(all_count.sum())), "customers": first(int(customers[own].sum())),
+            "root": first(int(root.sum())),
+            "totals": first(totals, pa.binary()),
+            "pairs": first(pair_rows, pa.list_(pa.struct([(n, pa.int64()) for n in ("pair", "word", "context", "count")]))),
+            "hot": first(hot_rows, pa.list_(pa.struct(
                 [("word", pa.int64()), ("customers", pa.int64()), ("count", pa.int64())])))})
     return run
 
 
-_MODEL = ("part int, data binary, known bigint, train bigint, customers bigint, root bigint, "
+def _build_sorted(build):
+    """The models of some partitions, whose blocks come sorted by partition: one is held at a time."""
+    def run(batches):
+        for part, rows in _rows_by_part(batches):
+            yield from build((pa.scalar(part, pa.int32()),), pa.Table.from_batches(rows)).to_batches(BATCH_BYTES // PIECE)
+    return run
+
+
+_MODEL = ("part int, piece int, data binary, known bigint, train bigint, customers bigint, root bigint, "
           "totals binary, "
           "pairs array<struct<pair:bigint,word:bigint,context:bigint,count:bigint>>, "
           "hot array<struct<word:bigint,customers:bigint,count:bigint>>")
@@ -487,15 +514,27 @@ def _sample(rng, count, word, context, seated, tables, counts, own, hot_p0, root
     return total / SAMPLES
 
 
+_TOTALS = (1 << 31) - 1      # in place of a piece's number: contexts' totals, which are sorted behind the model
+
+
 def _score(shared):
-    """Seat on with the true totals and sum every text's log probabilities in some partitions."""
-    def one(g, part, model, totals):
-        m = _unpack(model)
+    """Seat on with the true totals and sum every text's log probabilities in some partitions.
+
+    The rows (part, piece, data) come sorted by part and piece; one partition is held at a time."""
+    def one(g, part, rows):
+        pieces, later = [], None
+        for row in rows:
+            if row.column(1)[0].as_py() == _TOTALS:
+                later = row
+                break
+            pieces.append(row.column(2)[0].as_py())
+        m = _unpack(b"".join(pieces))
+        del pieces
         words, context, count = m["word"], m["context"].astype(np.int32), m["count"].astype(np.int64)
         contexts = m["contexts"]
         tables, counts = np.zeros(len(contexts)), np.zeros(len(contexts))
-        for data in totals:
-            got = _unpack(data)
+        for row in ([] if later is None else chain([later], rows)):
+            got = _unpack(row.column(2)[0].as_buffer())
             at = np.searchsorted(contexts, got["context"])
             tables[at], counts[at] = got["tables"], got["counts"]
         at, here = _among(g["pair_context"], contexts)
@@ -523,13 +562,20 @@ def _score(shared):
         return (m["key"], np.bincount(ref, log_p[per] * often, n), np.bincount(ref, log_base[word[per]] * often, n),
                 np.bincount(ref, (c_word[word[per]] > 0) * often, n), np.bincount(ref, often, n))
 
-    def run(key, left, right):
-        g, of = shared.value, right.column("part").to_numpy()
-        got = [one(g, part, data.as_buffer(), (right.column("data")[int(i)].as_buffer() for i in np.flatnonzero(of == part)))
-               for part, data in zip(left.column("part").to_pylist(), left.column("data"))]
-        keys, number = np.unique(np.concatenate([x[0] for x in got]), return_inverse=True)
-        score, base, known, n = (np.bincount(number, np.concatenate(x), len(keys)) for x in list(zip(*got))[1:])
-        return pa.Table.from_batches(_sums(keys, score, base, known, n, g["buckets"]))
+    def run(batches):
+        g, sums, at = shared.value, None, None
+        for part, rows in _rows_by_part(batches):
+            if sums is not None and part // TOGETHER != at:
+                yield from _sums(*sums, g["buckets"])
+                sums = None
+            at, got = part // TOGETHER, one(g, part, rows)
+            # A text's sums are added partition by partition.
+            sums = got if sums is None else [np.concatenate(x) for x in zip(sums, got)]
+            del got
+            keys, number = np.unique(sums[0], return_inverse=True)
+            sums = [keys, *(np.bincount(number, x, len(keys)) for x in sums[1:])]
+        if sums is not None:
+            yield from _sums(*sums, g["buckets"])
     return run
 
 
@@ -541,8 +587,8 @@ def _sums(key, score, base, known, n, buckets):
     rows = [(int(bucket[order[a]]), _pack(key=key[x], score=score[x], base=base[x], known=known[x].astype(np.uint32),
                                           n=n[x].astype(np.uint32)))
             for a, b in zip(ends[:-1].tolist(), ends[1:].tolist()) for x in (order[a:b],)]
-    for k in range(0, len(rows), 64):
-        b, d = zip(*rows[k:k + 64])
+    for a, b in slices(np.array([len(d) for _, d in rows]), BATCH_BYTES):
+        b, d = zip(*rows[a:b])
         yield pa.RecordBatch.from_arrays([pa.array(b, pa.int32()), pa.array(d, pa.binary())], ["bucket", "data"])
 
 
@@ -646,10 +692,19 @@ class _HotPairs:
         self.log_p[self.place] = np.log10(total / SAMPLES)
 
 
-def _stored(df: DataFrame, name: str) -> DataFrame:
-    """``df`` as a stored table; what was exchanged for it (packed tokens, the model) is removed from the disk."""
-    with shuffles_removed(df.sparkSession):
-        return written(df, name)
+#: For tables of packed bytes: Spark would hold as many of these rows as of numbers, and pack them again.
+_PACKED = {"compression": "uncompressed", "parquet.enable.dictionary": "false", "parquet.block.size": str(8 << 20),
+           "parquet.block.size.row.check.min": "1", "parquet.page.size.row.check.min": "1"}
+
+
+def _stored(df: DataFrame, name: str, options: dict | None = None) -> DataFrame:
+    """``df`` as a stored table; what was exchanged for it (packed tokens, the model) is removed from the disk.
+
+    Rows of packed bytes are read and given to Python a few at a time.
+    """
+    with shuffles_removed(df.sparkSession), settings(df.sparkSession, {
+            "spark.sql.execution.arrow.maxBytesPerBatch": str(BATCH_BYTES), "spark.sql.parquet.columnarReaderBatchSize": "32"}):
+        return written(df, name, options)
 
 
 def score(docs: DataFrame, parts: int = 5, part: int = 1) -> DataFrame:
@@ -674,11 +729,12 @@ def score(docs: DataFrame, parts: int = 5, part: int = 1) -> DataFrame:
     hot, share = _hot(measured, False, hot_share)
     pairs = np.sort(_hot(measured, True, hot_share)[0])
     blocks = source.mapInArrow(_occurrences(n_parts, hot, pairs), "part int, data binary")
-    model = _stored(blocks.groupBy("part").applyInArrow(_build(n_parts, hot, share, pairs), _MODEL), "model")
+    model = _stored(blocks.repartitionById(n_parts, "part").sortWithinPartitions("part").mapInArrow(
+        _build_sorted(_build(n_parts, hot, share, pairs)), _MODEL), "model", _PACKED)
     sums = model.agg(*(F.sum(c).alias(c) for c in ("known", "train", "customers", "root"))).first().asDict()
     sums = {k: v or 0 for k, v in sums.items()}
-    totals = _stored(model.select("part", "totals").mapInArrow(_deal_totals(n_parts), "part int, bucket int, data binary")
-                     .groupBy("bucket").applyInArrow(_add_totals, "part int, data binary"), "context_totals")
+    totals = _stored(model.where("totals IS NOT NULL").select("part", "totals").mapInArrow(_deal_totals(n_parts), "part int, bucket int, data binary")
+                     .groupBy("bucket").applyInArrow(_add_totals, "part int, data binary"), "context_totals", _PACKED)
     hot_rows = {r["word"]: r for r in model.select(F.explode("hot").alias("h")).select("h.*").groupBy("word").agg(
         F.sum("customers").alias("customers"), F.sum("count").alias("count")).collect()}
     seen = [hot_rows.get(int(w)) for w in hot.view(np.int64)]
@@ -698,9 +754,9 @@ def score(docs: DataFrame, parts: int = 5, part: int = 1) -> DataFrame:
         "root": all_root, "buckets": buckets,
         "pair_context": hot_pairs.contexts[hot_pairs.context], "pair_tables": hot_pairs.seating.tables, "pairs": pairs, "pair_log_p": hot_pairs.log_p, "hot_p0": hot_p0})
     # Sums of a text are added for some partitions before they are exchanged.
-    some = F.floor(F.col("part") / TOGETHER).alias("some")
-    by_some = lambda df: df.select("part", "data", some).repartition(-(-n_parts // TOGETHER), "some").groupBy("some")
-    partial = by_some(model).cogroup(by_some(totals)).applyInArrow(_score(shared), "bucket int, data binary")
+    rows = model.select("part", "piece", "data").union(totals.select("part", F.lit(_TOTALS), "data"))
+    partial = (rows.repartitionById(-(-n_parts // TOGETHER), F.floor(F.col("part") / TOGETHER).cast("int"))
+               .sortWithinPartitions("part", "piece").mapInArrow(_score(shared), "bucket int, data binary"))
     total = _stored(partial.groupBy("bucket").applyInArrow(
         _total, "key bigint, score double, base double, known bigint, n bigint"), "totals")
     # A text that several tasks packed was summed once for each of them: total.n counts how often.

@@ -264,6 +264,107 @@ def test_model_of_a_partition_holds_few_bytes_an_occurrence():
     assert peak < 80 * n * 1501
 
 
+def _lm_models(parts, n=400):
+    """Blocks of texts by partition, and a function that makes the partitions' models of them."""
+    rng = np.random.default_rng(5)
+    few = np.zeros(0, np.uint64)
+    text = pa.array([" ".join(f"w{x}" for x in rng.zipf(1.2, 1500) % 50_000) for _ in range(n)])
+    docs = pa.RecordBatch.from_arrays([pa.array(range(n)), text, pa.array(range(n)), pa.array([True] * n)],
+                                      ["doc_id", "text", "key", "train"])
+    blocks = sorted(((p, d) for b in lm_scoring._occurrences(parts, few, few)([docs])
+                     for p, d in zip(b.column("part").to_pylist(), b.column("data").to_pylist())), key=lambda r: r[0])
+    return blocks, lm_scoring._build_sorted(lm_scoring._build(parts, few, np.zeros(0), few))
+
+
+def test_lm_models_are_cut_into_small_rows(monkeypatch):
+    """A model's rows have PIECE bytes at most and come in small batches; its sums stand in the first row alone."""
+    monkeypatch.setattr(lm_scoring, "PIECE", 10_000)
+    monkeypatch.setattr(lm_scoring, "BATCH_BYTES", 50_000)
+    blocks, build = _lm_models(3)
+    batches = list(build(iter([pa.RecordBatch.from_arrays([pa.array([p], pa.int32()), pa.array([d], pa.binary())], ["part", "data"])
+                               for p, d in blocks])))
+    assert max(b.num_rows for b in batches) == 5 and max(len(d) for b in batches for d in b.column("data").to_pylist()) == 10_000
+    rows = pa.Table.from_batches(batches).to_pylist()
+    assert sum(r["train"] or 0 for r in rows) == 400 * 1501
+    for part in range(3):
+        own = [r for r in rows if r["part"] == part]
+        assert len(own) > 5 and [r["piece"] for r in own] == list(range(len(own)))
+        assert [r["totals"] is None for r in own] == [False] + [True] * (len(own) - 1)
+        model = lm_scoring._unpack(b"".join(r["data"] for r in own))
+        assert model["count"].sum() == own[0]["train"] and len(model["context"]) == len(model["count"])
+
+
+def test_lm_scoring_holds_one_packed_partition_at_a_time():
+    """Of the partitions that a task scores together, the packed rows of one are held, not of all."""
+    parts = 2 * lm_scoring.TOGETHER
+    blocks, build = _lm_models(parts)
+    models = pa.Table.from_batches(build(iter([pa.RecordBatch.from_arrays(
+        [pa.array([p], pa.int32()), pa.array([d], pa.binary())], ["part", "data"]) for p, d in blocks])))
+    dealt = pa.Table.from_batches(lm_scoring._deal_totals(1)(models.filter(models.column("totals").is_valid()).select(["part", "totals"]).to_batches()))
+    totals = lm_scoring._add_totals(None, dealt)
+    sums = {k: sum(x or 0 for x in models.column(k).to_pylist()) for k in ("known", "train", "customers", "root")}
+    rows = sorted([*zip(*(models.column(k).to_pylist() for k in ("part", "piece", "data"))),
+                   *((p, lm_scoring._TOTALS, d) for p, d in zip(totals.column("part").to_pylist(), totals.column("data").to_pylist()))])
+    empty, none = np.zeros(0, np.uint64), np.zeros(0)
+    shared = type("Shared", (), {"value": sums | {
+        "hot": empty, "hot_count": np.zeros(0, np.int64), "buckets": 3, "pair_context": empty, "pair_tables": np.zeros(0, np.int64),
+        "pairs": empty, "pair_log_p": none, "hot_p0": none}})
+    whole, before, most, read = sum(len(d) for *_, d in rows), pa.total_allocated_bytes(), 0, 0
+
+    def batches():
+        nonlocal most, read
+        for p, piece, d in rows:
+            read += 1
+            yield pa.RecordBatch.from_arrays([pa.array([p], pa.int32()), pa.array([piece], pa.int32()), pa.array([d], pa.binary())],
+                                             ["part", "piece", "data"])
+            most = max(most, pa.total_allocated_bytes() - before)
+    got = []
+    for batch in lm_scoring._score(shared)(batches()):
+        assert got or read < len(rows)      # the first partitions' sums are given before the others are read
+        got.append(batch)
+    assert most < whole / 4
+    found = [lm_scoring._unpack(d) for b in got for d in b.column("data").to_pylist()]
+    assert sum(x["n"].sum() for x in found) == sum(x["known"].sum() for x in found) == 400 * 1501
+    assert len(found) == 2 * 3 and all(len(np.unique(x["key"])) == len(x["key"]) for x in found)
+
+
+def test_lm_tasks_get_no_more_partitions_than_meant(corpus, monkeypatch):
+    """A task makes one partition's model, and scores TOGETHER of them, whatever a hash of their numbers would do."""
+    monkeypatch.setattr(lm_scoring, "partitions_for", lambda *a: 3 * lm_scoring.TOGETHER)
+
+    def limited(make, most):
+        def made(*args):
+            run = make(*args)
+
+            def task(batches):
+                parts = set()
+
+                def noted():
+                    for batch in batches:
+                        parts.update(batch.column(0).to_pylist())
+                        assert len(parts) <= most
+                        yield batch
+                yield from run(noted())
+            return task
+        return made
+    monkeypatch.setattr(lm_scoring, "_build_sorted", limited(lm_scoring._build_sorted, 1))
+    monkeypatch.setattr(lm_scoring, "_score", limited(lm_scoring._score, lm_scoring.TOGETHER))
+    assert lm_scoring.score(corpus).count() == corpus.count()
+
+
+def test_lm_tables_of_packed_bytes_have_small_row_groups(spark):
+    import pyarrow.parquet as pq
+    names = ("spark.sql.execution.arrow.maxBytesPerBatch", "spark.sql.parquet.columnarReaderBatchSize")
+    before = [spark.conf.get(n, None) for n in names]
+    rows = spark.range(0, 150, 1, 1).select("id", F.expr("unhex(repeat(sha2(cast(id AS string), 512), 3000))").alias("data"))
+    stored = lm_scoring._stored(rows, "packed", lm_scoring._PACKED)
+    assert [spark.conf.get(n, None) for n in names] == before
+    groups = [meta.row_group(k) for f in stored.inputFiles() for meta in (pq.read_metadata(f.removeprefix("file://").removeprefix("file:")),)
+              for k in range(meta.num_row_groups)]
+    assert sum(g.num_rows for g in groups) == 150 and max(g.total_byte_size for g in groups) < 10 << 20
+    assert stored.select(F.sum(F.length("data"))).first()[0] == 150 * 64 * 3000
+
+
 def test_rules(corpus, labels, odd):
     good = corpus.join(labels.where("quality = 1").select("doc_id"), "doc_id", "left_semi")
     for df, target in ((corpus, good), (odd, good)):
